@@ -121,8 +121,8 @@ def pipelines_to_stage_rows(docs: DataFrame, contract: TableContract, *, run_id:
 
 # One parse per association item: ids as VARIANT keep the JSON token type
 # (number 0 is falsy, string "0" is not), types as typed structs.
-_ITEM_SCHEMA = ("struct<toObjectId:variant,id:variant,"
-                "associationTypes:array<struct<category:string,typeId:string,label:string>>>")
+_TYPE_STRUCT = "struct<category:string,typeId:string,label:string>"
+_ITEM_SCHEMA = f"struct<toObjectId:variant,id:variant,associationTypes:array<{_TYPE_STRUCT}>>"
 
 
 def associations_to_rows(results: DataFrame, contract: TableContract, *, run_id: str,
@@ -145,9 +145,17 @@ def associations_to_rows(results: DataFrame, contract: TableContract, *, run_id:
     edges = parsed.select(
         "from_id", "from_json", "item", F.col("p.associationTypes").alias("types"),
         first_truthy(F.col("p.toObjectId"), F.col("p.id")).alias("to_id"),
-    ).where((F.col("from_id") != "") & (F.col("to_id") != ""))
+    )
+    # Dropping id-less edges and giving type-less edges one NULL-type row are
+    # both folded into the generator: no Filter exists that the optimizer
+    # could push back through (and re-evaluate) the JSON parsing.
+    types = F.col("types")
+    type_rows = F.when(F.coalesce(F.size(types), F.lit(0)) > 0, types).otherwise(
+        F.array(F.lit(None).cast(_TYPE_STRUCT)))
+    keep = (F.col("from_id") != "") & (F.col("to_id") != "")
     typed = edges.select(
-        "from_id", "to_id", "from_json", "item", F.explode_outer("types").alias("t"),
+        "from_id", "to_id", "from_json", "item",
+        F.explode(F.when(keep, type_rows).otherwise(F.array().cast(f"array<{_TYPE_STRUCT}>"))).alias("t"),
     )
     out = typed.select(
         F.col("from_id").alias(contract.from_id),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import VALID_FROM, crm_contracts
+from ..sources.landing import spread
 
 # Fixed values of the scenarios: source tag, column prefix, run ids and clocks.
 SOURCE = "crm"
@@ -31,7 +32,8 @@ CONTRACTS = crm_contracts(PREFIX)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; spread over the cores when it scans as too few tasks."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def money(c: Column) -> Column:

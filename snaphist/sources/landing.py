@@ -18,11 +18,26 @@ from ..functions.json import json_items, jpath
 DOC = "doc"
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` (default: the
+    cluster's parallelism) when its scan yields fewer partitions.
+
+    A landed extract made of a few large unsplittable files (one row group,
+    one compressed JSON file) scans as one task, and flattening JSON is
+    CPU-bound per row. A large scan already has more partitions than cores
+    and is returned unchanged, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def read_landing(spark: SparkSession, path: str | Sequence[str], *, whole_file: bool = False) -> DataFrame:
     """Raw landed texts as a single ``value`` column."""
     reader = spark.read.option("wholetext", "true") if whole_file else spark.read
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.text(paths)
+    return spread(reader.text(paths))
 
 
 def envelope_results(pages: DataFrame, text_col: str = "value") -> DataFrame:
