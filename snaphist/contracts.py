@@ -90,13 +90,14 @@ class TableContract:
 
 def conform(df: DataFrame, contract: TableContract) -> DataFrame:
     """Project ``df`` to the contract: contract order, missing column -> typed
-    NULL, extra columns dropped, present columns cast to the contract type."""
+    NULL, extra columns dropped, present columns cast to the contract type.
+    Built as one ``selectExpr`` (a single analyzer call)."""
     present = set(df.columns)
-    cols: list[Column] = []
+    exprs = []
     for f in contract.schema.fields:
-        c = F.col(f"`{f.name}`") if f.name in present else F.lit(None)
-        cols.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+        src = f"`{f.name}`" if f.name in present else "NULL"
+        exprs.append(f"CAST({src} AS {f.dataType.simpleString()}) AS `{f.name}`")
+    return df.selectExpr(*exprs)
 
 
 def schema_mismatches(schema: T.StructType, contract: TableContract) -> list[str]:

@@ -24,6 +24,16 @@ def json_items(doc: Column, path: str) -> Column:
     return F.from_json(F.get_json_object(doc, path), "array<string>")
 
 
+def parse_fields(doc: Column, fields: dict[str, str]) -> Column:
+    """Parse a JSON object once into a struct of the named top-level fields.
+
+    STRING fields keep nested objects/arrays as their compact source text (key
+    order and nulls kept, same text as ``get_json_object``), so one parse
+    replaces one ``get_json_object`` call per field."""
+    schema = ",".join(f"`{k}`:{t}" for k, t in fields.items())
+    return F.from_json(doc, f"struct<{schema}>")
+
+
 def json_wrap(**parts: Column) -> Column:
     """``{"k1":<text1>,"k2":<text2>}`` from already-serialised JSON texts;
     a NULL part is written as ``null``."""

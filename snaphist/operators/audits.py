@@ -100,20 +100,26 @@ def check_append(table: DataFrame, contract: TableContract, *, label: str | None
 
 
 def dq_metrics(table: DataFrame, contract: TableContract, *, run_id: str | None = None) -> DataFrame:
-    """Completeness and uniqueness percentages (targets: 100 %)."""
+    """Completeness and uniqueness percentages (targets: 100 %), from one
+    scan: per-key partial counts first (map-side combine), then one global
+    aggregate gives row total, distinct keys and blank cells together."""
     scd2 = contract.pattern == "scd2"
     req = list(contract.stored_required())
-    blanks = blank_counts(table, req, current_only=scd2, run_id=run_id)
     keys = [contract.business_keys[0]] if scd2 else list(contract.history_keys())
-    scoped = table.where(F.col(IS_CURRENT)) if scd2 else table
-    uniq = key_uniqueness(scoped, keys, run_id=run_id)
+    scoped = _scope(table, current_only=scd2, run_id=run_id)
+    blank = lambda c: F.sum(F.when(blank_stored(F.col(c)), 1).otherwise(0))
+    per_key = scoped.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                        *[blank(c).alias(f"b{i}") for i, c in enumerate(req)])
+    tot = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.coalesce(sum((F.sum(f"b{i}") for i in range(len(req))), F.lit(0)), F.lit(0)).alias("bad"),
+    )
     cells = F.col("rows") * F.lit(len(req))
-    bad = sum((F.col(c) for c in req), F.lit(0))
-    pct = lambda num, den: F.when(den == 0, F.lit(100.0)).otherwise(F.round(F.lit(100.0) * num / den, 4))
-    uniqueness = uniq.select(pct(F.col("distinct_keys"), F.col("total"))).scalar()
-    return blanks.select(
+    pct = lambda num, den: F.when(den == 0, F.lit(100.0)).otherwise(F.round(F.lit(100.0) * num / den, 4))
+    return tot.select(
         F.lit(contract.name).alias("table_name"),
-        F.col("rows"),
-        pct(cells - bad, cells).alias("completeness_pct"),
-        uniqueness.alias("uniqueness_pct"),
+        F.col("rows").cast("long").alias("rows"),
+        pct(cells - F.col("bad"), cells).alias("completeness_pct"),
+        pct(F.col("distinct_keys"), F.col("rows")).alias("uniqueness_pct"),
     )

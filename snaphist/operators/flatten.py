@@ -18,7 +18,7 @@ from ..contracts import (
     INGESTED_AT, IS_CURRENT, RUN_ID, SOURCE_SYSTEM, STAGE_KEY_SEPARATOR, VALID_FROM, VALID_TO,
     TableContract, conform, ts_literal,
 )
-from ..functions.json import json_items, json_wrap, jpath, jpath_or
+from ..functions.json import json_wrap, jpath, parse_fields
 from ..functions.predicates import first_truthy, key_concat, truthy_flag
 
 DOC = "doc"
@@ -50,14 +50,15 @@ def objects_to_rows(docs: DataFrame, contract: TableContract, *, run_id: str | C
     d = F.col(doc_col)
     key, created, updated = _id_cols(contract)
     ts = ts_literal(ingested_at)
+    o = parse_fields(d, {f: "string" for f in ("id", "properties", "createdAt", "updatedAt", "archived")})
     out = docs.select(
-        jpath(d, "$.id").alias(key),
+        o["id"].alias(key),
         F.lit(contract.object_type).alias("object_type"),
-        jpath_or(d, "$.properties", "{}").alias("properties_json"),
+        F.coalesce(o["properties"], F.lit("{}")).alias("properties_json"),
         d.alias("raw_json"),
-        jpath(d, "$.createdAt").alias(created),
-        jpath(d, "$.updatedAt").alias(updated),
-        truthy_flag(jpath(d, "$.archived")).alias("archived"),
+        o["createdAt"].alias(created),
+        o["updatedAt"].alias(updated),
+        truthy_flag(o["archived"]).alias("archived"),
         *[c.alias(n) for n, c in run_stamps(run_id, ingested_at, source_system).items()],
         ts.alias(VALID_FROM),
         F.lit(None).cast("timestamp").alias(VALID_TO),
@@ -75,17 +76,19 @@ def owners_to_rows(docs: DataFrame, contract: TableContract, *, run_id: str,
     d = F.col(doc_col)
     created = contract.columns[7]
     updated = contract.columns[8]
+    o = parse_fields(d, {f: "string" for f in ("id", "userId", "email", "firstName", "lastName", "teams",
+                                               "createdAt", "updatedAt", "archived")})
     out = docs.select(
-        jpath(d, "$.id").alias("owner_id"),
-        jpath(d, "$.userId").alias("user_id"),
-        jpath(d, "$.email").alias("email"),
-        jpath(d, "$.firstName").alias("first_name"),
-        jpath(d, "$.lastName").alias("last_name"),
-        jpath_or(d, "$.teams", "[]").alias("teams_json"),
+        o["id"].alias("owner_id"),
+        o["userId"].alias("user_id"),
+        o["email"].alias("email"),
+        o["firstName"].alias("first_name"),
+        o["lastName"].alias("last_name"),
+        F.coalesce(o["teams"], F.lit("[]")).alias("teams_json"),
         d.alias("raw_json"),
-        jpath(d, "$.createdAt").alias(created),
-        jpath(d, "$.updatedAt").alias(updated),
-        truthy_flag(jpath(d, "$.archived")).alias("archived"),
+        o["createdAt"].alias(created),
+        o["updatedAt"].alias(updated),
+        truthy_flag(o["archived"]).alias("archived"),
         *[c.alias(n) for n, c in run_stamps(run_id, ingested_at, source_system).items()],
     )
     return conform(out, contract)
@@ -96,23 +99,28 @@ def pipelines_to_stage_rows(docs: DataFrame, contract: TableContract, *, run_id:
     """Pipeline object -> one row per stage (inner explode: no stages, no rows).
     Parent attributes repeat on every stage row."""
     d = F.col(doc_col)
-    staged = docs.select(d.alias("p"), F.explode(json_items(d, "$.stages")).alias("s"))
+    pf = ("id", "label", "createdAt", "updatedAt", "archived")
+    pipe = parse_fields(d, {**{f: "string" for f in pf}, "stages": "array<string>"})
+    staged = docs.select(d.alias("p"), *[pipe[f].alias(f"p_{f}") for f in pf],
+                         F.explode(pipe["stages"]).alias("s"))
     p, s = F.col("p"), F.col("s")
-    pid, sid = jpath(p, "$.id"), jpath(s, "$.id")
+    st = parse_fields(s, {f: "string" for f in ("id", "label", "displayOrder", "metadata", "createdAt",
+                                                 "updatedAt", "archived")})
+    pid, sid = F.col("p_id"), st["id"]
     out = staged.select(
         key_concat(pid, sid, sep=STAGE_KEY_SEPARATOR).alias("pipeline_stage_key"),
         pid.alias("pipeline_id"),
-        jpath(p, "$.label").alias("pipeline_label"),
+        F.col("p_label").alias("pipeline_label"),
         sid.alias("stage_id"),
-        jpath(s, "$.label").alias("stage_label"),
-        jpath(s, "$.displayOrder").cast("int").alias("display_order"),
-        jpath_or(s, "$.metadata", "{}").alias("metadata_json"),
-        jpath(p, "$.createdAt").alias("pipeline_created_at"),
-        jpath(p, "$.updatedAt").alias("pipeline_updated_at"),
-        truthy_flag(jpath(p, "$.archived")).alias("pipeline_archived"),
-        jpath(s, "$.createdAt").alias("stage_created_at"),
-        jpath(s, "$.updatedAt").alias("stage_updated_at"),
-        truthy_flag(jpath(s, "$.archived")).alias("stage_archived"),
+        st["label"].alias("stage_label"),
+        st["displayOrder"].cast("int").alias("display_order"),
+        F.coalesce(st["metadata"], F.lit("{}")).alias("metadata_json"),
+        F.col("p_createdAt").alias("pipeline_created_at"),
+        F.col("p_updatedAt").alias("pipeline_updated_at"),
+        truthy_flag(F.col("p_archived")).alias("pipeline_archived"),
+        st["createdAt"].alias("stage_created_at"),
+        st["updatedAt"].alias("stage_updated_at"),
+        truthy_flag(st["archived"]).alias("stage_archived"),
         json_wrap(pipeline=p, stage=s).alias("raw_json"),
         *[c.alias(n) for n, c in run_stamps(run_id, ingested_at, source_system).items()],
     )
@@ -135,11 +143,9 @@ def associations_to_rows(results: DataFrame, contract: TableContract, *, run_id:
     ``toObjectId`` when truthy, else ``id``.
     """
     d = F.col(doc_col)
-    items = results.select(
-        F.coalesce(jpath(d, "$.from.id"), F.lit("")).alias("from_id"),
-        jpath(d, "$.from").alias("from_json"),
-        F.explode(json_items(d, "$.to")).alias("item"),
-    )
+    r = parse_fields(d, {"from": "string", "to": "array<string>"})
+    items = results.select(r["from"].alias("from_json"), F.explode(r["to"]).alias("item")).select(
+        F.coalesce(jpath(F.col("from_json"), "$.id"), F.lit("")).alias("from_id"), "from_json", "item")
     item = F.col("item")
     parsed = items.select("from_id", "from_json", "item", F.from_json(item, _ITEM_SCHEMA).alias("p"))
     edges = parsed.select(

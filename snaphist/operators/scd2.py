@@ -49,27 +49,30 @@ def merge_general(target: DataFrame, staging: DataFrame, contract: TableContract
                   *, close_missing: bool = True) -> DataFrame:
     keys = list(contract.business_keys)
     cols = contract.columns
+    is_open = F.coalesce(F.col(IS_CURRENT), F.lit(False))
+    history = target.where(~is_open).select(*cols)          # never shuffled
+    # partial aggregation first: a hot (duplicated) staging key is collapsed
+    # map-side before the shuffle
     per_key = staging.groupBy(*keys).agg(
         F.max(VALID_FROM).alias("__mx"),
         F.min(_sig(contract)).alias("__lo"),
         F.max(_sig(contract)).alias("__hi"),
     )
-    t = target.join(per_key, keys, "left")
-    cur = F.col(IS_CURRENT)
+    j = target.where(is_open).join(per_key, keys, "left")
     sig = _sig(contract)
     matched = F.col("__lo").isNotNull()
-    changed = cur & matched & ((sig != F.col("__lo")) | (sig != F.col("__hi")))
-    missing = cur & ~matched & F.lit(close_missing)
-    closed = (
-        t.withColumn(VALID_TO, F.when(changed, F.col("__mx"))
-                     .when(missing, _staging_max_from(staging))
-                     .otherwise(F.col(VALID_TO)))
-        .withColumn(IS_CURRENT, F.when(changed | missing, F.lit(False)).otherwise(cur))
-        .select(*cols)
-    )
-    still_open = closed.where(F.col(IS_CURRENT)).select(*keys)
-    inserts = staging.join(still_open, keys, "left_anti").select(*cols)
-    return closed.unionByName(inserts)
+    changed = matched & ((sig != F.col("__lo")) | (sig != F.col("__hi")))
+    missing = ~matched & F.lit(close_missing)
+    closed = j.select(*[
+        (F.when(changed, F.col("__mx")).when(missing, _staging_max_from(staging)).otherwise(F.col(VALID_TO))
+         if c == VALID_TO else
+         (~(changed | missing)) if c == IS_CURRENT else F.col(c)).alias(c)
+        for c in cols])
+    # keys whose open row survives: derived from the same key-partitioned join
+    # output, so no further exchange; inserts are staging rows of other keys
+    blocked = j.where(matched & ~changed).select(*keys).distinct()
+    inserts = staging.join(blocked, keys, "left_anti").select(*cols)
+    return history.unionByName(closed).unionByName(inserts)
 
 
 def _merge_split_open(open_t: DataFrame, staging: DataFrame, contract: TableContract,

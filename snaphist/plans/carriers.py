@@ -31,9 +31,18 @@ ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 CONTRACTS = crm_contracts(PREFIX)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; spread over the cores when it scans as too few tasks."""
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    """A driver table; spread over the cores when it scans as too few tasks.
+    The plan is built once per session and path (files are read at execution,
+    so reuse is safe) to avoid re-listing and re-reading footers per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spread(spark.read.parquet(path))
+    return _TABLES[key]
 
 
 def money(c: Column) -> Column:

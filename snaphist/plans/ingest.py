@@ -35,6 +35,8 @@ def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: dat
     for name, rows in mapped.items():
         c = contracts[name]
         scd2 = c.pattern == SCD2
+        if scd2:
+            rows = store.load_staging(name, rows)
         gates.validate(rows, c, label=name, source_system=source_system, scd2=scd2)
         if scd2:
             new_rows = scd2_merge_open(store.read_open(name), rows, c, close_missing=close_missing)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.json import json_items, jpath
+from ..functions.json import jpath, parse_fields
 
 DOC = "doc"
 
@@ -43,7 +43,8 @@ def read_landing(spark: SparkSession, path: str | Sequence[str], *, whole_file:
 def envelope_results(pages: DataFrame, text_col: str = "value") -> DataFrame:
     """One row per element of ``results``, kept as JSON text in ``doc``.
     A page without ``results`` contributes no rows."""
-    return pages.select(F.explode(json_items(F.col(text_col), "$.results")).alias(DOC))
+    env = parse_fields(F.col(text_col), {"results": "array<string>"})
+    return pages.select(F.explode(env["results"]).alias(DOC))
 
 
 def next_cursor(pages: DataFrame, text_col: str = "value") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contracts import IS_CURRENT, RUN_ID, SCD2, STAGING, TableContract
+from ..contracts import IS_CURRENT, RUN_ID, SCD2, STAGING, TableContract, staging_name
 
 PUBLISHED_RUN = "_published_run"
 MANIFEST = "_manifest"
@@ -151,6 +151,14 @@ class Store:
                 .select(*c.columns))
 
     # ------------------------------------------------------------ writes
+    def load_staging(self, name: str, rows: DataFrame) -> DataFrame:
+        """Truncate-and-load the staging table of an entity (K3) and return it
+        read back: gates and merge then scan Parquet instead of re-parsing
+        the landed JSON, and the lineage is cut at the write."""
+        path = self.path(staging_name(name))
+        rows.select(*self.contracts[name].columns).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(self.contracts[name].schema).parquet(path)
+
     def write_run(self, name: str, rows: DataFrame, run_id: str) -> None:
         """Write (or rewrite) this run's partition only; not yet visible."""
         c = self.contracts[name]
