@@ -24,7 +24,10 @@ from .pipeline import RunInputs, map_run
 
 
 def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: datetime | str,
-               source_system: str, sample_limit: int | None = None) -> tuple[str, dict[str, int]]:
+               source_system: str, sample_limit: int | None = None,
+               skip_committed: bool = False) -> tuple[str, dict[str, int]]:
+    """``skip_committed``: tables this run already committed are left as they
+    are (a replayed stream batch resumes where the failed attempt stopped)."""
     store.assert_tables_exist()
     contracts = store.contracts
     close_missing = sample_limit is None
@@ -35,6 +38,8 @@ def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: dat
     for name, rows in mapped.items():
         c = contracts[name]
         scd2 = c.pattern == SCD2
+        if skip_committed and any(r == run_id for r, _ in store.committed(name)):
+            continue
         if scd2:
             rows = store.load_staging(name, rows)
         gates.validate(rows, c, label=name, source_system=source_system, scd2=scd2)
