@@ -23,9 +23,9 @@ from ..operators import audits, gates, reads
 from ..operators.flatten import (
     associations_to_rows, objects_to_rows, owners_to_rows, pipelines_to_stage_rows,
 )
-from ..operators.history import append_history
+from ..operators.history import append_history, rows_per_run
 from ..operators.scd2 import GENERAL, SPLIT, change_summary, run_table, scd2_merge, scd2_replay
-from ..sources.landing import envelope_results, sample_first, scope_to_ids
+from ..sources.landing import envelope_results, project_properties, sample_first, scope_to_ids
 from . import carriers as C
 from .pipeline import run_summary_frame
 
@@ -677,6 +677,78 @@ def q_sample_first_n(spark, sf):
     return sample_first(rows, 25, [KEY])
 
 
+# ============================================================ 9b. more operators
+@register("property_projection", _with(ORDERS_BASE, _order_run_sql("r1")) + f"""
+SELECT {KEY}, json_object('status', json_extract_string(properties_json, '$.status'),
+                          'amount', json_extract_string(properties_json, '$.amount'))::VARCHAR AS properties_projected
+FROM r1""")
+def q_property_projection(spark, sf):
+    """S5: keep only the requested property keys (source key order kept)."""
+    docs = project_properties(C.order_docs(spark, sf, "r1"), ["amount", "status"])
+    return docs.select(F.get_json_object("doc", "$.id").alias(KEY), "properties_projected")
+
+
+@register("scd2_version_keys_unique", _with(*H3) + f"""
+SELECT count(*) AS total, (SELECT count(*) FROM (SELECT DISTINCT {KEY}, {VALID_FROM} FROM h3)) AS distinct_keys
+FROM h3""")
+def q_scd2_version_keys_unique(spark, sf):
+    """V10 over the SCD2 version grain (key + _valid_from)."""
+    h = deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT)
+    return audits.key_uniqueness(h, list(DEALS.version_keys()))
+
+
+@register("audit_required_append", OWNERS_SQL + """
+SELECT count(*) AS rows, """ + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '') AS {c}"
+    for c in ("owner_id", "user_id", "email", INGESTED_AT, RUN_ID, SOURCE_SYSTEM)) + " FROM own")
+def q_audit_required_append(spark, sf):
+    """V11 whole table, one scan for all columns."""
+    return audits.blank_counts(owner_history(spark, sf),
+                               ["owner_id", "user_id", "email", INGESTED_AT, RUN_ID, SOURCE_SYSTEM])
+
+
+@register("count_by_run", OWNERS_SQL + f"SELECT {RUN_ID}, count(*) AS n FROM own GROUP BY {RUN_ID}")
+def q_count_by_run(spark, sf):
+    """A2 per run scope."""
+    return rows_per_run(owner_history(spark, sf))
+
+
+def _raw_only_rows(spark, sf) -> DataFrame:
+    """Run 2 = run 1's objects; not-specified-priority orders carry one more
+    top-level field (raw text changes, change attributes do not)."""
+    o = C._order_run_columns(C.table(spark, sf, "orders"), "r1")
+    note = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("re-synced"))
+    docs = o.select(F.to_json(F.struct(
+        F.col("o_orderkey").cast("string").alias("id"),
+        C.order_properties(F.col("status")).alias("properties"),
+        C.iso(F.col("o_orderdate")).alias("createdAt"), F.col("updated").alias("updatedAt"),
+        F.lit(False).alias("archived"), note.alias("note"))).alias("doc"))
+    return objects_to_rows(docs, DEALS, run_id="r2", ingested_at=C.RUNS["r2"], source_system=C.SOURCE)
+
+
+@register("scd2_raw_only_change", _with(ORDERS_BASE, _order_run_sql("r1"), _seed_sql("h1", "r1"))
+          + f"SELECT {SCD2_SEL}, raw_changed FROM h1 JOIN (SELECT {KEY}, o_orderpriority = '4-NOT SPECIFIED' AS raw_changed "
+          + f"FROM r1 JOIN o ON r1.{KEY} = CAST(o.o_orderkey AS VARCHAR)) USING ({KEY})")
+def q_scd2_raw_only_change(spark, sf):
+    """Q3: a raw-only change opens no version; the open row keeps run 1."""
+    h1 = deal_history(spark, sf, ["r1"])
+    s2 = _raw_only_rows(spark, sf)
+    h2 = scd2_merge(h1, s2, DEALS, form=SPLIT)
+    changed = s2.select(KEY, F.get_json_object("raw_json", "$.note").isNotNull().alias("raw_changed"))
+    return h2.select(*SCD2_OUT).join(changed, KEY)
+
+
+@register("scd2_sampled_run", _with(
+    ORDERS_BASE, _order_run_sql("r1"), _order_run_sql("r2", name="r2all"),
+    f"r2 AS (SELECT * FROM r2all ORDER BY {KEY} LIMIT 25)", _seed_sql("h1", "r1"),
+    _merge_sql("h2", "h1", "r2", close_missing=False)) + f"SELECT {SCD2_SEL} FROM h2")
+def q_scd2_sampled_run(spark, sf):
+    """Q16: a sampled run (first 25 by key) merges without closing missing."""
+    h1 = deal_history(spark, sf, ["r1"])
+    sample = sample_first(deal_rows(spark, sf, "r2"), 25, [KEY])
+    return scd2_merge(h1, sample, DEALS, close_missing=False, form=SPLIT).select(*SCD2_OUT)
+
+
 # ============================================================ 10. pipeline summary
 @register("run_summary", _with(*H2) + f""",
 {OWNERS_SQL.strip()[5:]}
