@@ -169,6 +169,27 @@ class Store:
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_columns(c)).parquet(self.path(name)))
 
+    def drop_superseded(self, name: str, *, keep: int = 2) -> list[str]:
+        """Delete the open-row partitions of SCD2 runs older than the last
+        ``keep`` committed runs. They are superseded by later open sets and
+        never read; closed history is not touched. Keeps storage at
+        O(history + keep x open rows) instead of growing by the open set per
+        run. Returns the deleted paths."""
+        c = self.contracts[name]
+        if c.pattern != SCD2:
+            return []
+        runs = [r for r, _ in self.committed(name)]
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        deleted = []
+        for r in runs[:-keep] if keep > 0 else runs:
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{PUBLISHED_RUN}={r}/{IS_CURRENT}=true")
+            fs = p.getFileSystem(conf)
+            if fs.exists(p):
+                fs.delete(p, True)
+                deleted.append(str(p))
+        return deleted
+
     def written(self, name: str, run_id: str) -> DataFrame:
         """Rows written by ``run_id`` (for audits before commit)."""
         c = self.contracts[name]
