@@ -141,6 +141,16 @@ class Store:
             return self.spark.createDataFrame([], c.schema)
         return self._raw(name).where(keep).select(*c.columns)
 
+    def register_views(self, names: list[str] | None = None, *, global_views: bool = False) -> list[str]:
+        """(Re)point one SQL view per table at its committed runs, so
+        consumers run plain SQL such as ``SELECT * FROM deals WHERE
+        _is_current = true``. Call again after a commit to repoint."""
+        names = names or [n for n, c in self.contracts.items() if c.pattern != STAGING]
+        for n in names:
+            df = self.read(n)
+            (df.createOrReplaceGlobalTempView(n) if global_views else df.createOrReplaceTempView(n))
+        return names
+
     def read_open(self, name: str) -> DataFrame:
         """Open SCD2 rows of the latest committed run (two partition filters)."""
         c = self.contracts[name]

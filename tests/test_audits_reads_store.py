@@ -83,6 +83,8 @@ def test_stored_runs_publish_and_audit(spark, scratch):
     assert c2["deals"] == r2_ids
     deals = store.read("deals")
     audits.check_scd2(deals, C["deals"])
+    store.register_views(["deals"])
+    assert spark.sql("SELECT count(*) FROM deals WHERE _is_current = true").first()[0] == r2_ids
     assert deals.where("_is_current").count() == r2_ids
     assert c2["owners"] == c1["owners"] + store.read("owners").where("_ingestion_run_id = 'r2'").count()
     # re-running the same extract is a no-op for SCD2 and one more run for append tables
