@@ -547,7 +547,7 @@ def q_gate_violations(spark, sf):
 
 
 @register("gate_duplicates", """
-SELECT sum(n) AS n_rows, count(*) AS n_keys, COALESCE(sum(n - 1), 0) AS duplicates
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicates
 FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
 def q_gate_duplicates(spark, sf):
     return gates.duplicate_keys(C.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
