@@ -61,14 +61,22 @@ def variant_truthy(v: Column) -> Column:
     return ~falsy
 
 
-def variant_text(v: Column) -> Column:
-    """A JSON scalar held as VARIANT as text (strings unquoted)."""
-    return F.variant_get(v, "$", "string")
-
-
-def first_truthy(*values: Column) -> Column:
-    """Text of the first truthy VARIANT value among ``values``, else ``''``."""
-    return F.coalesce(*[F.when(variant_truthy(v), variant_text(v)) for v in values], F.lit(""))
+def json_truthy(text: Column, raw: Column) -> Column:
+    """Truthiness of a JSON value from its STRING-parsed ``text`` (strings
+    unquoted, other tokens as source text; NULL when absent or null).
+
+    The text alone decides unless it reads as a numeric zero or ``false``:
+    then the token type matters (number 0 is falsy, string "0" is not), and
+    ``raw`` -- the same value parsed as VARIANT -- is evaluated, for those
+    rows only."""
+    ambiguous = (text == F.lit("false")) | F.coalesce(text.try_cast("double") == F.lit(0.0), F.lit(False))
+    plain = text.isNotNull() & ~text.isin("", "[]", "{}")
+    return F.when(ambiguous, variant_truthy(raw)).otherwise(plain)
+
+
+def first_truthy(*pairs: tuple[Column, Column]) -> Column:
+    """Text of the first truthy value among ``(text, raw)`` pairs, else ``''``."""
+    return F.coalesce(*[F.when(json_truthy(t, raw), t) for t, raw in pairs], F.lit(""))
 
 
 def key_concat(*cols: Column, sep: str) -> Column:

@@ -127,10 +127,12 @@ def pipelines_to_stage_rows(docs: DataFrame, contract: TableContract, *, run_id:
     return conform(out, contract)
 
 
-# One parse per association item: ids as VARIANT keep the JSON token type
-# (number 0 is falsy, string "0" is not), types as typed structs.
+# One parse per association item: ids as text, types as typed structs. Only
+# ids whose text reads as a numeric zero or false are parsed again as VARIANT
+# to learn the token type (number 0 is falsy, string "0" is not).
 _TYPE_STRUCT = "struct<category:string,typeId:string,label:string>"
-_ITEM_SCHEMA = f"struct<toObjectId:variant,id:variant,associationTypes:array<{_TYPE_STRUCT}>>"
+_ITEM_SCHEMA = f"struct<toObjectId:string,id:string,associationTypes:array<{_TYPE_STRUCT}>>"
+_ITEM_IDS_RAW = "struct<toObjectId:variant,id:variant>"
 
 
 def associations_to_rows(results: DataFrame, contract: TableContract, *, run_id: str,
@@ -148,9 +150,10 @@ def associations_to_rows(results: DataFrame, contract: TableContract, *, run_id:
         F.coalesce(jpath(F.col("from_json"), "$.id"), F.lit("")).alias("from_id"), "from_json", "item")
     item = F.col("item")
     parsed = items.select("from_id", "from_json", "item", F.from_json(item, _ITEM_SCHEMA).alias("p"))
+    raw = F.from_json(item, _ITEM_IDS_RAW)  # evaluated only for ambiguous ids
     edges = parsed.select(
         "from_id", "from_json", "item", F.col("p.associationTypes").alias("types"),
-        first_truthy(F.col("p.toObjectId"), F.col("p.id")).alias("to_id"),
+        first_truthy((F.col("p.toObjectId"), raw["toObjectId"]), (F.col("p.id"), raw["id"])).alias("to_id"),
     )
     # Dropping id-less edges and giving type-less edges one NULL-type row are
     # both folded into the generator: no Filter exists that the optimizer

@@ -68,6 +68,8 @@ def test_association_flatten(spark):
             {"toObjectId": "", "id": "0"},
         ]},
         {"from": {}, "to": [{"toObjectId": 5}]},
+        {"from": {"id": "4"}, "to": [{"toObjectId": "0"}, {"toObjectId": False, "id": 5.5},
+                                     {"toObjectId": 0.0, "id": "false"}, {"toObjectId": [], "id": 0}]},
         {"from": {"id": 2}},
         {"from": {"id": 3}, "to": None},
     ])
@@ -75,7 +77,8 @@ def test_association_flatten(spark):
     rows = associations_to_rows(d, c, **STAMP).collect()
     got = sorted((r.contact_id, r.company_id, r.association_category, r.association_type_id) for r in rows)
     assert got == [("1", "0", None, None), ("1", "10", "A", 1), ("1", "10", "B", 2),
-                   ("1", "11", None, None), ("1", "12", None, None), ("1", "13", None, None)]
+                   ("1", "11", None, None), ("1", "12", None, None), ("1", "13", None, None),
+                   ("4", "0", None, None), ("4", "5.5", None, None), ("4", "false", None, None)]
     raws = {r.raw_json for r in rows if r.company_id == "10"}
     assert len(raws) == 1 and json.loads(raws.pop())["to"]["toObjectId"] == 10
 
