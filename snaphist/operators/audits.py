@@ -83,20 +83,64 @@ def assert_unique(table: DataFrame, keys: Sequence[str], *, label: str, run_id:
                          f"total={row['total']} distinct={row['distinct_keys']}")
 
 
-def check_scd2(history: DataFrame, contract: TableContract, *, label: str | None = None) -> None:
-    """Required columns on current rows, then at most one current row per key."""
-    label = label or contract.name
-    assert_required(history, contract.stored_required(), label=label, current_only=True)
-    assert_one_current(history, contract.business_keys[0], label=label)
+def audit_report(table: DataFrame, contract: TableContract, *, run_id: str | None = None) -> DataFrame:
+    """Every post-load check of a table from one scan and one key-level
+    aggregation (map-side combine, so a hot key is one row per task).
+
+    SCD2: ``rows``, ``current_rows``, ``bad_keys`` (keys with >1 current
+    row) and, per required column, NULL/blank counts on current rows.
+    Append: ``rows``, ``distinct_keys`` over the history keys and, per
+    required column, NULL/blank counts; optionally scoped to ``run_id``."""
+    req = list(contract.stored_required())
+    t = _scope(table, run_id=run_id)
+    if contract.pattern == "scd2":
+        cur = F.coalesce(F.col(IS_CURRENT), F.lit(False))
+        per_key = t.groupBy(contract.business_keys[0]).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.when(cur, 1).otherwise(0)).alias("c"),
+            *[F.sum(F.when(cur & blank_stored(F.col(c)), 1).otherwise(0)).alias(f"b{i}")
+              for i, c in enumerate(req)])
+        extra = [F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("current_rows"),
+                 F.count(F.when(F.col("c") > 1, 1)).alias("bad_keys")]
+    else:
+        per_key = t.groupBy(*contract.history_keys()).agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(F.when(blank_stored(F.col(c)), 1).otherwise(0)).alias(f"b{i}") for i, c in enumerate(req)])
+        extra = [F.count(F.lit(1)).alias("distinct_keys")]
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"), *extra,
+        *[F.coalesce(F.sum(f"b{i}"), F.lit(0)).cast("long").alias(c) for i, c in enumerate(req)])
+
+
+def _raise_on(report, contract: TableContract, label: str) -> None:
+    for c in contract.stored_required():
+        if report[c]:
+            what = "current rows" if contract.pattern == "scd2" else "rows"
+            raise ValueError(f"{label}: {report[c]} {what} have null/blank {c}")
+    if contract.pattern == "scd2":
+        if report["bad_keys"]:
+            raise ValueError(f"{label}: {report['bad_keys']} {contract.business_keys[0]} values have "
+                             f"multiple current rows")
+    elif report["rows"] != report["distinct_keys"]:
+        raise ValueError(f"{label}: key uniqueness failed keys={list(contract.history_keys())} "
+                         f"total={report['rows']} distinct={report['distinct_keys']}")
+
+
+def check_scd2(history: DataFrame, contract: TableContract, *, label: str | None = None):
+    """Required columns on current rows, then at most one current row per
+    key; one pass. Returns the report row (counts for the run summary)."""
+    report = audit_report(history, contract).first()
+    _raise_on(report, contract, label or contract.name)
+    return report
 
 
 def check_append(table: DataFrame, contract: TableContract, *, label: str | None = None,
-                 run_id: str | None = None) -> None:
+                 run_id: str | None = None):
     """Required ids + raw + tech columns, then unique history keys; whole
-    table unless ``run_id`` scopes it."""
-    label = label or contract.name
-    assert_required(table, contract.stored_required(), label=label, run_id=run_id)
-    assert_unique(table, contract.history_keys(), label=label, run_id=run_id)
+    table unless ``run_id`` scopes it; one pass. Returns the report row."""
+    report = audit_report(table, contract, run_id=run_id).first()
+    _raise_on(report, contract, label or contract.name)
+    return report
 
 
 def dq_metrics(table: DataFrame, contract: TableContract, *, run_id: str | None = None) -> DataFrame:

@@ -77,7 +77,8 @@ def test_stored_runs_publish_and_audit(spark, scratch):
     assert "deals" in store.bootstrap()
     store.assert_tables_exist()
     _, c1 = ingest_run(store, small_inputs(spark, "r1"), run_id="r1", ingested_at=CR.RUNS["r1"], source_system="crm")
-    _, c2 = ingest_run(store, small_inputs(spark, "r2"), run_id="r2", ingested_at=CR.RUNS["r2"], source_system="crm")
+    _, c2 = ingest_run(store, small_inputs(spark, "r2"), run_id="r2", ingested_at=CR.RUNS["r2"], source_system="crm",
+                       audit_scope="run")
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     r2_ids = orders.where(~((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW"))).count()
     assert c2["deals"] == r2_ids
