@@ -749,6 +749,35 @@ def q_scd2_sampled_run(spark, sf):
     return scd2_merge(h1, sample, DEALS, close_missing=False, form=SPLIT).select(*SCD2_OUT)
 
 
+@register("audit_scd2_bundle", _with(*H3) + f"""
+, k AS (
+  SELECT {KEY}, count(*) AS n, count(*) FILTER (WHERE {IS_CURRENT}) AS c,
+""" + ",\n".join(
+    f"  count(*) FILTER (WHERE {IS_CURRENT} AND ({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '')) AS b_{c}"
+    for c in (KEY, VALID_FROM, IS_CURRENT, RUN_ID)) + f"""
+  FROM h3 GROUP BY {KEY})
+SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(c) AS BIGINT) AS current_rows,
+       count(*) FILTER (WHERE c > 1) AS bad_keys, """ + ", ".join(
+    f"CAST(sum(b_{c}) AS BIGINT) AS {c}" for c in (KEY, VALID_FROM, IS_CURRENT, RUN_ID)) + " FROM k")
+def q_audit_scd2_bundle(spark, sf):
+    """V13 in one pass: required columns on current rows + one current per key."""
+    h = deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT)
+    return audits.audit_report(h, DEALS).select("rows", "current_rows", "bad_keys", KEY, VALID_FROM,
+                                                IS_CURRENT, RUN_ID)
+
+
+@register("audit_append_bundle", OWNERS_SQL + f"""
+, k AS (
+  SELECT owner_id, {RUN_ID}, count(*) AS n,
+         count(*) FILTER (WHERE owner_id IS NULL OR trim(owner_id) = '') AS owner_blank
+  FROM own GROUP BY owner_id, {RUN_ID})
+SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, CAST(sum(owner_blank) AS BIGINT) AS owner_id
+FROM k""")
+def q_audit_append_bundle(spark, sf):
+    """V12 in one pass: required ids + unique (key, run) over the whole table."""
+    return audits.audit_report(owner_history(spark, sf), OWNERS).select("rows", "distinct_keys", "owner_id")
+
+
 # ============================================================ 10. pipeline summary
 @register("run_summary", _with(*H2) + f""",
 {OWNERS_SQL.strip()[5:]}
