@@ -27,10 +27,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     CPU-bound per row. A large scan already has more partitions than cores
     and is returned unchanged, so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
 
 
 def read_landing(spark: SparkSession, path: str | Sequence[str], *, whole_file: bool = False) -> DataFrame:
