@@ -41,9 +41,21 @@ MANIFEST_SCHEMA = T.StructType([
 
 @dataclass
 class Store:
+    """``database`` + ``buckets`` (optional, needs a catalog that outlives the
+    session on a cluster): SCD2 tables become catalog tables partitioned like
+    the path layout and bucketed by the business key, so the next run's merge
+    reads the open set as a bucketed scan and only the extract is shuffled."""
     spark: SparkSession
     root: str
     contracts: dict[str, TableContract]
+    database: str | None = None
+    buckets: int | None = None
+
+    def _bucketed(self, name: str) -> bool:
+        return bool(self.database and self.buckets) and self.contracts[name].pattern == SCD2
+
+    def table_name(self, name: str) -> str:
+        return f"{self.database}.{name}"
 
     # ------------------------------------------------------------ paths/manifest
     def path(self, name: str) -> str:
@@ -80,25 +92,39 @@ class Store:
     # ------------------------------------------------------------ bootstrap / existence
     def bootstrap(self, database: str | None = None) -> list[str]:
         """Create the table directories (and, with ``database``, external
-        catalog tables over them) in contract order; existing ones are kept."""
+        catalog tables over them) in contract order; existing ones are kept.
+        In bucketed mode the SCD2 tables are created bucketed by key."""
+        database = database or self.database
+        if database is not None:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.path('_catalog')}'")
         created = []
         for name, c in self.contracts.items():
             if c.pattern == STAGING:
                 continue
             path = self.path(name)
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored_schema(c).fields)
+            parts = ", ".join(self.partition_columns(c))
+            if self._bucketed(name):
+                if not self.spark.catalog.tableExists(self.table_name(name)):
+                    key = c.business_keys[0]
+                    self.spark.sql(
+                        f"CREATE TABLE {self.table_name(name)} ({cols}) USING parquet PARTITIONED BY ({parts}) "
+                        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {self.buckets} BUCKETS "
+                        f"LOCATION '{path}'")
+                    created.append(name)
+                continue
             if not self._exists(path):
                 self.spark.createDataFrame([], self.stored_schema(c)).write.mode("overwrite") \
                     .partitionBy(*self.partition_columns(c)).parquet(path)
                 created.append(name)
             if database is not None:
-                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored_schema(c).fields)
-                parts = ", ".join(self.partition_columns(c))
                 self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name}_store ({cols}) USING parquet "
                                f"PARTITIONED BY ({parts}) LOCATION '{path}'")
         return created
 
     def missing_tables(self) -> list[str]:
-        return [n for n, c in self.contracts.items() if c.pattern != STAGING and not self._exists(self.path(n))]
+        return [n for n, c in self.contracts.items() if c.pattern != STAGING and not (
+            self.spark.catalog.tableExists(self.table_name(n)) if self._bucketed(n) else self._exists(self.path(n)))]
 
     def assert_tables_exist(self) -> None:
         missing = self.missing_tables()
@@ -122,6 +148,8 @@ class Store:
 
     def _raw(self, name: str) -> DataFrame:
         c = self.contracts[name]
+        if self._bucketed(name):
+            return self.spark.table(self.table_name(name))
         return self.spark.read.schema(self.stored_schema(c)).parquet(self.path(name))
 
     # ------------------------------------------------------------ reads
@@ -176,6 +204,13 @@ class Store:
         if c.pattern == SCD2:
             out = out.withColumn(PUBLISHED_RUN, F.lit(run_id))
         out = out.select(*[f.name for f in self.stored_schema(c).fields])
+        if self._bucketed(name):
+            # by position into the bucketed table; dynamic overwrite replaces
+            # this run's partitions only. The merge output is already hash
+            # partitioned on the key with the bucket count, so each task
+            # writes one bucket file per partition (no extra shuffle).
+            out.write.option("partitionOverwriteMode", "dynamic").insertInto(self.table_name(name), overwrite=True)
+            return
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_columns(c)).parquet(self.path(name)))
 
@@ -193,6 +228,9 @@ class Store:
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         deleted = []
         for r in runs[:-keep] if keep > 0 else runs:
+            if self._bucketed(name):
+                self.spark.sql(f"ALTER TABLE {self.table_name(name)} DROP IF EXISTS "
+                               f"PARTITION ({PUBLISHED_RUN}='{r}', {IS_CURRENT}=true)")
             p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{PUBLISHED_RUN}={r}/{IS_CURRENT}=true")
             fs = p.getFileSystem(conf)
             if fs.exists(p):
