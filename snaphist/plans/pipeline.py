@@ -22,7 +22,7 @@ from ..operators.flatten import (
 )
 from ..operators.history import append_history
 from ..operators.scd2 import SPLIT, scd2_merge
-from ..sources.landing import sample_first, scope_to_ids
+from ..sources.landing import sample_first, scope_results_to_ids
 from . import carriers as C
 
 
@@ -55,12 +55,11 @@ def map_run(inputs: RunInputs, contracts: dict[str, TableContract], *, run_id: s
             inputs.pipelines, contracts["deal_pipeline_stages"], **stamp)
     for name, results in inputs.associations.items():
         c = contracts[name]
-        rows = associations_to_rows(results, c, **stamp)
         source = c.extra.get("from_object")
-        if source in out:  # only ids extracted in this run
+        if source in out:  # only results for ids extracted in this run
             ids = out[source].select(F.col(contracts[source].business_keys[0]).alias("id"))
-            rows = scope_to_ids(rows, ids, edge_col=c.from_id)
-        out[name] = rows
+            results = scope_results_to_ids(results, ids)
+        out[name] = associations_to_rows(results, c, **stamp)
     return out
 
 

@@ -25,7 +25,7 @@ from ..operators.flatten import (
 )
 from ..operators.history import append_history, rows_per_run
 from ..operators.scd2 import GENERAL, SPLIT, change_summary, run_table, scd2_merge, scd2_replay
-from ..sources.landing import envelope_results, project_properties, sample_first, scope_to_ids
+from ..sources.landing import envelope_results, project_properties, sample_first, scope_results_to_ids
 from . import carriers as C
 from .pipeline import run_summary_frame
 
@@ -666,7 +666,9 @@ SELECT {EDGE_SEL} FROM edges
 WHERE deal_id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM o WHERE NOT deleted)""")
 def q_assoc_scope_semi(spark, sf):
     ids = deal_rows(spark, sf, "r2").select(F.col(KEY).alias("id"))
-    return scope_to_ids(edge_rows(spark, sf), ids, edge_col=EDGES.from_id).select(*EDGE_OUT)
+    results = scope_results_to_ids(C.lineitem_assoc_docs(spark, sf), ids)
+    return associations_to_rows(results, EDGES, run_id="r1", ingested_at=C.RUNS["r1"],
+                                source_system=C.SOURCE).select(*EDGE_OUT)
 
 
 @register("sample_first_n", _with(ORDERS_BASE, _order_run_sql("r3")) + f"""

@@ -75,6 +75,18 @@ def scope_to_ids(edges: DataFrame, ids: DataFrame, edge_col: str = "from_id", id
     return edges.join(ids.select(F.col(id_col).alias(edge_col)), edge_col, "left_semi")
 
 
+def scope_results_to_ids(results: DataFrame, ids: DataFrame, *, doc_col: str = DOC,
+                         id_col: str = "id") -> DataFrame:
+    """Keep association batch results whose ``from.id`` was extracted in this
+    run, before they are flattened: the semi join then moves one document per
+    result instead of one row per edge and type, and a sampled run parses only
+    its own results. (Catalyst does not push a semi join below a generator.)"""
+    frm = F.coalesce(jpath(jpath(F.col(doc_col), "$.from"), "$.id"), F.lit(""))
+    keyed = results.withColumn("__from_id", frm)
+    return scope_to_ids(keyed, ids.select(F.col(id_col).alias("id")).distinct(),
+                        edge_col="__from_id").drop("__from_id")
+
+
 def sample_first(rows: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """Deterministic sample: first ``n`` rows by ``order_by`` (top-k per
     partition, then one bounded merge)."""
