@@ -20,12 +20,13 @@ the open rows and the extract, never to the whole history.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from ..contracts import IS_CURRENT, RUN_ID, SCD2, STAGING, TableContract, staging_name
 
 PUBLISHED_RUN = "_published_run"
@@ -36,7 +37,10 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("ingested_at", T.TimestampType()),
     T.StructField("rows_written", T.LongType()),
+    T.StructField("kind", T.StringType()),         # "run" (NULL in older manifests) or "compaction"
+    T.StructField("covers_seq", T.LongType()),     # compaction: last run seq it replaces
 ])
+RUN, COMPACTION = "run", "compaction"
 
 
 @dataclass
@@ -76,16 +80,34 @@ class Store:
     def committed(self, name: str) -> list[tuple[str, int]]:
         """``(run_id, seq)`` of the committed runs of a table, oldest first.
         Run metadata only: one row per run."""
-        rows = (self.manifest().where(F.col("table_name") == name)
+        rows = (self.manifest().where((F.col("table_name") == name)
+                                      & (F.coalesce(F.col("kind"), F.lit(RUN)) == RUN))
                 .select("run_id", "seq").orderBy("seq").collect())
         return [(r["run_id"], r["seq"]) for r in rows]
 
+    def compaction(self, name: str) -> tuple[str, int] | None:
+        """``(partition id, last covered run seq)`` of the table's latest
+        committed closed-history compaction, if any."""
+        rows = (self.manifest().where((F.col("table_name") == name) & (F.col("kind") == COMPACTION))
+                .orderBy(F.col("seq").desc()).select("run_id", "covers_seq").limit(1).collect())
+        return (rows[0]["run_id"], rows[0]["covers_seq"]) if rows else None
+
+    def _closed_sources(self, name: str) -> list[str]:
+        """``_published_run`` values holding the committed closed history:
+        the latest compaction plus every run after it."""
+        comp = self.compaction(name)
+        runs = self.committed(name)
+        if comp is None:
+            return [r for r, _ in runs]
+        return [comp[0]] + [r for r, sq in runs if sq > comp[1]]
+
     def next_seq(self) -> int:
         m = self.manifest().agg(F.max("seq")).first()[0]
         return 1 if m is None else m + 1
 
-    def commit(self, name: str, run_id: str, seq: int, ingested_at, rows_written: int) -> None:
-        row = [(name, run_id, seq, _as_dt(ingested_at), rows_written)]
+    def commit(self, name: str, run_id: str, seq: int, ingested_at, rows_written: int, *,
+               kind: str = RUN, covers_seq: int | None = None) -> None:
+        row = [(name, run_id, seq, _as_dt(ingested_at), rows_written, kind, covers_seq)]
         self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
             self.path(MANIFEST))
 
@@ -160,7 +182,7 @@ class Store:
         runs = [r for r, _ in self.committed(name)]
         if c.pattern == SCD2:
             latest = pending or (runs[-1] if runs else None)
-            closed_runs = runs + ([pending] if pending else [])
+            closed_runs = self._closed_sources(name) + ([pending] if pending else [])
             keep = ((~F.col(IS_CURRENT) & F.col(PUBLISHED_RUN).isin(closed_runs))
                     | (F.col(IS_CURRENT) & (F.col(PUBLISHED_RUN) == F.lit(latest))))
         else:
@@ -203,7 +225,10 @@ class Store:
         out = rows.select(*c.columns)
         if c.pattern == SCD2:
             out = out.withColumn(PUBLISHED_RUN, F.lit(run_id))
-        out = out.select(*[f.name for f in self.stored_schema(c).fields])
+        self._write(name, out.select(*[f.name for f in self.stored_schema(c).fields]))
+
+    def _write(self, name: str, out: DataFrame) -> None:
+        c = self.contracts[name]
         if self._bucketed(name):
             # by position into the bucketed table; dynamic overwrite replaces
             # this run's partitions only. The merge output is already hash
@@ -214,29 +239,57 @@ class Store:
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_columns(c)).parquet(self.path(name)))
 
+    def _delete_partition(self, name: str, run: str, current: bool) -> str | None:
+        if self._bucketed(name):
+            self.spark.sql(f"ALTER TABLE {self.table_name(name)} DROP IF EXISTS "
+                           f"PARTITION ({PUBLISHED_RUN}='{run}', {IS_CURRENT}={str(current).lower()})")
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{PUBLISHED_RUN}={run}/{IS_CURRENT}={str(current).lower()}")
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            fs.delete(p, True)
+            return str(p)
+        return None
+
+    def compact_closed(self, name: str, *, now: datetime | str | None = None) -> str | None:
+        """Rewrite the committed closed history of an SCD2 table (the latest
+        compaction plus every run since) into one partition, commit it, then
+        delete the partitions it replaces. Bounds the number of closed-history
+        directories and small files independently of the run count; reads
+        return the same rows before and after. Returns the new partition id,
+        or None when there is nothing new to compact."""
+        c = self.contracts[name]
+        runs = self.committed(name)
+        comp = self.compaction(name)
+        if c.pattern != SCD2 or not runs or (comp and comp[1] >= runs[-1][1]):
+            return None
+        sources = self._closed_sources(name)
+        covers = runs[-1][1]
+        new_id = f"compacted-{covers}"
+        closed = self._raw(name).where(~F.col(IS_CURRENT) & F.col(PUBLISHED_RUN).isin(sources))
+        # materialise first (shared checkpoint dir): the write replaces
+        # partitions of the same table the rows are read from
+        ensure_checkpoint_dir(self.spark)
+        staged = closed.withColumn(PUBLISHED_RUN, F.lit(new_id)).checkpoint()
+        self._write(name, staged.select(*[f.name for f in self.stored_schema(c).fields]))
+        written = self._raw(name).where((F.col(PUBLISHED_RUN) == new_id) & ~F.col(IS_CURRENT)).count()
+        self.commit(name, new_id, self.next_seq(), now or datetime.now(timezone.utc), written,
+                    kind=COMPACTION, covers_seq=covers)
+        for src in sources:
+            self._delete_partition(name, src, False)
+        return new_id
+
     def drop_superseded(self, name: str, *, keep: int = 2) -> list[str]:
         """Delete the open-row partitions of SCD2 runs older than the last
         ``keep`` committed runs. They are superseded by later open sets and
         never read; closed history is not touched. Keeps storage at
         O(history + keep x open rows) instead of growing by the open set per
         run. Returns the deleted paths."""
-        c = self.contracts[name]
-        if c.pattern != SCD2:
+        if self.contracts[name].pattern != SCD2:
             return []
         runs = [r for r, _ in self.committed(name)]
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        deleted = []
-        for r in runs[:-keep] if keep > 0 else runs:
-            if self._bucketed(name):
-                self.spark.sql(f"ALTER TABLE {self.table_name(name)} DROP IF EXISTS "
-                               f"PARTITION ({PUBLISHED_RUN}='{r}', {IS_CURRENT}=true)")
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{PUBLISHED_RUN}={r}/{IS_CURRENT}=true")
-            fs = p.getFileSystem(conf)
-            if fs.exists(p):
-                fs.delete(p, True)
-                deleted.append(str(p))
-        return deleted
+        deleted = [self._delete_partition(name, r, True) for r in (runs[:-keep] if keep > 0 else runs)]
+        return [d for d in deleted if d]
 
     def written(self, name: str, run_id: str) -> DataFrame:
         """Rows written by ``run_id`` (for audits before commit)."""

@@ -45,3 +45,22 @@ def test_bucketed_store_equals_path_store(spark, scratch):
     before = rows(bucketed, "deals")
     assert len(bucketed.drop_superseded("deals", keep=1)) == 2
     assert rows(bucketed, "deals") == before
+
+
+def test_compaction_keeps_reads_in_both_modes(spark, scratch):
+    plain = Store(spark, f"{scratch}/ref", C)
+    stores = [Store(spark, f"{scratch}/cp", C), Store(spark, f"{scratch}/cb", C, database="bz_cmp", buckets=4)]
+    for s in [plain] + stores:
+        s.bootstrap()
+    for i, run in enumerate(("r1", "r2", "r3")):
+        for s in [plain] + stores:
+            ingest_run(s, inputs(spark, run), run_id=run, ingested_at=CR.RUNS[run], source_system="crm")
+        for s in stores:
+            if i >= 1:
+                assert s.compact_closed("deals") == f"compacted-{s.committed('deals')[-1][1]}"
+                assert s.compact_closed("deals") is None          # nothing new to compact
+            assert rows(s, "deals") == rows(plain, "deals")
+    for s in stores:
+        # one closed-history directory left: the latest compaction
+        closed = s._raw("deals").where("NOT _is_current").select("_published_run").distinct().collect()
+        assert [r[0] for r in closed] == [s.compaction("deals")[0]]
