@@ -1,6 +1,6 @@
 """JSON-text helpers. Nested documents stay text; fields are pulled lazily
 with ``get_json_object`` (keeps source key order and values, compacts
-whitespace), arrays are split into element texts with ``from_json``."""
+whitespace); ``parse_fields`` reads several top-level fields in one parse."""
 
 from __future__ import annotations
 
@@ -12,18 +12,6 @@ def jpath(doc: Column, path: str) -> Column:
     return F.get_json_object(doc, path)
 
 
-def jpath_or(doc: Column, path: str, default: str) -> Column:
-    """Field text, or ``default`` when absent/NULL; an empty object/array
-    serialises to the same text as the default would."""
-    return F.coalesce(F.get_json_object(doc, path), F.lit(default))
-
-
-def json_items(doc: Column, path: str) -> Column:
-    """JSON array at ``path`` as ``array<string>`` of element texts; NULL
-    when absent or JSON null (so ``explode`` yields no rows)."""
-    return F.from_json(F.get_json_object(doc, path), "array<string>")
-
-
 def parse_fields(doc: Column, fields: dict[str, str]) -> Column:
     """Parse a JSON object once into a struct of the named top-level fields.
 

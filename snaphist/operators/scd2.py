@@ -23,12 +23,10 @@ Two plans compute it:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..contracts import INGESTED_AT, IS_CURRENT, RUN_ID, VALID_FROM, VALID_TO, TableContract
+from ..contracts import IS_CURRENT, VALID_FROM, VALID_TO, TableContract
 from ..functions.predicates import change_signature
 
 GENERAL = "general"
@@ -207,8 +205,3 @@ def run_table(snapshots: DataFrame, run_ids: DataFrame, *, run_seq: str = "run_s
 def open_versions(history: DataFrame) -> DataFrame:
     return history.where(F.col(IS_CURRENT))
 
-
-__all__ = [
-    "GENERAL", "SPLIT", "scd2_merge", "merge_general", "merge_split", "scd2_merge_open",
-    "change_summary", "scd2_replay", "run_table", "open_versions", "INGESTED_AT", "RUN_ID",
-]

@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from snaphist.contracts import crm_contracts
 from snaphist.operators.flatten import (
     associations_to_rows, objects_to_rows, owners_to_rows, pipelines_to_stage_rows,

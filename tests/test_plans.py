@@ -4,13 +4,10 @@ import contextlib
 import io
 import re
 
-from pyspark.sql import functions as F
-
 from conftest import SF_SMALL
 from snaphist.contracts import crm_contracts
 from snaphist.operators import audits, gates
 from snaphist.operators.scd2 import SPLIT, scd2_merge
-from snaphist.plans import carriers as CR
 from snaphist.plans.queries import deal_rows, edge_rows
 
 C = crm_contracts("source")
