@@ -36,8 +36,15 @@ def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: dat
     store.assert_tables_exist()
     contracts = store.contracts
     close_missing = sample_limit is None
-    mapped = map_run(inputs, contracts, run_id=run_id, ingested_at=ingested_at,
-                     source_system=source_system, sample_limit=sample_limit)
+    stamp = dict(run_id=run_id, ingested_at=ingested_at, source_system=source_system,
+                 sample_limit=sample_limit)
+    # entities first: their staging tables are written (K3) and read back, and
+    # the associations are scoped to the ids in them (no second JSON parse)
+    staged = {n: store.load_staging(n, rows)
+              for n, rows in map_run(RunInputs(entities=inputs.entities), contracts, **stamp).items()}
+    ids = {n: df.select(F.col(contracts[n].business_keys[0]).alias("id")) for n, df in staged.items()}
+    rest = RunInputs(owners=inputs.owners, pipelines=inputs.pipelines, associations=inputs.associations)
+    mapped = {**staged, **map_run(rest, contracts, entity_ids=ids, **stamp)}
     seq = store.next_seq()
     counts: dict[str, int] = {}
     for name, rows in mapped.items():
@@ -45,8 +52,6 @@ def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: dat
         scd2 = c.pattern == SCD2
         if skip_committed and any(r == run_id for r, _ in store.committed(name)):
             continue
-        if scd2:
-            rows = store.load_staging(name, rows)
         gates.validate(rows, c, label=name, source_system=source_system, scd2=scd2)
         if scd2:
             new_rows = scd2_merge_open(store.read_open(name), rows, c, close_missing=close_missing)

@@ -37,8 +37,13 @@ class RunInputs:
 
 def map_run(inputs: RunInputs, contracts: dict[str, TableContract], *, run_id: str,
             ingested_at: datetime | str, source_system: str,
-            sample_limit: int | None = None) -> dict[str, DataFrame]:
+            sample_limit: int | None = None,
+            entity_ids: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """``entity_ids``: per entity table, the ids this run extracted (column
+    ``id``), e.g. read from its written staging table; by default they are
+    taken from the entity rows mapped here."""
     stamp = dict(run_id=run_id, ingested_at=ingested_at, source_system=source_system)
+    entity_ids = entity_ids or {}
     out: dict[str, DataFrame] = {}
     for name, docs in inputs.entities.items():
         rows = objects_to_rows(docs, contracts[name], **stamp)
@@ -56,7 +61,9 @@ def map_run(inputs: RunInputs, contracts: dict[str, TableContract], *, run_id: s
     for name, results in inputs.associations.items():
         c = contracts[name]
         source = c.extra.get("from_object")
-        if source in out:  # only results for ids extracted in this run
+        if source in entity_ids:  # only results for ids extracted in this run
+            results = scope_results_to_ids(results, entity_ids[source])
+        elif source in out:
             ids = out[source].select(F.col(contracts[source].business_keys[0]).alias("id"))
             results = scope_results_to_ids(results, ids)
         out[name] = associations_to_rows(results, c, **stamp)

@@ -122,3 +122,22 @@ def test_sampled_run_audit(spark, scratch):
     assert counts["deals"] == 25 and 0 < counts["owners"] <= 25
     with pytest.raises(ValueError, match="committed no tables"):
         audit_run(Store(spark, f"{scratch}/empty", C), "s1", sample_limit=25)
+
+
+def test_ingest_scopes_associations_to_extracted_ids(spark, scratch):
+    import json
+    docs = lambda objs: spark.createDataFrame([(json.dumps(o),) for o in objs], "doc string")
+    deals = docs([{"id": 1, "properties": {"dealname": "a"}}, {"id": 2, "properties": {"dealname": "b"}}])
+    edges = docs([{"from": {"id": 1}, "to": [{"toObjectId": 10, "associationTypes": [
+                      {"category": "X", "typeId": 3, "label": "l"}]}]},
+                  {"from": {"id": 2}, "to": [{"toObjectId": 11}]},
+                  {"from": {"id": 3}, "to": [{"toObjectId": 12}]}])          # 3 was not extracted
+    store = Store(spark, f"{scratch}/bronze", C)
+    store.bootstrap()
+    _, counts = ingest_run(store, RunInputs(entities={"deals": deals},
+                                            associations={"deal_company_associations": edges}),
+                           run_id="r1", ingested_at="2024-01-01 00:00:00", source_system="crm")
+    got = sorted((r.deal_id, r.company_id, r.association_type_id)
+                 for r in store.read("deal_company_associations").collect())
+    assert got == [("1", "10", 3), ("2", "11", None)]
+    assert counts == {"deals": 2, "deal_company_associations": 2}
