@@ -68,7 +68,10 @@ def merge_general(target: DataFrame, staging: DataFrame, contract: TableContract
         for c in cols])
     # keys whose open row survives: derived from the same key-partitioned join
     # output, so no further exchange; inserts are staging rows of other keys
-    blocked = j.where(matched & ~changed).select(*keys).distinct()
+    # (wrapped in coalesce so the optimizer keeps it a residual condition:
+    # lifted into join keys as sig = __lo it would repartition on the
+    # signature and lose the reuse of the exchanges above)
+    blocked = j.where(F.coalesce(matched & ~changed, F.lit(False))).select(*keys).distinct()
     inserts = staging.join(blocked, keys, "left_anti").select(*cols)
     return history.unionByName(closed).unionByName(inserts)
 
