@@ -62,3 +62,14 @@ def test_gate_and_audit_aggregate_once_with_map_side_combine(spark, scratch):
     a = plan(audits.audit_report(staging, DEALS))
     assert hash_exchanges(a) == 1
     assert re.search(r"partial_count", a)                 # combined before the shuffle
+
+
+def test_general_merge_partitions_only_on_the_key(spark, scratch):
+    from snaphist.operators.scd2 import GENERAL
+    h1 = stored(spark, scratch, scd2_merge(spark.createDataFrame([], DEALS.schema),
+                                           deal_rows(spark, SF_SMALL, "r1"), DEALS), "g1")
+    staging = stored(spark, scratch, deal_rows(spark, SF_SMALL, "r2"), "gstg")
+    text = plan(scd2_merge(h1, staging, DEALS, form=GENERAL))
+    keys = re.findall(r"Arguments: hashpartitioning\(([a-z_]+)#", text)
+    assert len(keys) == hash_exchanges(text) == 5
+    assert set(keys) == {"source_id"}
