@@ -31,10 +31,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_block(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, text and block; the text takes part in the choice of the block,
+def with_block(docs: DataFrame, n: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, ``keep`` and block; the text takes part in the choice of the block,
     so rows without an id don't all meet in one."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       *[F.col(c) for c in keep]) \
         .withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
 
 

@@ -40,7 +40,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     size = 1
     while size < n:  # base^(size+i) = base^size * base^i
         more = min(size, n - size)
-        step = out[size - 1] * base
+        step = U64(int(out[size - 1]) * int(base) % (1 << 64))
         out[size:size + more] = out[:more] * step
         size += more
     return out
