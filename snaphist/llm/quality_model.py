@@ -4,7 +4,9 @@ Random indexing: every character trigram (hashed to ``BUCKETS``) has a sparse
 random ternary index vector. A trigram's context vector is the sum of the
 index vectors of the trigrams near it in the sample, which reach into the
 neighbouring words; a word's vector is the sum over its trigrams, and a
-document pools its words' vectors (as a mean, over all of its text). A
+document pools its words' vectors (as a mean, over all of its text). Pairs of
+words one, and two to five, apart are pooled as well, by the product of their
+own index vectors, which is 1 for equal words and taken as 0 otherwise. A
 two-layer network in numpy turns pooled vectors into a probability, and one
 temperature, fitted on rows the network was not trained on, calibrates it.
 
@@ -24,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaphist.llm.tokens import Texts
+from snaphist.llm.tokens import Texts, words
 
 BUCKETS, DIM, HIDDEN = 2048, 64, 32
+LAGS = ((1,), (2, 3, 4, 5))
 NEAR = 6  # bytes to the right in which trigrams are each other's context
 SAMPLE = 6_000
 THRESHOLD = 0.3
@@ -72,10 +75,22 @@ def near_counts(t: Texts) -> np.ndarray:
     return m + m.T
 
 
-def pool(h: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Mean word vector; shares are damped so that a few frequent trigrams
-    don't hide the rare ones that mark bad text."""
-    return np.sqrt(h) @ context
+def agreement(t: Texts) -> np.ndarray:
+    """Mean product of the index vectors of words some places apart."""
+    w = words(t)
+    doc, out = w.doc(), np.zeros((len(t), len(LAGS)), np.float32)
+    for k, lags in enumerate(LAGS):
+        for d in lags:
+            same = doc[:-d] == doc[d:]
+            equal = same & (w.hash[:-d] == w.hash[d:])
+            out[:, k] += np.bincount(doc[d:], weights=equal, minlength=len(t)) / np.maximum(np.bincount(doc[d:], weights=same, minlength=len(t)), 1)
+    return out
+
+
+def pool(t: Texts, context: np.ndarray) -> np.ndarray:
+    """Mean word vector, and agreement; shares are damped so that a few
+    frequent trigrams don't hide the rare ones that mark bad text."""
+    return np.concatenate([np.sqrt(histogram(t)) @ context, agreement(t)], axis=1)
 
 
 def learn_context(sample: DataFrame, parts: int = 8) -> np.ndarray:
@@ -111,7 +126,7 @@ def vectors(docs: DataFrame, context: np.ndarray, *keep: str) -> DataFrame:
         for b in batches:
             t = Texts.of(b.column("text"))
             for lo, hi in t.parts(1 << 18):
-                v = pool(histogram(Texts(t.buf[t.off[lo]:t.off[hi]], t.off[lo:hi + 1] - t.off[lo])), context)
+                v = pool(t.part(lo, hi), context)
                 yield pa.RecordBatch.from_arrays([*[b.column(c).slice(lo, hi - lo) for c in keep], pa.array(list(v), pa.list_(pa.float32()))], names=[*keep, "v"])
 
     return docs.select(*keep, "text").mapInArrow(run, f"{schema}, v array<float>")
@@ -123,7 +138,7 @@ def train(v: np.ndarray, y: np.ndarray, seed: int = 3) -> dict:
     x = (v - mean) / sd
     held = np.arange(len(y)) % 5 == 4
     rng = np.random.default_rng(seed)
-    p = {"w1": rng.normal(0, DIM ** -0.5, (DIM, HIDDEN)), "b1": np.zeros(HIDDEN), "w2": rng.normal(0, HIDDEN ** -0.5, HIDDEN), "b2": np.zeros(1)}
+    p = {"w1": rng.normal(0, DIM ** -0.5, (v.shape[1], HIDDEN)), "b1": np.zeros(HIDDEN), "w2": rng.normal(0, HIDDEN ** -0.5, HIDDEN), "b2": np.zeros(1)}
     m1, m2, step = {k: 0 * q for k, q in p.items()}, {k: 0 * q for k, q in p.items()}, 0
     xt, yt = x[~held], y[~held]
     for epoch in range(EPOCHS):
@@ -174,7 +189,7 @@ def score(docs: DataFrame, model: dict, *keep: str) -> DataFrame:
                 if "constant" in model:
                     s = np.full(hi - lo, model["constant"])
                 else:
-                    v = pool(histogram(Texts(t.buf[t.off[lo]:t.off[hi]], t.off[lo:hi + 1] - t.off[lo])), model["context"])
+                    v = pool(t.part(lo, hi), model["context"])
                     s = 1 / (1 + np.exp(-np.clip(logits(model, v) / model["t"], -30, 30)))
                 yield pa.RecordBatch.from_arrays([*[b.column(c).slice(lo, hi - lo) for c in keep], pa.array(np.asarray(s, np.float64))], names=names)
 

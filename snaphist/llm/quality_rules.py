@@ -98,7 +98,7 @@ def text_counts(docs: DataFrame, *keep: str) -> DataFrame:
         for b in batches:
             t = Texts.of(b.column("text"))
             for lo, hi in t.parts(1 << 20):
-                got = count_texts(Texts(t.buf[t.off[lo]:t.off[hi]], t.off[lo:hi + 1] - t.off[lo]))
+                got = count_texts(t.part(lo, hi))
                 cols = [b.column(c).slice(lo, hi - lo) for c in keep]
                 yield pa.RecordBatch.from_arrays([*cols, *[pa.array(x.astype(np.int64)) for x in got]], names=[*keep, *[c.split()[0] for c in COUNTS.split(", ")]])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import mixing, quality_rules
+from snaphist.llm import decontaminate, html_extract, language_id, mixing, quality_model, quality_rules, substring_dedup
 from snaphist.llm.ship import ship
 
 
@@ -16,17 +16,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n: int):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_model.fit(docs, labels.where(fold(5) != 0))
+    return quality_model.score(docs, model, "doc_id").select(
+        "doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(fold(3) != 1))
+    return language_id.identify(docs, model).select("doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_mix_sources": op3_mix_sources,
-    "op9_quality_rules": op9_quality_rules,
+    f.__name__: f for f in (op1_substring_dedup, op3_mix_sources, op6_benchmark_decontamination, op7_quality_classifier,
+                            op8_html_extraction, op9_quality_rules, op10_language_id)
 }
 SQL: dict[str, str] = {"op3_mix_sources": mixing.MIX_SQL}

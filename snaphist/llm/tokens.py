@@ -85,6 +85,9 @@ class Texts:
     def __len__(self) -> int:
         return self.off.size - 1
 
+    def part(self, a: int, b: int) -> "Texts":
+        return Texts(self.buf[self.off[a]:self.off[b]], self.off[a:b + 1] - self.off[a])
+
     def parts(self, size: int = STEP):
         """(first document, last document) ranges of about ``size`` bytes."""
         at, n = 0, len(self)
