@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import decontaminate, html_extract, language_id, mixing, quality_model, quality_rules, substring_dedup
+from snaphist.llm import decontaminate, html_extract, language_id, mixing, ngram_join, quality_model, quality_rules, substring_dedup, suffix_dedup
 from snaphist.llm.ship import ship
 
 
@@ -26,10 +26,19 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -57,7 +66,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op3_mix_sources, op6_benchmark_decontamination, op7_quality_classifier,
+    f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard_join, op3_mix_sources, op5_suffix_array_dedup, op6_benchmark_decontamination, op7_quality_classifier,
                             op8_html_extraction, op9_quality_rules, op10_language_id)
 }
 SQL: dict[str, str] = {"op3_mix_sources": mixing.MIX_SQL}
