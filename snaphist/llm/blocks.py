@@ -13,22 +13,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 8 << 20
 
 
 def block_count(docs: DataFrame, column: str = "text", block_bytes: int = BLOCK_BYTES) -> int:
-    """Blocks of about ``block_bytes`` of text, and enough of them for the
-    cluster's shuffle partitions. Reads one column once."""
-    spark = docs.sparkSession
+    """Blocks of about ``block_bytes`` of text, and at least two per core, so
+    a small table is spread as well. Reads one column once."""
     total = docs.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0
-    return int(max(-(-total // block_bytes), 2 * shuffle_partitions(spark)))
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(max(-(-total // block_bytes), 2 * docs.sparkSession.sparkContext.defaultParallelism))
 
 
 def with_block(docs: DataFrame, n: int, keep: tuple[str, ...] = ()) -> DataFrame:
