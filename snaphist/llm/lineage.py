@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from snaphist.session import ensure_checkpoint_dir
 
+BROADCAST_ROWS = 500_000  # of a few numbers each
+
 
 def cut(df: DataFrame) -> DataFrame:
     """``df``, computed once and kept in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` (narrow rows, cheap to count), marked for broadcast if it is
+    within ``BROADCAST_ROWS``; beyond that a join shuffles it."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df

@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from snaphist.llm.lineage import broadcast_if_small
 from snaphist.llm.lineage import cut as cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -80,6 +81,7 @@ def mix_sources(docs: DataFrame, *, max_epochs: int = 3, seed: str = "mix-1", ke
     plan = slices.join(targets, slices.source.eqNullSafe(targets.source)) \
         .select(slices.source.alias("p_source"), F.col("slice").alias("p_slice"), "source_size", "target", "whole",
                 (F.col("extra") - F.col("before")).alias("left"), "slice_size")
+    plan = broadcast_if_small(plan)
     rows = sized.join(plan, sized.source.eqNullSafe(plan.p_source) & (F.col("slice") == F.col("p_slice")))
     cut = (F.col("left") > 0) & (F.col("left") < F.col("slice_size"))
     seen = Window.partitionBy("source").orderBy("ord", "doc_id").rowsBetween(Window.unboundedPreceding, -1)

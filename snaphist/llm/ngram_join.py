@@ -25,8 +25,8 @@ size), 48 for a shingle within one comparison.
 
 Defined results: a text of fewer than four words has its whole word sequence
 as its only shingle; texts without words (or NULL) have none and stand alone;
-rows with equal ids are separate documents; a NULL id is never a component's
-name unless it stands alone; an empty table gives an empty result.
+rows with equal ids and different texts are separate documents; a component is
+named NULL only if none of its documents has an id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,15 +38,15 @@ from pyspark.sql import functions as F
 
 from snaphist.llm.blocks import block_count, by_bucket, runs
 from snaphist.llm.components import components
-from snaphist.llm.lineage import cut
+from snaphist.llm.lineage import broadcast_if_small, cut
 from snaphist.llm.tokens import Texts, grams, mix, planes, unplanes, words
 
 SHINGLE, PERCENT = 4, 85
 SKETCH_BITS = 16
 SIGNATURE = 2048  # bits
 LEAF, FAN = 8, 8
-BROADCAST_ROWS = 500_000  # of (long, long, long); beyond it the join shuffles
 U64 = np.uint64
+NO_ID = 2**63 - 1  # stands for NULL in the order of ids
 
 
 def shingle_sets(t: Texts, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -219,8 +219,7 @@ def fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFr
     """(key, n, sig, tokens) of the classes in ``wanted`` (key, n)."""
     ids = cut(classes.join(wanted.select(F.col("key").alias("x_key"), F.col("n").alias("x_n")).distinct(), (F.col("key") == F.col("x_key")) & (F.col("n") == F.col("x_n")), "left_semi")
               .select(F.col("rep.doc_id").alias("w_id"), F.col("rep.th").alias("w_th"), F.col("key").alias("w_key"), F.col("n").alias("w_n")))
-    if ids.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
+    ids = broadcast_if_small(ids)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(ids, (F.xxhash64("text") == F.col("w_th")) & F.col("doc_id").eqNullSafe(F.col("w_id"))).select("text", "w_key", "w_n")
     return cut(rows.mapInArrow(_sets, "key long, n long, sig binary, tokens binary"))
@@ -327,10 +326,12 @@ def _tree_pairs(percent: int):
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+    """doc_id, n_shingles, component_id, th (hash of the text) and stays (this
+    is its component's first document) of every document. Rows that are equal
+    in id and text are one document."""
     described = cut(describe(docs))
     rows = described.where("n >= 0").select("doc_id", "th", "n", "key")
-    smallest = F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).alias("o"), "doc_id", "th")).alias("rep")
+    smallest = F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("o"), "doc_id", "th")).alias("rep")
     classes = cut(rows.where("n > 0").groupBy("key", "n").agg(smallest))
     buckets = block_count(docs)
     packed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_prefixes(frequent_slots(described), buckets, percent), "bucket int, n int, tok binary, key binary, num binary")
@@ -347,19 +348,24 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     more = open_groups.join(several, "grp", "left_semi").select("grp", "key", "n", "comp", "sig") \
         .groupBy("grp").applyInArrow(_tree_pairs(percent), "a long, a_n long, b long, b_n long").distinct().join(pairs, ["a", "a_n", "b", "b_n"], "left_anti")
     final = label(links.unionByName(cut(verify(more, sets, percent))), classes)
-    named = classes.join(final.select("key", "n", "component"), ["key", "n"], "left").select("key", "n", F.coalesce("component", F.col("rep.doc_id")).alias("component_id"))
-    linked = rows.where("n > 0").join(named, ["key", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return linked.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    best = final.select("key", "n", F.struct("o", "th").alias("best"))
+    named = classes.join(best, ["key", "n"], "left").select("key", "n", F.coalesce("best", F.struct("rep.o", "rep.th")).alias("best"))
+    own = F.struct(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("o"), "th")
+    linked = rows.where("n > 0").join(named, ["key", "n"]).select("doc_id", F.col("n").alias("n_shingles"), _id("best.o").alias("component_id"), "th", (own == F.col("best")).alias("stays"))
+    return linked.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "th", F.lit(True).alias("stays")))
+
+
+def _id(column: str):
+    return F.when(F.col(column) < NO_ID, F.col(column))
 
 
 def label(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, n, component, mark) of each linked class: the smallest id of its
-    component, and a hash that names it."""
+    """(key, n, o, th, mark) of each linked class: id and text hash of the first
+    document of its component, and a hash that names it."""
     ids = classes.select("key", "n", F.col("rep.o").alias("o"), F.col("rep.th").alias("th"))
     # ids order the nodes; text hashes tell classes without an id apart
     node = F.struct("o", "th", "n", "key")
     end = lambda c, out: links.join(ids.withColumn(out, node).select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), out), [c, f"{c}_n"])
     edges = end("a", "u").join(ids.withColumn("v", node).select(F.col("key").alias("b"), F.col("n").alias("b_n"), "v"), ["b", "b_n"]).select("u", "v")
     found = components(edges)
-    return found.select(F.col("node.key").alias("key"), F.col("node.n").alias("n"), F.when(F.col("component.o") < 2**63 - 1, F.col("component.o")).alias("component"),
-                        F.xxhash64("component.key", "component.n").alias("mark"))
+    return found.select("node.key", "node.n", "component.o", "component.th", F.xxhash64("component.key", "component.n").alias("mark"))

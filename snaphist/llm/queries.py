@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import decontaminate, html_extract, language_id, mixing, ngram_join, quality_model, quality_rules, substring_dedup, suffix_dedup
+from snaphist.llm import class_model, decontaminate, html_extract, language_id, mixing, ngram_join, quality_model, quality_rules, substring_dedup, suffix_dedup
 from snaphist.llm.ship import ship
 
 
@@ -27,13 +27,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_class_model_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_model.score_texts(table(spark, sf_dir, "documents"), fold(5) != 1)
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents")) \
         .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -66,7 +70,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard_join, op3_mix_sources, op5_suffix_array_dedup, op6_benchmark_decontamination, op7_quality_classifier,
+    f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard_join, op3_mix_sources, op4_class_model_scoring, op5_suffix_array_dedup, op6_benchmark_decontamination, op7_quality_classifier,
                             op8_html_extraction, op9_quality_rules, op10_language_id)
 }
 SQL: dict[str, str] = {"op3_mix_sources": mixing.MIX_SQL}
