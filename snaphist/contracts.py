@@ -12,6 +12,7 @@ contracts serve any upstream CRM.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -219,6 +220,16 @@ def entity_contract(name: str, prefix: str = "source", object_type: str | None =
     )
 
 
+def utc(value: datetime | str) -> datetime:
+    """A run's clock as an aware UTC time. Text and datetimes without a zone
+    are UTC, whatever the zone of the host or the session."""
+    at = value if isinstance(value, datetime) else datetime.fromisoformat(str(value))
+    return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+
+
 def ts_literal(value) -> Column:
-    """A run timestamp as a TIMESTAMP literal (one value per run, never per row)."""
-    return F.lit(value).cast(T.TimestampType())
+    """A run timestamp as a TIMESTAMP (one value per run, never per row); a
+    column, as in a replay, is cast as it is."""
+    if isinstance(value, Column):
+        return value.cast(T.TimestampType())
+    return F.lit(utc(value).isoformat()).cast(T.TimestampType())

@@ -12,14 +12,17 @@ def jpath(doc: Column, path: str) -> Column:
     return F.get_json_object(doc, path)
 
 
-def parse_fields(doc: Column, fields: dict[str, str]) -> Column:
+def parse_fields(doc: Column, fields: dict[str, str], *, strict: bool = True) -> Column:
     """Parse a JSON object once into a struct of the named top-level fields.
 
     STRING fields keep nested objects/arrays as their compact source text (key
     order and nulls kept, same text as ``get_json_object``), so one parse
-    replaces one ``get_json_object`` call per field."""
+    replaces one ``get_json_object`` call per field. ``strict`` fails the job
+    on text that is not JSON of this shape; the option also keeps the parse
+    whole: without one the optimizer prunes the schema field by field and
+    parses the document again for each."""
     schema = ",".join(f"`{k}`:{t}" for k, t in fields.items())
-    return F.from_json(doc, f"struct<{schema}>")
+    return F.from_json(doc, f"struct<{schema}>", {"mode": "FAILFAST" if strict else "PERMISSIVE"})
 
 
 def json_wrap(**parts: Column) -> Column:

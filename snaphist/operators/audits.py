@@ -53,7 +53,7 @@ def key_uniqueness(table: DataFrame, keys: Sequence[str], *, run_id: str | None
     """``total`` rows and ``distinct_keys`` (NULL-equal); one row, or one
     row per ``by`` group."""
     if not keys:
-        raise ValueError("key_columns required")
+        raise ValueError("[audit/no-keys] uniqueness needs at least one column")
     per_key = _scope(table, run_id=run_id).groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("n"))
     return per_key.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total"),
                        F.count(F.lit(1)).alias("distinct_keys"))
@@ -62,7 +62,7 @@ def key_uniqueness(table: DataFrame, keys: Sequence[str], *, run_id: str | None
 def assert_one_current(history: DataFrame, key: str, *, label: str) -> None:
     bad = one_current_report(history, [key]).first()["bad_keys"]
     if bad:
-        raise ValueError(f"{label}: {bad} {key} values have multiple current rows")
+        raise ValueError(f"[audit/one-open] {label}: {bad} keys ({key}) are open more than once")
 
 
 def assert_required(table: DataFrame, columns: Sequence[str], *, label: str,
@@ -70,60 +70,63 @@ def assert_required(table: DataFrame, columns: Sequence[str], *, label: str,
     row = blank_counts(table, columns, current_only=current_only, run_id=run_id).first()
     for c in columns:
         if row[c]:
-            what = "current rows" if current_only else "rows"
-            raise ValueError(f"{label}: {row[c]} {what} have null/blank {c}")
+            raise ValueError(f"[audit/required] {label}.{c}: NULL or blank in {row[c]} of {row['rows']} rows")
 
 
 def assert_unique(table: DataFrame, keys: Sequence[str], *, label: str, run_id: str | None = None) -> None:
     if not keys:
-        raise ValueError(f"{label}: key_columns required")
+        raise ValueError(f"[audit/no-keys] {label}: uniqueness needs at least one column")
     row = key_uniqueness(table, keys, run_id=run_id).first()
     if row["total"] != row["distinct_keys"]:
-        raise ValueError(f"{label}: key uniqueness failed keys={list(keys)} "
-                         f"total={row['total']} distinct={row['distinct_keys']}")
+        raise ValueError(f"[audit/unique] {label}({', '.join(keys)}): {row['total']} rows but {row['distinct_keys']} keys")
 
 
 def audit_report(table: DataFrame, contract: TableContract, *, run_id: str | None = None) -> DataFrame:
     """Every post-load check of a table from one scan and one key-level
     aggregation (map-side combine, so a hot key is one row per task).
 
-    SCD2: ``rows``, ``current_rows``, ``bad_keys`` (keys with >1 current
-    row) and, per required column, NULL/blank counts on current rows.
+    SCD2: ``current_rows``, ``bad_keys`` (keys with >1 current row) and, per
+    required column, NULL/blank counts; closed rows are pruned at the scan.
     Append: ``rows``, ``distinct_keys`` over the history keys and, per
     required column, NULL/blank counts; optionally scoped to ``run_id``."""
     req = list(contract.stored_required())
-    t = _scope(table, run_id=run_id)
+    t = _scope(table, run_id=run_id, current_only=contract.pattern == "scd2")
     if contract.pattern == "scd2":
-        cur = F.coalesce(F.col(IS_CURRENT), F.lit(False))
         per_key = t.groupBy(contract.business_keys[0]).agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.when(cur, 1).otherwise(0)).alias("c"),
-            *[F.sum(F.when(cur & blank_stored(F.col(c)), 1).otherwise(0)).alias(f"b{i}")
-              for i, c in enumerate(req)])
-        extra = [F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("current_rows"),
-                 F.count(F.when(F.col("c") > 1, 1)).alias("bad_keys")]
+            *[F.sum(F.when(blank_stored(F.col(c)), 1).otherwise(0)).alias(f"b{i}") for i, c in enumerate(req)])
+        extra = [F.count(F.when(F.col("n") > 1, 1)).alias("bad_keys")]
     else:
         per_key = t.groupBy(*contract.history_keys()).agg(
             F.count(F.lit(1)).alias("n"),
             *[F.sum(F.when(blank_stored(F.col(c)), 1).otherwise(0)).alias(f"b{i}") for i, c in enumerate(req)])
         extra = [F.count(F.lit(1)).alias("distinct_keys")]
+    total = "current_rows" if contract.pattern == "scd2" else "rows"
     return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"), *extra,
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias(total), *extra,
         *[F.coalesce(F.sum(f"b{i}"), F.lit(0)).cast("long").alias(c) for i, c in enumerate(req)])
 
 
+def run_report(table: DataFrame, keys: Sequence[str], columns: Sequence[str], *, by: Sequence[str]) -> DataFrame:
+    """Per ``by`` group: ``rows``, ``distinct_keys`` and the NULL-or-blank
+    count of each column, from one aggregation by (group, key)."""
+    per_key = table.groupBy(*by, *keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(F.when(blank_stored(F.col(c)), 1).otherwise(0)).alias(f"__b{i}") for i, c in enumerate(columns)])
+    return per_key.groupBy(*by).agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("distinct_keys"),
+                                    *[F.sum(f"__b{i}").alias(c) for i, c in enumerate(columns)])
+
+
 def _raise_on(report, contract: TableContract, label: str) -> None:
+    scd2 = contract.pattern == "scd2"
+    total = report["current_rows" if scd2 else "rows"]
     for c in contract.stored_required():
         if report[c]:
-            what = "current rows" if contract.pattern == "scd2" else "rows"
-            raise ValueError(f"{label}: {report[c]} {what} have null/blank {c}")
-    if contract.pattern == "scd2":
-        if report["bad_keys"]:
-            raise ValueError(f"{label}: {report['bad_keys']} {contract.business_keys[0]} values have "
-                             f"multiple current rows")
-    elif report["rows"] != report["distinct_keys"]:
-        raise ValueError(f"{label}: key uniqueness failed keys={list(contract.history_keys())} "
-                         f"total={report['rows']} distinct={report['distinct_keys']}")
+            raise ValueError(f"[audit/required] {label}.{c}: NULL or blank in {report[c]} of {total} rows")
+    if scd2 and report["bad_keys"]:
+        raise ValueError(f"[audit/one-open] {label}: {report['bad_keys']} keys ({contract.business_keys[0]}) are open more than once")
+    if not scd2 and total != report["distinct_keys"]:
+        raise ValueError(f"[audit/unique] {label}({', '.join(contract.history_keys())}): {total} rows but {report['distinct_keys']} keys")
 
 
 def check_scd2(history: DataFrame, contract: TableContract, *, label: str | None = None):

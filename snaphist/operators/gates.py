@@ -34,19 +34,19 @@ def _row_rules(rows: DataFrame, contract: TableContract, must_have: Sequence[str
 
     dtypes = {f.name: f.dataType for f in rows.schema.fields}
     for k in must_have:
-        rule(blank_preload(F.col(k), dtypes.get(k)), "required_key", k, f"required id {k} missing or empty")
-    rule(blank_preload(F.col("raw_json"), dtypes.get("raw_json")), "raw_json", "raw_json", "raw_json missing or empty")
+        rule(blank_preload(F.col(k), dtypes.get(k)), "required_key", k, f"{k} is NULL or blank")
+    rule(blank_preload(F.col("raw_json"), dtypes.get("raw_json")), "raw_json", "raw_json", "no source document kept")
     for f in (INGESTED_AT, RUN_ID, SOURCE_SYSTEM):
-        rule(F.col(f).isNull(), "tech_field", f, f"{f} missing")
+        rule(F.col(f).isNull(), "tech_field", f, f"run stamp {f} is NULL")
     rule(F.col(SOURCE_SYSTEM).isNotNull() & (F.col(SOURCE_SYSTEM) != F.lit(source_system)),
-         "source_system", SOURCE_SYSTEM, f"{SOURCE_SYSTEM} must be '{source_system}'")
+         "source_system", SOURCE_SYSTEM, f"tagged with a source other than {source_system}")
     rule(F.col(RUN_ID).isNotNull() & blank_preload(F.col(RUN_ID)), "tech_field", RUN_ID,
-         f"{RUN_ID} missing or empty")
+         "run id is blank")
     if scd2:
-        rule(F.col(VALID_FROM).isNull(), "scd2_seed", VALID_FROM, f"{VALID_FROM} missing")
-        rule(F.col(IS_CURRENT).isNull(), "scd2_seed", IS_CURRENT, f"{IS_CURRENT} missing")
+        rule(F.col(VALID_FROM).isNull(), "scd2_seed", VALID_FROM, "version start is NULL")
+        rule(F.col(IS_CURRENT).isNull(), "scd2_seed", IS_CURRENT, "open flag is NULL")
         rule(F.col(IS_CURRENT).isNotNull() & ~F.col(IS_CURRENT), "scd2_seed", IS_CURRENT,
-             f"staging SCD2 row must have {IS_CURRENT}=True")
+             "a staged version must be open")
     return rules
 
 
@@ -70,7 +70,7 @@ def violations(rows: DataFrame, contract: TableContract, *, label: str | None =
         .where(F.col("n") > 1)
         .select(F.lit(label).alias("label"), F.lit("duplicate_key").alias("rule"),
                 F.lit(",".join(keys)).alias("field"), _key_text(keys).alias("key"),
-                F.lit("duplicate business key in batch").alias("detail"),
+                F.lit("key repeats within the batch").alias("detail"),
                 (F.col("n") - 1).alias("occurrences"))
     )
     return row_level.unionByName(dupes)
@@ -92,11 +92,22 @@ def duplicate_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def gate_report(v: DataFrame, *, examples: int = 10) -> DataFrame:
+    """V7 as one row per label: ``issues`` in all, and the first few breaches
+    as text (by rule, field and key). Only the examples are sorted."""
+    total = v.groupBy("label").agg(F.sum("occurrences").alias("issues"))
+    first = v.orderBy("rule", "field", "key").limit(examples)
+    text = F.concat_ws("/", "rule", "field", "key")
+    shown = first.groupBy("label").agg(F.sort_array(F.collect_list(text)).alias("examples"))
+    return total.join(shown, "label", "left")
+
+
 def validate(rows: DataFrame, contract: TableContract, *, label: str | None = None,
              source_system: str, required_keys: Sequence[str] | None = None,
              scd2: bool = False) -> None:
-    """Raise ``ValueError`` naming the total and up to ten issues; an empty or
-    clean batch passes. Only the ten-row sample reaches the driver."""
+    """Raise ``ValueError`` with the number of breaches and up to ten of them;
+    an empty or clean batch passes. Only the ten-row sample reaches the
+    driver."""
     label = label or contract.name
     v = violations(rows, contract, label=label, source_system=source_system,
                    required_keys=required_keys, scd2=scd2)
@@ -104,6 +115,5 @@ def validate(rows: DataFrame, contract: TableContract, *, label: str | None = No
     if not sample:
         return
     total = v.agg(F.sum("occurrences")).first()[0]
-    preview = "; ".join(f"{r['key']}: {r['detail']}" for r in sample)
-    more = f" (+{total - len(sample)} more)" if total > len(sample) else ""
-    raise ValueError(f"{label} validation failed ({total} issues): {preview}{more}")
+    shown = "".join(f"\n  {r['rule']}({r['field']}) {r['detail']} [{r['key']}]" for r in sample)
+    raise ValueError(f"[gate/{label}] {total} breaches, {len(sample)} shown:{shown}")

@@ -153,58 +153,49 @@ def change_summary(target: DataFrame, staging: DataFrame, contract: TableContrac
     )
 
 
-def scd2_replay(snapshots: DataFrame, runs: DataFrame, contract: TableContract,
-                *, run_seq: str = "run_seq") -> DataFrame:
+def run_ends(runs: DataFrame, nonempty: DataFrame, *, on: str = "run_seq") -> DataFrame:
+    """``runs`` (``run_seq``, ``_valid_from``, one row per run) with
+    ``run_end``: the clock at which a version last seen in the run ends, that
+    is the next run's, or NULL if the next run's extract was empty (as the
+    merge of an empty extract leaves it). ``nonempty``: the ``on`` values of
+    the runs that have rows. Ranks the run list only."""
+    seen = nonempty.select(on).distinct().withColumn("__seen", F.lit(True))
+    clock = F.when(F.col("__seen"), F.col(VALID_FROM))
+    return runs.join(seen, on, "left").withColumn("run_end", F.lead(clock).over(Window.orderBy("run_seq"))).drop("__seen")
+
+
+def scd2_replay(snapshots: DataFrame, runs: DataFrame, contract: TableContract) -> DataFrame:
     """Rebuild SCD2 history from stored full-extract snapshots in one pass.
 
     ``snapshots``: staging-shaped rows of every run plus ``run_seq`` (the run's
-    position, 1..N). ``runs``: one row per run, ``run_seq`` and ``_valid_from``
-    of that run, including runs whose extract was empty.
+    position, 1..N) and ``run_end`` (see ``run_ends``). ``runs``: one row per
+    run with its ``run_seq``, including runs whose extract was empty.
 
     Gaps-and-islands per key ordered by run: a version starts when the key was
     absent in the previous run or its change signature differs. A version
-    keeps its first row's payload; it ends at the next run's timestamp (NULL
-    if that run was empty, as a merge of an empty extract leaves it), or stays
-    open when its last run is the latest. Rows per key are bounded by the run
-    count, so each window partition is small.
+    keeps its first row's payload; it ends with its last run's ``run_end``, or
+    stays open when its last run is the latest. Rows per key are bounded by
+    the run count, so each window partition is small; a key that a run holds
+    twice fails the job, as the gate would have failed the run.
     """
     keys = list(contract.business_keys)
     cols = contract.columns
-    w = Window.partitionBy(*keys).orderBy(run_seq)
-    sig = _sig(contract)
-    flagged = snapshots.withColumn("__sig", sig).withColumn(
+    w = Window.partitionBy(*keys).orderBy("run_seq")
+    before = F.lag("run_seq").over(w)
+    twice = F.raise_error(F.lit("a run holds the same key twice")).cast("int")
+    flagged = snapshots.withColumn("__sig", _sig(contract)).withColumn(
         "__new",
-        F.when(
-            (F.lag(run_seq).over(w) != F.col(run_seq) - 1) | F.lag(run_seq).over(w).isNull()
-            | (F.lag("__sig").over(w) != F.col("__sig")), 1).otherwise(0),
+        F.when(before == F.col("run_seq"), twice)
+         .when((before != F.col("run_seq") - 1) | before.isNull() | (F.lag("__sig").over(w) != F.col("__sig")), 1).otherwise(0),
     ).withColumn("__version", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     islands = flagged.groupBy(*keys, "__version").agg(
-        F.min_by(F.struct(*[c for c in cols if c not in keys]), F.col(run_seq)).alias("first"),
-        F.max(run_seq).alias("__last"),
+        F.min_by(F.struct(*[c for c in cols if c not in keys]), F.col("run_seq")).alias("first"),
+        F.max(F.struct("run_seq", "run_end")).alias("last"),
     )
-    last_run = runs.agg(F.max(run_seq)).scalar()
-    next_run = runs.select(F.col(run_seq).alias("__next_seq"), F.col(VALID_FROM).alias("__next_from"),
-                           F.col("__nonempty"))
-    ended = islands.join(next_run, F.col("__last") + 1 == F.col("__next_seq"), "left")
-    is_current = F.col("__last") == last_run
-    return ended.select(
+    is_current = F.col("last.run_seq") == runs.agg(F.max("run_seq")).scalar()
+    return islands.select(
         *[F.col(k) for k in keys],
         *[F.col(f"first.{c}").alias(c) for c in cols if c not in keys and c not in (VALID_TO, IS_CURRENT)],
-        F.when(is_current, F.lit(None).cast("timestamp"))
-         .when(F.col("__nonempty"), F.col("__next_from"))
-         .otherwise(F.lit(None).cast("timestamp")).alias(VALID_TO),
+        F.when(~is_current, F.col("last.run_end")).alias(VALID_TO),
         is_current.alias(IS_CURRENT),
     ).select(*cols)
-
-
-def run_table(snapshots: DataFrame, run_ids: DataFrame, *, run_seq: str = "run_seq") -> DataFrame:
-    """``runs`` input of ``scd2_replay`` from the list of runs (``run_seq``,
-    ``_valid_from``) and the snapshot rows (marks non-empty runs)."""
-    seen = snapshots.select(F.col(run_seq)).distinct().withColumn("__nonempty", F.lit(True))
-    return (run_ids.join(seen, run_seq, "left")
-            .select(run_seq, VALID_FROM, F.coalesce("__nonempty", F.lit(False)).alias("__nonempty")))
-
-
-def open_versions(history: DataFrame) -> DataFrame:
-    return history.where(F.col(IS_CURRENT))
-

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import VALID_FROM, crm_contracts
-from ..sources.landing import spread
 
 # Fixed values of the scenarios: source tag, column prefix, run ids and clocks.
 SOURCE = "crm"
@@ -31,18 +30,9 @@ ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 CONTRACTS = crm_contracts(PREFIX)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; spread over the cores when it scans as too few tasks.
-    The plan is built once per session and path (files are read at execution,
-    so reuse is safe) to avoid re-listing and re-reading footers per query."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spread(spark.read.parquet(path))
-    return _TABLES[key]
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def money(c: Column) -> Column:
@@ -60,6 +50,8 @@ def _order_run_columns(o: DataFrame, run: str) -> DataFrame:
     flipped = (F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT")
     deleted = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW")
     created = iso(F.col("o_orderdate"))
+    if run == "all":
+        return o.select("*", F.col("o_orderstatus").alias("status"), created.alias("updated"))
     if run == "r1":
         return o.where(F.col("o_orderdate") < F.lit(FIRST_CUTOFF).cast("timestamp_ntz")).select(
             "*", F.col("o_orderstatus").alias("status"), created.alias("updated"))
@@ -110,7 +102,16 @@ def order_pages(spark: SparkSession, sf_dir: str, run: str, page_size: int = 100
     )
     pages = o.groupBy(page.alias("page")).agg(F.collect_list(obj).alias("results"))
     nxt = F.struct(F.struct(((F.col("page") + 1) * page_size).cast("string").alias("after")).alias("next"))
-    return pages.select(F.to_json(F.struct("results", nxt.alias("paging"))).alias("value"))
+    return pages.select(F.to_json(F.struct("results", nxt.alias("paging"))).alias("value"), "page")
+
+
+def broken_order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as pages, some of them damaged by rule: every seventh ends
+    halfway, every eleventh is an error answer."""
+    whole = order_pages(spark, sf_dir, "all")
+    half = F.substring("value", F.lit(1), F.floor(F.length("value") / 2).cast("int"))
+    return whole.select(F.when(F.col("page") % 7 == 3, half).when(F.col("page") % 11 == 5, F.lit('{"status":"error"}'))
+                        .otherwise(F.col("value")).alias("value"))
 
 
 # ---------------------------------------------------------- customer -> companies

@@ -1,102 +1,139 @@
 """The full ingest run against a ``Store`` (R1).
 
-Per table, fail-fast, in the order entities -> owners -> stages ->
-associations: map the landed documents, gate the batch, compute the new
-state, write this run's partition, audit what was written, then commit. A
-failing gate or audit leaves the run uncommitted (invisible to readers).
-Associations are scoped to the entity ids extracted in the same run. A
-sampled run keeps the first ``sample_limit`` objects by key and never closes
-versions as missing.
+Fail-fast, in the order entities -> owners -> stages -> associations: map the
+landed documents, gate the batch, compute the new state, write this attempt's
+partition, audit what was written; when every table has passed, commit them
+together. A failing gate or audit leaves the whole run uncommitted (invisible
+to readers). Associations are scoped to the entity ids extracted in the same
+run. A sampled run keeps the first ``sample_limit`` objects by key and never
+closes versions as missing.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..contracts import IS_CURRENT, SCD2
+from ..contracts import IS_CURRENT, RUN_ID, SCD2, STAGING, VALID_FROM
 from ..operators import audits, gates
 from ..operators.scd2 import scd2_merge_open
-from ..sources.store import Store
+from ..sources.store import Part, RunConflict, Store
 from .pipeline import RunInputs, map_run
 
 
+class TableChange(NamedTuple):
+    """What a run did to one table."""
+    staged: int
+    opened: int
+    closed: int
+
+
+class RunResult(NamedTuple):
+    run_id: str
+    counts: dict[str, int]            # entities: current rows; other tables: rows of all runs
+    changes: dict[str, TableChange]
+
+
 def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: datetime | str,
-               source_system: str, sample_limit: int | None = None,
-               skip_committed: bool = False, audit_scope: str = "table") -> tuple[str, dict[str, int]]:
-    """``skip_committed``: tables this run already committed are left as they
-    are (a replayed stream batch resumes where the failed attempt stopped).
-
-    ``audit_scope`` of append tables: ``"table"`` audits the whole table after
-    adding the run (the reference's behaviour); ``"run"`` audits only the new
-    run, which gives the same verdict at a fraction of the cost because the
-    history key contains the run id and every committed run was audited."""
+               source_system: str, sample_limit: int | None = None, project: bool = False,
+               skip_committed: bool = False, audit_scope: str = "run") -> RunResult:
+    """A run id is ingested once: a second time raises ``RunConflict``, or
+    returns empty results with ``skip_committed`` (a replayed stream batch).
+
+    ``audit_scope`` of append tables: ``"run"`` audits the rows of this run.
+    Their key contains the run id and every committed run was audited, so the
+    verdict is that of the whole table; ``"table"`` audits all of it again.
+    ``project`` keeps the contract's requested properties only (S5)."""
     store.assert_tables_exist()
     contracts = store.contracts
     close_missing = sample_limit is None
+    known = store.parts()
+    if any(p.run_id == run_id for runs, _ in known.values() for p in runs):
+        if skip_committed:
+            return RunResult(run_id, {}, {})
+        raise RunConflict(f"run {run_id} is committed already")
+    seq, part = store.next_seq(), store.part_id(run_id)
     stamp = dict(run_id=run_id, ingested_at=ingested_at, source_system=source_system,
-                 sample_limit=sample_limit)
+                 sample_limit=sample_limit, project=project)
     # entities first: their staging tables are written (K3) and read back, and
     # the associations are scoped to the ids in them (no second JSON parse)
-    staged = {n: store.load_staging(n, rows)
+    staged = {n: store.load_staging(n, rows, part)
               for n, rows in map_run(RunInputs(entities=inputs.entities), contracts, **stamp).items()}
     ids = {n: df.select(F.col(contracts[n].business_keys[0]).alias("id")) for n, df in staged.items()}
     rest = RunInputs(owners=inputs.owners, pipelines=inputs.pipelines, associations=inputs.associations)
     mapped = {**staged, **map_run(rest, contracts, entity_ids=ids, **stamp)}
-    seq = store.next_seq()
     counts: dict[str, int] = {}
+    changes: dict[str, TableChange] = {}
+    done: list[tuple[str, Part]] = []
     for name, rows in mapped.items():
         c = contracts[name]
         scd2 = c.pattern == SCD2
-        if skip_committed and any(r == run_id for r, _ in store.committed(name)):
-            continue
         gates.validate(rows, c, label=name, source_system=source_system, scd2=scd2)
         if scd2:
-            new_rows = scd2_merge_open(store.read_open(name), rows, c, close_missing=close_missing)
-        else:
-            new_rows = rows
-        store.write_run(name, new_rows, run_id)
-        if scd2:
+            store.write_run(name, scd2_merge_open(store.read_open(name), rows, c, close_missing=close_missing), part)
             # the written partition holds every open row of the new state
-            written = audits.check_scd2(store.written(name, run_id), c, label=name)
-            n_written, counts[name] = written["rows"], written["current_rows"]
-        else:
-            scope = run_id if audit_scope == "run" else None
-            report = audits.check_append(store.read(name, pending=run_id), c, label=name, run_id=scope)
-            n_written = report["rows"] if scope else store.written(name, run_id).count()
-            counts[name] = store.read(name, pending=run_id).count() if scope else report["rows"]
-        store.commit(name, run_id, seq, ingested_at, n_written)
-    return run_id, counts
+            wrote = store.written(name, part)
+            report = audits.check_scd2(wrote, c, label=name)
+            closed = wrote.where(~F.col(IS_CURRENT)).count()
+            opened = wrote.where(F.col(IS_CURRENT) & (F.col(RUN_ID) == run_id)).count()
+            counts[name] = report["current_rows"]
+            changes[name] = TableChange(rows.count(), opened, closed)
+            done.append((name, Part(run_id, part, seq, report["current_rows"] + closed, None, not close_missing)))
+            continue
+        store.write_run(name, rows, part)
+        if audit_scope == "table":
+            audits.check_append(store.read(name, pending=part), c, label=name)
+        n = audits.check_append(store.written(name, part), c, label=name)["rows"]
+        before = known[name][0][-1].total if known[name][0] else 0
+        counts[name] = before + n
+        changes[name] = TableChange(n, n, 0)
+        done.append((name, Part(run_id, part, seq, n, before + n, not close_missing)))
+    if done:
+        store.commit(done, ingested_at)
+    store.clear_staging(part)
+    return RunResult(run_id, counts, changes)
 
 
 def audit_run(store: Store, run_id: str, *, sample_limit: int,
               capped: tuple[str, ...] = ("owners",)) -> dict[str, int]:
-    """Sampled-run audit (V14) over the tables the run committed: SCD2 tables
-    whole, append tables scoped to the run; every entity has current rows;
-    capped tables hold 1..limit rows in the run. Returns per-table counts."""
-    names = [n for n, c in store.contracts.items()
-             if c.pattern != "staging" and any(r == run_id for r, _ in store.committed(n))]
-    if not names:
-        raise ValueError(f"run {run_id} committed no tables")
+    """Sampled-run audit (V14) over every table of the contract: the run must
+    have committed all of them. SCD2 tables are audited whole, append tables
+    within the run; every entity has current rows; capped tables hold 1..limit
+    rows in the run. Returns per-table counts."""
+    known = store.parts()
+    names = [n for n, c in store.contracts.items() if c.pattern != STAGING]
+    absent = [n for n in names if not any(p.run_id == run_id for p in known[n][0])]
+    if absent:
+        raise ValueError(f"[audit/run-incomplete] run {run_id} committed no rows for {', '.join(absent)}")
     out: dict[str, int] = {}
     for name in names:
         c = store.contracts[name]
-        t = store.read(name)
         if c.pattern == SCD2:
-            audits.check_scd2(t, c, label=name)
-            n = t.where(F.col(IS_CURRENT)).count()
-            if n <= 0:
-                raise ValueError(f"{name}: expected >0 current rows")
+            out[name] = audits.check_scd2(store.read(name), c, label=name)["current_rows"]
+            if not out[name]:
+                raise ValueError(f"[audit/no-current-rows] {name}")
         else:
-            audits.check_append(t, c, label=name, run_id=run_id)
-            n = t.where(F.col("_ingestion_run_id") == run_id).count()
-            if name in capped and not (0 < n <= sample_limit):
-                raise ValueError(f"{name}: expected 1..{sample_limit} rows for run {run_id}, got {n}")
-        out[name] = n
+            out[name] = audits.check_append(store.read_run(name, run_id), c, label=name)["rows"]
+            if name in capped and not 0 < out[name] <= sample_limit:
+                raise ValueError(f"[audit/sample-size] {name}: {out[name]} rows, wanted 1 to {sample_limit}")
     return out
 
 
-def current_view(store: Store, name: str) -> DataFrame:
-    return store.read(name).where(F.col(IS_CURRENT))
+CHAIN = T.StructType([T.StructField("run_seq", T.LongType()), T.StructField("run_id", T.StringType()), T.StructField(VALID_FROM, T.TimestampType())])
+
+
+def committed_runs(spark: SparkSession, store: Store, name: str) -> DataFrame:
+    """The runs whose merges made the stored history of an entity: run_seq
+    1..N, run_id and clock. A sampled run closed nothing as missing, which a
+    replay cannot tell from its documents, so it is refused."""
+    runs = store.runs(name)
+    sampled = [p.run_id for p in runs if p.sampled]
+    if sampled:
+        raise ValueError(f"[replay/sampled-run] {name} has sampled runs: {', '.join(sampled)}")
+    order = {p.seq: i for i, p in enumerate(runs, 1)}
+    rows = store.manifest().where((F.col("table_name") == name) & (F.col("kind") == "run")).select("seq", "run_id", "ingested_at").collect()
+    return spark.createDataFrame([(order[r["seq"]], r["run_id"], r["ingested_at"]) for r in rows], CHAIN)

@@ -16,13 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import APPEND, SCD2, TableContract
-from ..operators import gates
 from ..operators.flatten import (
     associations_to_rows, objects_to_rows, owners_to_rows, pipelines_to_stage_rows,
 )
 from ..operators.history import append_history
 from ..operators.scd2 import SPLIT, scd2_merge
-from ..sources.landing import sample_first, scope_results_to_ids
+from ..sources.landing import project_objects, sample_first, scope_results_to_ids
 from . import carriers as C
 
 
@@ -37,15 +36,19 @@ class RunInputs:
 
 def map_run(inputs: RunInputs, contracts: dict[str, TableContract], *, run_id: str,
             ingested_at: datetime | str, source_system: str,
-            sample_limit: int | None = None,
+            sample_limit: int | None = None, project: bool = False,
             entity_ids: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """``entity_ids``: per entity table, the ids this run extracted (column
+    """Associations keep only results for ids extracted in this run; if their
+    from-entity is not part of it, that is none. ``project`` keeps only the
+    properties that an entity's contract requests (S5). ``entity_ids``: per entity table, the ids this run extracted (column
     ``id``), e.g. read from its written staging table; by default they are
     taken from the entity rows mapped here."""
     stamp = dict(run_id=run_id, ingested_at=ingested_at, source_system=source_system)
     entity_ids = entity_ids or {}
     out: dict[str, DataFrame] = {}
     for name, docs in inputs.entities.items():
+        if project:
+            docs = project_objects(docs, contracts[name].properties)
         rows = objects_to_rows(docs, contracts[name], **stamp)
         if sample_limit is not None:
             rows = sample_first(rows, sample_limit, list(contracts[name].business_keys))
@@ -60,31 +63,26 @@ def map_run(inputs: RunInputs, contracts: dict[str, TableContract], *, run_id: s
             inputs.pipelines, contracts["deal_pipeline_stages"], **stamp)
     for name, results in inputs.associations.items():
         c = contracts[name]
-        source = c.extra.get("from_object")
-        if source in entity_ids:  # only results for ids extracted in this run
-            results = scope_results_to_ids(results, entity_ids[source])
-        elif source in out:
+        source = c.extra["from_object"]
+        ids = entity_ids.get(source)
+        if ids is None and source in out:
             ids = out[source].select(F.col(contracts[source].business_keys[0]).alias("id"))
-            results = scope_results_to_ids(results, ids)
+        results = scope_results_to_ids(results, ids) if ids is not None else results.limit(0)
         out[name] = associations_to_rows(results, c, **stamp)
     return out
 
 
-def validate_run(mapped: dict[str, DataFrame], contracts: dict[str, TableContract], *,
-                 source_system: str) -> None:
-    """Pre-load gates, fail-fast in table order."""
-    for name, rows in mapped.items():
-        c = contracts[name]
-        gates.validate(rows, c, label=name, source_system=source_system, scd2=c.pattern == SCD2)
-
-
 def apply_run(state: dict[str, DataFrame], mapped: dict[str, DataFrame],
               contracts: dict[str, TableContract], *, close_missing: bool = True,
               form: str = SPLIT) -> dict[str, DataFrame]:
-    """New table states: SCD2 merge for entities, append for the rest."""
+    """New table states: SCD2 merge for entities, append for the rest. A
+    table without a state starts with the run's rows."""
     new = dict(state)
     for name, rows in mapped.items():
         c = contracts[name]
+        if name not in state:
+            new[name] = rows
+            continue
         if c.pattern == SCD2:
             new[name] = scd2_merge(state[name], rows, c, close_missing=close_missing, form=form)
         elif c.pattern == APPEND:
@@ -106,10 +104,6 @@ def run_summary(state: dict[str, DataFrame], contracts: dict[str, TableContract]
     return out
 
 
-def empty_state(spark: SparkSession, contracts: dict[str, TableContract], names) -> dict[str, DataFrame]:
-    return {n: spark.createDataFrame([], contracts[n].schema) for n in names}
-
-
 def carrier_inputs(spark: SparkSession, sf_dir: str, run: str) -> RunInputs:
     """A run's landed documents derived from the driver tables."""
     return RunInputs(
@@ -125,9 +119,10 @@ def run_summary_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     line-item edges repeat keys on purpose, which the gate would reject)."""
     contracts = C.CONTRACTS
     names = ["deals", "owners", "deal_pipeline_stages", "deal_company_associations"]
-    state = empty_state(spark, contracts, names)
+    state: dict[str, DataFrame] = {}
     for run in ("r1", "r2"):
         mapped = map_run(carrier_inputs(spark, sf_dir, run), contracts, run_id=run,
                          ingested_at=C.RUNS[run], source_system=C.SOURCE)
         state = apply_run(state, mapped, contracts)
+    state = {n: state[n] for n in names}
     return run_summary(state, contracts)

@@ -3,20 +3,20 @@ driver tables, each paired (where SQL can say it) with an independent DuckDB
 oracle written as closed-form SQL over the raw tables.
 
 JSON texts that both engines build identically (objects of strings, numbers
-and booleans without NULL members) are compared as text; raw payload texts
-are left out of the outputs because the engines serialise NULL members
-differently.
+and booleans without NULL members) are compared as text; of raw payloads,
+whose NULL members the engines write differently, fields are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import (
-    INGESTED_AT, IS_CURRENT, RUN_ID, SOURCE_SYSTEM, VALID_FROM, VALID_TO, conform,
+    INGESTED_AT, IS_CURRENT, RUN_ID, SOURCE_SYSTEM, VALID_FROM, VALID_TO, conform, ts_literal,
 )
 from ..functions.predicates import blank_preload, blank_stored
 from ..operators import audits, gates, reads
@@ -24,8 +24,8 @@ from ..operators.flatten import (
     associations_to_rows, objects_to_rows, owners_to_rows, pipelines_to_stage_rows,
 )
 from ..operators.history import append_history, rows_per_run
-from ..operators.scd2 import GENERAL, SPLIT, change_summary, run_table, scd2_merge, scd2_replay
-from ..sources.landing import envelope_results, project_properties, sample_first, scope_results_to_ids
+from ..operators.scd2 import GENERAL, SPLIT, change_summary, run_ends, scd2_merge, scd2_replay
+from ..sources.landing import envelope_results, page_faults, project_properties, sample_first, scope_results_to_ids
 from . import carriers as C
 from .pipeline import run_summary_frame
 
@@ -58,31 +58,41 @@ def register(name: str, sql: str | None = None):
 
 # ============================================================ Spark scenarios
 def deal_rows(spark: SparkSession, sf: str, run: str) -> DataFrame:
-    run_id = "r2" if run == "empty" else run
+    """Staged deals of a run; "all" is run 1 with every order, "empty" a run 2
+    without any."""
+    run_id = {"empty": "r2", "all": "r1"}.get(run, run)
     return objects_to_rows(C.order_docs(spark, sf, run), DEALS, run_id=run_id,
                            ingested_at=C.RUNS[run_id], source_system=C.SOURCE)
 
 
-def empty(spark: SparkSession, contract) -> DataFrame:
-    return spark.createDataFrame([], contract.schema)
-
-
 def deal_history(spark: SparkSession, sf: str, runs: list[str], *, form: str = GENERAL,
                  close_missing: bool = True) -> DataFrame:
-    h = empty(spark, DEALS)
-    for r in runs:
+    """Runs merged one after the other; the first run's rows are the first state."""
+    h = deal_rows(spark, sf, runs[0])
+    for r in runs[1:]:
         h = scd2_merge(h, deal_rows(spark, sf, r), DEALS, close_missing=close_missing, form=form)
     return h
 
 
+def deal_state(spark: SparkSession, sf: str, names: tuple[str, ...] = ("r1", "r2", "r3")) -> DataFrame:
+    """The history of several full runs in one pass: a replay reads each run
+    once, where chained merges would read the first ones again and again."""
+    runs = spark.createDataFrame([(i, r) for i, r in enumerate(names, 1)], "run_seq long, run_id string")
+    rows = [deal_rows(spark, sf, r).withColumn("run_seq", F.lit(i).cast("long")) for i, r in enumerate(names, 1)]
+    # a full extract of orders has rows, so each run ends where the next begins
+    ends = F.array(*[ts_literal(C.RUNS[r]) for r in names[1:]], F.lit(None).cast("timestamp"))
+    staged = reduce(DataFrame.unionByName, rows).withColumn("run_end", F.element_at(ends, F.col("run_seq").cast("int")))
+    return scd2_replay(staged, runs, DEALS)
+
+
 def owner_rows(spark: SparkSession, sf: str, run: str) -> DataFrame:
     return owners_to_rows(C.supplier_docs(spark, sf, run), OWNERS, run_id=run,
                           ingested_at=C.RUNS[run], source_system=C.SOURCE)
 
 
 def owner_history(spark: SparkSession, sf: str) -> DataFrame:
-    h = empty(spark, OWNERS)
-    for r in ("r1", "r2", "r3"):
+    h = owner_rows(spark, sf, "r1")
+    for r in ("r2", "r3"):
         h = append_history(h, owner_rows(spark, sf, r), OWNERS)
     return h
 
@@ -97,6 +107,11 @@ def company_rows(spark: SparkSession, sf: str) -> DataFrame:
                            ingested_at=C.RUNS["r1"], source_system=C.SOURCE)
 
 
+def _raw(path: str, name: str):
+    """A field of the kept source document."""
+    return F.get_json_object("raw_json", path).alias(name)
+
+
 # ============================================================ oracle building blocks
 ISO_SQL = "'%Y-%m-%dT%H:%M:%SZ'"
 MONEY = "CAST(CAST({} AS DECIMAL(12,2)) AS VARCHAR)"
@@ -218,11 +233,11 @@ def q_scd2_partial_orders(spark, sf):
 
 
 @register("scd2_empty_extract", _with(
-    ORDERS_BASE, _order_run_sql("r1"),
+    ORDERS_BASE, _order_run_sql("r1", where="TRUE"),
     _order_run_sql("r1", name="e", where=f"o_orderdate > TIMESTAMP '{C.EMPTY_HORIZON}'", ts_run="r2"),
     _seed_sql("h1", "r1"), _merge_sql("h2", "h1", "e")) + f"SELECT {SCD2_SEL} FROM h2")
 def q_scd2_empty_extract(spark, sf):
-    h1 = deal_history(spark, sf, ["r1"])
+    h1 = deal_rows(spark, sf, "all")
     return scd2_merge(h1, deal_rows(spark, sf, "empty"), DEALS, form=SPLIT).select(*SCD2_OUT)
 
 
@@ -274,8 +289,7 @@ NB = [ORDERS_BASE, _null_blank_sql("r1"), _null_blank_sql("r2"), _seed_sql("nb1"
 
 
 def null_blank_history(spark, sf) -> DataFrame:
-    h1 = scd2_merge(empty(spark, DEALS), _null_blank_rows(spark, sf, "r1"), DEALS)
-    return scd2_merge(h1, _null_blank_rows(spark, sf, "r2"), DEALS, form=SPLIT)
+    return scd2_merge(_null_blank_rows(spark, sf, "r1"), _null_blank_rows(spark, sf, "r2"), DEALS, form=SPLIT)
 
 
 @register("scd2_null_blank", _with(*NB) + f"SELECT {SCD2_SEL} FROM nb2")
@@ -302,14 +316,14 @@ def event_staging(spark, sf) -> tuple[DataFrame, DataFrame]:
     run (id = the day, time = the next midnight), plus the run list."""
     snaps = C.event_day_snapshots(spark, sf)
     runs = C.event_runs(spark, sf)
-    docs = snaps.join(runs, "day").select(
-        "run_seq", F.col(VALID_FROM).alias("__vf"), F.col("day").cast("string").alias("__run"),
+    docs = snaps.join(run_ends(runs, snaps, on="day"), "day").select(
+        "run_seq", "run_end", F.col(VALID_FROM).alias("__vf"), F.col("day").cast("string").alias("__run"),
         F.to_json(F.struct(F.col("user_id").cast("string").alias("id"),
                            F.struct(F.col("segment")).alias("properties"),
                            F.lit(False).alias("archived"))).alias("doc"))
     staged = objects_to_rows(docs, DEALS, run_id=F.col("__run"), ingested_at=F.col("__vf"),
-                             source_system=C.SOURCE, keep=["run_seq"])
-    return staged, run_table(staged, runs.select("run_seq", VALID_FROM))
+                             source_system=C.SOURCE, keep=["run_seq", "run_end"])
+    return staged, runs
 
 
 REPLAY_SQL = f"""
@@ -355,13 +369,13 @@ def q_scd2_replay_events(spark, sf):
 # ============================================================ 5. reads
 @register("current_state", _with(*H3) + f"SELECT {SCD2_SEL} FROM h3 WHERE {IS_CURRENT}")
 def q_current_state(spark, sf):
-    return reads.current_state(deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT)).select(*SCD2_OUT)
+    return reads.current_state(deal_state(spark, sf)).select(*SCD2_OUT)
 
 
 @register("version_history_top20", _with(*H3) + f"""
 SELECT {SCD2_SEL} FROM h3 ORDER BY {KEY} ASC, {VALID_FROM} DESC, {RUN_ID} DESC LIMIT 20""")
 def q_version_history_top20(spark, sf):
-    h = deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT)
+    h = deal_state(spark, sf)
     return reads.version_history(h.select(*SCD2_OUT), [KEY], limit=20)
 
 
@@ -373,7 +387,7 @@ SELECT {SCD2_SEL} FROM h3
 WHERE {VALID_FROM} <= TIMESTAMP '{AS_OF}'
   AND ({VALID_TO} > TIMESTAMP '{AS_OF}' OR ({VALID_TO} IS NULL AND COALESCE({IS_CURRENT}, false)))""")
 def q_as_of(spark, sf):
-    return reads.as_of(deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT), AS_OF).select(*SCD2_OUT)
+    return reads.as_of(deal_state(spark, sf), AS_OF).select(*SCD2_OUT)
 
 
 OWNERS_SQL = f"""
@@ -421,7 +435,7 @@ RETENTION_NOW = "2024-04-01 12:00:00"
 SELECT {SCD2_SEL} FROM h3
 WHERE {VALID_FROM} >= TIMESTAMP '{RETENTION_NOW}' - INTERVAL 90 DAY OR COALESCE({IS_CURRENT}, false)""")
 def q_retention(spark, sf):
-    h = deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT)
+    h = deal_state(spark, sf)
     return reads.retention_window(h, RETENTION_NOW, days=90).select(*SCD2_OUT)
 
 
@@ -429,7 +443,7 @@ def q_retention(spark, sf):
 SELECT 'deals' AS table_name, count(*) AS n FROM h3 WHERE {IS_CURRENT}
 UNION ALL SELECT 'companies', count(*) FROM customer""")
 def q_current_counts(spark, sf):
-    deals = reads.count_current(deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT))
+    deals = reads.count_current(deal_state(spark, sf))
     comps = reads.count_current(company_rows(spark, sf))
     return (deals.select(F.lit("deals").alias("table_name"), "n")
             .unionByName(comps.select(F.lit("companies").alias("table_name"), "n")))
@@ -443,18 +457,19 @@ SELECT CAST(c_custkey AS VARCHAR) AS {KEY}, 'companies' AS object_type,
                    'nation', CAST(c_nationkey AS VARCHAR))::VARCHAR AS properties_json,
        '2020-01-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') || 'T00:00:00Z' AS {CREATED},
        '2023-12-31T00:00:00Z' AS {UPDATED}, c_acctbal < 0 AS archived, 'r1' AS {RUN_ID},
-       {_ts('r1')} AS {VALID_FROM}, NULL::TIMESTAMP AS {VALID_TO}, true AS {IS_CURRENT}
+       {_ts('r1')} AS {VALID_FROM}, NULL::TIMESTAMP AS {VALID_TO}, true AS {IS_CURRENT},
+       CAST(c_custkey AS VARCHAR) AS raw_id, c_name AS raw_name
 FROM customer"""
 
 
 @register("flatten_object", COMPANY_SQL)
 def q_flatten_object(spark, sf):
-    return company_rows(spark, sf).select(KEY, "object_type", *SCD2_OUT[1:])
+    return company_rows(spark, sf).select(KEY, "object_type", *SCD2_OUT[1:], _raw("$.id", "raw_id"), _raw("$.properties.name", "raw_name"))
 
 
-@register("flatten_owner", OWNERS_SQL + f"SELECT {OWNER_SEL} FROM own WHERE {RUN_ID} = 'r1'")
+@register("flatten_owner", OWNERS_SQL + f"SELECT {OWNER_SEL}, email AS raw_email FROM own WHERE {RUN_ID} = 'r1'")
 def q_flatten_owner(spark, sf):
-    return owner_rows(spark, sf, "r1").select(*OWNER_OUT)
+    return owner_rows(spark, sf, "r1").select(*OWNER_OUT, _raw("$.email", "raw_email"))
 
 
 @register("flatten_stages", f"""
@@ -464,11 +479,12 @@ SELECT p_brand || '/' || CAST(floor(p_partkey / 100) AS BIGINT) || '|' || CAST(p
        json_object('type', p_type, 'price', {MONEY.format('p_retailprice')})::VARCHAR AS metadata_json,
        '2020-01-01T00:00:00Z' AS pipeline_created_at, NULL::VARCHAR AS pipeline_updated_at,
        false AS pipeline_archived, NULL::VARCHAR AS stage_created_at, NULL::VARCHAR AS stage_updated_at,
-       p_size > 45 AS stage_archived, {_ts('r1')} AS {INGESTED_AT}, 'r1' AS {RUN_ID}, '{C.SOURCE}' AS {SOURCE_SYSTEM}
+       CAST(p_partkey AS VARCHAR) AS raw_stage, p_brand AS raw_pipeline, p_size > 45 AS stage_archived, {_ts('r1')} AS {INGESTED_AT}, 'r1' AS {RUN_ID}, '{C.SOURCE}' AS {SOURCE_SYSTEM}
 FROM part""")
 def q_flatten_stages(spark, sf):
     return pipelines_to_stage_rows(C.part_pipeline_docs(spark, sf), STAGES, run_id="r1",
-                                   ingested_at=C.RUNS["r1"], source_system=C.SOURCE).select(*STAGE_OUT)
+                                   ingested_at=C.RUNS["r1"], source_system=C.SOURCE).select(
+        *STAGE_OUT, _raw("$.stage.id", "raw_stage"), _raw("$.pipeline.label", "raw_pipeline"))
 
 
 EDGES_SQL = f"""
@@ -492,16 +508,16 @@ edges AS (
 EDGE_SEL = ", ".join(EDGE_OUT)
 
 
-@register("flatten_associations", EDGES_SQL + f"SELECT {EDGE_SEL} FROM edges")
+@register("flatten_associations", EDGES_SQL + f"SELECT {EDGE_SEL}, deal_id AS raw_from FROM edges")
 def q_flatten_associations(spark, sf):
-    return edge_rows(spark, sf).select(*EDGE_OUT)
+    return edge_rows(spark, sf).select(*EDGE_OUT, _raw("$.from.id", "raw_from"))
 
 
-@register("page_envelope", _with(ORDERS_BASE, _order_run_sql("r1")) + f"""
+@register("page_envelope", _with(ORDERS_BASE, _order_run_sql("r1", where="TRUE")) + f"""
 SELECT {KEY}, properties_json, {CREATED}, {UPDATED}, archived, {RUN_ID}, {VALID_FROM},
        NULL::TIMESTAMP AS {VALID_TO}, true AS {IS_CURRENT} FROM r1""")
 def q_page_envelope(spark, sf):
-    docs = envelope_results(C.order_pages(spark, sf, "r1"))
+    docs = envelope_results(C.order_pages(spark, sf, "all"))
     return objects_to_rows(docs, DEALS, run_id="r1", ingested_at=C.RUNS["r1"],
                            source_system=C.SOURCE).select(*SCD2_OUT)
 
@@ -517,12 +533,14 @@ def faulty_company_rows(spark, sf) -> DataFrame:
         F.when((seg == "AUTOMOBILE") & (F.col("c_acctbal") < 0), F.lit(" \t "))
          .when(nat.between(5, 7), F.concat(F.lit("dup-"), nat.cast("string")))
          .otherwise(F.col(KEY)).alias(KEY),
-        *[c_ for c_ in COMPANIES.columns if c_ not in (KEY, "raw_json", RUN_ID, SOURCE_SYSTEM, VALID_FROM, IS_CURRENT)],
+        *[c_ for c_ in COMPANIES.columns if c_ not in (KEY, "raw_json", INGESTED_AT, RUN_ID, SOURCE_SYSTEM, VALID_FROM, IS_CURRENT)],
+        F.when(nat == 8, F.lit(None).cast("timestamp")).otherwise(F.col(INGESTED_AT)).alias(INGESTED_AT),
         F.when((nat == 0) & (seg == "BUILDING"), F.lit("")).otherwise(F.col("raw_json")).alias("raw_json"),
         F.when((nat == 1) & (seg == "FURNITURE"), F.lit("")).otherwise(F.col(RUN_ID)).alias(RUN_ID),
         F.when((nat == 2) & (seg == "HOUSEHOLD"), F.lit("other")).otherwise(F.col(SOURCE_SYSTEM)).alias(SOURCE_SYSTEM),
         F.when(nat == 4, F.lit(None).cast("timestamp")).otherwise(F.col(VALID_FROM)).alias(VALID_FROM),
-        F.when((nat == 3) & (seg == "MACHINERY"), F.lit(False)).otherwise(F.col(IS_CURRENT)).alias(IS_CURRENT),
+        F.when((nat == 3) & (seg == "MACHINERY"), F.lit(False)).when(nat == 9, F.lit(None).cast("boolean"))
+         .otherwise(F.col(IS_CURRENT)).alias(IS_CURRENT),
     )
 
 
@@ -536,8 +554,9 @@ r AS (
   SELECT 'required_key' AS rule, '{KEY}' AS field, count(*) FILTER (WHERE id = 'blank') AS issues FROM b
   UNION ALL SELECT 'raw_json', 'raw_json', count(*) FILTER (WHERE c_nationkey = 0 AND c_mktsegment = 'BUILDING') FROM b
   UNION ALL SELECT 'tech_field', '{RUN_ID}', count(*) FILTER (WHERE c_nationkey = 1 AND c_mktsegment = 'FURNITURE') FROM b
+  UNION ALL SELECT 'tech_field', '{INGESTED_AT}', count(*) FILTER (WHERE c_nationkey = 8) FROM b
   UNION ALL SELECT 'source_system', '{SOURCE_SYSTEM}', count(*) FILTER (WHERE c_nationkey = 2 AND c_mktsegment = 'HOUSEHOLD') FROM b
-  UNION ALL SELECT 'scd2_seed', '{IS_CURRENT}', count(*) FILTER (WHERE c_nationkey = 3 AND c_mktsegment = 'MACHINERY') FROM b
+  UNION ALL SELECT 'scd2_seed', '{IS_CURRENT}', count(*) FILTER (WHERE c_nationkey = 9 OR (c_nationkey = 3 AND c_mktsegment = 'MACHINERY')) FROM b
   UNION ALL SELECT 'scd2_seed', '{VALID_FROM}', count(*) FILTER (WHERE c_nationkey = 4) FROM b
   UNION ALL SELECT 'duplicate_key', '{KEY}', (SELECT sum(n - 1) FROM (SELECT id, count(*) AS n FROM b GROUP BY id HAVING count(*) > 1)))
 SELECT 'companies' AS label, rule, field, CAST(issues AS BIGINT) AS issues FROM r WHERE issues > 0""")
@@ -546,6 +565,24 @@ def q_gate_violations(spark, sf):
     return gates.violation_summary(v)
 
 
+@register("gate_report", f"""
+SELECT label, CAST(sum(issues) AS BIGINT) AS issues, CAST(least(10, sum(issues)) AS INTEGER) AS shown
+FROM ({ORACLE["gate_violations"]}) GROUP BY label""")
+def q_gate_report(spark, sf):
+    """V7: the total, and the first ten breaches."""
+    v = gates.violations(faulty_company_rows(spark, sf), COMPANIES, source_system=C.SOURCE, scd2=True)
+    return gates.gate_report(v).select("label", "issues", F.size("examples").alias("shown"))
+
+
+@register("page_faults", """
+WITH p AS (SELECT DISTINCT CAST(floor(o_orderkey / 100) AS BIGINT) AS page FROM orders)
+SELECT CASE WHEN page % 7 = 3 THEN 'not_json' ELSE 'no_results' END AS fault, count(*) AS pages
+FROM p WHERE page % 7 = 3 OR page % 11 = 5 GROUP BY 1""")
+def q_page_faults(spark, sf):
+    """S1: damaged pages are found, not read as empty ones."""
+    return page_faults(C.broken_order_pages(spark, sf)).groupBy("fault").agg(F.count(F.lit(1)).alias("pages"))
+
+
 @register("gate_duplicates", """
 SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicates
 FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
@@ -601,7 +638,7 @@ def q_blank_preload_vs_stored(spark, sf):
     AND json_extract_string(properties_json, '$.status') = 'P')
 SELECT {KEY}, count(*) AS current_rows FROM corrupt GROUP BY {KEY} HAVING count(*) > 1""")
 def q_audit_one_current(spark, sf):
-    h = deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT)
+    h = deal_state(spark, sf)
     p = F.col("properties_json")
     dup = h.where(F.col(IS_CURRENT) & (F.get_json_object(p, "$.priority") == "1-URGENT")
                   & (F.get_json_object(p, "$.status") == "P")).withColumn(RUN_ID, F.lit("dup"))
@@ -634,14 +671,14 @@ SELECT {RUN_ID}, count(*) AS rows,
 FROM own GROUP BY {RUN_ID}""")
 def q_audit_run_scoped(spark, sf):
     h = owner_history(spark, sf)
-    blanks = audits.blank_counts(h, ["user_id", "email"], by=[RUN_ID])
-    uniq = audits.key_uniqueness(h, list(OWNERS.history_keys()), by=[RUN_ID]).select(RUN_ID, "distinct_keys")
-    return blanks.join(uniq, RUN_ID)
+    return audits.run_report(h, ["owner_id"], ["user_id", "email"], by=[RUN_ID])
 
 
 @register("dq_metrics", _with(*H3) + f""",
 {OWNERS_SQL.strip()[5:]}
-SELECT 'deals' AS table_name, count(*) AS rows, 100.0 AS completeness_pct,
+SELECT 'deals' AS table_name, count(*) AS rows,
+       round(100.0 * (7 * count(*) - sum({' + '.join(f"CAST({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '' AS INTEGER)"
+             for c in (KEY, 'properties_json', VALID_FROM, IS_CURRENT, VALID_FROM, RUN_ID))})) / (7 * count(*)), 4) AS completeness_pct,
        round(100.0 * count(DISTINCT {KEY}) / count(*), 4) AS uniqueness_pct
 FROM h3 WHERE {IS_CURRENT}
 UNION ALL
@@ -650,7 +687,7 @@ SELECT 'owners', count(*),
        round(100.0 * (SELECT count(*) FROM (SELECT DISTINCT owner_id, {RUN_ID} FROM own)) / count(*), 4)
 FROM own""")
 def q_dq_metrics(spark, sf):
-    deals = audits.dq_metrics(deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT), DEALS)
+    deals = audits.dq_metrics(deal_state(spark, sf), DEALS)
     owners = audits.dq_metrics(owner_history(spark, sf), OWNERS)
     return deals.unionByName(owners)
 
@@ -680,13 +717,13 @@ def q_sample_first_n(spark, sf):
 
 
 # ============================================================ 9b. more operators
-@register("property_projection", _with(ORDERS_BASE, _order_run_sql("r1")) + f"""
+@register("property_projection", _with(ORDERS_BASE, _order_run_sql("r1", where="TRUE")) + f"""
 SELECT {KEY}, json_object('status', json_extract_string(properties_json, '$.status'),
                           'amount', json_extract_string(properties_json, '$.amount'))::VARCHAR AS properties_projected
 FROM r1""")
 def q_property_projection(spark, sf):
     """S5: keep only the requested property keys (source key order kept)."""
-    docs = project_properties(C.order_docs(spark, sf, "r1"), ["amount", "status"])
+    docs = project_properties(C.order_docs(spark, sf, "all"), ["amount", "status"])
     return docs.select(F.get_json_object("doc", "$.id").alias(KEY), "properties_projected")
 
 
@@ -695,7 +732,7 @@ SELECT count(*) AS total, (SELECT count(*) FROM (SELECT DISTINCT {KEY}, {VALID_F
 FROM h3""")
 def q_scd2_version_keys_unique(spark, sf):
     """V10 over the SCD2 version grain (key + _valid_from)."""
-    h = deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT)
+    h = deal_state(spark, sf)
     return audits.key_uniqueness(h, list(DEALS.version_keys()))
 
 
@@ -718,7 +755,7 @@ def q_count_by_run(spark, sf):
 def _raw_only_rows(spark, sf) -> DataFrame:
     """Run 2 = run 1's objects; not-specified-priority orders carry one more
     top-level field (raw text changes, change attributes do not)."""
-    o = C._order_run_columns(C.table(spark, sf, "orders"), "r1")
+    o = C._order_run_columns(C.table(spark, sf, "orders"), "all")
     note = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("re-synced"))
     docs = o.select(F.to_json(F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
@@ -728,12 +765,12 @@ def _raw_only_rows(spark, sf) -> DataFrame:
     return objects_to_rows(docs, DEALS, run_id="r2", ingested_at=C.RUNS["r2"], source_system=C.SOURCE)
 
 
-@register("scd2_raw_only_change", _with(ORDERS_BASE, _order_run_sql("r1"), _seed_sql("h1", "r1"))
+@register("scd2_raw_only_change", _with(ORDERS_BASE, _order_run_sql("r1", where="TRUE"), _seed_sql("h1", "r1"))
           + f"SELECT {SCD2_SEL}, raw_changed FROM h1 JOIN (SELECT {KEY}, o_orderpriority = '4-NOT SPECIFIED' AS raw_changed "
           + f"FROM r1 JOIN o ON r1.{KEY} = CAST(o.o_orderkey AS VARCHAR)) USING ({KEY})")
 def q_scd2_raw_only_change(spark, sf):
     """Q3: a raw-only change opens no version; the open row keeps run 1."""
-    h1 = deal_history(spark, sf, ["r1"])
+    h1 = deal_rows(spark, sf, "all")
     s2 = _raw_only_rows(spark, sf)
     h2 = scd2_merge(h1, s2, DEALS, form=SPLIT)
     changed = s2.select(KEY, F.get_json_object("raw_json", "$.note").isNotNull().alias("raw_changed"))
@@ -751,33 +788,39 @@ def q_scd2_sampled_run(spark, sf):
     return scd2_merge(h1, sample, DEALS, close_missing=False, form=SPLIT).select(*SCD2_OUT)
 
 
+def _blank_sql(column: str) -> str:
+    return f"({column} IS NULL OR trim(CAST({column} AS VARCHAR)) = '')"
+
+
+SCD2_REQUIRED = {KEY: KEY, "raw_json": "properties_json", VALID_FROM: VALID_FROM, IS_CURRENT: IS_CURRENT,
+                 INGESTED_AT: VALID_FROM, RUN_ID: RUN_ID, SOURCE_SYSTEM: f"'{C.SOURCE}'"}
+
+
 @register("audit_scd2_bundle", _with(*H3) + f"""
 , k AS (
-  SELECT {KEY}, count(*) AS n, count(*) FILTER (WHERE {IS_CURRENT}) AS c,
-""" + ",\n".join(
-    f"  count(*) FILTER (WHERE {IS_CURRENT} AND ({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '')) AS b_{c}"
-    for c in (KEY, VALID_FROM, IS_CURRENT, RUN_ID)) + f"""
-  FROM h3 GROUP BY {KEY})
-SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(c) AS BIGINT) AS current_rows,
-       count(*) FILTER (WHERE c > 1) AS bad_keys, """ + ", ".join(
-    f"CAST(sum(b_{c}) AS BIGINT) AS {c}" for c in (KEY, VALID_FROM, IS_CURRENT, RUN_ID)) + " FROM k")
+  SELECT {KEY}, count(*) AS n,
+""" + ",\n".join(f"  count(*) FILTER (WHERE {_blank_sql(x)}) AS b_{c}" for c, x in SCD2_REQUIRED.items()) + f"""
+  FROM h3 WHERE {IS_CURRENT} GROUP BY {KEY})
+SELECT CAST(sum(n) AS BIGINT) AS current_rows, count(*) FILTER (WHERE n > 1) AS bad_keys, """ + ", ".join(
+    f"CAST(sum(b_{c}) AS BIGINT) AS {c}" for c in SCD2_REQUIRED) + " FROM k")
 def q_audit_scd2_bundle(spark, sf):
     """V13 in one pass: required columns on current rows + one current per key."""
-    h = deal_history(spark, sf, ["r1", "r2", "r3"], form=SPLIT)
-    return audits.audit_report(h, DEALS).select("rows", "current_rows", "bad_keys", KEY, VALID_FROM,
-                                                IS_CURRENT, RUN_ID)
+    return audits.audit_report(deal_state(spark, sf), DEALS)
+
+
+OWNER_REQUIRED = {"owner_id": "owner_id", "raw_json": "owner_id", INGESTED_AT: INGESTED_AT, RUN_ID: RUN_ID, SOURCE_SYSTEM: SOURCE_SYSTEM}
 
 
 @register("audit_append_bundle", OWNERS_SQL + f"""
 , k AS (
-  SELECT owner_id, {RUN_ID}, count(*) AS n,
-         count(*) FILTER (WHERE owner_id IS NULL OR trim(owner_id) = '') AS owner_blank
+  SELECT owner_id, {RUN_ID} AS run, count(*) AS n,
+""" + ",\n".join(f"  count(*) FILTER (WHERE {_blank_sql(x)}) AS b_{c}" for c, x in OWNER_REQUIRED.items()) + f"""
   FROM own GROUP BY owner_id, {RUN_ID})
-SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, CAST(sum(owner_blank) AS BIGINT) AS owner_id
-FROM k""")
+SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, """ + ", ".join(
+    f"CAST(sum(b_{c}) AS BIGINT) AS {c}" for c in OWNER_REQUIRED) + " FROM k")
 def q_audit_append_bundle(spark, sf):
     """V12 in one pass: required ids + unique (key, run) over the whole table."""
-    return audits.audit_report(owner_history(spark, sf), OWNERS).select("rows", "distinct_keys", "owner_id")
+    return audits.audit_report(owner_history(spark, sf), OWNERS)
 
 
 # ============================================================ 10. pipeline summary

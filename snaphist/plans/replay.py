@@ -1,52 +1,44 @@
 """Rebuild SCD2 history from the landing zone without re-reading the source.
 
-All landed runs of an entity are read in one scan; each document's run comes
-from its file path (``<landing>/<run_id>/entities/<table>/...``) and is
-joined to the run markers, which list every run including those whose
-extract was empty. The staged rows then go through ``scd2_replay`` (one
-window pass). Full extracts only: a sampled run does not close missing
-versions, which a replay cannot tell apart from deletions.
+The runs are those the store committed, in their committed order: a run that
+a gate or audit rejected has landed as well, but made no history. Their landed
+documents are read in one scan; each document's run comes from its file path
+(``<landing>/<run_id>/entities/<table>/...``). The staged rows then go through
+``scd2_replay`` (one window pass). Sampled runs are refused: they don't close
+missing versions, which a replay cannot tell apart from deletions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import TableContract, VALID_FROM
-from ..functions.json import parse_fields
+from ..contracts import VALID_FROM, TableContract
 from ..operators.flatten import objects_to_rows
-from ..operators.scd2 import run_table, scd2_replay
-from ..streaming.landing_stream import MARKER_SCHEMA, MARKERS
+from ..operators.scd2 import run_ends, scd2_replay
+from ..sources.landing import DOC, envelope_results
+from ..sources.store import Store
+from .ingest import committed_runs
 
 
-def landed_runs(spark: SparkSession, landing: str) -> DataFrame:
-    """One row per landed run: ``run_id, ingested_at, run_seq`` (1..N by
-    ingest time). A window over the run list only: bounded by the run count."""
-    markers = spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true").json(
-        f"{landing.rstrip('/')}/{MARKERS}")
-    return markers.select("run_id", "ingested_at",
-                          F.row_number().over(Window.orderBy("ingested_at", "run_id")).alias("run_seq"))
-
-
-def landed_entity_rows(spark: SparkSession, landing: str, table: str, contract: TableContract, *,
-                       source_system: str) -> tuple[DataFrame, DataFrame]:
-    """Staged rows of every landed run of ``table`` (each stamped with its own
-    run) plus the ``runs`` input of ``scd2_replay``."""
-    runs = landed_runs(spark, landing)
-    pages = spark.read.text(f"{landing.rstrip('/')}/*/entities/{table}")
+def landed_entity_rows(spark: SparkSession, landing: str, table: str, contract: TableContract, runs: DataFrame, run_ids: list[str], *,
+                       source_system: str) -> DataFrame:
+    """Staged rows of the named runs of ``table``, each stamped with its run,
+    with ``run_seq`` and ``run_end``."""
+    pages = spark.read.text([f"{landing.rstrip('/')}/{r}/entities/{table}" for r in run_ids])
     run_of_file = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/entities/{table}/[^/]+$", 1)
-    env = parse_fields(F.col("value"), {"results": "array<string>"})
-    docs = pages.select(run_of_file.alias("run_id"), F.explode(env["results"]).alias("doc"))
-    stamped = docs.join(runs, "run_id")
-    staged = objects_to_rows(stamped, contract, run_id=F.col("run_id"), ingested_at=F.col("ingested_at"),
-                             source_system=source_system, keep=["run_seq"])
-    return staged, run_table(staged, runs.select("run_seq", F.col("ingested_at").alias(VALID_FROM)))
-
-
-def rebuild_history(spark: SparkSession, landing: str, table: str, contract: TableContract, *,
-                    source_system: str) -> DataFrame:
-    """The SCD2 history that merging every landed full extract in order would
-    produce, computed in one pass."""
-    staged, runs = landed_entity_rows(spark, landing, table, contract, source_system=source_system)
-    return scd2_replay(staged, runs, contract)
+    docs = envelope_results(pages.select("value", run_of_file.alias("run_id")), keep=("run_id",))
+    stamped = docs.join(run_ends(runs, docs, on="run_id"), "run_id")
+    return objects_to_rows(stamped, contract, run_id=F.col("run_id"), ingested_at=F.col(VALID_FROM),
+                           source_system=source_system, doc_col=DOC, keep=["run_seq", "run_end"])
+
+
+def rebuild_history(store: Store, landing: str, table: str, *, source_system: str) -> DataFrame:
+    """The SCD2 history that the store holds for ``table``, computed from the
+    landed extracts of its committed runs in one pass."""
+    spark, contract = store.spark, store.contracts[table]
+    runs = committed_runs(spark, store, table)
+    ids = [p.run_id for p in store.runs(table)]
+    if not ids:
+        return spark.createDataFrame([], contract.schema)
+    return scd2_replay(landed_entity_rows(spark, landing, table, contract, runs, ids, source_system=source_system), runs, contract)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,18 +32,21 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) a directory of our own is set."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared ``spark.checkpoint.dir``. Only a single-process
+    session (``local[...]``) that sets none gets a folder of its own: on a
+    cluster every machine would write to its own disk, so that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    target = conf or fallback or tempfile.mkdtemp(prefix="snaphist-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    target = spark.conf.get("spark.checkpoint.dir", None)
+    if not target:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        target = tempfile.mkdtemp(prefix="snaphist-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

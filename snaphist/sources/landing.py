@@ -18,35 +18,37 @@ from ..functions.json import jpath, parse_fields
 DOC = "doc"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` (default: the
-    cluster's parallelism) when its scan yields fewer partitions.
-
-    A landed extract made of a few large unsplittable files (one row group,
-    one compressed JSON file) scans as one task, and flattening JSON is
-    CPU-bound per row. A large scan already has more partitions than cores
-    and is returned unchanged, so no shuffle is added at scale.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
-        return df
-    return df if current >= target else df.repartition(target)
-
-
 def read_landing(spark: SparkSession, path: str | Sequence[str], *, whole_file: bool = False) -> DataFrame:
-    """Raw landed texts as a single ``value`` column."""
+    """Raw landed texts as a single ``value`` column. Text files split by size
+    (``spark.sql.files.maxPartitionBytes``, ``minPartitionNum``); nothing is
+    shuffled to spread them."""
     reader = spark.read.option("wholetext", "true") if whole_file else spark.read
     paths = [path] if isinstance(path, str) else list(path)
-    return spread(reader.text(paths))
+    return reader.text(paths)
 
 
-def envelope_results(pages: DataFrame, text_col: str = "value") -> DataFrame:
-    """One row per element of ``results``, kept as JSON text in ``doc``.
-    A page without ``results`` contributes no rows."""
+def envelope_results(pages: DataFrame, text_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per element of ``results``, kept as JSON text in ``doc``, and
+    the page's ``keep`` columns. Blank
+    lines are no pages. A page that is not JSON, or has no ``results`` list
+    (an error answer), fails the job: read as empty it would close every key
+    it should have listed."""
     env = parse_fields(F.col(text_col), {"results": "array<string>"})
-    return pages.select(F.explode(env["results"]).alias(DOC))
+    results = F.coalesce(env["results"], F.raise_error(F.lit("landed page without a results list")).cast("array<string>"))
+    return pages.where(F.trim(text_col) != "").select(*keep, F.explode(results).alias(DOC))
+
+
+# Kinds of ``page_faults``.
+NOT_JSON, NO_RESULTS = "not_json", "no_results"
+
+
+def page_faults(pages: DataFrame, text_col: str = "value") -> DataFrame:
+    """One row per page that cannot be read: ``fault`` and the page's text."""
+    shape = "struct<results:array<string>,_broken:string>"
+    env = F.from_json(F.col(text_col), shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    read = pages.where(F.trim(text_col) != "").select(F.col(text_col).alias("page"), env.alias("env"))
+    fault = F.when(F.col("env").isNull() | F.col("env._broken").isNotNull(), NOT_JSON).when(F.col("env.results").isNull(), NO_RESULTS)
+    return read.select(fault.alias("fault"), "page").where(F.col("fault").isNotNull())
 
 
 def next_cursor(pages: DataFrame, text_col: str = "value") -> DataFrame:
@@ -54,18 +56,44 @@ def next_cursor(pages: DataFrame, text_col: str = "value") -> DataFrame:
     return pages.select(jpath(F.col(text_col), "$.paging.next.after").alias("after"))
 
 
+def assert_whole_extract(pages: DataFrame, *, label: str, text_col: str = "value") -> None:
+    """A paged extract ends with exactly one page without a cursor, and no two
+    pages lead to the same next one. Pages that carry no cursors at all (an
+    unpaged landing) pass. One aggregate; one row reaches the driver."""
+    c = next_cursor(pages.where(F.trim(text_col) != ""), text_col).groupBy("after").agg(F.count(F.lit(1)).alias("n"))
+    row = c.agg(F.sum(F.when(F.col("after").isNull(), F.col("n"))).alias("last"), F.count("after").alias("cursors"),
+                F.max(F.when(F.col("after").isNotNull(), F.col("n"))).alias("most")).first()
+    if row["cursors"] and (row["last"] != 1 or row["most"] > 1):
+        raise ValueError(f"[landing/cursor-chain] {label}: {row['last'] or 0} last pages, "
+                         f"{row['cursors']} cursors, up to {row['most']} pages with one cursor")
+
+
 def read_objects(spark: SparkSession, path: str | Sequence[str], *, whole_file: bool = False) -> DataFrame:
     """Landing dir of page envelopes -> one JSON object text per row."""
     return envelope_results(read_landing(spark, path, whole_file=whole_file))
 
 
-def project_properties(docs: DataFrame, properties: Sequence[str]) -> DataFrame:
-    """Keep only the requested keys of ``properties`` (source key order kept).
-    Off by default: a landed extract is normally already projected."""
+def _projected(properties: Sequence[str]):
     wanted = F.array(*[F.lit(p) for p in properties])
     parsed = F.from_json(jpath(F.col(DOC), "$.properties"), "map<string,string>")
-    kept = F.map_filter(parsed, lambda k, v: F.array_contains(wanted, k))
-    return docs.withColumn("properties_projected", F.to_json(kept))
+    return F.to_json(F.map_filter(parsed, lambda k, v: F.array_contains(wanted, k)))
+
+
+def project_properties(docs: DataFrame, properties: Sequence[str]) -> DataFrame:
+    """The requested keys of ``properties`` as text, beside the document
+    (source key order kept)."""
+    return docs.withColumn("properties_projected", _projected(properties))
+
+
+def project_objects(docs: DataFrame, properties: Sequence[str]) -> DataFrame:
+    """Objects whose ``properties`` hold the requested keys only, as if the
+    source had been asked for no others; the other members stay as they are."""
+    names = ("id", "createdAt", "updatedAt", "archived")
+    whole = F.from_json(F.col(DOC), "map<string,string>", {"mode": "FAILFAST"})
+    typed = F.from_json(F.col(DOC), "struct<" + ",".join(f"{n}:variant" for n in names) + ">")
+    pieces = [F.when(F.map_contains_key(whole, n), F.concat(F.lit(f'"{n}":'), F.coalesce(F.to_json(typed[n]), F.lit("null")))) for n in names]
+    pieces.insert(1, F.when(F.map_contains_key(whole, "properties"), F.concat(F.lit('"properties":'), F.coalesce(_projected(properties), F.lit("{}")))))
+    return docs.withColumn(DOC, F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}")))
 
 
 def scope_to_ids(edges: DataFrame, ids: DataFrame, edge_col: str = "from_id", id_col: str = "id") -> DataFrame:

@@ -1,15 +1,17 @@
-"""Publishing tables as plain Parquet with run-level atomicity.
+"""Publishing tables as plain Parquet, a run at a time.
 
 Layout under ``root``::
 
-    <table>/_published_run=<run>/_is_current=<bool>/part-*.parquet   SCD2 tables
-    <table>/_ingestion_run_id=<run>/part-*.parquet                   append tables
-    _manifest/part-*.parquet                                         committed runs
+    <table>/_published_run=<run>@<attempt>/_is_current=<bool>/part-*.parquet   SCD2 tables
+    <table>/_published_run=<run>@<attempt>/part-*.parquet                      append tables
+    _manifest/part-*.parquet                                                   committed parts
+    _manifest/_claims/<seq>                                                    one empty file per taken run number
 
-A run writes only its own partition directory (dynamic partition overwrite,
-so a retried run replaces its own earlier attempt and nothing else), the
-written data is audited, and only then one manifest row commits it. Readers
-see committed runs only, so a failed run is invisible without clean-up.
+Every attempt of a run writes partitions of its own name, so what a failed
+attempt left behind is never read and a retry never meets it. When all tables
+of the run are written and audited, one claim file (created only if it does
+not exist, so of two runs that started from the same state one fails) and one
+manifest write commit all of them together. Readers see committed parts only.
 
 SCD2 tables keep closed versions append-only: a merge reads only the open
 rows of the latest committed run (partition-pruned), and writes the new open
@@ -19,30 +21,51 @@ the open rows and the extract, never to the whole history.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
-from ..contracts import IS_CURRENT, RUN_ID, SCD2, STAGING, TableContract, staging_name
+from ..contracts import IS_CURRENT, SCD2, STAGING, TableContract, schema_mismatches, staging_name, utc
 
 PUBLISHED_RUN = "_published_run"
 MANIFEST = "_manifest"
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("run_id", T.StringType()),
+    T.StructField("part_id", T.StringType()),      # value of _published_run
     T.StructField("seq", T.LongType()),
     T.StructField("ingested_at", T.TimestampType()),
     T.StructField("rows_written", T.LongType()),
-    T.StructField("kind", T.StringType()),         # "run" (NULL in older manifests) or "compaction"
-    T.StructField("covers_seq", T.LongType()),     # compaction: last run seq it replaces
+    T.StructField("total_rows", T.LongType()),     # append tables: rows of all runs so far
+    T.StructField("kind", T.StringType()),         # "run" or "compaction"
+    T.StructField("sampled", T.BooleanType()),     # the run kept a sample and closed nothing as missing
+    T.StructField("covers_from", T.LongType()),    # compaction: first and last run it replaces
+    T.StructField("covers_seq", T.LongType()),
 ])
 RUN, COMPACTION = "run", "compaction"
 
 
+class Part(NamedTuple):
+    run_id: str
+    part_id: str
+    seq: int
+    rows: int
+    total: int | None
+    sampled: bool
+    covers_from: int | None = None
+    covers_seq: int | None = None
+
+
+class RunConflict(RuntimeError):
+    """A run id or run number that is taken already."""
+
+
 @dataclass
 class Store:
     """``database`` + ``buckets`` (optional, needs a catalog that outlives the
@@ -71,45 +94,77 @@ class Store:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(conf).exists(p)
 
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
     def manifest(self) -> DataFrame:
         path = self.path(MANIFEST)
         if not self._exists(path):
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
         return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
+    def parts(self) -> dict[str, tuple[list[Part], list[Part]]]:
+        """Per table, its committed runs and compactions, oldest first. Run
+        metadata only (a row per table and run), read once per run."""
+        out: dict[str, tuple[list[Part], list[Part]]] = {n: ([], []) for n in self.contracts}
+        for r in sorted(self.manifest().collect(), key=lambda r: r["seq"]):
+            part = Part(r["run_id"], r["part_id"], r["seq"], r["rows_written"], r["total_rows"], bool(r["sampled"]), r["covers_from"], r["covers_seq"])
+            out.setdefault(r["table_name"], ([], []))[r["kind"] == COMPACTION].append(part)
+        return out
+
+    def runs(self, name: str) -> list[Part]:
+        return self.parts()[name][0]
+
     def committed(self, name: str) -> list[tuple[str, int]]:
-        """``(run_id, seq)`` of the committed runs of a table, oldest first.
-        Run metadata only: one row per run."""
-        rows = (self.manifest().where((F.col("table_name") == name)
-                                      & (F.coalesce(F.col("kind"), F.lit(RUN)) == RUN))
-                .select("run_id", "seq").orderBy("seq").collect())
-        return [(r["run_id"], r["seq"]) for r in rows]
-
-    def compaction(self, name: str) -> tuple[str, int] | None:
-        """``(partition id, last covered run seq)`` of the table's latest
-        committed closed-history compaction, if any."""
-        rows = (self.manifest().where((F.col("table_name") == name) & (F.col("kind") == COMPACTION))
-                .orderBy(F.col("seq").desc()).select("run_id", "covers_seq").limit(1).collect())
-        return (rows[0]["run_id"], rows[0]["covers_seq"]) if rows else None
-
-    def _closed_sources(self, name: str) -> list[str]:
-        """``_published_run`` values holding the committed closed history:
-        the latest compaction plus every run after it."""
-        comp = self.compaction(name)
-        runs = self.committed(name)
-        if comp is None:
-            return [r for r, _ in runs]
-        return [comp[0]] + [r for r, sq in runs if sq > comp[1]]
+        """``(run_id, seq)`` of the committed runs of a table, oldest first."""
+        return [(p.run_id, p.seq) for p in self.runs(name)]
+
+    @staticmethod
+    def _live(runs: list[Part], compactions: list[Part]) -> list[Part]:
+        """The parts that hold the closed history: compactions that no larger
+        one replaces, and the runs that none covers."""
+        live: list[Part] = []
+        for c in sorted(compactions, key=lambda c: c.seq, reverse=True):
+            if not any(k.covers_from <= c.covers_from and c.covers_seq <= k.covers_seq for k in live):
+                live.append(c)
+        live.sort(key=lambda c: c.covers_from)
+        return live + [r for r in runs if not any(c.covers_from <= r.seq <= c.covers_seq for c in live)]
+
+    def last_seq(self) -> int:
+        """The last run number taken, committed or not."""
+        fs, p = self._fs(f"{self.path(MANIFEST)}/_claims")
+        claimed = [int(f.getPath().getName()) for f in fs.listStatus(p)] if fs.exists(p) else []
+        return max([0, *claimed])
 
     def next_seq(self) -> int:
-        m = self.manifest().agg(F.max("seq")).first()[0]
-        return 1 if m is None else m + 1
+        return self.last_seq() + 1
 
-    def commit(self, name: str, run_id: str, seq: int, ingested_at, rows_written: int, *,
-               kind: str = RUN, covers_seq: int | None = None) -> None:
-        row = [(name, run_id, seq, _as_dt(ingested_at), rows_written, kind, covers_seq)]
-        self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path(MANIFEST))
+    @staticmethod
+    def part_id(run_id: str) -> str:
+        """A partition of this attempt's own."""
+        return f"{run_id}@{uuid.uuid4().hex[:12]}"
+
+    def _claim(self, seq: int) -> None:
+        fs, p = self._fs(f"{self.path(MANIFEST)}/_claims/{seq}")
+        try:
+            fs.create(p, False).close()
+        except Exception as e:  # noqa: BLE001 - the file system's own "already exists"
+            if fs.exists(p):
+                raise RunConflict(f"run number {seq} was taken by another run meanwhile") from e
+            raise
+
+    def commit(self, rows: Iterable[tuple[str, Part]], ingested_at, *, kind: str = RUN) -> None:
+        """Publish parts of any tables together. Their number must be the next
+        one: a run that started from an older state is refused."""
+        rows = list(rows)
+        seq = rows[0][1].seq
+        if seq != self.next_seq():
+            raise RunConflict(f"run number {seq} is no longer the next one: another run was committed meanwhile")
+        self._claim(seq)
+        at = utc(ingested_at)
+        data = [(n, p.run_id, p.part_id, p.seq, at, p.rows, p.total, kind, p.sampled, p.covers_from, p.covers_seq) for n, p in rows]
+        self.spark.createDataFrame(data, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(self.path(MANIFEST))
 
     # ------------------------------------------------------------ bootstrap / existence
     def bootstrap(self, database: str | None = None) -> list[str]:
@@ -151,22 +206,18 @@ class Store:
     def assert_tables_exist(self) -> None:
         missing = self.missing_tables()
         if missing:
-            raise RuntimeError("Required tables missing (run Store.bootstrap first): "
-                               + ", ".join(self.path(m) for m in missing))
+            raise RuntimeError(f"[store/not-bootstrapped] {len(missing)} of the contract's tables do not exist: {', '.join(missing)}")
 
     # ------------------------------------------------------------ schemas
     @staticmethod
     def partition_columns(c: TableContract) -> list[str]:
-        return [PUBLISHED_RUN, IS_CURRENT] if c.pattern == SCD2 else [RUN_ID]
+        return [PUBLISHED_RUN, IS_CURRENT] if c.pattern == SCD2 else [PUBLISHED_RUN]
 
     @staticmethod
     def stored_schema(c: TableContract) -> T.StructType:
-        if c.pattern == SCD2:
-            fields = [f for f in c.schema.fields if f.name != IS_CURRENT]
-            return T.StructType(fields + [T.StructField(PUBLISHED_RUN, T.StringType()),
-                                          T.StructField(IS_CURRENT, T.BooleanType())])
-        return T.StructType([f for f in c.schema.fields if f.name != RUN_ID]
-                            + [T.StructField(RUN_ID, T.StringType())])
+        fields = [f for f in c.schema.fields if c.pattern != SCD2 or f.name != IS_CURRENT]
+        flag = [T.StructField(IS_CURRENT, T.BooleanType())] if c.pattern == SCD2 else []
+        return T.StructType([*fields, T.StructField(PUBLISHED_RUN, T.StringType()), *flag])
 
     def _raw(self, name: str) -> DataFrame:
         c = self.contracts[name]
@@ -175,21 +226,34 @@ class Store:
         return self.spark.read.schema(self.stored_schema(c)).parquet(self.path(name))
 
     # ------------------------------------------------------------ reads
+    def _of(self, name: str, condition) -> DataFrame:
+        return self._raw(name).where(condition).select(*self.contracts[name].columns)
+
     def read(self, name: str, *, pending: str | None = None) -> DataFrame:
-        """The table in contract column order, committed runs only (plus the
-        written-but-uncommitted run ``pending`` when auditing it)."""
+        """The table in contract column order, committed parts only (plus the
+        written-but-uncommitted part ``pending`` when auditing it)."""
         c = self.contracts[name]
-        runs = [r for r, _ in self.committed(name)]
-        if c.pattern == SCD2:
-            latest = pending or (runs[-1] if runs else None)
-            closed_runs = self._closed_sources(name) + ([pending] if pending else [])
-            keep = ((~F.col(IS_CURRENT) & F.col(PUBLISHED_RUN).isin(closed_runs))
-                    | (F.col(IS_CURRENT) & (F.col(PUBLISHED_RUN) == F.lit(latest))))
-        else:
-            keep = F.col(RUN_ID).isin(runs + ([pending] if pending else []))
+        runs, compactions = self.parts()[name]
         if not runs and not pending:
             return self.spark.createDataFrame([], c.schema)
-        return self._raw(name).where(keep).select(*c.columns)
+        extra = [pending] if pending else []
+        if c.pattern != SCD2:
+            return self._of(name, F.col(PUBLISHED_RUN).isin([r.part_id for r in runs] + extra))
+        closed = [p.part_id for p in self._live(runs, compactions)] + extra
+        latest = pending or runs[-1].part_id
+        return self._of(name, (~F.col(IS_CURRENT) & F.col(PUBLISHED_RUN).isin(closed))
+                        | (F.col(IS_CURRENT) & (F.col(PUBLISHED_RUN) == latest)))
+
+    def read_run(self, name: str, run_id: str) -> DataFrame:
+        """What one committed run wrote; only its partitions are read."""
+        ids = [p.part_id for p in self.runs(name) if p.run_id == run_id]
+        return self._of(name, F.col(PUBLISHED_RUN).isin(ids)) if ids else self.spark.createDataFrame([], self.contracts[name].schema)
+
+    def latest_run(self, name: str) -> DataFrame:
+        """Rows of the table's last committed run: the manifest names it, so
+        the history is not searched for it."""
+        runs = self.runs(name)
+        return self.read_run(name, runs[-1].run_id) if runs else self.spark.createDataFrame([], self.contracts[name].schema)
 
     def register_views(self, names: list[str] | None = None, *, global_views: bool = False) -> list[str]:
         """(Re)point one SQL view per table at its committed runs, so
@@ -203,81 +267,103 @@ class Store:
 
     def read_open(self, name: str) -> DataFrame:
         """Open SCD2 rows of the latest committed run (two partition filters)."""
-        c = self.contracts[name]
-        runs = self.committed(name)
+        runs = self.runs(name)
         if not runs:
-            return self.spark.createDataFrame([], c.schema)
-        return (self._raw(name).where((F.col(PUBLISHED_RUN) == F.lit(runs[-1][0])) & F.col(IS_CURRENT))
-                .select(*c.columns))
+            return self.spark.createDataFrame([], self.contracts[name].schema)
+        return self._of(name, (F.col(PUBLISHED_RUN) == runs[-1].part_id) & F.col(IS_CURRENT))
 
     # ------------------------------------------------------------ writes
-    def load_staging(self, name: str, rows: DataFrame) -> DataFrame:
-        """Truncate-and-load the staging table of an entity (K3) and return it
-        read back: gates and merge then scan Parquet instead of re-parsing
-        the landed JSON, and the lineage is cut at the write."""
-        path = self.path(staging_name(name))
-        rows.select(*self.contracts[name].columns).write.mode("overwrite").parquet(path)
+    def load_staging(self, name: str, rows: DataFrame, part_id: str) -> DataFrame:
+        """Load the staging table of an entity (K3), in this attempt's own
+        folder, and return it read back: gates and merge then scan Parquet
+        instead of re-parsing the landed JSON, and the lineage is cut at the
+        write."""
+        path = f"{self.path(staging_name(name))}/{part_id}"
+        rows.select(*self.contracts[name].columns).write.parquet(path)
         return self.spark.read.schema(self.contracts[name].schema).parquet(path)
 
-    def write_run(self, name: str, rows: DataFrame, run_id: str) -> None:
-        """Write (or rewrite) this run's partition only; not yet visible."""
+    def clear_staging(self, part_id: str) -> None:
+        """Remove the attempt's staging folders."""
+        for name, c in self.contracts.items():
+            if c.pattern == STAGING:
+                fs, p = self._fs(f"{self.path(name)}/{part_id}")
+                if fs.exists(p):
+                    fs.delete(p, True)
+
+    def write_run(self, name: str, rows: DataFrame, part_id: str) -> None:
+        """Write this attempt's partition; not yet visible. Rows whose schema
+        is not the contract's are refused."""
         c = self.contracts[name]
-        out = rows.select(*c.columns)
-        if c.pattern == SCD2:
-            out = out.withColumn(PUBLISHED_RUN, F.lit(run_id))
+        problems = schema_mismatches(rows.schema, c)
+        if problems:
+            raise ValueError("[store/schema] " + "; ".join(problems))
+        out = rows.withColumn(PUBLISHED_RUN, F.lit(part_id))
         self._write(name, out.select(*[f.name for f in self.stored_schema(c).fields]))
 
     def _write(self, name: str, out: DataFrame) -> None:
+        """Append: the partition is new, whoever else writes."""
         c = self.contracts[name]
         if self._bucketed(name):
-            # by position into the bucketed table; dynamic overwrite replaces
-            # this run's partitions only. The merge output is already hash
-            # partitioned on the key with the bucket count, so each task
+            # by position into the bucketed table. The merge output is already
+            # hash partitioned on the key with the bucket count, so each task
             # writes one bucket file per partition (no extra shuffle).
-            out.write.option("partitionOverwriteMode", "dynamic").insertInto(self.table_name(name), overwrite=True)
+            out.write.insertInto(self.table_name(name), overwrite=False)
             return
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.partition_columns(c)).parquet(self.path(name)))
+        out.write.mode("append").partitionBy(*self.partition_columns(c)).parquet(self.path(name))
 
-    def _delete_partition(self, name: str, run: str, current: bool) -> str | None:
+    def written(self, name: str, part_id: str) -> DataFrame:
+        """Rows of one part (for audits before commit)."""
+        return self._of(name, F.col(PUBLISHED_RUN) == F.lit(part_id))
+
+    # ------------------------------------------------------------ maintenance
+    def _delete_partition(self, name: str, part: str, current: bool | None) -> str | None:
+        flag = "" if current is None else f"/{IS_CURRENT}={str(current).lower()}"
         if self._bucketed(name):
-            self.spark.sql(f"ALTER TABLE {self.table_name(name)} DROP IF EXISTS "
-                           f"PARTITION ({PUBLISHED_RUN}='{run}', {IS_CURRENT}={str(current).lower()})")
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{PUBLISHED_RUN}={run}/{IS_CURRENT}={str(current).lower()}")
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            spec = f"{PUBLISHED_RUN}='{part}'" + ("" if current is None else f", {IS_CURRENT}={str(current).lower()}")
+            self.spark.sql(f"ALTER TABLE {self.table_name(name)} DROP IF EXISTS PARTITION ({spec})")
+        fs, p = self._fs(f"{self.path(name)}/{PUBLISHED_RUN}={escaped(part)}{flag}")
         if fs.exists(p):
             fs.delete(p, True)
             return str(p)
         return None
 
-    def compact_closed(self, name: str, *, now: datetime | str | None = None) -> str | None:
-        """Rewrite the committed closed history of an SCD2 table (the latest
-        compaction plus every run since) into one partition, commit it, then
-        delete the partitions it replaces. Bounds the number of closed-history
-        directories and small files independently of the run count; reads
-        return the same rows before and after. Returns the new partition id,
-        or None when there is nothing new to compact."""
+    def compact_closed(self, name: str, *, now: datetime | str | None = None, fan_in: int = 4) -> str | None:
+        """Write the closed history of the runs since the last compaction as
+        one part; when ``fan_in`` compactions of about one size stand side by
+        side, write them as one. A row is rewritten once per level, so all
+        compactions together cost n log n, and the number of parts stays
+        logarithmic in the number of runs. The parts replaced are deleted only
+        after the commit. Returns the new part, or None if nothing is new."""
         c = self.contracts[name]
-        runs = self.committed(name)
-        comp = self.compaction(name)
-        if c.pattern != SCD2 or not runs or (comp and comp[1] >= runs[-1][1]):
+        if c.pattern != SCD2:
+            return None
+        runs, compactions = self.parts()[name]
+        live = self._live(runs, compactions)
+        old = [p for p in live if p.covers_seq is not None]
+        fresh = [p for p in live if p.covers_seq is None]
+        if not fresh:
             return None
-        sources = self._closed_sources(name)
-        covers = runs[-1][1]
-        new_id = f"compacted-{covers}"
-        closed = self._raw(name).where(~F.col(IS_CURRENT) & F.col(PUBLISHED_RUN).isin(sources))
-        # materialise first (shared checkpoint dir): the write replaces
-        # partitions of the same table the rows are read from
-        ensure_checkpoint_dir(self.spark)
-        staged = closed.withColumn(PUBLISHED_RUN, F.lit(new_id)).checkpoint()
-        self._write(name, staged.select(*[f.name for f in self.stored_schema(c).fields]))
-        written = self._raw(name).where((F.col(PUBLISHED_RUN) == new_id) & ~F.col(IS_CURRENT)).count()
-        self.commit(name, new_id, self.next_seq(), now or datetime.now(timezone.utc), written,
-                    kind=COMPACTION, covers_seq=covers)
-        for src in sources:
-            self._delete_partition(name, src, False)
-        return new_id
+        span = len(fresh)
+        while len(old) >= fan_in - 1 and all(self._size(p, runs) <= span * fan_in for p in old[-(fan_in - 1):]):
+            fresh = old[-(fan_in - 1):] + fresh
+            old = old[:-(fan_in - 1)]
+            span = sum(self._size(p, runs) for p in fresh)
+        part = self.part_id("compacted")
+        ids = [p.part_id for p in fresh]
+        closed = self._raw(name).where(~F.col(IS_CURRENT) & F.col(PUBLISHED_RUN).isin(ids)).withColumn(PUBLISHED_RUN, F.lit(part))
+        self._write(name, closed.select(*[f.name for f in self.stored_schema(c).fields]))
+        written = self._raw(name).where((F.col(PUBLISHED_RUN) == part) & ~F.col(IS_CURRENT)).count()
+        low = min(p.seq if p.covers_from is None else p.covers_from for p in fresh)
+        high = max(p.seq if p.covers_seq is None else p.covers_seq for p in fresh)
+        self.commit([(name, Part("compacted", part, self.next_seq(), written, None, False, low, high))], now or datetime.now(timezone.utc), kind=COMPACTION)
+        for p in ids:
+            self._delete_partition(name, p, False)
+        return part
+
+    @staticmethod
+    def _size(p: Part, runs: list[Part]) -> int:
+        """Runs that a part covers."""
+        return 1 if p.covers_seq is None else sum(p.covers_from <= r.seq <= p.covers_seq for r in runs)
 
     def drop_superseded(self, name: str, *, keep: int = 2) -> list[str]:
         """Delete the open-row partitions of SCD2 runs older than the last
@@ -285,20 +371,40 @@ class Store:
         never read; closed history is not touched. Keeps storage at
         O(history + keep x open rows) instead of growing by the open set per
         run. Returns the deleted paths."""
+        if keep < 1:
+            raise ValueError("keep must be at least 1: the last run's open rows are the live ones")
         if self.contracts[name].pattern != SCD2:
             return []
-        runs = [r for r, _ in self.committed(name)]
-        deleted = [self._delete_partition(name, r, True) for r in (runs[:-keep] if keep > 0 else runs)]
+        deleted = [self._delete_partition(name, r.part_id, True) for r in self.runs(name)[:-keep]]
         return [d for d in deleted if d]
 
-    def written(self, name: str, run_id: str) -> DataFrame:
-        """Rows written by ``run_id`` (for audits before commit)."""
-        c = self.contracts[name]
-        col = PUBLISHED_RUN if c.pattern == SCD2 else RUN_ID
-        return self._raw(name).where(F.col(col) == F.lit(run_id)).select(*c.columns)
+    def drop_orphans(self, name: str) -> list[str]:
+        """Delete the parts that no commit names: failed attempts, and what a
+        crash between a compaction's commit and its deletions left. Not to be
+        called while a run is being written."""
+        runs, compactions = self.parts()[name]
+        named = {escaped(p.part_id): p.part_id for p in [*runs, *compactions]}
+        closed = {p.part_id for p in self._live(runs, compactions)}
+        scd2 = self.contracts[name].pattern == SCD2
+        fs, p = self._fs(self.path(name))
+        found = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+        deleted = []
+        for d in found:
+            if d.startswith(f"{PUBLISHED_RUN}="):
+                part = named.get(d.partition("=")[2])
+                if part is None:
+                    orphan, q = self._fs(f"{self.path(name)}/{d}")
+                    orphan.delete(q, True)
+                    deleted.append(str(q))
+                elif scd2 and part not in closed:
+                    deleted.append(self._delete_partition(name, part, False))
+        return [d for d in deleted if d]
+
+
+# Characters that a partition's folder name holds as %XX.
+ESCAPED = "\"#%'*/:=?\\{[]^"
 
 
-def _as_dt(v):
-    if isinstance(v, datetime):
-        return v
-    return datetime.fromisoformat(str(v))
+def escaped(part: str) -> str:
+    """A partition value as it stands in a folder name."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 or ord(c) == 127 else c for c in part)

@@ -12,8 +12,8 @@ The stream watches ``_runs`` (a file source: new markers only, tracked in the
 query checkpoint); every micro-batch ingests its runs in ingest-time order
 through ``ingest_run``. With ``available_now`` the query drains what has
 landed and stops, which is how a scheduled job runs it. A replayed batch
-after a failure is idempotent: a run only rewrites its own partitions and
-tables it already committed are skipped.
+after a failure is idempotent: a run is committed as a whole, and one that is
+committed is skipped.
 """
 
 from __future__ import annotations
@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import ensure_checkpoint_dir
-from ..sources.landing import envelope_results, read_landing
+from ..sources.landing import assert_whole_extract, envelope_results, read_landing
 from ..sources.store import Store
 from ..plans.ingest import ingest_run
 from ..plans.pipeline import RunInputs
@@ -55,7 +54,9 @@ def landed_inputs(spark: SparkSession, landing: str, run_id: str) -> RunInputs:
     base = f"{landing.rstrip('/')}/{run_id}"
 
     def objs(path: str) -> DataFrame:
-        return envelope_results(read_landing(spark, path))
+        pages = read_landing(spark, path)
+        assert_whole_extract(pages, label=path)
+        return envelope_results(pages)
 
     inputs = RunInputs()
     for t in _subdirs(spark, f"{base}/entities"):
@@ -93,12 +94,10 @@ def land_run(spark: SparkSession, inputs: RunInputs, landing: str, *, run_id: st
 
 
 def start_ingest_stream(spark: SparkSession, store: Store, landing: str, *, source_system: str,
-                        checkpoint_location: str | None = None, available_now: bool = True,
+                        checkpoint_location: str, available_now: bool = True,
                         sample_limit: int | None = None) -> StreamingQuery:
-    """Start the stream; ``checkpoint_location`` defaults to a folder under
-    the session's shared ``spark.checkpoint.dir``."""
-    if checkpoint_location is None:
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-stream"
+    """Start the stream. ``checkpoint_location`` holds the query's progress: a
+    folder that outlives the driver's machine."""
     markers = (spark.readStream.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true")
                .json(f"{landing.rstrip('/')}/{MARKERS}"))
 

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from snaphist.session import build_session  # noqa: E402
+from snaphist.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -15,6 +15,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     s = build_session("local[4]", shuffle_partitions=4, app="snaphist-tests",
                       extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    ensure_checkpoint_dir(s)
     yield s
     s.stop()
 

@@ -1,5 +1,6 @@
 """Post-load audits, consumer reads, and the stored ingest run end to end."""
 
+import json
 from datetime import datetime
 
 import pytest
@@ -10,8 +11,9 @@ from snaphist.contracts import crm_contracts
 from snaphist.operators import audits, reads
 from snaphist.plans import carriers as CR
 from snaphist.plans.ingest import audit_run, ingest_run
-from snaphist.plans.pipeline import RunInputs
-from snaphist.sources.store import Store
+from snaphist.plans.pipeline import RunInputs, map_run
+from snaphist.sources.landing import assert_whole_extract, envelope_results, page_faults
+from snaphist.sources.store import RunConflict, Store
 
 C = crm_contracts("source")
 EDGE = C["contact_company_associations"]
@@ -23,9 +25,9 @@ def test_unique_keys_treat_nulls_as_equal(spark):
                                "association_type_id long")
     r = audits.key_uniqueness(df, list(EDGE.business_keys)).first()
     assert (r.total, r.distinct_keys) == (3, 2)
-    with pytest.raises(ValueError, match="total=3 distinct=2"):
+    with pytest.raises(ValueError, match="3 rows but 2 keys"):
         audits.assert_unique(df, EDGE.business_keys, label="edges")
-    with pytest.raises(ValueError, match="key_columns required"):
+    with pytest.raises(ValueError, match="audit/no-keys"):
         audits.assert_unique(df, (), label="edges")
 
 
@@ -33,9 +35,9 @@ def test_one_current_and_required(spark):
     df = spark.createDataFrame([("1", True, "x"), ("1", True, "y"), ("2", True, " "), ("3", False, None)],
                                "source_id string, _is_current boolean, raw_json string")
     assert [r.source_id for r in audits.multi_current(df, ["source_id"]).collect()] == ["1"]
-    with pytest.raises(ValueError, match="multiple current rows"):
+    with pytest.raises(ValueError, match="audit/one-open"):
         audits.assert_one_current(df, "source_id", label="deals")
-    with pytest.raises(ValueError, match="1 current rows have null/blank raw_json"):
+    with pytest.raises(ValueError, match=r"deals.raw_json: NULL or blank in 1 of 3 rows"):
         audits.assert_required(df, ["raw_json"], label="deals", current_only=True)
     r = audits.blank_counts(df, ["raw_json"]).first()
     assert (r.rows, r.raw_json) == (4, 2)
@@ -72,16 +74,20 @@ def small_inputs(spark, run):
 
 def test_stored_runs_publish_and_audit(spark, scratch):
     store = Store(spark, f"{scratch}/bronze", C)
-    with pytest.raises(RuntimeError, match="missing"):
+    with pytest.raises(RuntimeError, match="not-bootstrapped"):
         store.assert_tables_exist()
     assert "deals" in store.bootstrap()
     store.assert_tables_exist()
-    _, c1 = ingest_run(store, small_inputs(spark, "r1"), run_id="r1", ingested_at=CR.RUNS["r1"], source_system="crm")
-    _, c2 = ingest_run(store, small_inputs(spark, "r2"), run_id="r2", ingested_at=CR.RUNS["r2"], source_system="crm",
-                       audit_scope="run")
+    _, c1, ch1 = ingest_run(store, small_inputs(spark, "r1"), run_id="r1", ingested_at=CR.RUNS["r1"], source_system="crm")
+    _, c2, ch2 = ingest_run(store, small_inputs(spark, "r2"), run_id="r2", ingested_at=CR.RUNS["r2"], source_system="crm",
+                            audit_scope="table")
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     r2_ids = orders.where(~((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW"))).count()
     assert c2["deals"] == r2_ids
+    assert ch1["deals"] == (c1["deals"], c1["deals"], 0) and ch2["deals"].staged == r2_ids
+    was = store.read("deals")
+    assert ch2["deals"].closed == was.where("NOT _is_current").count()
+    assert ch2["deals"].opened == was.where("_is_current AND _ingestion_run_id = 'r2'").count()
     deals = store.read("deals")
     audits.check_scd2(deals, C["deals"])
     store.register_views(["deals"])
@@ -89,7 +95,7 @@ def test_stored_runs_publish_and_audit(spark, scratch):
     assert deals.where("_is_current").count() == r2_ids
     assert c2["owners"] == c1["owners"] + store.read("owners").where("_ingestion_run_id = 'r2'").count()
     # re-running the same extract is a no-op for SCD2 and one more run for append tables
-    _, c3 = ingest_run(store, small_inputs(spark, "r2"), run_id="r2b", ingested_at=CR.RUNS["r3"],
+    _, c3, _ = ingest_run(store, small_inputs(spark, "r2"), run_id="r2b", ingested_at=CR.RUNS["r3"],
                        source_system="crm")
     assert c3["deals"] == c2["deals"]
     assert store.read("deals").count() == deals.count()
@@ -100,6 +106,133 @@ def test_stored_runs_publish_and_audit(spark, scratch):
     assert sorted(map(tuple, store.read("deals").collect()), key=repr) == before
 
 
+def docs(spark, objs):
+    return spark.createDataFrame([(json.dumps(o),) for o in objs], "doc string")
+
+
+def deal(i, amount="1"):
+    return {"id": i, "properties": {"amount": amount}, "createdAt": "c", "updatedAt": "u"}
+
+
+def content(store, name):
+    return sorted((tuple(r) for r in store.read(name).collect()), key=repr)
+
+
+def new_store(spark, root):
+    store = Store(spark, root, C)
+    store.bootstrap()
+    return store
+
+
+def ingest(store, run_id, day, deals, owners=()):
+    return ingest_run(store, RunInputs(entities={"deals": docs(store.spark, deals) if deals else docs(store.spark, [{}]).limit(0)},
+                                       owners=docs(store.spark, owners) if owners else docs(store.spark, [{}]).limit(0)),
+                      run_id=run_id, ingested_at=f"2024-01-0{day} 00:00:00", source_system="crm")
+
+
+@pytest.mark.parametrize("second", [
+    [deal(1), deal(2), deal(3)],      # the full extract again: closes nothing
+    [],                               # an empty extract: closes all
+    [deal(2, "9")],                   # another extract
+])
+def test_retry_after_failed_audit_equals_clean_store(spark, scratch, monkeypatch, second):
+    """What a failed attempt wrote is never read, whatever the retry holds."""
+    clean, store = new_store(spark, f"{scratch}/clean"), new_store(spark, f"{scratch}/retried")
+    for s in (clean, store):
+        ingest(s, "a", 1, [deal(1), deal(2), deal(3)], [{"id": 7}])
+    real = audits.check_append
+    monkeypatch.setattr(audits, "check_append", lambda *a, **k: (_ for _ in ()).throw(ValueError("audit")))
+    with pytest.raises(ValueError, match="audit"):
+        ingest(store, "b", 2, [deal(1, "5")], [{"id": 8}, {"id": 9}])
+    monkeypatch.setattr(audits, "check_append", real)
+    assert content(store, "deals") == content(clean, "deals")
+    for s in (clean, store):
+        ingest(s, "b", 2, second)     # owners: no rows this time
+    for t in ("deals", "owners"):
+        assert content(store, t) == content(clean, t)
+    assert store.drop_orphans("deals") and not store.drop_orphans("deals")
+    assert len(store.drop_orphans("owners")) == 1
+    for t in ("deals", "owners"):
+        assert content(store, t) == content(clean, t)
+
+
+def test_a_run_id_is_ingested_once(spark, scratch):
+    store = new_store(spark, f"{scratch}/bronze")
+    ingest(store, "a", 1, [deal(1)])
+    before = content(store, "deals")
+    with pytest.raises(RunConflict, match="committed already"):
+        ingest(store, "a", 2, [deal(2)])
+    assert content(store, "deals") == before
+
+
+def test_of_two_interleaved_runs_one_is_refused(spark, scratch, monkeypatch):
+    store = new_store(spark, f"{scratch}/bronze")
+    ingest(store, "a", 1, [deal(1)])
+    other = Store(spark, store.root, C)
+    real = audits.check_scd2
+    calls = []
+
+    def meanwhile(*a, **k):
+        if not calls:
+            calls.append(1)
+            ingest(other, "c", 2, [deal(1), deal(3)])
+        return real(*a, **k)
+
+    monkeypatch.setattr(audits, "check_scd2", meanwhile)
+    with pytest.raises(RunConflict):
+        ingest(store, "b", 2, [deal(1), deal(2)])
+    assert [r for r, _ in store.committed("deals")] == ["a", "c"]
+    assert sorted(r.source_id for r in store.read("deals").collect()) == ["1", "3"]
+
+
+def test_corrupt_page_fails_the_run_and_closes_nothing(spark, scratch):
+    store = new_store(spark, f"{scratch}/bronze")
+    ingest(store, "a", 1, [deal(1), deal(2)])
+    before = content(store, "deals")
+    good = json.dumps({"results": [deal(1)]})
+    for bad in (good[: len(good) // 2], '{"status":"error"}'):
+        pages = spark.createDataFrame([(good,), (bad,)], "value string")
+        assert page_faults(pages).count() == 1
+        with pytest.raises(Exception, match="(?i)malformed|results list"):
+            ingest_run(store, RunInputs(entities={"deals": envelope_results(pages)}), run_id="b",
+                       ingested_at="2024-01-02 00:00:00", source_system="crm")
+        assert content(store, "deals") == before
+
+
+def test_cursor_chain(spark):
+    page = lambda after: (json.dumps({"results": [], **({"paging": {"next": {"after": after}}} if after else {})}),)
+    check = lambda *after: assert_whole_extract(spark.createDataFrame([page(a) for a in after], "value string"), label="x")
+    check("1", "2", None)
+    check(None, None)                  # no cursors at all
+    for broken in (("1", "2"), ("1", "1", None), ("1", None, None)):
+        with pytest.raises(ValueError, match="cursor-chain"):
+            check(*broken)
+
+
+def test_projection_at_ingest(spark, scratch):
+    store = new_store(spark, f"{scratch}/bronze")
+    full = {"id": 1, "properties": {"amount": "3", "color": "red"}, "createdAt": "c", "archived": False}
+    ingest_run(store, RunInputs(entities={"deals": docs(spark, [full])}), run_id="a", ingested_at="2024-01-01 00:00:00",
+               source_system="crm", project=True)
+    r = store.read("deals").first()
+    assert json.loads(r.properties_json) == {"amount": "3"} and r.source_id == "1" and r.archived is False
+    assert json.loads(r.raw_json) == {**full, "properties": {"amount": "3"}}
+
+
+def test_schema_is_checked_at_write(spark, scratch):
+    store = new_store(spark, f"{scratch}/bronze")
+    rows = spark.createDataFrame([], C["owners"].schema).withColumn("archived", F.lit("no"))
+    with pytest.raises(ValueError, match="store/schema.*owners.archived"):
+        store.write_run("owners", rows, "x")
+
+
+def test_edges_without_their_entity_are_none(spark, scratch):
+    edges = docs(spark, [{"from": {"id": 1}, "to": [{"toObjectId": 10}]}])
+    mapped = map_run(RunInputs(associations={"deal_company_associations": edges}), C, run_id="a",
+                     ingested_at="2024-01-01 00:00:00", source_system="crm")
+    assert mapped["deal_company_associations"].count() == 0
+
+
 def test_failed_run_stays_invisible(spark, scratch):
     store = Store(spark, f"{scratch}/bronze", C)
     store.bootstrap()
@@ -107,7 +240,7 @@ def test_failed_run_stays_invisible(spark, scratch):
     before = store.read("deals").count()
     bad = small_inputs(spark, "r2")
     bad.entities["deals"] = bad.entities["deals"].unionByName(bad.entities["deals"].limit(1))
-    with pytest.raises(ValueError, match="duplicate"):
+    with pytest.raises(ValueError, match="duplicate_key"):
         ingest_run(store, bad, run_id="r2", ingested_at=CR.RUNS["r2"], source_system="crm")
     assert store.read("deals").count() == before
     assert [r for r, _ in store.committed("deals")] == ["r1"]
@@ -118,23 +251,25 @@ def test_sampled_run_audit(spark, scratch):
     store.bootstrap()
     ingest_run(store, small_inputs(spark, "r3"), run_id="s1", ingested_at=CR.RUNS["r1"], source_system="crm",
                sample_limit=25)
-    counts = audit_run(store, "s1", sample_limit=25)
+    with pytest.raises(ValueError, match="run-incomplete.*contacts"):
+        audit_run(store, "s1", sample_limit=25)
+    names = ("deals", "owners", "deal_pipeline_stages")
+    part = Store(spark, store.root, {n: c for n, c in C.items() if n in names or c.pattern == "staging"})
+    counts = audit_run(part, "s1", sample_limit=25)
     assert counts["deals"] == 25 and 0 < counts["owners"] <= 25
-    with pytest.raises(ValueError, match="committed no tables"):
-        audit_run(Store(spark, f"{scratch}/empty", C), "s1", sample_limit=25)
+    with pytest.raises(ValueError, match="at least 1"):
+        store.drop_superseded("deals", keep=0)
 
 
 def test_ingest_scopes_associations_to_extracted_ids(spark, scratch):
-    import json
-    docs = lambda objs: spark.createDataFrame([(json.dumps(o),) for o in objs], "doc string")
-    deals = docs([{"id": 1, "properties": {"dealname": "a"}}, {"id": 2, "properties": {"dealname": "b"}}])
-    edges = docs([{"from": {"id": 1}, "to": [{"toObjectId": 10, "associationTypes": [
+    deals = docs(spark, [{"id": 1, "properties": {"dealname": "a"}}, {"id": 2, "properties": {"dealname": "b"}}])
+    edges = docs(spark, [{"from": {"id": 1}, "to": [{"toObjectId": 10, "associationTypes": [
                       {"category": "X", "typeId": 3, "label": "l"}]}]},
                   {"from": {"id": 2}, "to": [{"toObjectId": 11}]},
                   {"from": {"id": 3}, "to": [{"toObjectId": 12}]}])          # 3 was not extracted
     store = Store(spark, f"{scratch}/bronze", C)
     store.bootstrap()
-    _, counts = ingest_run(store, RunInputs(entities={"deals": deals},
+    _, counts, _ = ingest_run(store, RunInputs(entities={"deals": deals},
                                             associations={"deal_company_associations": edges}),
                            run_id="r1", ingested_at="2024-01-01 00:00:00", source_system="crm")
     got = sorted((r.deal_id, r.company_id, r.association_type_id)

@@ -57,10 +57,23 @@ def test_compaction_keeps_reads_in_both_modes(spark, scratch):
             ingest_run(s, inputs(spark, run), run_id=run, ingested_at=CR.RUNS[run], source_system="crm")
         for s in stores:
             if i >= 1:
-                assert s.compact_closed("deals") == f"compacted-{s.committed('deals')[-1][1]}"
+                assert s.compact_closed("deals").startswith("compacted@")
                 assert s.compact_closed("deals") is None          # nothing new to compact
             assert rows(s, "deals") == rows(plain, "deals")
-    for s in stores:
-        # one closed-history directory left: the latest compaction
-        closed = s._raw("deals").where("NOT _is_current").select("_published_run").distinct().collect()
-        assert [r[0] for r in closed] == [s.compaction("deals")[0]]
+
+
+def test_compactions_merge_by_level(spark, scratch):
+    store = Store(spark, f"{scratch}/levels", C)
+    store.bootstrap()
+    for i in range(5):
+        variant = ("r1", "r2", "r3")[i % 3]
+        ingest_run(store, RunInputs(entities={"deals": CR.order_docs(spark, SF_SMALL, variant)}), run_id=f"n{i}",
+                   ingested_at=f"2024-02-0{i + 1} 00:00:00", source_system="crm")
+        before = rows(store, "deals")
+        store.compact_closed("deals", fan_in=2)
+        assert rows(store, "deals") == before
+    runs, compactions = store.parts()["deals"]
+    live = store._live(runs, compactions)
+    assert len(live) < 5 and all(p.covers_seq for p in live)
+    on_disk = {r[0] for r in store._raw("deals").where("NOT _is_current").select("_published_run").distinct().collect()}
+    assert on_disk <= {p.part_id for p in live}

@@ -83,7 +83,7 @@ def test_association_flatten(spark):
 
 def test_envelope_and_cursor(spark, scratch):
     pages = [{"results": [{"id": 1}, {"id": 2}], "paging": {"next": {"after": "2"}}},
-             {"results": [{"id": 3}]}, {"paging": {}}]
+             {"results": [{"id": 3}]}, {"results": [], "paging": {}}]
     path = f"{scratch}/landing"
     import os
     os.makedirs(path)

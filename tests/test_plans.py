@@ -4,11 +4,13 @@ import contextlib
 import io
 import re
 
+import pytest
+
 from conftest import SF_SMALL
 from snaphist.contracts import crm_contracts
 from snaphist.operators import audits, gates
 from snaphist.operators.scd2 import SPLIT, scd2_merge
-from snaphist.plans.queries import deal_rows, edge_rows
+from snaphist.plans.queries import QUERIES, deal_rows, edge_rows
 
 C = crm_contracts("source")
 DEALS = C["deals"]
@@ -73,3 +75,31 @@ def test_general_merge_partitions_only_on_the_key(spark, scratch):
     keys = re.findall(r"Arguments: hashpartitioning\(([a-z_]+)#", text)
     assert len(keys) == hash_exchanges(text) == 5
     assert set(keys) == {"source_id"}
+
+
+def test_documents_are_parsed_once(spark):
+    """One parse per document level, with its whole schema, however many
+    fields the mapper takes."""
+    from snaphist.plans import carriers as CR
+    from snaphist.plans.queries import company_rows, owner_rows
+    for df in (company_rows(spark, SF_SMALL), owner_rows(spark, SF_SMALL, "r1")):
+        schemas = set(re.findall(r"from_json\((StructField\(.*?\)), \(mode", df._jdf.queryExecution().optimizedPlan().toString()))
+        assert len(schemas) == 1
+    assert CR.PREFIX
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_query_deals_rows_round_robin(spark, name):
+    assert "RoundRobinPartitioning" not in plan(QUERIES[name](spark, SF_SMALL))
+
+
+def test_multi_run_state_is_linear_in_the_runs(spark):
+    from snaphist.plans.queries import deal_state
+    scans = [plan(deal_state(spark, SF_SMALL, ("r1", "r2", "r3")[:n])).count("Scan parquet") for n in (2, 3)]
+    exchanges = [hash_exchanges(plan(deal_state(spark, SF_SMALL, ("r1", "r2", "r3")[:n]))) for n in (2, 3)]
+    assert exchanges == [1, 1] and scans[1] - scans[0] <= 2
+
+
+def test_audit_of_current_rows_prunes_closed_ones(spark, scratch):
+    rows = stored(spark, scratch, deal_rows(spark, SF_SMALL, "r2"), "aud")
+    assert re.search(r"PushedFilters: \[.*_is_current", plan(audits.audit_report(rows, DEALS)))

@@ -1,5 +1,7 @@
 """Landed runs ingested by the Structured Streaming runner."""
 
+import pytest
+
 from snaphist.contracts import crm_contracts
 from snaphist.plans import carriers as CR
 from snaphist.plans.ingest import ingest_run
@@ -65,7 +67,16 @@ def test_rebuild_from_landing_equals_stored_history(spark, scratch):
         land_run(spark, RunInputs(entities={"deals": docs}), landing, run_id=run_id, ingested_at=ts)
         ingest_run(store, landed_inputs(spark, landing, run_id), run_id=run_id, ingested_at=ts,
                    source_system="crm")
-    rebuilt = rebuild_history(spark, landing, "deals", C["deals"], source_system="crm")
+    # a run that the gate rejected has landed, but made no history
+    twice = CR.order_docs(spark, SF_SMALL, "r3").limit(1)
+    land_run(spark, RunInputs(entities={"deals": twice.unionByName(twice)}), landing, run_id="bad", ingested_at="2024-01-05 00:00:00")
+    with pytest.raises(ValueError, match="duplicate_key"):
+        ingest_run(store, landed_inputs(spark, landing, "bad"), run_id="bad", ingested_at="2024-01-05 00:00:00", source_system="crm")
+    rebuilt = rebuild_history(store, landing, "deals", source_system="crm")
     a = sorted(map(tuple, rebuilt.collect()), key=repr)
     b = sorted(map(tuple, store.read("deals").collect()), key=repr)
     assert len(a) == len(b) and a == b
+    # a sampled run can't be replayed
+    ingest_run(store, landed_inputs(spark, landing, "r1"), run_id="s", ingested_at="2024-01-06 00:00:00", source_system="crm", sample_limit=5)
+    with pytest.raises(ValueError, match="sampled-run"):
+        rebuild_history(store, landing, "deals", source_system="crm")
