@@ -114,12 +114,6 @@ def schema_mismatches(schema: T.StructType, contract: TableContract) -> list[str
     return out
 
 
-def assert_schema(df: DataFrame, contract: TableContract) -> None:
-    problems = schema_mismatches(df.schema, contract)
-    if problems:
-        raise ValueError("; ".join(problems))
-
-
 def staging_name(table: str) -> str:
     return f"_stg_{table}"
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +14,5 @@ def append_history(existing: DataFrame, batch: DataFrame, contract: TableContrac
     return conform(existing, contract).unionByName(conform(batch, contract))
 
 
-def runs_of(table: DataFrame, run_ids: Sequence[str]) -> DataFrame:
-    """Rows of the given runs (partition pruning on a run-partitioned table)."""
-    return table.where(F.col(RUN_ID).isin(list(run_ids)))
-
-
 def rows_per_run(table: DataFrame) -> DataFrame:
     return table.groupBy(RUN_ID).agg(F.count(F.lit(1)).alias("n"))
