@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from snaphist.llm.blocks import BLOCK_BYTES, block_count, by_bucket, runs, sorted_block, with_block
-from snaphist.llm.tokens import BYTE_CODE, Texts, fits, grams, mix, planes, powers, prefix_hash, ROOT, ROOT_INV, sliding_min, span_hash, unplanes, words
+from snaphist.llm.tokens import BYTE_CODE, Texts, fits, mix, planes, powers, prefix_hash, ROOT, ROOT_INV, sliding_min, span_hash, unplanes, words
 
 HOT = 256  # different stretches of an anchor, beyond one per block, from which its windows go one by one
 U64 = np.uint64
@@ -185,6 +185,16 @@ def _window_hash(t: Texts, how: Tokens, table, at: np.ndarray) -> np.ndarray:
     return mix(h)
 
 
+def squeeze(buf: np.ndarray) -> bytes:
+    """Texts are most of what a bucket is sent; they shrink further than the
+    shuffle's own fast compression takes them."""
+    return pa.compress(np.ascontiguousarray(buf).data, codec="zstd", asbytes=True) if buf.size else b""
+
+
+def unsqueeze(raw: bytes, size: int) -> bytes:
+    return pa.decompress(raw, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
 def _bytes(arr) -> pa.Array:
     return pa.array(arr, pa.binary())
 
@@ -249,7 +259,7 @@ def _ask_units(how: Tokens, n: int):
             for b, at in by_bucket(u.key, n):
                 size = u.end[at] - u.byte[at]
                 pick = np.repeat(u.byte[at] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                rows.append((b, at.size, planes(u.key[at], 6), u.content[at].tobytes(), planes(u.id[at], 8), planes(size, 4) + planes(u.windows[at], 4), t.buf[pick].tobytes()))
+                rows.append((b, at.size, planes(u.key[at], 6), u.content[at].tobytes(), planes(u.id[at], 8), planes(size, 4) + planes(u.windows[at], 4), squeeze(t.buf[pick])))
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "block": pa.array([key[0].as_py()] * len(rows), pa.int32()), "n": pa.array([r[1] for r in rows], pa.int32()),
                          **{c: _bytes([r[i] for r in rows]) for i, c in enumerate(("k", "h", "d", "s", "x"), 2)}})
     return run
@@ -267,8 +277,8 @@ def _answer_units(match: Match):
         d = np.concatenate([unplanes(x.as_py(), n, 8) for x, n in zip(table["d"], size)]).astype(np.int64)
         s = np.concatenate([unplanes(x.as_py()[:4 * n], n, 4) for x, n in zip(table["s"], size)]).astype(np.int64)
         w = np.concatenate([unplanes(x.as_py()[4 * n:], n, 4) for x, n in zip(table["s"], size)]).astype(np.int64)
-        texts = [x.as_py() for x in table["x"]]
         cuts = np.append(0, np.cumsum(size))
+        texts = [unsqueeze(x.as_py(), int(s[a:b].sum())) for x, a, b in zip(table["x"], cuts[:-1], cuts[1:])]
         first = np.concatenate([np.concatenate([[0], np.cumsum(s[a:b])[:-1]]) for a, b in zip(cuts[:-1], cuts[1:])]) if size.size else np.empty(0, np.int64)
         source = np.repeat(np.arange(size.size), size)
         one, number, _ = _pairs(k, h)
