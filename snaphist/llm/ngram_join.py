@@ -14,7 +14,8 @@ the classes that share a shingle
    nodes hold OR-combined shingle bitmaps, size ranges and, if they have only
    one, their component. A dual traversal from (root, root) drops node pairs of
    one component, of incompatible sizes, or whose maximum possible overlap is
-   too small, and yields the class pairs that are left.
+   too small, and yields the class pairs that are left. The likeliest pair of
+   each two components is verified first; pairs it joins need no other.
 
 All candidates are verified on whole sets, so every pair of classes that is
 linked lies in one component, and no pair that isn't linked joins two.
@@ -36,16 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaphist.llm.blocks import block_count, by_bucket, runs
+from snaphist.llm.blocks import block_count, by_bucket
 from snaphist.llm.components import components
 from snaphist.llm.lineage import broadcast_if_small, cut
 from snaphist.llm.tokens import Texts, grams, mix, planes, unplanes, words
 
 SHINGLE, PERCENT = 4, 85
-SKETCH_BITS = 16
-SIGNATURE = 2048  # bits
+SKETCH_BITS = 20
+SIGNATURE = 2  # bits of a bitmap per shingle at least, rounded up to a power of two
 LEAF, FAN = 8, 8
 U64 = np.uint64
+PAIR = ["a", "a_n", "b", "b_n"]
 NO_ID = 2**63 - 1  # stands for NULL in the order of ids
 
 
@@ -113,23 +115,27 @@ def describe(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, th long, n long, key long, sketch binary")
 
 
-def frequent_slots(described: DataFrame, slices: int = 16) -> np.ndarray:
-    """Slots of the sketch that hold far more than the mean; one number per
-    slot reaches the driver."""
+def frequent_slots(described: DataFrame, slices: int = 4) -> np.ndarray:
+    """Slots of the sketch that hold far more than the mean, as packed bits:
+    shingles of about one document in a thousand and more, whatever their
+    number. The driver reads ``slices`` sums of fixed size."""
     def add(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for b in batches:
             for x in b.column("sketch"):
                 total += unplanes(x.as_py(), total.size, 4).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
+        yield pa.RecordBatch.from_arrays([pa.array([planes(total, 5)], pa.binary())], names=["s"])
 
     rows = described.where("n = -1").select("sketch").repartition(slices).mapInArrow(add, "s binary").collect()
-    total = sum((np.frombuffer(r["s"], np.int64) for r in rows), np.zeros(1 << SKETCH_BITS, np.int64))
-    return total > 2 * total.mean() + 64
+    total = sum((unplanes(r["s"], 1 << SKETCH_BITS, 5).astype(np.int64) for r in rows), np.zeros(1 << SKETCH_BITS, np.int64))
+    return np.packbits(total > 2 * total.mean() + 64)
 
 
 def _prefixes(frequent: np.ndarray, buckets: int, percent: int):
+    packed = frequent
+
     def run(batches):
+        frequent = np.unpackbits(packed)
         tok, key, num = [], [], []
         for b in batches:
             for _, _, t in _parts(b):
@@ -198,31 +204,48 @@ def _meet(percent: int):
 
 
 def signature(h: np.ndarray) -> np.ndarray:
-    bits = np.zeros(SIGNATURE, bool)
-    bits[(h % U64(SIGNATURE)).astype(np.int64)] = True
+    """Bitmap of a set, of a width that grows with it, so long texts are told
+    apart as well as short ones."""
+    width = max(64, 1 << (SIGNATURE * h.size - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(h % U64(width)).astype(np.int64)] = True
     return np.packbits(bits).view(U64)
 
 
-def _sets(batches):
-    names = ["key", "n", "sig", "tokens"]
-    for b in batches:
-        for lo, hi, t in _parts(b):
-            first, h = shingle_sets(t)
-            key, n = set_keys(first, h), np.diff(first)
-            want = np.flatnonzero((key == b.column("w_key").slice(lo, hi - lo).to_numpy()) & (n == b.column("w_n").slice(lo, hi - lo).to_numpy()))
-            own = [h[first[i]:first[i + 1]] for i in want]
-            yield pa.RecordBatch.from_arrays([pa.array(key[want]), pa.array(n[want]), pa.array([signature(x).tobytes() for x in own], pa.binary()),
-                                              pa.array([planes(np.sort(x & U64((1 << 48) - 1)), 6) for x in own], pa.binary())], names=names)
+def fold(sig: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (a row each) brought to a smaller width: slots that meet are
+    OR-combined, so a bitmap keeps standing for its set."""
+    return np.bitwise_or.reduce(sig.reshape(sig.shape[0], -1, words), axis=1)
+
+
+def _sets(what: str):
+    """key, n and the set itself (``tokens``) or its bitmap (``sig``)."""
+    def run(batches):
+        for b in batches:
+            for lo, hi, t in _parts(b):
+                first, h = shingle_sets(t)
+                key, n = set_keys(first, h), np.diff(first)
+                want = np.flatnonzero((key == b.column("w_key").slice(lo, hi - lo).to_numpy()) & (n == b.column("w_n").slice(lo, hi - lo).to_numpy()))
+                own = [h[first[i]:first[i + 1]] for i in want]
+                data = [signature(x).tobytes() if what == "sig" else planes(np.sort(x & U64((1 << 48) - 1)), 6) for x in own]
+                yield pa.RecordBatch.from_arrays([pa.array(key[want]), pa.array(n[want]), pa.array(data, pa.binary())], names=["key", "n", what])
+    return run
 
 
-def fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, n, sig, tokens) of the classes in ``wanted`` (key, n)."""
+def fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, what: str) -> DataFrame:
+    """(key, n, ``what``) of the classes in ``wanted`` (key, n), from the text
+    of each class's first document."""
     ids = cut(classes.join(wanted.select(F.col("key").alias("x_key"), F.col("n").alias("x_n")).distinct(), (F.col("key") == F.col("x_key")) & (F.col("n") == F.col("x_n")), "left_semi")
               .select(F.col("rep.doc_id").alias("w_id"), F.col("rep.th").alias("w_th"), F.col("key").alias("w_key"), F.col("n").alias("w_n")))
     ids = broadcast_if_small(ids)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(ids, (F.xxhash64("text") == F.col("w_th")) & F.col("doc_id").eqNullSafe(F.col("w_id"))).select("text", "w_key", "w_n")
-    return cut(rows.mapInArrow(_sets, "key long, n long, sig binary, tokens binary"))
+    return cut(rows.mapInArrow(_sets(what), f"key long, n long, {what} binary"))
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    """(key, n) of both ends of pairs."""
+    return pairs.select(F.col("a").alias("key"), F.col("a_n").alias("n")).unionByName(pairs.select(F.col("b").alias("key"), F.col("b_n").alias("n")))
 
 
 def possible(n, m, sig_a, sig_b, percent: int):
@@ -231,22 +254,28 @@ def possible(n, m, sig_a, sig_b, percent: int):
     return most >= least_overlap(n, m, percent)
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, a_n, b, b_n) that are linked: bitmaps first, then whole sets."""
-    names = ["a", "a_n", "b", "b_n"]
-    side = lambda c, *more: sets.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), *[F.col(x).alias(f"{c}_{x}") for x in more])
+def verify(pairs: DataFrame, bitmaps: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The (a, a_n, b, b_n) that are linked: bitmaps first, then whole sets,
+    which are made for the classes that still have a pair."""
+    side = lambda sets, c, x: sets.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col(x).alias(f"{c}_{x}"))
 
     def keep(test):
         def run(batches):
             for b in batches:
                 n, m = b.column("a_n").to_numpy(), b.column("b_n").to_numpy()
                 ok = test(b, n, m) if b.num_rows else np.empty(0, bool)
-                yield b.select(names).filter(pa.array(ok, pa.bool_()))
+                yield b.select(PAIR).filter(pa.array(ok, pa.bool_()))
         return run
 
     def by_bitmap(b, n, m):
-        sig = [np.frombuffer(b"".join(b.column(c).to_pylist()), U64).reshape(b.num_rows, -1) for c in ("a_sig", "b_sig")]
-        return possible(n, m, *sig, percent)
+        x, y = b.column("a_sig").to_pylist(), b.column("b_sig").to_pylist()
+        width = np.array([[len(u) // 8, len(v) // 8] for u, v in zip(x, y)])
+        ok = np.empty(b.num_rows, bool)
+        for w in np.unique(width, axis=0):  # rows of one width at a time
+            at = np.flatnonzero((width == w).all(1))
+            sig = [fold(np.frombuffer(b"".join(side[i] for i in at), U64).reshape(at.size, -1), w.min()) for side in (x, y)]
+            ok[at] = possible(n[at], m[at], *sig, percent)
+        return ok
 
     def by_set(b, n, m):
         out = np.empty(b.num_rows, bool)
@@ -256,8 +285,9 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return out
 
     schema = "a long, a_n long, b long, b_n long"
-    left = pairs.join(side("a", "sig"), ["a", "a_n"]).join(side("b", "sig"), ["b", "b_n"]).mapInArrow(keep(by_bitmap), schema)
-    return left.join(side("a", "tokens"), ["a", "a_n"]).join(side("b", "tokens"), ["b", "b_n"]).mapInArrow(keep(by_set), schema)
+    left = cut(pairs.join(side(bitmaps, "a", "sig"), ["a", "a_n"]).join(side(bitmaps, "b", "sig"), ["b", "b_n"]).mapInArrow(keep(by_bitmap), schema))
+    sets = fetch_sets(docs, classes, ends(left), "tokens")
+    return cut(left.join(side(sets, "a", "tokens"), ["a", "a_n"]).join(side(sets, "b", "tokens"), ["b", "b_n"]).mapInArrow(keep(by_set), schema))
 
 
 class SignatureTree:
@@ -314,14 +344,23 @@ class SignatureTree:
         return (np.concatenate(xs), np.concatenate(ys)) if xs else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
+TREE_PAIR = "a long, a_n long, b long, b_n long, a_comp long, b_comp long, margin long"
+
+
 def _tree_pairs(percent: int):
+    """Pairs of two components that their bitmaps allow, and by how much."""
     def run(key, table):
         table = table.combine_chunks().sort_by([("comp", "ascending"), ("n", "ascending"), ("key", "ascending")])
         n, comp, k = (table[c].to_numpy() for c in ("n", "comp", "key"))
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), U64).reshape(n.size, -1)
-        out = [np.stack([k[x], n[x], k[y], n[y]], 1) for x, y in SignatureTree(n, comp, sig).pairs(percent) if x.size]
-        p = np.concatenate(out) if out else np.empty((0, 4), np.int64)
-        return pa.table({c: np.ascontiguousarray(p[:, i]) for i, c in enumerate(("a", "a_n", "b", "b_n"))})
+        raw = [np.frombuffer(x.as_py(), U64) for x in table["sig"]]
+        least = min(x.size for x in raw)
+        sig = np.stack([fold(x[None], least)[0] for x in raw])
+        out = []
+        for x, y in SignatureTree(n, comp, sig).pairs(percent):
+            margin = np.minimum(n[x], n[y]) - np.bitwise_count(sig[x] & ~sig[y]).sum(1).astype(np.int64)
+            out.append(np.stack([k[x], n[x], k[y], n[y], comp[x], comp[y], margin], 1))
+        p = np.concatenate(out) if out else np.empty((0, 7), np.int64)
+        return pa.table({c.split()[0]: np.ascontiguousarray(p[:, i]) for i, c in enumerate(TREE_PAIR.split(", "))})
     return run
 
 
@@ -337,17 +376,25 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     packed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_prefixes(frequent_slots(described), buckets, percent), "bucket int, n int, tok binary, key binary, num binary")
     met = cut(packed.groupBy("bucket").applyInArrow(_meet(percent), "kind int, a long, a_n long, b long, b_n long").distinct())
     pairs, groups = met.where("kind = 0").drop("kind"), met.where("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("key"), F.col("b_n").alias("n"))
-    wanted = pairs.select(F.col("a").alias("key"), F.col("a_n").alias("n")).unionByName(pairs.select(F.col("b").alias("key"), F.col("b_n").alias("n"))).unionByName(groups.select("key", "n"))
-    sets = fetch_sets(docs, classes, wanted)
-    links = cut(verify(pairs, sets, percent))
+    bitmaps = fetch_sets(docs, classes, ends(pairs).unionByName(groups.select("key", "n")), "sig")
+    links = verify(pairs, bitmaps, docs, classes, percent)
     first = label(links, classes)
     # groups whose classes aren't all in one component yet
     open_groups = groups.join(first.select("key", "n", "mark"), ["key", "n"], "left") \
-        .join(sets.select("key", "n", "sig"), ["key", "n"]).withColumn("comp", F.coalesce("mark", F.xxhash64("key", "n")))
+        .join(bitmaps, ["key", "n"]).withColumn("comp", F.coalesce("mark", F.xxhash64("key", "n")))
     several = open_groups.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("grp")
     more = open_groups.join(several, "grp", "left_semi").select("grp", "key", "n", "comp", "sig") \
-        .groupBy("grp").applyInArrow(_tree_pairs(percent), "a long, a_n long, b long, b_n long").distinct().join(pairs, ["a", "a_n", "b", "b_n"], "left_anti")
-    final = label(links.unionByName(cut(verify(more, sets, percent))), classes)
+        .groupBy("grp").applyInArrow(_tree_pairs(percent), TREE_PAIR).join(pairs, PAIR, "left_anti")
+    more = cut(more.groupBy(*PAIR).agg(F.max(F.struct("margin", "a_comp", "b_comp")).alias("m")).select(*PAIR, "m.*"))
+    # the likeliest pair of any two components first; those it joins need no other
+    likely = more.groupBy(F.least("a_comp", "b_comp").alias("x"), F.greatest("a_comp", "b_comp").alias("y")) \
+        .agg(F.max(F.struct("margin", *PAIR)).alias("m")).select(*[F.col(f"m.{c}").alias(c) for c in PAIR])
+    links = cut(links.unionByName(verify(likely, bitmaps, docs, classes, percent)))
+    second = label(links, classes).select("key", "n", "mark")
+    mark = lambda c: second.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col("mark").alias(f"{c}_mark"))
+    rest = more.join(likely, PAIR, "left_anti").join(mark("a"), ["a", "a_n"], "left").join(mark("b"), ["b", "b_n"], "left") \
+        .where("a_mark IS NULL OR b_mark IS NULL OR a_mark <> b_mark").select(*PAIR)
+    final = label(links.unionByName(verify(rest, bitmaps, docs, classes, percent)), classes)
     best = final.select("key", "n", F.struct("o", "th").alias("best"))
     named = classes.join(best, ["key", "n"], "left").select("key", "n", F.coalesce("best", F.struct("rep.o", "rep.th")).alias("best"))
     own = F.struct(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("o"), "th")
