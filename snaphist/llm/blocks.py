@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def block_count(docs: DataFrame, column: str = "text", block_bytes: int = BLOCK_BYTES) -> int:
