@@ -43,7 +43,7 @@ from snaphist.llm.lineage import broadcast_if_small, cut
 from snaphist.llm.tokens import Texts, grams, mix, planes, unplanes, words
 
 SHINGLE, PERCENT = 4, 85
-SKETCH_BITS = 20
+SKETCH_BITS = 18
 SIGNATURE = 2  # bits of a bitmap per shingle at least, rounded up to a power of two
 LEAF, FAN = 8, 8
 U64 = np.uint64
@@ -117,7 +117,7 @@ def describe(docs: DataFrame) -> DataFrame:
 
 def frequent_slots(described: DataFrame, slices: int = 4) -> np.ndarray:
     """Slots of the sketch that hold far more than the mean, as packed bits:
-    shingles of about one document in a thousand and more, whatever their
+    shingles of about four documents in a thousand and more, whatever their
     number. The driver reads ``slices`` sums of fixed size."""
     def add(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
