@@ -3,7 +3,8 @@
 Quality classifier, near duplicates, repeated passages, benchmark leaks, and
 the mix of sources. Each stage takes all rows its predecessor kept; all but
 the last return the columns of ``documents``. Rows with NULLs, empty texts and
-repeated rows go through as the operators define; an empty table stays empty.
+repeated rows go through as the operators define (the near-duplicate stage
+keeps one of rows equal in id and text); an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from snaphist.llm.ship import ship
 from snaphist.session import ensure_checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SHINGLE, PERCENT = 5, 80  # near duplicates of the corpus; op2 has its own
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +33,17 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the first document of each group of near duplicates."""
+    """Keeps the first document of each group of near duplicates, and one row
+    of those that are equal in id and text (the least of its other columns)."""
     ship(spark)
     docs = docs.select(*COLUMNS)
-    first = cut(ngram_join.near_duplicates(docs).where("stays").select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th")))
-    return docs.join(broadcast_if_small(first), (F.xxhash64("text") == F.col("k_th")) & F.col("doc_id").eqNullSafe(F.col("k_id")), "left_semi")
+    kept = ngram_join.near_duplicates(docs, percent=PERCENT, shingle=SHINGLE).where("stays").select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"))
+    first = cut(kept.groupBy("k_id", "k_th").agg((F.count("*") > 1).alias("again")))
+    same = (F.xxhash64("text") == F.col("k_th")) & F.col("doc_id").eqNullSafe(F.col("k_id"))
+    rows = docs.join(broadcast_if_small(first), same).select(*COLUMNS, "again")
+    # only the texts that occur again are shuffled
+    one = rows.where("again").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("x")).select("doc_id", "text", "x.*")
+    return rows.where("NOT again").select(*COLUMNS).unionByName(one)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """N-gram Jaccard self-join with signature trees.
 
-A text's set is its distinct 4-word shingles. Texts with equal sets form a
+A text's set is its distinct word shingles (of ``SHINGLE`` words unless the
+caller says otherwise). Texts with equal sets form a
 class, and only classes are joined. Two sets with similarity t share, in any
 fixed order of shingles, one of the first n - ceil(t n) + 1 of each, so
 classes meet in the bucket of such a shingle (shingles that very many texts
@@ -24,7 +25,7 @@ Bounds: a row per class and shingle of its prefix is packed per bucket; sets
 travel only for classes that are compared. Hashes: 64 bits for a set (with its
 size), 48 for a shingle within one comparison.
 
-Defined results: a text of fewer than four words has its whole word sequence
+Defined results: a text of fewer words than a shingle has its whole word sequence
 as its only shingle; texts without words (or NULL) have none and stand alone;
 rows with equal ids and different texts are separate documents; a component is
 named NULL only if none of its documents has an id; an empty table gives an empty result.
@@ -94,7 +95,7 @@ def _parts(batch, size: int = 1 << 20):
         yield lo, hi, t.part(lo, hi)
 
 
-def describe(docs: DataFrame) -> DataFrame:
+def describe(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, th, n, key) of every document, and per task a row with the
     task's sketch of how many documents have a shingle (n is -1)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
@@ -104,7 +105,7 @@ def describe(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "th", "n", "key", "sketch"]
         for b in batches:
             for lo, hi, t in _parts(b):
-                first, h = shingle_sets(t)
+                first, h = shingle_sets(t, shingle)
                 count += np.bincount((h >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=count.size)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("th").slice(lo, hi - lo), pa.array(np.diff(first)),
                                                   pa.array(set_keys(first, h)), pa.nulls(hi - lo, pa.binary())], names=names)
@@ -131,7 +132,7 @@ def frequent_slots(described: DataFrame, slices: int = 4) -> np.ndarray:
     return np.packbits(total > 2 * total.mean() + 64)
 
 
-def _prefixes(frequent: np.ndarray, buckets: int, percent: int):
+def _prefixes(frequent: np.ndarray, buckets: int, percent: int, shingle: int):
     packed = frequent
 
     def run(batches):
@@ -139,7 +140,7 @@ def _prefixes(frequent: np.ndarray, buckets: int, percent: int):
         tok, key, num = [], [], []
         for b in batches:
             for _, _, t in _parts(b):
-                first, h = shingle_sets(t)
+                first, h = shingle_sets(t, shingle)
                 n = np.diff(first)
                 doc = np.repeat(np.arange(n.size), n)
                 rank = mix(h ^ U64(0x2545F4914F6CDD1D)) >> U64(1)
@@ -218,12 +219,12 @@ def fold(sig: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_or.reduce(sig.reshape(sig.shape[0], -1, words), axis=1)
 
 
-def _sets(what: str):
+def _sets(what: str, shingle: int):
     """key, n and the set itself (``tokens``) or its bitmap (``sig``)."""
     def run(batches):
         for b in batches:
             for lo, hi, t in _parts(b):
-                first, h = shingle_sets(t)
+                first, h = shingle_sets(t, shingle)
                 key, n = set_keys(first, h), np.diff(first)
                 want = np.flatnonzero((key == b.column("w_key").slice(lo, hi - lo).to_numpy()) & (n == b.column("w_n").slice(lo, hi - lo).to_numpy()))
                 own = [h[first[i]:first[i + 1]] for i in want]
@@ -232,7 +233,7 @@ def _sets(what: str):
     return run
 
 
-def fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, what: str) -> DataFrame:
+def fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, what: str, shingle: int) -> DataFrame:
     """(key, n, ``what``) of the classes in ``wanted`` (key, n), from the text
     of each class's first document."""
     ids = cut(classes.join(wanted.select(F.col("key").alias("x_key"), F.col("n").alias("x_n")).distinct(), (F.col("key") == F.col("x_key")) & (F.col("n") == F.col("x_n")), "left_semi")
@@ -240,7 +241,7 @@ def fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, what: str
     ids = broadcast_if_small(ids)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(ids, (F.xxhash64("text") == F.col("w_th")) & F.col("doc_id").eqNullSafe(F.col("w_id"))).select("text", "w_key", "w_n")
-    return cut(rows.mapInArrow(_sets(what), f"key long, n long, {what} binary"))
+    return cut(rows.mapInArrow(_sets(what, shingle), f"key long, n long, {what} binary"))
 
 
 def ends(pairs: DataFrame) -> DataFrame:
@@ -254,7 +255,7 @@ def possible(n, m, sig_a, sig_b, percent: int):
     return most >= least_overlap(n, m, percent)
 
 
-def verify(pairs: DataFrame, bitmaps: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def verify(pairs: DataFrame, bitmaps: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, shingle: int) -> DataFrame:
     """The (a, a_n, b, b_n) that are linked: bitmaps first, then whole sets,
     which are made for the classes that still have a pair."""
     side = lambda sets, c, x: sets.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col(x).alias(f"{c}_{x}"))
@@ -286,7 +287,7 @@ def verify(pairs: DataFrame, bitmaps: DataFrame, docs: DataFrame, classes: DataF
 
     schema = "a long, a_n long, b long, b_n long"
     left = cut(pairs.join(side(bitmaps, "a", "sig"), ["a", "a_n"]).join(side(bitmaps, "b", "sig"), ["b", "b_n"]).mapInArrow(keep(by_bitmap), schema))
-    sets = fetch_sets(docs, classes, ends(left), "tokens")
+    sets = fetch_sets(docs, classes, ends(left), "tokens", shingle)
     return cut(left.join(side(sets, "a", "tokens"), ["a", "a_n"]).join(side(sets, "b", "tokens"), ["b", "b_n"]).mapInArrow(keep(by_set), schema))
 
 
@@ -364,20 +365,20 @@ def _tree_pairs(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, th (hash of the text) and stays (this
     is its component's first document) of every document. Rows that are equal
     in id and text are one document."""
-    described = cut(describe(docs))
+    described = cut(describe(docs, shingle))
     rows = described.where("n >= 0").select("doc_id", "th", "n", "key")
     smallest = F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("o"), "doc_id", "th")).alias("rep")
     classes = cut(rows.where("n > 0").groupBy("key", "n").agg(smallest))
     buckets = block_count(docs)
-    packed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_prefixes(frequent_slots(described), buckets, percent), "bucket int, n int, tok binary, key binary, num binary")
+    packed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_prefixes(frequent_slots(described), buckets, percent, shingle), "bucket int, n int, tok binary, key binary, num binary")
     met = cut(packed.groupBy("bucket").applyInArrow(_meet(percent), "kind int, a long, a_n long, b long, b_n long").distinct())
     pairs, groups = met.where("kind = 0").drop("kind"), met.where("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("key"), F.col("b_n").alias("n"))
-    bitmaps = fetch_sets(docs, classes, ends(pairs).unionByName(groups.select("key", "n")), "sig")
-    links = verify(pairs, bitmaps, docs, classes, percent)
+    bitmaps = fetch_sets(docs, classes, ends(pairs).unionByName(groups.select("key", "n")), "sig", shingle)
+    links = verify(pairs, bitmaps, docs, classes, percent, shingle)
     first = label(links, classes)
     # groups whose classes aren't all in one component yet
     open_groups = groups.join(first.select("key", "n", "mark"), ["key", "n"], "left") \
@@ -389,12 +390,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     # the likeliest pair of any two components first; those it joins need no other
     likely = more.groupBy(F.least("a_comp", "b_comp").alias("x"), F.greatest("a_comp", "b_comp").alias("y")) \
         .agg(F.max(F.struct("margin", *PAIR)).alias("m")).select(*[F.col(f"m.{c}").alias(c) for c in PAIR])
-    links = cut(links.unionByName(verify(likely, bitmaps, docs, classes, percent)))
+    links = cut(links.unionByName(verify(likely, bitmaps, docs, classes, percent, shingle)))
     second = label(links, classes).select("key", "n", "mark")
     mark = lambda c: second.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col("mark").alias(f"{c}_mark"))
     rest = more.join(likely, PAIR, "left_anti").join(mark("a"), ["a", "a_n"], "left").join(mark("b"), ["b", "b_n"], "left") \
         .where("a_mark IS NULL OR b_mark IS NULL OR a_mark <> b_mark").select(*PAIR)
-    final = label(links.unionByName(verify(rest, bitmaps, docs, classes, percent)), classes)
+    final = label(links.unionByName(verify(rest, bitmaps, docs, classes, percent, shingle)), classes)
     best = final.select("key", "n", F.struct("o", "th").alias("best"))
     named = classes.join(best, ["key", "n"], "left").select("key", "n", F.coalesce("best", F.struct("rep.o", "rep.th")).alias("best"))
     own = F.struct(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("o"), "th")

@@ -54,6 +54,26 @@ def test_near_duplicate_stage(spark):
     assert {r.doc_id for r in stage(spark, 1, docs).collect()} == first
 
 
+def test_near_duplicate_stage_has_its_own_rule_and_drops_equal_rows(spark):
+    """Five words and 0.8 (op2: four words and 0.85), one of each equal row."""
+    a = [f"w{i}" for i in range(100)]
+    b = [*a[:50], "new", *a[51:]]  # 4 words: 93 of 101 common, 5 words: 91 of 101
+    c = [f"v{i}" for i in range(100)]
+    d = ["x", *c[1:40], "y", *c[41:80], "z", *c[81:]]  # 4 words: 88 of 106 (0.83), 5 words: 85 of 107 (0.79)
+    e = [f"u{i}" for i in range(100)]
+    f = [*e[:50], "y", *e[51:97], "z", *e[98:]]  # 4 words: 90 of 104 (0.87), 5 words: 88 of 104 (0.85)
+    g = [f"t{i}" for i in range(60)]
+    h = ["x", *g[1:30], "y", *g[31:]]  # 4 words: 52 of 62 (0.84), 5 words: 50 of 62 (0.81)
+    rows = [(i, " ".join(x), "en", "s", 1) for i, x in enumerate((a, b, c, d, e, f, g, h))]
+    rows += [(20, "equal in both " * 4, "en", "s", 1), (20, "equal in both " * 4, "en", "r", 1), (20, "equal in id only", "en", "s", 1),
+             (None, "no id here at all", "en", "s", 1), (None, "no id here at all", "en", "s", 1), (None, None, None, None, None), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, (r.text or "")[:9], r.source) for r in stage(spark, 1, docs).collect()), key=str)
+    want = [(0, "w0 w1 w2 ", "s"), (2, "v0 v1 v2 ", "s"), (3, "x v1 v2 v", "s"), (4, "u0 u1 u2 ", "s"), (6, "t0 t1 t2 ", "s"),
+            (20, "equal in ", "r"), (20, "equal in ", "s"), (None, "no id her", "s"), (None, "", None)]
+    assert got == sorted(want, key=str)
+
+
 def test_repeated_passages_stage(spark):
     docs = documents(spark)
     rows = {r.doc_id: r for r in docs.collect()}
