@@ -2,12 +2,17 @@
 
 Markup is stripped into lines, one per block element; scripts, styles, menus,
 forms, notices, adverts, sidebars, page headers and footers and reader
-comments leave a stretch of empty lines as long as the sliding window. The
-text lengths of the lines, summed over that window, rise from zero at a surge
-point and fall back to zero at a dive point; the lines between two such points
-are one block of text. On a page that marks its article, every block inside
-it is kept whole; elsewhere blocks whose sums reach ``SURGE`` characters (or
-the largest, if none does) are.
+comments leave a stretch of empty lines as long as the sliding window, and so
+do the edges of a marked article (article, main). The text lengths of the
+lines, summed over that window, rise from zero at a surge point and fall back
+to zero at a dive point; the lines between two such points are one block of
+text. On every page the blocks whose sums reach ``SURGE`` characters (or the
+largest, if none does) are kept. A marked article is a weight: its characters
+count ``MARKED`` times, and what is left out inside it leaves a stretch one
+line short of the window, so that it doesn't cut the article in two.
+
+A left-out p, li, dt, dd, tr, td or th without an end tag ends where HTML says:
+at the next sibling, or with an element around it.
 
 Scale: one narrow pass over the pages, a batch at a time; no shuffle.
 
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3  # lines whose lengths are summed
 SURGE = 80  # characters within a window
+MARKED = 4  # weight of a character in a marked article
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)([^>]*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 RAW = {"script", "style", "textarea", "title", "xmp", "noframes"}
@@ -40,6 +46,16 @@ BAD_WORD = set("""ad ads advert adverts advertisement advertising adbox adsense
 disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promoted
 promotion recommended related replies respond search share sharing sidebar signup social sponsor sponsored sponsors subscribe subscription teaser toolbar widget""".split())
 BAD_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "form", "menu", "menubar", "note", "alertdialog"}
+#: Elements whose end tag may be missing: start tags that end them, and the
+#: elements inside them that keep such a tag from doing so.
+_CELL, _ROW, _PART = {"td", "th"}, {"tr"}, {"tbody", "thead", "tfoot"}
+_TABLE = {"table"}
+_LIST = {"ul", "ol", "menu", "dl", "table"}
+ENDS = {
+    "p": (BLOCK - {"br", "body", "html", "caption", "legend", "tbody", "thead", "tfoot", "figcaption"} | {"menu", "nav", "search", "figcaption", "dialog"}, {"button", "object", "table"}),
+    "li": ({"li"}, _LIST), "dt": ({"dt", "dd"}, _LIST), "dd": ({"dt", "dd"}, _LIST),
+    "td": (_CELL | _ROW | _PART, _TABLE), "th": (_CELL | _ROW | _PART, _TABLE), "tr": (_ROW | _PART, _TABLE),
+}
 
 
 def _boilerplate(tag: str, attrs: str) -> bool:
@@ -62,6 +78,8 @@ def lines(html: str) -> tuple[list[str], list[bool]]:
     piece: list[str] = []
     inside = 0  # depth of article/main
     skip, depth = "", 0  # the boilerplate element being left out
+    within: list[str] = []  # open elements inside it, if its end tag may be missing
+    around: dict[str, int] = {}  # block elements open outside of it
     raw = ""  # an element whose content is not markup
 
     def flush():
@@ -72,6 +90,15 @@ def lines(html: str) -> tuple[list[str], list[bool]]:
                 out.append(text)
                 marked.append(inside > 0)
 
+    def gap(size):
+        """At least so many empty lines from here on."""
+        flush()
+        have = 0
+        while have < min(size, len(out)) and not out[-1 - have]:
+            have += 1
+        out.extend([""] * (size - have))
+        marked.extend([inside > 0] * (size - have))
+
     at = 0
     for m in TOKEN.finditer(html):
         if m.start() < at:
@@ -87,22 +114,42 @@ def lines(html: str) -> tuple[list[str], list[bool]]:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             at = end.end() if end else len(html)
             continue
-        if skip:
+        alone = tag in VOID or attrs.rstrip().endswith("/")
+        if skip in ENDS:
+            starts, keep = ENDS[skip]
+            if not closing:
+                if tag in starts and not keep.intersection(within):
+                    skip = ""
+                elif not alone:
+                    within.append(tag)
+            elif tag in within:
+                del within[len(within) - 1 - within[::-1].index(tag):]
+            elif tag == skip:
+                skip = ""
+                continue
+            elif around.get(tag):  # an element around it ends
+                skip = ""
+            if skip:
+                continue
+        elif skip:
             if tag == skip and tag not in VOID:
                 depth += -1 if closing else 0 if attrs.rstrip().endswith("/") else 1
                 if depth == 0:
                     skip = ""
             continue
-        if not closing and tag not in VOID and not attrs.rstrip().endswith("/") and (_boilerplate(tag, attrs) or tag == "header" and not inside):
-            flush()
-            out += [""] * WINDOW
-            marked += [False] * WINDOW
+        if not closing and not alone and (_boilerplate(tag, attrs) or tag == "header" and not inside):
+            gap(WINDOW - 1 if inside else WINDOW)
             skip, depth = tag, 1
+            within.clear()
             continue
         if tag in BLOCK:
             flush()
+            if not alone:
+                around[tag] = max(0, around.get(tag, 0) + (-1 if closing else 1))
         if tag in MAIN:
-            inside = max(0, inside + (-1 if closing else 1))
+            before, inside = inside, max(0, inside + (-1 if closing else 1))
+            if not (before and inside):  # the edge of an article
+                gap(WINDOW)
     if not skip and at < len(html):
         piece.append(html[at:])
     flush()
@@ -130,9 +177,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     text, marked = lines(html)
-    if any(marked):
-        return "\n".join(x for x, m in zip(text, marked) if m and x)
-    length = [len(x) for x in text]
+    length = [len(x) * (MARKED if m else 1) for x, m in zip(text, marked)]
     blocks = text_blocks(length)
     if not blocks:
         return ""

@@ -405,6 +405,25 @@ def test_html(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_html_main_text_outside_a_marked_article():
+    body = "<p>" + "long words " * 40 + "</p>"
+    teaser = "<article><a href=/>Another page</a></article>"
+    got = html_extract.main_text(f"<body><div>{body}{body}</div>{teaser}</body>")
+    assert got == "\n".join(["long words " * 39 + "long words"] * 2)
+    # a marked article counts more than the same text outside, and is kept whole
+    page = "<div>short note</div><article><p>short body</p><aside>x</aside><aside>y</aside><p>end</p></article><div>short note</div>"
+    assert html_extract.main_text(page) == "short body\nend"
+
+
+def test_html_end_tags_that_are_left_out():
+    body = "The text " * 12
+    want = body.strip()
+    for page in (f"<div><p class=ad>Buy<p>{body}</div>", f"<div><p class=ad>Buy <b>now</div><div>{body}</div>", f"<div><p class=ad>Buy<h2>{body}</h2></div>",
+                 f"<ul><li class=ad>Buy<ul><li>more</ul><li>{body}</ul>", f"<ul><li class=ad>Buy</ul>{body}", f"<div><p class=ad>Buy</b> now<br>more</p>{body}</div>",
+                 f"<table><tr><td class=ad>Buy<table><tr><td>x</table><td>{body}</table>", f"<table><tr><td class=ad>Buy<tr><td>{body}</table>"):
+        assert html_extract.main_text(page) == want, page
+
+
 def test_line_blocks():
     assert html_extract.text_blocks([0, 0, 5, 0, 7, 0, 0, 0, 3, 0]) == [(2, 5), (8, 10)]
     assert html_extract.text_blocks([]) == [] and html_extract.text_blocks([0, 0]) == []
