@@ -1,19 +1,25 @@
 """Language-model scoring with Brown class n-grams.
 
 P(word | previous) = P(class | previous class) * P(word | class). Classes come
-from exchange clustering: units are moved, most frequent first, to the class
-that raises the mutual information of adjacent classes most, until no move
-does. Units are the ``FREQUENT`` most frequent words; all other words, seen or
-not, are units by their ending (``ENDINGS`` of them), so every word has a
-class. The end of a text is a class of its own, and the context of a first
-word. Transitions are smoothed towards the classes' shares; a word emits with
-(c + 0.5) / (N_class + 0.5 (V_class + 1)), where one unknown word per class
-has count 0, so each class's words add up to 1.
+from exchange clustering in two steps, both for the mutual information of
+adjacent classes. The first finds a start: units are moved, most frequent
+first, to the class that raises it most, until a round of moves doesn't; units
+are the ``FREQUENT`` most frequent words, and the other words by their ending
+(``ENDINGS`` of them). The second moves every word of the training texts by
+itself: in each round the blocks count the classes before and after each word,
+and the word's bucket moves it to its best class. A round's moves don't see
+each other, so the words take turns in ``PARTS`` rounds; a round that lowers
+the mutual information is taken back, and from then on it takes twice as many.
+Rounds go on until no word moves or one raises it by less than ``LEAST`` of
+it. Only words that no training text has get the class of their ending. The end of a text is a class of its own, and
+the context of a first word. Transitions are smoothed towards the classes'
+shares; a word emits with (c + 0.5) / (N_class + 0.5 (V_class + 1)), where one
+unknown word per class has count 0, so each class's words add up to 1.
 
 Counts cover all training texts: blocks send each distinct word once, with its
 count, to the word's bucket, which adds them up and answers; no table of words
-is broadcast or collected. The driver holds the frequent units and one matrix
-of unit pairs, both of fixed size.
+is broadcast or collected. The driver holds the frequent units, one matrix of
+unit pairs and one of class pairs, all of fixed size.
 
 Defined results: NULL and empty texts consist of their end; without training
 texts N is 0 and every token unknown; rows with equal ids are separate; a NULL
@@ -22,6 +28,8 @@ id is a training row; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,13 +37,16 @@ from pyspark.sql import functions as F
 
 from snaphist.llm.blocks import block_count, by_bucket, sorted_block, with_block
 from snaphist.llm.lineage import cut
-from snaphist.llm.tokens import Texts, Words, planes, unplanes, words
+from snaphist.llm.passages import squeeze, unsqueeze
+from snaphist.llm.tokens import Texts, Words, mix, planes, unplanes, words
 
 FREQUENT, ENDINGS, CLASSES = 768, 255, 48
 UNITS = FREQUENT + ENDINGS + 1  # the last is the end of a text
 END = UNITS - 1
 SLICES = 16
-ROUNDS = 12
+K = CLASSES + 1
+PARTS, LEAST = 2, 1e-3
+TABLED = 8  # gains of so many occurrences at most are looked up
 U64 = np.uint64
 
 
@@ -150,8 +161,9 @@ def with_ends(w: Words, value, end: int) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
-    """Class of each unit; the end of a text stays alone in the last one."""
+def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int | None = None) -> np.ndarray:
+    """Class of each unit, when a round moves nothing or raises
+    nothing, or after ``rounds``; the end of a text stays alone in the last one."""
     f = lambda x: x * np.log(np.maximum(x, 1))
     n = pairs.sum(0) + pairs.sum(1)
     n[END] = 0
@@ -163,7 +175,8 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
     k = classes + 1
     member = np.eye(k)[cls]
     c = member.T @ pairs @ member
-    for _ in range(rounds):
+    last = information(c)
+    for _ in range(rounds) if rounds is not None else itertools.count():
         moved = 0
         for u in order:
             a = cls[u]
@@ -188,35 +201,254 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
             c[b, b] += own
             moved += a != b
             cls[u] = b
-        if not moved:
+        now = information(c)
+        if not moved or now <= last:
             break
+        last = now
     return cls
 
 
-def _model(counted: DataFrame, train_rows: DataFrame, docs_trained: int) -> dict:
-    """Everything ``score`` needs: of fixed size, whatever the input's."""
-    tops = counted.where("kind = 1").orderBy(F.desc("b"), "a").limit(FREQUENT).select("a", "b", "c").collect()
-    per = counted.where("kind = 2").groupBy("a").agg(F.sum("b").alias("b"), F.sum("c").alias("c")).collect()
-    top = np.array([(r["a"], r["b"], r["c"]) for r in tops], np.int64).reshape(-1, 3)
-    top = top[np.argsort(top[:, 0])]
-    tokens, kinds = np.zeros(UNITS, np.int64), np.zeros(UNITS, np.int64)
-    for r in per:
-        tokens[FREQUENT + r["a"]], kinds[FREQUENT + r["a"]] = r["b"], r["c"]
-    tokens[:len(top)], kinds[:len(top)] = top[:, 1], 1
-    np.subtract.at(tokens, FREQUENT + top[:, 2], top[:, 1])  # frequent words are units of their own
-    np.subtract.at(kinds, FREQUENT + top[:, 2], 1)
-    tokens[END], kinds[END] = docs_trained, int(docs_trained > 0)
-    frequent = top[:, 0].astype(U64)
-    pairs = unit_pairs(train_rows, frequent)
-    cls = exchange(pairs)
-    k = CLASSES + 1
-    member = np.eye(k)[cls]
-    c = member.T @ pairs @ member
-    n_class, v_class = member.T @ tokens, member.T @ kinds
-    share = (n_class + 1) / (n_class.sum() + k)
-    go = np.log10((c + k * share) / (c.sum(1, keepdims=True) + k))
+def _start(counted: DataFrame, train_rows: DataFrame, docs_trained: int) -> dict:
+    """The frequent words, the first class of each unit, and the totals: of
+    fixed size, whatever the input's."""
+    tops = counted.where("kind = 1").orderBy(F.desc("b"), "a").limit(FREQUENT).select("a", "b").collect()
+    total = counted.where("kind = 2").agg(F.sum("b").alias("b"), F.sum("c").alias("c")).first()
+    frequent = np.sort(np.array([r["a"] for r in tops], np.int64)).astype(U64)
+    return {"frequent": frequent, "cls": exchange(unit_pairs(train_rows, frequent)), "n": (total["b"] or 0) + docs_trained,
+            "v": (total["c"] or 0) + int(docs_trained > 0), "ends": docs_trained}
+
+
+CODED = "block int, n long, size long, h binary, cls binary, seq binary"
+CONTEXT = "kind int, block int, bucket int, n int, size int, h binary, cls binary, data binary"
+MOVED = "kind int, block int, bucket int, n int, moved long, cls binary"
+
+
+def _code(start: dict):
+    """A block's distinct words with their first classes, and its training
+    texts as a sequence of their numbers (the one after the last: an end)."""
+    def run(key, table):
+        table, _ = sorted_block(table)
+        t = Texts.of(table["text"], lower=True)
+        w = words(t)
+        train = table["train"].to_numpy(zero_copy_only=False)
+        end = endings(t, w)
+        h, _, ending, number = _vocabulary(w, end, train.astype(np.int64))
+        seq, first = with_ends(w, lambda _: number, h.size)
+        seq = seq[np.repeat(train, np.diff(first))]
+        cls = start["cls"][unit_of(h, ending, start["frequent"])]
+        pack = lambda x, keep: squeeze(np.frombuffer(planes(x.astype(U64), keep), np.uint8))
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "n": [h.size], "size": [seq.size],
+                         **{c: pa.array([pack(x, keep)], pa.binary()) for c, x, keep in (("h", h, 8), ("cls", cls, 1), ("seq", seq, 4))}})
+    return run
+
+
+def _read(raw, n: int, keep: int) -> np.ndarray:
+    return unplanes(unsqueeze(raw, n * keep), n, keep)
+
+
+def _classes(answers: pa.Table, h: np.ndarray, n: int, cls: np.ndarray) -> np.ndarray:
+    """The words' classes after the answers (none: as they are)."""
+    got = dict(zip(answers["bucket"].to_pylist(), answers["cls"].to_pylist()))
+    if got:
+        cls = cls.copy()
+        for b, at in by_bucket(h, n):
+            cls[at] = unplanes(got[b], at.size, 1)
+    return cls
+
+
+def _contexts(n: int):
+    """kind 0: a block's words for a bucket, with classes and, of each, what
+    occurs beside it: ``data`` is the number of entries of each word, their
+    codes (class after it, or ``K`` and the class before it) and counts, and
+    how often each word follows itself. kind 1: the block's class pairs."""
+    def run(key, coded, answers):
+        rows = []
+        block = key[0].as_py()
+        for r in coded.to_pylist():
+            size = r["n"]
+            h = _read(r["h"], size, 8)
+            cls = _classes(answers, h, n, _read(r["cls"], size, 1).astype(np.int64))
+            seq = _read(r["seq"], r["size"], 4).astype(np.int64)
+            before = np.append(size, seq[:-1])
+            of = np.append(cls, CLASSES)
+            pairs = np.bincount(of[before] * K + of[seq], minlength=K * K)
+            rows.append((1, block, -1, 0, 0, None, None, planes(pairs.astype(U64), 5)))
+            own = np.bincount(seq[(seq == before) & (seq < size)], minlength=size)
+            code = np.concatenate([(before * (2 * K) + of[seq])[before < size], (seq * (2 * K) + K + of[before])[seq < size]])
+            code, many = np.unique(code, return_counts=True)
+            at_word = np.searchsorted(code, np.arange(size + 1) * (2 * K))
+            code %= 2 * K
+            for b, at in by_bucket(h, n):
+                number = at_word[at + 1] - at_word[at]
+                to = np.cumsum(number)
+                use = np.arange(int(to[-1])) + np.repeat(at_word[at] - to + number, number)
+                data = b"".join((planes(number.astype(U64), 4), planes(code[use].astype(U64), 1), planes(many[use].astype(U64), 4), planes(own[at].astype(U64), 4)))
+                rows.append((0, block, b, at.size, use.size, planes(h[at], 6), planes(cls[at].astype(U64), 1), squeeze(np.frombuffer(data, np.uint8))))
+        fields = [f.split() for f in CONTEXT.split(", ")]
+        kinds = {"int": pa.int32(), "binary": pa.binary()}
+        return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
+    return run
+
+
+def _xlogx(x):
+    return x * np.log(np.maximum(x, 1))
+
+
+def best_moves(c: np.ndarray, cls: np.ndarray, beside: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Best class of each word, all others staying. ``beside``: occurrences of
+    the classes after (``K`` columns) and before each word; ``own``: how often
+    it follows itself."""
+    out = cls.copy()
+    right, left = beside[:, :K], beside[:, K:]
+    i = np.arange(cls.size)
+    plain = (own == 0) & (right[i, cls] == 0) & (left[i, cls] == 0) & (beside.max(1, initial=0) <= TABLED) & ~((right > 0) & (left > 0)).any(1)
+    rows, cols = c.sum(1), c.sum(0)
+    table = [np.stack([_xlogx(m.T + r) - _xlogx(m.T) for r in range(TABLED + 1)]) for m in (c, c.T)]
+    for size, pick, gains in ((4096, np.flatnonzero(plain), _plain_gains), (256, np.flatnonzero(~plain), _whole_gains)):
+        for lo in range(0, pick.size, size):
+            at = pick[lo:lo + size]
+            a, r, l, o = cls[at], right[at].astype(float), left[at].astype(float), own[at].astype(float)  # noqa: E741
+            gain, j = gains(c, a, r, l, o, table), np.arange(at.size)
+            for total, s in ((rows, r.sum(1)), (cols, l.sum(1))):  # what the word's class has without it
+                rest = np.repeat(total[None], at.size, 0)
+                rest[j, a] -= s
+                gain -= _xlogx(rest + s[:, None]) - _xlogx(rest)
+            gain[:, -1] = -np.inf
+            b = gain.argmax(1)
+            out[at] = np.where(gain[j, b] > gain[j, a] + 1e-9, b, a)
+    return out
+
+
+def _plain_gains(c, a, right, left, own, table):
+    """For words with few occurrences beside each class, none beside their own
+    class, and no class on both sides: sums of looked-up differences."""
+    gain = np.zeros((a.size, K))
+    for m, x, looked in ((c, right, table[0]), (c.T, left, table[1])):
+        word, k = np.nonzero(x)
+        r = x[word, k]
+        each = looked[r.astype(np.int64), k]
+        now = m[a[word], k]
+        each[np.arange(word.size), a[word]] = _xlogx(now) - _xlogx(now - r)
+        if word.size:
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            gain[word[first]] += np.add.reduceat(each, first, axis=0)
+    return gain
+
+
+def _whole_gains(c, a, right, left, own, table):
+    j = np.arange(a.size)
+    right, left = right.copy(), left.copy()
+    right[j, a] -= own
+    left[j, a] -= own
+    m = np.repeat(c[None], a.size, 0)
+    m[j, a] -= right
+    m[j, :, a] -= left
+    m[j, a, a] -= own
+    f = _xlogx(m)
+    gain = (_xlogx(m + right[:, None, :]) - f).sum(2) + (_xlogx(m + left[:, :, None]) - f).sum(1)
+    d, o = np.diagonal(m, axis1=1, axis2=2), own[:, None]
+    return gain + _xlogx(d + right + left + o) - _xlogx(d + right) - _xlogx(d + left) + _xlogx(d)
+
+
+def _move(c: np.ndarray, turn: int, parts: int):
+    """kind 0: the words' classes for a block; 1 and 2: a class's words in this
+    bucket before and after the moves."""
+    def run(key, table):
+        table = table.combine_chunks().sort_by("block")
+        size, entries = table["n"].to_numpy(), table["size"].to_numpy()
+        h = np.concatenate([unplanes(x.as_py(), n, 6) for x, n in zip(table["h"], size)])
+        word, first, number = np.unique(h, return_index=True, return_inverse=True)
+        cls = np.concatenate([unplanes(x.as_py(), n, 1) for x, n in zip(table["cls"], size)]).astype(np.int64)[first]
+        own, cell, many = np.zeros(word.size, np.int64), [], []
+        at = 0
+        for x, n, e in zip(table["data"], size, entries):
+            raw = unsqueeze(x.as_py(), 8 * n + 5 * e)
+            cuts = np.cumsum([0, 4 * n, e, 4 * e, 4 * n])
+            degree, code, times, self_ = (unplanes(raw[u:v], k, w).astype(np.int64) for u, v, k, w in zip(cuts[:-1], cuts[1:], (n, e, e, n), (4, 1, 4, 4)))
+            mine = number[at:at + n]
+            at += n
+            cell.append(np.repeat(mine, degree) * (2 * K) + code)
+            many.append(times)
+            np.add.at(own, mine, self_)
+        cell, many = np.concatenate(cell), np.concatenate(many)
+        order = np.argsort(cell, kind="stable")
+        cell, many = cell[order], many[order]
+        new, moved = cls.copy(), 0
+        seen = np.zeros(word.size, bool)
+        seen[cell // (2 * K)] = True
+        can = np.flatnonzero(seen & (mix(word) % U64(parts) == U64(turn % parts)))
+        for lo in range(0, can.size, 1 << 14):
+            use = can[lo:lo + (1 << 14)]
+            u, v = np.searchsorted(cell, (use[0] * 2 * K, (use[-1] + 1) * 2 * K))
+            beside = np.bincount(cell[u:v] - use[0] * 2 * K, weights=many[u:v], minlength=(use[-1] - use[0] + 1) * 2 * K)
+            new[use] = best_moves(c, cls[use], beside.reshape(-1, 2 * K)[use - use[0]], own[use])
+        moved = int((new != cls).sum())
+        answers = [planes(new[number[y - n:y]].astype(U64), 1) for y, n in zip(np.cumsum(size), size)]
+        kinds = [planes(np.bincount(x[seen], minlength=K).astype(U64), 5) for x in (cls, new)]
+        m, bucket = len(answers), key[0].as_py()
+        return pa.table({"kind": pa.array([0] * m + [1, 2], pa.int32()), "block": pa.array([*table["block"].to_pylist(), -1, -1], pa.int32()), "bucket": pa.array([bucket] * (m + 2), pa.int32()),
+                         "n": pa.array([*size.tolist(), 0, 0], pa.int32()), "moved": [0] * m + [0, moved], "cls": pa.array(answers + kinds, pa.binary())})
+    return run
+
+
+def _total(rows: DataFrame, column: str, size: int) -> np.ndarray:
+    """Sum of packed numbers (a row each); the driver reads 16 sums."""
+    def add(key, table):
+        total = np.zeros(size, U64)
+        for x in table["x"]:
+            total += unplanes(x.as_py(), size, 5)
+        return pa.table({"x": pa.array([planes(total, 8)], pa.binary())})
+
+    some = rows.select(F.pmod(F.hash("block", "bucket"), F.lit(16)).alias("some"), F.col(column).alias("x"))
+    return sum((unplanes(r["x"], size, 8).astype(float) for r in some.groupBy("some").applyInArrow(add, "x binary").collect()), np.zeros(size))
+
+
+def information(c: np.ndarray) -> float:
+    """What the exchange raises: the mutual information of adjacent classes,
+    but for a factor and the words' own shares."""
+    return float(_xlogx(c).sum() - _xlogx(c.sum(1)).sum() - _xlogx(c.sum(0)).sum() + _xlogx(c.sum()))
+
+
+def cluster(coded: DataFrame, n: int) -> tuple[DataFrame, np.ndarray, np.ndarray, list[float]]:
+    """Each block's classes (MOVED, kind 0; no rows: the first ones), the class
+    pairs, the words per class, and the mutual information of each round."""
+    classes = coded.sparkSession.createDataFrame([], MOVED)
+    kinds = best = None
+    course, parts, still, moved = [], PARTS, 0, 0
+    for turn in itertools.count():
+        if not still:
+            met = cut(coded.groupBy("block").cogroup(classes.where("kind = 0").select("block", "bucket", "cls").groupBy("block")).applyInArrow(_contexts(n), CONTEXT))
+            c = _total(met.where("kind = 1"), "data", K * K).reshape(K, K)
+            course.append(information(c))
+            gain = course[-1] - best["value"] if best else np.inf
+            if gain > 0:
+                best = {"value": course[-1], "met": met, "c": c, "classes": classes, "kinds": kinds}
+                if gain < LEAST * best["value"]:
+                    break
+            elif moved == 1:
+                break
+            else:  # too many moves at once
+                parts *= 2
+        after = cut(best["met"].where("kind = 0").groupBy("bucket").applyInArrow(_move(best["c"], turn, parts), MOVED))
+        if best["kinds"] is None:
+            best["kinds"] = _total(after.where("kind = 1"), "cls", K)
+        moved = after.agg(F.sum("moved")).first()[0] or 0
+        still = 0 if moved else still + 1
+        if still == parts:
+            break
+        if moved:
+            classes, kinds = after, _total(after.where("kind = 2"), "cls", K)
+    return best["classes"], best["c"], best["kinds"], course
+
+
+def _model(start: dict, c: np.ndarray, kinds: np.ndarray) -> dict:
+    """Everything ``score`` needs besides the words' counts and classes."""
+    n_class, v_class = c.sum(0), kinds.copy()
+    v_class[CLASSES] = int(start["ends"] > 0)
+    share = (n_class + 1) / (n_class.sum() + K)
+    go = np.log10((c + K * share) / (c.sum(1, keepdims=True) + K))
     emit = np.log10(n_class + 0.5 * (v_class + 1))  # to be taken from log10(count + 0.5)
-    return {"frequent": frequent, "cls": cls, "go": go, "emit": emit, "n": int(tokens.sum()), "v": int(kinds.sum()), "ends": docs_trained}
+    return {**start, "go": go, "emit": emit}
 
 
 def _score(model: dict, n: int):
@@ -226,14 +458,16 @@ def _score(model: dict, n: int):
         w = words(t)
         end = endings(t, w)
         train = table["train"].to_numpy(zero_copy_only=False)
-        h, _, _, number = _vocabulary(w, end, train.astype(np.int64))
-        got = dict(zip(answers["bucket"].to_pylist(), answers["counts"].to_pylist()))
+        h, _, ending, number = _vocabulary(w, end, train.astype(np.int64))
+        kind = answers["kind"].to_numpy()
+        counts = answers.filter(pa.array(kind == 0))
+        got = dict(zip(counts["bucket"].to_pylist(), counts["counts"].to_pylist()))
         total = np.zeros(h.size, np.int64)
         for b, at in by_bucket(h, n):
             total[at] = unplanes(got[b], at.size, 5)
         count, first = with_ends(w, lambda _: total[number], model["ends"])
-        unit, _ = with_ends(w, lambda _: unit_of(w.hash, end, model["frequent"]), END)
-        cls = model["cls"][unit]
+        at = _classes(answers.filter(pa.array(kind == 1)), h, n, model["cls"][unit_of(h, ending, model["frequent"])])
+        cls, _ = with_ends(w, lambda _: at[number], CLASSES)
         known = np.log10(count + 0.5)
         base = known - np.log10(model["n"] + 0.5 * (model["v"] + 1))
         before = np.append(CLASSES, cls[:-1])  # each text's last class is the end's
@@ -251,7 +485,10 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
     n = block_count(rows)
     by_block = with_block(rows, n, ("train",)).groupBy("block")
     counted = cut(by_block.applyInArrow(_ask(n), "bucket int, block int, n int, h binary, c binary, e binary").groupBy("bucket").applyInArrow(_count, COUNTED))
-    model = _model(counted, rows.where("train").select("text"), rows.where("train").count())
-    answers = counted.where("kind = 0").select("block", "bucket", "counts")
+    start = _start(counted, rows.where("train").select("text"), rows.where("train").count())
+    classes, c, kinds, _ = cluster(cut(by_block.applyInArrow(_code(start), CODED)), n)
+    model = _model(start, c, kinds)
+    answers = counted.where("kind = 0").select(F.lit(0).alias("kind"), "block", "bucket", "counts", F.lit(None).cast("binary").alias("cls")) \
+        .unionByName(classes.where("kind = 0").select(F.lit(1).alias("kind"), "block", "bucket", F.lit(None).cast("binary").alias("counts"), "cls"))
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _score(model, n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

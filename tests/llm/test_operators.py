@@ -283,6 +283,41 @@ def test_class_model_probabilities_add_up():
     assert np.allclose(((c + k * share) / (c.sum(1, keepdims=True) + k)).sum(1), 1)
 
 
+def test_best_moves_of_words():
+    """Against the mutual information after each possible move."""
+    rng = np.random.default_rng(7)
+    k, v = class_model.K, 400
+    seq = rng.integers(0, v, 3000) * rng.integers(0, 2, 3000)
+    cls = np.append(rng.integers(0, k - 1, v), k - 1)
+    pairs = np.zeros((v + 1, v + 1))
+    np.add.at(pairs, (np.append(v, seq), np.append(seq, v)), 1)
+    member = np.eye(k)[cls]
+    beside = np.concatenate([pairs @ member, pairs.T @ member], 1)[:v]
+    got = class_model.best_moves(member.T @ pairs @ member, cls[:v], beside, np.diag(pairs)[:v])
+    for w in range(0, v, 13):
+        value = np.empty(k - 1)
+        for b in range(k - 1):
+            other = cls.copy()
+            other[w] = b
+            m = np.eye(k)[other]
+            value[b] = class_model.information(m.T @ pairs @ m)
+        assert value[got[w]] >= value.max() - 1e-6
+
+
+def test_rare_words_are_clustered_by_their_neighbours(spark):
+    """More words than the frequent ones, all with one ending."""
+    rng = random.Random(8)
+    xs, ys = [[f"{g}{i}zz" for i in range(1000)] for g in "xy"]
+    line = lambda n: " ".join(rng.choice(xs if i % 2 else ys) for i in range(n))
+    rows = [(i, line(40)) for i in range(400)]
+    count = Counter(w for _, t in rows for w in t.split())
+    x, y = ([w for w in sorted(g, key=lambda w: (count[w], w)) if 3 <= count[w]][:20] for g in (xs, ys))
+    for i, (a, b, c, d) in enumerate(zip(x[::2], x[1::2], y[::2], y[1::2])):
+        rows += [(1000 + 2 * i, f"{c} {a} {d} {b}"), (1001 + 2 * i, f"{c} {d} {a} {b}")]
+    got = {r.doc_id: r.score for r in class_model.score_texts(table(spark, rows), F.col("doc_id") < 1000).collect()}
+    assert sum(got[1000 + 2 * i] > got[1001 + 2 * i] for i in range(10)) >= 9
+
+
 def test_exchange_raises_mutual_information():
     rng = np.random.default_rng(6)
     u = class_model.UNITS
