@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import class_model, decontaminate, html_extract, language_id, mixing, ngram_join, quality_model, quality_rules, substring_dedup, suffix_dedup
+from snaphist.llm import class_model, decontaminate, html_extract, importance, language_id, lexical_search, mixing, ngram_join, quality_model, quality_rules, substring_dedup, suffix_dedup, warc
 from snaphist.llm.ship import ship
+from snaphist.session import ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,8 +71,23 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.payload_sizes(warc.read_archive(spark, path)) \
+        .select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard_join, op3_mix_sources, op4_class_model_scoring, op5_suffix_array_dedup, op6_benchmark_decontamination, op7_quality_classifier,
-                            op8_html_extraction, op9_quality_rules, op10_language_id)
+                            op8_html_extraction, op9_quality_rules, op10_language_id, op11_warc, op12_lexical_search, op13_importance_resampling)
 }
-SQL: dict[str, str] = {"op3_mix_sources": mixing.MIX_SQL}
+SQL: dict[str, str] = {"op3_mix_sources": mixing.MIX_SQL, "op11_warc": warc.ARCHIVE_SQL, "op12_lexical_search": lexical_search.SEARCH_SQL}
