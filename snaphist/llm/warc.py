@@ -46,8 +46,8 @@ CHUNK_BYTES = 4 << 10  # of the chunked framing
 FLUSH_BYTES = 4 << 20  # of records given to Spark at a time
 DATE = "2024-01-01T00:00:00Z"
 # Fixed values of the format.
-VERSION, CRLF = b"WARC/1.1", b"\r\n"
-NEXT_RECORD = b"\r\n\r\nWARC/1."
+VERSION, RECORD_START, CRLF = b"WARC/1.1", b"WARC/1.", b"\r\n"
+NEXT_RECORD = CRLF + CRLF + RECORD_START
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 # Fields of our own.
@@ -82,7 +82,7 @@ def segments_of(block: bytes, size: int) -> list[bytes]:
     out, lo = [], 0
     while len(block) - lo > size:
         hi = lo + size
-        if block.startswith(b"WARC/1.", hi):  # else it would follow the header's empty line
+        if block.startswith(RECORD_START, hi):  # else it would follow the header's empty line
             hi -= 1
         out.append(block[lo:hi])
         lo = hi
@@ -144,7 +144,7 @@ def write_archive(pages: DataFrame, path: str, *, key: str = "page_id", uri: str
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     rows.mapInArrow(write, "record binary").select(F.col("record").cast("string").alias("value")) \
-        .write.option("lineSep", "\r\n").option("compression", compression).text(path)
+        .write.options(**{"lineSep": "\r\n", "compression": compression, "zlib.compress.level": "BEST_SPEED"}).text(path)
 
 
 # ------------------------------------------------------------------- reading
@@ -190,35 +190,32 @@ def payload_of(block: bytes) -> tuple[bytes, str | None]:
 
 def split_records(rows: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
     """(fields, block, fault) of each record. ``rows`` were cut wherever a
-    record seems to start; one that is shorter than its ``Content-Length`` goes
-    on in the next row."""
-    held = None
-
-    def done(raw: bytes):
-        head, _, block = raw.partition(CRLF + CRLF)
-        f = fields_of(head)
-        n = int(f["content-length"]) if f.get("content-length", "").isdigit() else -1
-        more = block[n:] if n >= 0 else b""
-        return f, block[:max(n, 0)], None if n >= 0 and len(block) >= n and not more.strip(CRLF) else BAD_LENGTH, n - len(block)
-
+    record seems to start; one shorter than its ``Content-Length`` goes on in
+    the next row. A row may hold several (the line reader misses a separator
+    that overlaps the end of its buffer)."""
+    held = b""
     for row in rows:
-        starts = row.startswith(VERSION[:7])
-        if held is not None and not starts:
-            raw, held = held + NEXT_RECORD + row, None
-        else:
-            if held is not None:
-                yield done(held)[:3]
-                held = None
-            raw = row if starts else NEXT_RECORD[4:] + row
-        if not raw.strip(CRLF):
-            continue
-        got = done(raw)
-        if got[2] and got[3] > 0:
-            held = raw
+        starts = row.startswith(RECORD_START)
+        if held and not starts:
+            raw = held + NEXT_RECORD + row
         else:
-            yield got[:3]
-    if held is not None:
-        yield done(held)[:3]
+            if held:  # a file that ends within a record
+                yield fields_of(held.partition(CRLF + CRLF)[0]), b"", BAD_LENGTH
+            raw = row if starts else RECORD_START + row
+        held = b""
+        while raw.strip(CRLF):
+            head, _, block = raw.partition(CRLF + CRLF)
+            f = fields_of(head)
+            n = int(f["content-length"]) if f.get("content-length", "").isdigit() else 0
+            if len(block) < n:
+                held = raw
+                break
+            raw = block[n:].lstrip(CRLF)
+            whole = "content-length" in f and (not raw or raw.startswith(RECORD_START))
+            yield f, block[:n], None if whole else BAD_LENGTH
+            raw = raw if whole else b""
+    if held:
+        yield fields_of(held.partition(CRLF + CRLF)[0]), b"", BAD_LENGTH
 
 
 RECORD = "record_type string, key long, uri string, refers_to long, payload_digest string, payload binary, fault string"
