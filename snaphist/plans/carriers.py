@@ -114,6 +114,31 @@ def broken_order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .otherwise(F.col("value")).alias("value"))
 
 
+#: Extracts of all orders that lost or gained pages by rule.
+CHAINS = ("whole", "no_first", "no_middle", "no_last", "doubled", "cycle")
+
+
+def order_page_chains(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+    """All orders as a chain of pages that carry their request cursors
+    (``extract, value``), once whole and once per kind of damage. Keys are
+    consecutive, so every page number up to the last one exists."""
+    whole = order_pages(spark, sf_dir, "all", page_size)
+    last = whole.agg(F.max("page")).scalar()
+    page = F.col("page")
+    half = F.floor(last / 2)
+    cursor = lambda p: F.struct((p * page_size).cast("string").alias("after"))
+    results = F.from_json("value", "struct<results:array<string>>", {"mode": "FAILFAST"})["results"]
+    head = F.to_json(F.struct(F.when(page > 0, cursor(page)).alias("request")))
+    # pages from the middle on lead back to the middle, the one before ends the chain
+    ahead = F.when(F.col("extract") == "cycle", F.when(page == last, half).when(page != half - 1, page + 1)).when(page != last, page + 1)
+    paging = F.to_json(F.struct(F.struct(F.when(ahead.isNotNull(), cursor(ahead)).alias("next")).alias("paging")))
+    text = F.concat(F.regexp_replace(head, "}$", F.when(page > 0, ",").otherwise("")), F.lit('"results":['), F.array_join("results", ","), F.lit("],"), F.substr(paging, F.lit(2)))
+    copies = F.when((F.col("extract") == "doubled") & (page % 11 == 5), 2).otherwise(1)
+    gone = F.coalesce(((F.col("extract") == "no_first") & (page == 0)) | ((F.col("extract") == "no_middle") & (page % 7 == 3)) | ((F.col("extract") == "no_last") & (page == last)), F.lit(False))
+    rows = whole.select("page", results.alias("results"), F.explode(F.array(*map(F.lit, CHAINS))).alias("extract")).where(~gone)
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select("extract", text.alias("value"))
+
+
 # ---------------------------------------------------------- customer -> companies
 def customer_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")

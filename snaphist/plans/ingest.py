@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..contracts import IS_CURRENT, RUN_ID, SCD2, STAGING, VALID_FROM
 from ..operators import audits, gates
 from ..operators.scd2 import scd2_merge_open
+from ..sources.landing import assert_whole_extracts
 from ..sources.store import Part, RunConflict, Store
 from .pipeline import RunInputs, map_run
 
@@ -47,7 +48,9 @@ def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: dat
     ``audit_scope`` of append tables: ``"run"`` audits the rows of this run.
     Their key contains the run id and every committed run was audited, so the
     verdict is that of the whole table; ``"table"`` audits all of it again.
-    ``project`` keeps the contract's requested properties only (S5)."""
+    ``project`` keeps the contract's requested properties only (S5).
+    A run whose ``inputs.pages`` are not whole extracts is refused before
+    anything is read from them."""
     store.assert_tables_exist()
     contracts = store.contracts
     close_missing = sample_limit is None
@@ -56,6 +59,7 @@ def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: dat
         if skip_committed:
             return RunResult(run_id, {}, {})
         raise RunConflict(f"run {run_id} is committed already")
+    assert_whole_extracts(inputs.pages)
     seq, part = store.next_seq(), store.part_id(run_id)
     stamp = dict(run_id=run_id, ingested_at=ingested_at, source_system=source_system,
                  sample_limit=sample_limit, project=project)

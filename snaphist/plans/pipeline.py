@@ -32,6 +32,7 @@ class RunInputs:
     owners: DataFrame | None = None
     pipelines: DataFrame | None = None
     associations: dict[str, DataFrame] = field(default_factory=dict)  # table -> batch results
+    pages: dict[str, DataFrame] = field(default_factory=dict)         # landed extracts, to be checked for lost pages
 
 
 def map_run(inputs: RunInputs, contracts: dict[str, TableContract], *, run_id: str,

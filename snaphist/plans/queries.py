@@ -25,7 +25,7 @@ from ..operators.flatten import (
 )
 from ..operators.history import append_history, rows_per_run
 from ..operators.scd2 import GENERAL, SPLIT, change_summary, run_ends, scd2_merge, scd2_replay
-from ..sources.landing import envelope_results, page_faults, project_properties, sample_first, scope_results_to_ids
+from ..sources.landing import chain_faults, envelope_results, page_faults, project_properties, sample_first, scope_results_to_ids
 from . import carriers as C
 from .pipeline import run_summary_frame
 
@@ -583,6 +583,26 @@ def q_page_faults(spark, sf):
     return page_faults(C.broken_order_pages(spark, sf)).groupBy("fault").agg(F.count(F.lit(1)).alias("pages"))
 
 
+@register("page_chain", """
+WITH p AS (SELECT DISTINCT CAST(floor(o_orderkey / 100) AS BIGINT) AS page FROM orders),
+m AS (SELECT max(page) AS last, CAST(floor(max(page) / 2) AS BIGINT) AS half FROM p),
+f AS (
+  SELECT 'no_first' AS extract, 'first_page' AS fault, NULL AS cursor, 0 AS pages
+  UNION ALL SELECT 'no_first', 'unreached_page', '100', 1
+  UNION ALL SELECT 'no_middle', 'lost_page', CAST(page * 100 AS VARCHAR), 1 FROM p WHERE page % 7 = 3
+  UNION ALL SELECT 'no_middle', 'unreached_page', CAST(page * 100 AS VARCHAR), 1 FROM p WHERE page % 7 = 4
+  UNION ALL SELECT 'no_middle', 'last_page', NULL, 0 FROM m WHERE last % 7 = 3
+  UNION ALL SELECT 'no_last', 'lost_page', CAST(last * 100 AS VARCHAR), 1 FROM m
+  UNION ALL SELECT 'no_last', 'last_page', NULL, 0
+  UNION ALL SELECT 'doubled', 'doubled_page', CAST(page * 100 AS VARCHAR), 2 FROM p WHERE page % 11 = 5
+  UNION ALL SELECT 'doubled', 'last_page', NULL, 2 FROM m WHERE last % 11 = 5
+  UNION ALL SELECT 'cycle', 'endless_page', CAST(page * 100 AS VARCHAR), 1 FROM p, m WHERE page >= half)
+SELECT extract, fault, cursor, CAST(pages AS BIGINT) AS pages FROM f""")
+def q_page_chain(spark, sf):
+    """S1: pages lost at any place, landed twice, or off the chain are found."""
+    return chain_faults(C.order_page_chains(spark, sf), "extract")
+
+
 @register("gate_duplicates", """
 SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS duplicates
 FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""")

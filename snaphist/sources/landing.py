@@ -2,18 +2,22 @@
 
 The extract lands as JSON text: one page envelope
 ``{"results": [...], "paging": {"next": {"after": ...}}}`` per line (or per
-file with ``whole_file=True``). Pages are independent, so the read splits by
-file and by line across the cluster; no cursor is followed on the driver.
+file with ``whole_file=True``), and ``"request": {"after": ...}``, the cursor
+that the page was requested with (none on the first). Pages are independent, so
+the read splits by file and by line across the cluster; cursors are not
+followed one by one, the chain they form is checked as a graph.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import jpath, parse_fields
+from ..session import ensure_checkpoint_dir
 
 DOC = "doc"
 
@@ -51,21 +55,86 @@ def page_faults(pages: DataFrame, text_col: str = "value") -> DataFrame:
     return read.select(fault.alias("fault"), "page").where(F.col("fault").isNotNull())
 
 
+CURSORS = "struct<request:struct<after:string>,paging:struct<next:struct<after:string>>>"
+
+
+def page_cursors(pages: DataFrame, text_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` columns, the cursor that each page was requested with (NULL:
+    the first page) and the one it leads to (NULL: the last page)."""
+    env = F.from_json(F.col(text_col), CURSORS, {"mode": "PERMISSIVE"})
+    cursor = lambda c: F.nullif(F.col(c), F.lit(""))
+    return pages.where(F.trim(text_col) != "").select(*keep, env.alias("env")) \
+        .select(*keep, cursor("env.request.after").alias("request"), cursor("env.paging.next.after").alias("next"))
+
+
 def next_cursor(pages: DataFrame, text_col: str = "value") -> DataFrame:
     """The ``paging.next.after`` cursor of every page (NULL on the last page)."""
-    return pages.select(jpath(F.col(text_col), "$.paging.next.after").alias("after"))
-
-
-def assert_whole_extract(pages: DataFrame, *, label: str, text_col: str = "value") -> None:
-    """A paged extract ends with exactly one page without a cursor, and no two
-    pages lead to the same next one. Pages that carry no cursors at all (an
-    unpaged landing) pass. One aggregate; one row reaches the driver."""
-    c = next_cursor(pages.where(F.trim(text_col) != ""), text_col).groupBy("after").agg(F.count(F.lit(1)).alias("n"))
-    row = c.agg(F.sum(F.when(F.col("after").isNull(), F.col("n"))).alias("last"), F.count("after").alias("cursors"),
-                F.max(F.when(F.col("after").isNotNull(), F.col("n"))).alias("most")).first()
-    if row["cursors"] and (row["last"] != 1 or row["most"] > 1):
-        raise ValueError(f"[landing/cursor-chain] {label}: {row['last'] or 0} last pages, "
-                         f"{row['cursors']} cursors, up to {row['most']} pages with one cursor")
+    return page_cursors(pages, text_col).select(F.col("next").alias("after"))
+
+
+# Kinds of ``chain_faults``.
+FIRST, LAST, LOST, UNREACHED, DOUBLED, FORKED, ENDLESS = "first_page", "last_page", "lost_page", "unreached_page", "doubled_page", "forked_page", "endless_page"
+
+
+def chain_faults(pages: DataFrame, extract: str, text_col: str = "value") -> DataFrame:
+    """What keeps the pages of each extract (column ``extract``) from being one
+    chain from its first to its last page; no rows if all are whole.
+
+    Columns ``extract, fault, cursor, pages``. A page that lost its request or
+    next page, one landed twice, two pages that lead to the same next one, and
+    other than one first or last page are faults; so is every page from which
+    no last page can be reached (a cycle beside the chain breaks no other
+    rule). An extract without any cursors is unpaged and whole.
+
+    The cursors (two short texts a page) are stored once; next and request
+    cursors meet in two anti joins. Cycles are found by pointer doubling: each
+    round doubles the length of all jumps and drops the pages that reached an
+    end, so rounds are the logarithm of the longest chain."""
+    ensure_checkpoint_dir(pages.sparkSession)
+    c = page_cursors(pages.withColumnRenamed(extract, "extract"), text_col, ("extract",)).checkpoint()
+    ends = c.groupBy("extract").agg((F.count("request") + F.count("next")).alias("paged"), F.count_if(F.col("request").isNull()).alias("first"),
+                                    F.count_if(F.col("next").isNull()).alias("last")).where("paged > 0")
+    kind = lambda df, fault, cursor, n: df.select("extract", F.lit(fault).alias("fault"), cursor.alias("cursor"), F.col(n).alias("pages"))
+    nothing = F.lit(None).cast("string")
+    links = c.groupBy("extract", "request", "next").agg(F.count(F.lit(1)).alias("n"))
+    asked = links.where("request IS NOT NULL").groupBy("extract", "request").agg(F.sum("n").alias("n"), F.max("next").alias("next"))
+    led = links.where("next IS NOT NULL").groupBy("extract", "next").agg(F.count(F.lit(1)).alias("n"))
+    request, nxt = asked.select("extract", F.col("request").alias("cursor"), "n"), led.select("extract", F.col("next").alias("cursor"), "n")
+    at = F.col("cursor")
+    faults = [
+        kind(ends.where("first <> 1"), FIRST, nothing, "first"), kind(ends.where("last <> 1"), LAST, nothing, "last"),
+        kind(nxt.join(request, ["extract", "cursor"], "left_anti"), LOST, at, "n"), kind(request.join(nxt, ["extract", "cursor"], "left_anti"), UNREACHED, at, "n"),
+        kind(request.where("n > 1"), DOUBLED, at, "n"), kind(nxt.where("n > 1"), FORKED, at, "n"),
+        kind(_endless(asked.where("next IS NOT NULL").select("extract", F.col("request").alias("page"), F.col("next").alias("jump"))).withColumn("n", F.lit(1).cast("long")),
+             ENDLESS, F.col("page"), "n"),
+    ]
+    return reduce(DataFrame.unionByName, faults)
+
+
+def _endless(live: DataFrame) -> DataFrame:
+    """The pages (``extract, page, jump``; one jump each) from which no jumps
+    lead to a page without one."""
+    live = live.checkpoint()
+    rounds = live.count().bit_length()  # 2 ** rounds exceeds the longest chain
+    for _ in range(rounds):
+        ahead = live.select("extract", F.col("page").alias("jump"), F.col("jump").alias("further"))
+        live = live.join(ahead, ["extract", "jump"]).select("extract", "page", F.col("further").alias("jump")).checkpoint()
+        if live.isEmpty():
+            break
+    return live
+
+
+def assert_whole_extracts(pages: dict[str, DataFrame], text_col: str = "value") -> None:
+    """Refuses paged extracts (by name) that are not whole: a lost page would
+    be taken for deletions. All are checked together; at most ten faults reach
+    the driver."""
+    if not pages:
+        return
+    named = reduce(DataFrame.unionByName, [p.select(F.col(text_col).alias("value"), F.lit(name).alias("extract")) for name, p in pages.items()])
+    found = chain_faults(named, "extract").limit(10).collect()
+    if found:
+        shown = "".join(f"\n  {r['extract']}: {r['fault']} {r['cursor'] or ''} ({r['pages']})" for r in found)
+        raise ValueError(f"[landing/cursor-chain] extracts that are not whole:{shown}")
 
 
 def read_objects(spark: SparkSession, path: str | Sequence[str], *, whole_file: bool = False) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.landing import assert_whole_extract, envelope_results, read_landing
+from ..sources.landing import envelope_results, read_landing
 from ..sources.store import Store
 from ..plans.ingest import ingest_run
 from ..plans.pipeline import RunInputs
@@ -53,12 +53,12 @@ def landed_inputs(spark: SparkSession, landing: str, run_id: str) -> RunInputs:
     """The documents of one landed run (absent kinds are simply not set)."""
     base = f"{landing.rstrip('/')}/{run_id}"
 
+    inputs = RunInputs()
+
     def objs(path: str) -> DataFrame:
-        pages = read_landing(spark, path)
-        assert_whole_extract(pages, label=path)
+        inputs.pages[path.removeprefix(f"{base}/")] = pages = read_landing(spark, path)
         return envelope_results(pages)
 
-    inputs = RunInputs()
     for t in _subdirs(spark, f"{base}/entities"):
         inputs.entities[t] = objs(f"{base}/entities/{t}")
     if _exists(spark, f"{base}/owners"):

@@ -1,6 +1,8 @@
 """Post-load audits, consumer reads, and the stored ingest run end to end."""
 
 import json
+import os
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -12,8 +14,9 @@ from snaphist.operators import audits, reads
 from snaphist.plans import carriers as CR
 from snaphist.plans.ingest import audit_run, ingest_run
 from snaphist.plans.pipeline import RunInputs, map_run
-from snaphist.sources.landing import assert_whole_extract, envelope_results, page_faults
+from snaphist.sources.landing import chain_faults, envelope_results, page_faults
 from snaphist.sources.store import RunConflict, Store
+from snaphist.streaming.landing_stream import landed_inputs
 
 C = crm_contracts("source")
 EDGE = C["contact_company_associations"]
@@ -199,14 +202,60 @@ def test_corrupt_page_fails_the_run_and_closes_nothing(spark, scratch):
         assert content(store, "deals") == before
 
 
-def test_cursor_chain(spark):
-    page = lambda after: (json.dumps({"results": [], **({"paging": {"next": {"after": after}}} if after else {})}),)
-    check = lambda *after: assert_whole_extract(spark.createDataFrame([page(a) for a in after], "value string"), label="x")
-    check("1", "2", None)
-    check(None, None)                  # no cursors at all
-    for broken in (("1", "2"), ("1", "1", None), ("1", None, None)):
-        with pytest.raises(ValueError, match="cursor-chain"):
-            check(*broken)
+def page(request, after, results=()):
+    return json.dumps({**({"request": {"after": request}} if request else {}), "results": list(results), **({"paging": {"next": {"after": after}}} if after else {})})
+
+
+def chain_of(spark, pages):
+    rows = spark.createDataFrame([("x", page(*p)) for p in pages], "extract string, value string")
+    return Counter((r.fault, r.cursor, r.pages) for r in chain_faults(rows, "extract").collect())
+
+
+CHAIN = [(None, "b"), ("b", "c"), ("c", "d"), ("d", None)]
+
+
+@pytest.mark.parametrize("pages, want", [
+    (CHAIN, {}), (CHAIN[::-1], {}), ([(None, None)], {}), ([(None, None)] * 3, {}), ([(None, "")], {}),
+    (CHAIN[1:], {("first_page", None, 0), ("unreached_page", "b", 1)}),
+    (CHAIN[:1] + CHAIN[2:], {("lost_page", "b", 1), ("unreached_page", "c", 1)}),
+    (CHAIN[:-1], {("lost_page", "d", 1), ("last_page", None, 0)}),
+    (CHAIN + CHAIN[1:2], {("doubled_page", "b", 2)}),
+    (CHAIN + CHAIN[:1], {("first_page", None, 2)}),
+    (CHAIN + [(None, "q"), ("q", None)], {("first_page", None, 2), ("last_page", None, 2)}),
+    (CHAIN + [("q", "r"), ("r", "s"), ("s", "q")], {("endless_page", "q", 1), ("endless_page", "r", 1), ("endless_page", "s", 1)}),
+    (CHAIN + [("q", "q")], {("endless_page", "q", 1)}),
+    (CHAIN + [("q", "c")], {("unreached_page", "q", 1), ("forked_page", "c", 2)}),
+])
+def test_cursor_chain(spark, pages, want):
+    assert chain_of(spark, pages) == Counter(want)
+
+
+def test_long_chain_is_whole(spark):
+    names = [None, *(f"c{i}" for i in range(1, 300)), None]
+    assert not chain_of(spark, list(zip(names, names[1:])))
+    names = [None, *("c%d" % i for i in range(1, 300))]
+    assert sum(chain_of(spark, [*zip(names, names[1:]), ("c299", "c150")]).values()) == 1 + 299 + 1  # no last page, all endless, a fork
+
+
+@pytest.mark.parametrize("lost", [0, 1, 2, "again"])
+def test_a_lost_page_refuses_the_run_and_closes_nothing(spark, scratch, lost):
+    store = new_store(spark, f"{scratch}/bronze")
+    landing = f"{scratch}/landing"
+    pages = [page(None, "2", [deal(1)]), page("2", "3", [deal(2)]), page("3", None, [deal(3)])]
+
+    def land(run, some):
+        os.makedirs(f"{landing}/{run}/entities/deals")
+        with open(f"{landing}/{run}/entities/deals/part-0.jsonl", "w") as f:
+            f.write("\n".join(some) + "\n")
+        return ingest_run(store, landed_inputs(spark, landing, run), run_id=run, ingested_at="2024-01-01 00:00:00", source_system="crm")
+
+    land("a", pages)
+    before = content(store, "deals")
+    assert len(before) == 3
+    with pytest.raises(ValueError, match="cursor-chain.*\n.*entities/deals"):
+        land("b", [*pages, pages[1]] if lost == "again" else pages[:lost] + pages[lost + 1:])
+    assert content(store, "deals") == before and [r for r, _ in store.committed("deals")] == ["a"]
+    land("c", pages[::-1])
 
 
 def test_projection_at_ingest(spark, scratch):
