@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contracts import (
@@ -24,7 +24,7 @@ from ..operators.flatten import (
     associations_to_rows, objects_to_rows, owners_to_rows, pipelines_to_stage_rows,
 )
 from ..operators.history import append_history, rows_per_run
-from ..operators.scd2 import GENERAL, SPLIT, change_summary, run_ends, scd2_merge, scd2_replay
+from ..operators.scd2 import GENERAL, RUN_COLUMNS, SPLIT, UNION, change_summary, run_ends, scd2_merge, scd2_replay, scd2_splice
 from ..sources.landing import chain_faults, envelope_results, page_faults, project_properties, sample_first, scope_results_to_ids
 from . import carriers as C
 from .pipeline import run_summary_frame
@@ -225,6 +225,11 @@ def q_scd2_merge_orders_split(spark, sf):
     return deal_history(spark, sf, ["r1", "r2"], form=SPLIT).select(*SCD2_OUT)
 
 
+@register("scd2_merge_orders_union", ORACLE["scd2_merge_orders"])
+def q_scd2_merge_orders_union(spark, sf):
+    return deal_history(spark, sf, ["r1", "r2"], form=UNION).select(*SCD2_OUT)
+
+
 @register("scd2_partial_orders", _with(
     ORDERS_BASE, _order_run_sql("r1"), _order_run_sql("r2"), _seed_sql("h1", "r1"),
     _merge_sql("h2", "h1", "r2", close_missing=False)) + f"SELECT {SCD2_SEL} FROM h2")
@@ -311,18 +316,18 @@ def q_scd2_change_summary(spark, sf):
 
 
 # ============================================================ 4. replay (D7)
-def event_staging(spark, sf) -> tuple[DataFrame, DataFrame]:
+def event_staging(spark, sf, *, runs: DataFrame | None = None, snaps: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Daily user snapshots as staged entity rows, each stamped with its own
     run (id = the day, time = the next midnight), plus the run list."""
-    snaps = C.event_day_snapshots(spark, sf)
-    runs = C.event_runs(spark, sf)
+    snaps = C.event_day_snapshots(spark, sf) if snaps is None else snaps
+    runs = C.event_runs(spark, sf) if runs is None else runs
     docs = snaps.join(run_ends(runs, snaps, on="day"), "day").select(
-        "run_seq", "run_end", F.col(VALID_FROM).alias("__vf"), F.col("day").cast("string").alias("__run"),
+        *RUN_COLUMNS, F.col(VALID_FROM).alias("__vf"), F.col("day").cast("string").alias("__run"),
         F.to_json(F.struct(F.col("user_id").cast("string").alias("id"),
                            F.struct(F.col("segment")).alias("properties"),
                            F.lit(False).alias("archived"))).alias("doc"))
     staged = objects_to_rows(docs, DEALS, run_id=F.col("__run"), ingested_at=F.col("__vf"),
-                             source_system=C.SOURCE, keep=["run_seq", "run_end"])
+                             source_system=C.SOURCE, keep=RUN_COLUMNS)
     return staged, runs
 
 
@@ -366,6 +371,73 @@ def q_scd2_replay_events(spark, sf):
     return hist.select(KEY, "properties_json", RUN_ID, VALID_FROM, VALID_TO, IS_CURRENT)
 
 
+SAMPLE = 25  # objects that a sampled run keeps, by key
+
+MIXED_SQL = REPLAY_SQL[:REPLAY_SQL.index("fl AS (")] + f"""
+taken AS (
+  SELECT *, row_number() OVER (PARTITION BY run_seq ORDER BY {KEY}) AS k FROM st),
+mst AS (SELECT * EXCLUDE (k) FROM taken WHERE run_seq % 3 <> 0 OR k <= {SAMPLE}),
+full_runs AS (SELECT run_seq, vf FROM runs WHERE run_seq % 3 <> 0),
+fl AS (
+  SELECT *, lag(run_seq) OVER w AS before_seq, lag(props) OVER w AS before_props,
+         lead(run_seq) OVER w AS after_seq, lead(vf) OVER w AS after_vf
+  FROM mst WINDOW w AS (PARTITION BY {KEY} ORDER BY run_seq)),
+mk AS (
+  SELECT *, CASE WHEN before_seq IS NULL OR before_props <> props
+                      OR EXISTS (SELECT 1 FROM full_runs f WHERE f.run_seq > fl.before_seq AND f.run_seq < fl.run_seq) THEN 1 ELSE 0 END AS nw
+  FROM fl),
+isl AS (SELECT *, sum(nw) OVER (PARTITION BY {KEY} ORDER BY run_seq ROWS UNBOUNDED PRECEDING) AS v FROM mk),
+agg AS (SELECT {KEY}, v, min(run_seq) AS first_seq, max(run_seq) AS last_seq FROM isl GROUP BY {KEY}, v),
+ends AS (
+  SELECT a.*, l.after_seq, l.after_vf, (SELECT min(f.run_seq) FROM full_runs f WHERE f.run_seq > a.last_seq) AS absent
+  FROM agg a JOIN isl l ON l.{KEY} = a.{KEY} AND l.run_seq = a.last_seq)
+SELECT e.{KEY}, f.props AS properties_json, f.run_id AS {RUN_ID}, f.vf AS {VALID_FROM},
+       CASE WHEN e.absent IS NOT NULL AND (e.after_seq IS NULL OR e.absent < e.after_seq)
+            THEN (SELECT max(s.vf) FROM mst s WHERE s.run_seq = e.absent)
+            ELSE e.after_vf END AS {VALID_TO},
+       e.after_seq IS NULL AND e.absent IS NULL AS {IS_CURRENT}
+FROM ends e JOIN isl f ON f.{KEY} = e.{KEY} AND f.run_seq = e.first_seq"""
+
+
+def sampled_event_runs(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Every third day kept a sample only: its first ``SAMPLE`` users by key."""
+    runs = C.event_runs(spark, sf).withColumn("sampled", F.col("run_seq") % 3 == 0)
+    snaps = C.event_day_snapshots(spark, sf).join(runs.select("day", "sampled"), "day")
+    first = F.row_number().over(Window.partitionBy("day").orderBy(F.col("user_id").cast("string")))
+    some = snaps.where("sampled").withColumn("k", first).where(F.col("k") <= SAMPLE).drop("k")
+    return runs, snaps.where("NOT sampled").unionByName(some)
+
+
+@register("scd2_replay_sampled", MIXED_SQL)
+def q_scd2_replay_sampled(spark, sf):
+    """D7 over full and sampled runs: only full ones see a key as absent."""
+    runs, snaps = sampled_event_runs(spark, sf)
+    staged, runs = event_staging(spark, sf, runs=runs, snaps=snaps)
+    return scd2_replay(staged, runs, DEALS).select(KEY, "properties_json", RUN_ID, VALID_FROM, VALID_TO, IS_CURRENT)
+
+
+def late_event_run(spark, sf, seq: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
+    """The history of all days but one (by default the middle one), that day's
+    rows, the next day's, and the clocks that a splice needs."""
+    snaps, days = C.event_day_snapshots(spark, sf), C.event_runs(spark, sf)
+    listed = days.join(snaps.select("day").distinct().withColumn("seen", F.lit(True)), "day", "left").orderBy("run_seq").collect()  # the run list
+    late = listed[len(listed) // 2 if seq is None else seq - 1]
+    others = days.where(F.col("run_seq") != late.run_seq)
+    staged, runs = event_staging(spark, sf, runs=others, snaps=snaps.where(F.col("day") != late.day))
+    history = scd2_replay(staged, runs, DEALS)
+    day = lambda n: event_staging(spark, sf, runs=days.where(F.col("run_seq") == n), snaps=snaps)[0].select(*DEALS.columns)
+    empty = [ts_literal(r[VALID_FROM]) for r in listed if not r.seen and r.run_seq != late.run_seq]
+    clocks = {"at": ts_literal(late[VALID_FROM]), "next_at": ts_literal(listed[late.run_seq][VALID_FROM]), "empty_runs": F.array(*empty).cast("array<timestamp>")}
+    return history, day(late.run_seq), day(late.run_seq + 1), clocks
+
+
+@register("scd2_late_run", REPLAY_SQL)
+def q_scd2_late_run(spark, sf):
+    """D7: a day that arrived late, spliced into the history of the others."""
+    history, late, following, clocks = late_event_run(spark, sf)
+    return scd2_splice(history, late, following, DEALS, **clocks).select(KEY, "properties_json", RUN_ID, VALID_FROM, VALID_TO, IS_CURRENT)
+
+
 # ============================================================ 5. reads
 @register("current_state", _with(*H3) + f"SELECT {SCD2_SEL} FROM h3 WHERE {IS_CURRENT}")
 def q_current_state(spark, sf):

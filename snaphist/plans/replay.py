@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import VALID_FROM, TableContract
 from ..operators.flatten import objects_to_rows
-from ..operators.scd2 import run_ends, scd2_replay
+from ..operators.scd2 import RUN_COLUMNS, run_ends, scd2_replay
 from ..sources.landing import DOC, envelope_results
 from ..sources.store import Store
 from .ingest import committed_runs
@@ -24,13 +24,13 @@ from .ingest import committed_runs
 def landed_entity_rows(spark: SparkSession, landing: str, table: str, contract: TableContract, runs: DataFrame, run_ids: list[str], *,
                        source_system: str) -> DataFrame:
     """Staged rows of the named runs of ``table``, each stamped with its run,
-    with ``run_seq`` and ``run_end``."""
+    with the columns of its run."""
     pages = spark.read.text([f"{landing.rstrip('/')}/{r}/entities/{table}" for r in run_ids])
     run_of_file = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/entities/{table}/[^/]+$", 1)
     docs = envelope_results(pages.select("value", run_of_file.alias("run_id")), keep=("run_id",))
     stamped = docs.join(run_ends(runs, docs, on="run_id"), "run_id")
     return objects_to_rows(stamped, contract, run_id=F.col("run_id"), ingested_at=F.col(VALID_FROM),
-                           source_system=source_system, doc_col=DOC, keep=["run_seq", "run_end"])
+                           source_system=source_system, doc_col=DOC, keep=RUN_COLUMNS)
 
 
 def rebuild_history(store: Store, landing: str, table: str, *, source_system: str) -> DataFrame:

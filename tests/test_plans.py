@@ -103,3 +103,26 @@ def test_multi_run_state_is_linear_in_the_runs(spark):
 def test_audit_of_current_rows_prunes_closed_ones(spark, scratch):
     rows = stored(spark, scratch, deal_rows(spark, SF_SMALL, "r2"), "aud")
     assert re.search(r"PushedFilters: \[.*_is_current", plan(audits.audit_report(rows, DEALS)))
+
+
+def test_union_merge_shuffles_once(spark, scratch):
+    from snaphist.operators.scd2 import UNION
+    h1 = stored(spark, scratch, deal_rows(spark, SF_SMALL, "r1"), "u1")
+    staging = stored(spark, scratch, deal_rows(spark, SF_SMALL, "r2"), "ustg")
+    text = plan(scd2_merge(h1, staging, DEALS, form=UNION))
+    assert re.findall(r"Arguments: hashpartitioning\(([a-z_]+)#", text) == ["source_id"] and "Join" not in text
+
+
+def test_late_run_leaves_untouched_versions_in_place(spark, scratch):
+    """Stored history is read by two filters: versions near the late run go
+    through the one exchange, the others to the output as they are."""
+    from snaphist.contracts import ts_literal
+    from snaphist.operators.scd2 import scd2_splice
+    h = stored(spark, scratch, deal_rows(spark, SF_SMALL, "r1"), "s1")
+    rows = stored(spark, scratch, deal_rows(spark, SF_SMALL, "r2"), "s2")
+    text = plan(scd2_splice(h, rows, rows, DEALS, at=ts_literal("2024-01-02 00:00:00"), next_at=ts_literal("2024-01-03 00:00:00")))
+    assert re.findall(r"Arguments: hashpartitioning\(([a-z_]+)#", text) == ["source_id"] and "Join" not in text
+    top = text[text.index("== Physical Plan =="):text.index("(1) ")]
+    branches = re.split(r"\n:- |\n\+- ", top[top.index("Union"):].replace("   ", ""))
+    far = [b for b in branches if "Scan parquet" in b and "Exchange" not in b]
+    assert far and len(re.findall("Scan parquet", top)) == 4

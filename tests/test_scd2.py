@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from snaphist.contracts import crm_contracts
-from snaphist.operators.scd2 import GENERAL, SPLIT, change_summary, scd2_merge, scd2_replay
+from snaphist.contracts import ts_literal
+from snaphist.operators.scd2 import GENERAL, RUN_COLUMNS, SPLIT, UNION, change_summary, run_ends, scd2_merge, scd2_replay, scd2_splice
 
 DEALS = crm_contracts("source")["deals"]
 COLS = DEALS.columns
@@ -78,6 +79,7 @@ def test_forms_equal_brute_force(spark, seed):
         split = scd2_merge(target, s, DEALS, close_missing=cm, form=SPLIT)
         g = tup(general)
         assert g == tup(split)
+        assert g == tup(scd2_merge(target, s, DEALS, close_missing=cm, form=UNION))
         want = sorted(((r["source_id"], r["properties_json"], r["_ingestion_run_id"], r["_valid_from"],
                         r["_valid_to"], r["_is_current"]) for r in model), key=repr)
         assert g == want
@@ -125,9 +127,10 @@ def test_corrupt_target_general_form(spark):
     s1 = stg(spark, [("1", "a", "c")], "r1", T0)
     dup = stg(spark, [("1", "b", "c"), (None, "z", "c")], "r0", T0)
     target = s1.unionByName(dup)
-    out = scd2_merge(target, stg(spark, [("1", "a", "c")], "r2", T0 + timedelta(days=1)), DEALS, form=GENERAL)
-    got = sorted(((r.source_id, r.properties_json, r._is_current) for r in out.collect()), key=repr)
-    assert got == sorted([(None, "z", False), ("1", "a", True), ("1", "b", False)], key=repr)
+    for form in (GENERAL, UNION):
+        out = scd2_merge(target, stg(spark, [("1", "a", "c")], "r2", T0 + timedelta(days=1)), DEALS, form=form)
+        got = sorted(((r.source_id, r.properties_json, r._is_current) for r in out.collect()), key=repr)
+        assert got == sorted([(None, "z", False), ("1", "a", True), ("1", "b", False)], key=repr)
 
 
 def test_change_summary(spark):
@@ -166,9 +169,79 @@ def test_hot_key_third_of_rows(spark):
     target = stg(spark, t_rows, "r1", T0)
     staging = stg(spark, s_rows, "r2", T0 + timedelta(days=1))
     got = tup(scd2_merge(target, staging, DEALS, form=GENERAL))
+    assert got == tup(scd2_merge(target, staging, DEALS, form=UNION))
     model = brute_merge(as_dicts(target), as_dicts(staging))
     want = sorted(((r["source_id"], r["properties_json"], r["_ingestion_run_id"], r["_valid_from"],
                     r["_valid_to"], r["_is_current"]) for r in model), key=repr)
     assert got == want
     dup = [r for r in gates.violations(staging, DEALS, source_system="crm").collect() if r.rule == "duplicate_key"]
     assert len(dup) == 1 and dup[0].occurrences == 59
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_union_form_on_doubled_keys(spark, seed):
+    """Repeated keys on either side, NULL keys, NULL and false open flags."""
+    rnd = random.Random(seed)
+    rows = lambda n: [(rnd.choice(["1", "2", "3", "4", "5", None]), rnd.choice(["a", "b", None]), "c") for _ in range(n)]
+    target = stg(spark, rows(14), "r1", T0).withColumn("_is_current", F.when(F.rand(seed) < 0.8, F.rand(seed + 1) < 0.8))
+    target = spark.createDataFrame(target.collect(), DEALS.schema)
+    staging = stg(spark, rows(9), "r2", T0 + timedelta(days=1)).unionByName(stg(spark, rows(3), "r2", T0 + timedelta(days=2)))
+    for cm in (True, False):
+        want = brute_merge(as_dicts(target), as_dicts(staging), close_missing=cm)
+        got = as_dicts(scd2_merge(target, staging, DEALS, close_missing=cm, form=UNION))
+        key = lambda r: repr([(c, r[c]) for c in COLS])
+        assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+def random_runs(spark, rnd, n, sampled=()):
+    """Per run its rows (some runs are empty), and the run list."""
+    runs = []
+    for i in range(n):
+        keys = [] if rnd.random() < 0.15 else rnd.sample(range(8), rnd.randint(1, 8))
+        runs.append([(str(k), rnd.choice("abb"), "c") for k in keys])
+    listed = spark.createDataFrame([(i + 1, T0 + timedelta(days=i), i in sampled) for i in range(n)], "run_seq int, _valid_from timestamp, sampled boolean")
+    return runs, listed
+
+
+def snapshots(spark, runs, listed, leave_out=()):
+    rows = [r for i, x in enumerate(runs) if i not in leave_out for r in stg(spark, x, f"r{i}", T0 + timedelta(days=i)).withColumn("run_seq", F.lit(i + 1)).collect()]
+    schema = stg(spark, [], "r", T0).withColumn("run_seq", F.lit(1)).schema
+    df = spark.createDataFrame(rows, schema) if rows else spark.createDataFrame([], schema)
+    listed = listed.where(~F.col("run_seq").isin([i + 1 for i in leave_out]))
+    return df.join(run_ends(listed, df).select(*RUN_COLUMNS), "run_seq"), listed
+
+
+def merged(spark, runs, sampled=()):
+    model = []
+    for i, rows in enumerate(runs):
+        model = brute_merge(model, as_dicts(stg(spark, rows, f"r{i}", T0 + timedelta(days=i))), close_missing=i not in sampled)
+    return sorted(((r["source_id"], r["properties_json"], r["_ingestion_run_id"], r["_valid_from"], r["_valid_to"], r["_is_current"]) for r in model), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_replay_with_sampled_runs_equals_iterated_merges(spark, seed):
+    rnd = random.Random(seed)
+    sampled = {i for i in range(9) if rnd.random() < (0.9 if seed == 5 else 0.4)}
+    runs, listed = random_runs(spark, rnd, 9, sampled)
+    staged, listed = snapshots(spark, runs, listed)
+    assert tup(scd2_replay(staged, listed, DEALS)) == merged(spark, runs, sampled)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_late_run_equals_a_full_rebuild(spark, seed):
+    rnd = random.Random(100 + seed)
+    runs, listed = random_runs(spark, rnd, 6)
+    late = seed % 5
+    if seed >= 6:
+        runs[late] = [] if seed == 6 else runs[late]
+        runs[late + 1] = [] if seed == 7 else runs[late + 1]
+    staged, others = snapshots(spark, runs, listed, (late,))
+    history = scd2_replay(staged, others, DEALS)
+    empty = [ts_literal(T0 + timedelta(days=i)) for i, r in enumerate(runs) if not r and i != late]
+    clock = lambda i: ts_literal(T0 + timedelta(days=i))
+    rows = lambda i: stg(spark, runs[i], f"r{i}", T0 + timedelta(days=i))
+    got = scd2_splice(history, rows(late), rows(late + 1), DEALS, at=clock(late), next_at=clock(late + 1), empty_runs=F.array(*empty).cast("array<timestamp>"))
+    assert tup(got) == merged(spark, runs)
+    raws = sorted((r.source_id, r.raw_json) for r in got.collect())
+    whole, listed = snapshots(spark, runs, listed)
+    assert raws == sorted((r.source_id, r.raw_json) for r in scd2_replay(whole, listed, DEALS).collect())
