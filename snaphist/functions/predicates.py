@@ -67,8 +67,8 @@ def json_truthy(text: Column, raw: Column) -> Column:
 
     The text alone decides unless it reads as a numeric zero or ``false``:
     then the token type matters (number 0 is falsy, string "0" is not), and
-    ``raw`` -- the same value parsed as VARIANT -- is evaluated, for those
-    rows only."""
+    ``raw`` -- the same value as VARIANT -- is looked at, for those rows
+    only."""
     ambiguous = (text == F.lit("false")) | F.coalesce(text.try_cast("double") == F.lit(0.0), F.lit(False))
     plain = text.isNotNull() & ~text.isin("", "[]", "{}")
     return F.when(ambiguous, variant_truthy(raw)).otherwise(plain)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import IS_CURRENT, RUN_ID, TableContract
@@ -129,6 +129,28 @@ def _raise_on(report, contract: TableContract, label: str) -> None:
         raise ValueError(f"[audit/unique] {label}({', '.join(contract.history_keys())}): {total} rows but {report['distinct_keys']} keys")
 
 
+def blank_metrics(contract: TableContract) -> list[Column]:
+    """Aggregates to observe while a table's rows are written: ``rows`` in
+    scope of the audit (SCD2: current ones) and, per required column, the
+    NULL-or-blank ones. What is written and what is counted is one job."""
+    scope = F.coalesce(F.col(IS_CURRENT), F.lit(False)) if contract.pattern == "scd2" else F.lit(True)
+    return [F.count_if(scope).alias("rows"), *[F.count_if(scope & blank_stored(F.col(c))).alias(f"blank_{c}") for c in contract.stored_required()]]
+
+
+def check_written(written: DataFrame, contract: TableContract, counted: dict, *, label: str | None = None) -> int:
+    """The post-load audit of a written partition whose ``blank_metrics`` were
+    observed: what is left to read are its keys. Returns the rows in scope."""
+    keys = [contract.business_keys[0]] if contract.pattern == "scd2" else list(contract.history_keys())
+    distinct = key_uniqueness(_scope(written, current_only=contract.pattern == "scd2"), keys).first()
+    if contract.pattern == "scd2":
+        bad = distinct["total"] - distinct["distinct_keys"] and one_current_report(written, keys).first()["bad_keys"]
+        report = {"current_rows": counted["rows"], "bad_keys": bad}
+    else:
+        report = {"rows": distinct["total"], "distinct_keys": distinct["distinct_keys"]}
+    _raise_on({**report, **{c: counted[f"blank_{c}"] for c in contract.stored_required()}}, contract, label or contract.name)
+    return counted["rows"]
+
+
 def check_scd2(history: DataFrame, contract: TableContract, *, label: str | None = None):
     """Required columns on current rows, then at most one current row per
     key; one pass. Returns the report row (counts for the run summary)."""

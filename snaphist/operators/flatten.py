@@ -13,12 +13,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contracts import (
     INGESTED_AT, IS_CURRENT, RUN_ID, SOURCE_SYSTEM, STAGE_KEY_SEPARATOR, VALID_FROM, VALID_TO,
     TableContract, conform, ts_literal,
 )
-from ..functions.json import json_wrap, jpath, parse_fields
+from ..functions.json import json_wrap, parse_fields
 from ..functions.predicates import first_truthy, key_concat, truthy_flag
 
 DOC = "doc"
@@ -127,12 +128,18 @@ def pipelines_to_stage_rows(docs: DataFrame, contract: TableContract, *, run_id:
     return conform(out, contract)
 
 
-# One parse per association item: ids as text, types as typed structs. Only
-# ids whose text reads as a numeric zero or false are parsed again as VARIANT
-# to learn the token type (number 0 is falsy, string "0" is not).
 _TYPE_STRUCT = "struct<category:string,typeId:string,label:string>"
-_ITEM_SCHEMA = f"struct<toObjectId:string,id:string,associationTypes:array<{_TYPE_STRUCT}>>"
-_ITEM_IDS_RAW = "struct<toObjectId:variant,id:variant>"
+
+
+def as_variant(results: DataFrame, doc_col: str = DOC) -> DataFrame:
+    """``doc_col`` parsed to VARIANT, unless it is one. Text that is not JSON
+    fails the job; so does an object with a repeated member."""
+    return results if results.schema[doc_col].dataType == T.VariantType() else results.withColumn(doc_col, F.parse_json(doc_col))
+
+
+def from_id(doc: Column) -> Column:
+    """The from-id of a parsed association batch result (``''`` without one)."""
+    return F.coalesce(F.try_variant_get(doc, "$.from.id", "string"), F.lit(""))
 
 
 def associations_to_rows(results: DataFrame, contract: TableContract, *, run_id: str,
@@ -141,19 +148,23 @@ def associations_to_rows(results: DataFrame, contract: TableContract, *, run_id:
 
     One row per association type; an edge without types yields one row with
     NULL category/type/label; edges missing either id are dropped; every row
-    of an edge carries the same raw ``{"from", "to"}`` text. The to-id is
-    ``toObjectId`` when truthy, else ``id``.
+    of an edge carries the same raw ``{"from", "to"}`` text (as VARIANT writes
+    it: members sorted by name). The to-id is ``toObjectId`` when truthy, else
+    ``id``. A document is parsed once, to VARIANT, which keeps the token types
+    that truthiness depends on (number 0 is falsy, string "0" is not).
     """
+    parsed = as_variant(results.select(doc_col), doc_col)
     d = F.col(doc_col)
-    r = parse_fields(d, {"from": "string", "to": "array<string>"})
-    items = results.select(r["from"].alias("from_json"), F.explode(r["to"]).alias("item")).select(
-        F.coalesce(jpath(F.col("from_json"), "$.id"), F.lit("")).alias("from_id"), "from_json", "item")
-    item = F.col("item")
-    parsed = items.select("from_id", "from_json", "item", F.from_json(item, _ITEM_SCHEMA).alias("p"))
-    raw = F.from_json(item, _ITEM_IDS_RAW)  # evaluated only for ambiguous ids
-    edges = parsed.select(
-        "from_id", "from_json", "item", F.col("p.associationTypes").alias("types"),
-        first_truthy((F.col("p.toObjectId"), raw["toObjectId"]), (F.col("p.id"), raw["id"])).alias("to_id"),
+    part = lambda path, kind: F.try_variant_get(F.col("item"), path, kind)
+    items = parsed.select(from_id(d).alias("from_id"), F.try_variant_get(d, "$.from", "string").alias("from_json"),
+                          F.explode(F.try_variant_get(d, "$.to", "array<variant>")).alias("item"))
+    ids = ("toObjectId", "id")
+    texts = items.select("*", *[part(f"$.{k}", "string").alias(f"{k}_text") for k in ids])
+    # once per edge, not per type; only objects have ids, and their cast is their JSON text
+    edges = texts.select(
+        "from_id", first_truthy(*[(F.col(f"{k}_text"), part(f"$.{k}", "variant")) for k in ids]).alias("to_id"),
+        part("$.associationTypes", f"array<{_TYPE_STRUCT}>").alias("types"),
+        json_wrap(**{"from": F.col("from_json"), "to": F.col("item").try_cast("string")}).alias("raw"),
     )
     # Dropping id-less edges and giving type-less edges one NULL-type row are
     # both folded into the generator: no Filter exists that the optimizer
@@ -163,7 +174,7 @@ def associations_to_rows(results: DataFrame, contract: TableContract, *, run_id:
         F.array(F.lit(None).cast(_TYPE_STRUCT)))
     keep = (F.col("from_id") != "") & (F.col("to_id") != "")
     typed = edges.select(
-        "from_id", "to_id", "from_json", "item",
+        "from_id", "to_id", "raw",
         F.explode(F.when(keep, type_rows).otherwise(F.array().cast(f"array<{_TYPE_STRUCT}>"))).alias("t"),
     )
     out = typed.select(
@@ -172,7 +183,7 @@ def associations_to_rows(results: DataFrame, contract: TableContract, *, run_id:
         F.col("t.category").alias("association_category"),
         F.col("t.typeId").cast("bigint").alias("association_type_id"),
         F.col("t.label").alias("association_label"),
-        json_wrap(**{"from": F.col("from_json"), "to": item}).alias("raw_json"),
+        F.col("raw").alias("raw_json"),
         *[c.alias(n) for n, c in run_stamps(run_id, ingested_at, source_system).items()],
     )
     return conform(out, contract)

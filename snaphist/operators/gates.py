@@ -76,6 +76,15 @@ def violations(rows: DataFrame, contract: TableContract, *, label: str | None =
     return row_level.unionByName(dupes)
 
 
+def row_breaches(rows: DataFrame, contract: TableContract, *, source_system: str,
+                 required_keys: Sequence[str] | None = None, scd2: bool = False) -> Column:
+    """How many row rules all rows breach together: an aggregate to observe
+    while the batch is written, instead of a pass of its own."""
+    must_have = list(required_keys) if required_keys is not None else list(contract.must_have)
+    rules = _row_rules(rows, contract, must_have, source_system, scd2)
+    return F.sum(sum((r.isNotNull().cast("long") for r in rules), F.lit(0).cast("long")))
+
+
 def violation_summary(v: DataFrame) -> DataFrame:
     """Issue count per (label, rule, field)."""
     return v.groupBy("label", "rule", "field").agg(F.sum("occurrences").alias("issues"))

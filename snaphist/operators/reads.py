@@ -76,6 +76,15 @@ def retention_window(table: DataFrame, now: datetime | str, *, days: int = 90,
     return table.where(keep)
 
 
+def retention_report(table: DataFrame, now: datetime | str, *, by: str, days: int = 90) -> DataFrame:
+    """Per ``by`` group, the rows that a purge keeps and drops (the rule of
+    ``retention_window``); one map-side combined aggregation."""
+    cutoff = ts_literal(now) - F.make_interval(days=F.lit(days))
+    is_open = F.coalesce(F.col(IS_CURRENT), F.lit(False)) if IS_CURRENT in table.columns else F.lit(False)
+    keep = F.coalesce(F.col(INGESTED_AT) >= cutoff, F.lit(False)) | is_open
+    return table.groupBy(by).agg(F.count_if(keep).alias("kept"), F.count_if(~keep).alias("dropped"))
+
+
 def count_current(history: DataFrame) -> DataFrame:
     return current_state(history).agg(F.count(F.lit(1)).alias("n"))
 

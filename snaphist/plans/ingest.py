@@ -1,10 +1,11 @@
 """The full ingest run against a ``Store`` (R1).
 
-Fail-fast, in the order entities -> owners -> stages -> associations: map the
-landed documents, gate the batch, compute the new state, write this attempt's
-partition, audit what was written; when every table has passed, commit them
-together. A failing gate or audit leaves the whole run uncommitted (invisible
-to readers). Associations are scoped to the entity ids extracted in the same
+Fail-fast, in the order entities -> owners -> stages -> associations: refuse
+extracts that are not whole, map the landed documents into staging tables and
+gate them, compute the new state, write the run's partition, audit what was
+written; when every table has passed, commit them together. Row rules, blank
+cells and change counts are observed by the writes themselves. A failing gate
+or audit leaves the whole run uncommitted (invisible to readers). Associations are scoped to the entity ids extracted in the same
 run. A sampled run keeps the first ``sample_limit`` objects by key and never
 closes versions as missing.
 """
@@ -14,15 +15,14 @@ from __future__ import annotations
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..contracts import IS_CURRENT, RUN_ID, SCD2, STAGING, VALID_FROM
+from ..contracts import IS_CURRENT, RUN_ID, SCD2, STAGING
 from ..operators import audits, gates
 from ..operators.scd2 import scd2_merge_open
 from ..sources.landing import assert_whole_extracts
-from ..sources.store import Part, RunConflict, Store
+from ..sources.store import Run, RunConflict, Store
 from .pipeline import RunInputs, map_run
 
 
@@ -54,63 +54,74 @@ def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: dat
     store.assert_tables_exist()
     contracts = store.contracts
     close_missing = sample_limit is None
-    known = store.parts()
-    if any(p.run_id == run_id for runs, _ in known.values() for p in runs):
+    known = store.tables()
+    if any(r.run_id == run_id for log in known.values() for r in log.runs):
         if skip_committed:
             return RunResult(run_id, {}, {})
         raise RunConflict(f"run {run_id} is committed already")
     assert_whole_extracts(inputs.pages)
-    seq, part = store.next_seq(), store.part_id(run_id)
+    run = Run(run_id, store.last_seq() + 1, ingested_at, 0, sample_limit)
     stamp = dict(run_id=run_id, ingested_at=ingested_at, source_system=source_system,
                  sample_limit=sample_limit, project=project)
-    # entities first: their staging tables are written (K3) and read back, and
-    # the associations are scoped to the ids in them (no second JSON parse)
-    staged = {n: store.load_staging(n, rows, part)
-              for n, rows in map_run(RunInputs(entities=inputs.entities), contracts, **stamp).items()}
-    ids = {n: df.select(F.col(contracts[n].business_keys[0]).alias("id")) for n, df in staged.items()}
+
+    def stage(batch: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Written to staging tables (K3), gated and read back: the landed
+        JSON is parsed by this one job."""
+        return {n: _staged(store, n, rows, run_id, source_system) for n, rows in batch.items()}
+
+    # entities first: the associations are scoped to the ids in their staging tables
+    staged = stage(map_run(RunInputs(entities=inputs.entities), contracts, **stamp))
+    ids = {n: df.select(F.col(contracts[n].business_keys[0]).alias("id")) for n, (df, _) in staged.items()}
     rest = RunInputs(owners=inputs.owners, pipelines=inputs.pipelines, associations=inputs.associations)
-    mapped = {**staged, **map_run(rest, contracts, entity_ids=ids, **stamp)}
+    staged |= stage(map_run(rest, contracts, entity_ids=ids, **stamp))
     counts: dict[str, int] = {}
     changes: dict[str, TableChange] = {}
-    done: list[tuple[str, Part]] = []
-    for name, rows in mapped.items():
+    done: list[tuple[str, Run]] = []
+    for name, (rows, n) in staged.items():
         c = contracts[name]
         scd2 = c.pattern == SCD2
-        gates.validate(rows, c, label=name, source_system=source_system, scd2=scd2)
         if scd2:
-            store.write_run(name, scd2_merge_open(store.read_open(name), rows, c, close_missing=close_missing), part)
-            # the written partition holds every open row of the new state
-            wrote = store.written(name, part)
-            report = audits.check_scd2(wrote, c, label=name)
-            closed = wrote.where(~F.col(IS_CURRENT)).count()
-            opened = wrote.where(F.col(IS_CURRENT) & (F.col(RUN_ID) == run_id)).count()
-            counts[name] = report["current_rows"]
-            changes[name] = TableChange(rows.count(), opened, closed)
-            done.append((name, Part(run_id, part, seq, report["current_rows"] + closed, None, not close_missing)))
-            continue
-        store.write_run(name, rows, part)
-        if audit_scope == "table":
-            audits.check_append(store.read(name, pending=part), c, label=name)
-        n = audits.check_append(store.written(name, part), c, label=name)["rows"]
-        before = known[name][0][-1].total if known[name][0] else 0
-        counts[name] = before + n
-        changes[name] = TableChange(n, n, 0)
-        done.append((name, Part(run_id, part, seq, n, before + n, not close_missing)))
+            rows = scd2_merge_open(store.read_open(name), rows, c, close_missing=close_missing)
+        is_open = F.col(IS_CURRENT) if scd2 else F.lit(True)
+        seen = Observation(f"written {name}")
+        store.write_run(name, rows.observe(seen, *audits.blank_metrics(c), F.count(F.lit(1)).alias("all"),
+                                           F.count_if(is_open & (F.col(RUN_ID) == run_id)).alias("opened")), run_id)
+        got = seen.get
+        if audit_scope == "table" and not scd2:
+            audits.check_append(store.read(name, pending=run_id), c, label=name)
+        in_scope = audits.check_written(store.written(name, run_id), c, got, label=name)
+        counts[name] = in_scope if scd2 else known[name].total + in_scope
+        changes[name] = TableChange(n, got["opened"], got["all"] - in_scope)
+        done.append((name, run._replace(rows=got["all"])))
     if done:
-        store.commit(done, ingested_at)
-    store.clear_staging(part)
+        store.commit(done)
+    store.clear_staging(run_id)
     return RunResult(run_id, counts, changes)
 
 
+def _staged(store: Store, name: str, rows: DataFrame, run_id: str, source_system: str) -> tuple[DataFrame, int]:
+    """(staged rows, their number) of a batch that passed the gate. The row
+    rules are counted while it is written; only its keys are read once more
+    for duplicates, and breaches once more to show some."""
+    c = store.contracts[name]
+    scd2 = c.pattern == SCD2
+    seen = Observation(f"staged {name}")
+    breaches = gates.row_breaches(rows, c, source_system=source_system, scd2=scd2).alias("breaches")
+    staged = store.load_staging(name, rows.observe(seen, breaches, F.count(F.lit(1)).alias("rows")), run_id)
+    if seen.get["breaches"] or gates.duplicate_keys(staged, c.business_keys).first()["duplicates"]:
+        gates.validate(staged, c, label=name, source_system=source_system, scd2=scd2)
+    return staged, seen.get["rows"]
+
+
 def audit_run(store: Store, run_id: str, *, sample_limit: int,
               capped: tuple[str, ...] = ("owners",)) -> dict[str, int]:
     """Sampled-run audit (V14) over every table of the contract: the run must
     have committed all of them. SCD2 tables are audited whole, append tables
     within the run; every entity has current rows; capped tables hold 1..limit
     rows in the run. Returns per-table counts."""
-    known = store.parts()
+    known = store.tables()
     names = [n for n, c in store.contracts.items() if c.pattern != STAGING]
-    absent = [n for n in names if not any(p.run_id == run_id for p in known[n][0])]
+    absent = [n for n in names if not any(r.run_id == run_id for r in known[n].runs)]
     if absent:
         raise ValueError(f"[audit/run-incomplete] run {run_id} committed no rows for {', '.join(absent)}")
     out: dict[str, int] = {}
@@ -125,19 +136,3 @@ def audit_run(store: Store, run_id: str, *, sample_limit: int,
             if name in capped and not 0 < out[name] <= sample_limit:
                 raise ValueError(f"[audit/sample-size] {name}: {out[name]} rows, wanted 1 to {sample_limit}")
     return out
-
-
-CHAIN = T.StructType([T.StructField("run_seq", T.LongType()), T.StructField("run_id", T.StringType()), T.StructField(VALID_FROM, T.TimestampType())])
-
-
-def committed_runs(spark: SparkSession, store: Store, name: str) -> DataFrame:
-    """The runs whose merges made the stored history of an entity: run_seq
-    1..N, run_id and clock. A sampled run closed nothing as missing, which a
-    replay cannot tell from its documents, so it is refused."""
-    runs = store.runs(name)
-    sampled = [p.run_id for p in runs if p.sampled]
-    if sampled:
-        raise ValueError(f"[replay/sampled-run] {name} has sampled runs: {', '.join(sampled)}")
-    order = {p.seq: i for i, p in enumerate(runs, 1)}
-    rows = store.manifest().where((F.col("table_name") == name) & (F.col("kind") == "run")).select("seq", "run_id", "ingested_at").collect()
-    return spark.createDataFrame([(order[r["seq"]], r["run_id"], r["ingested_at"]) for r in rows], CHAIN)

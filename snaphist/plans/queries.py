@@ -9,6 +9,7 @@ whose NULL members the engines write differently, fields are compared.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -25,6 +26,8 @@ from ..operators.flatten import (
 )
 from ..operators.history import append_history, rows_per_run
 from ..operators.scd2 import GENERAL, RUN_COLUMNS, SPLIT, UNION, change_summary, run_ends, scd2_merge, scd2_replay, scd2_splice
+from ..session import ensure_checkpoint_dir
+from ..sources.footers import file_schema_faults, schema_report
 from ..sources.landing import chain_faults, envelope_results, page_faults, project_properties, sample_first, scope_results_to_ids
 from . import carriers as C
 from .pipeline import run_summary_frame
@@ -511,6 +514,32 @@ def q_retention(spark, sf):
     return reads.retention_window(h, RETENTION_NOW, days=90).select(*SCD2_OUT)
 
 
+@register("retention_purge", _with(*H3) + f"""
+SELECT {RUN_ID}, count(*) FILTER (WHERE k) AS kept, count(*) FILTER (WHERE NOT k) AS dropped
+FROM (SELECT {RUN_ID}, {VALID_FROM} >= TIMESTAMP '{RETENTION_NOW}' - INTERVAL 90 DAY OR COALESCE({IS_CURRENT}, false) AS k FROM h3)
+GROUP BY {RUN_ID}""")
+def q_retention_purge(spark, sf):
+    """G6: what a purge keeps and drops of each run's versions."""
+    return reads.retention_report(deal_state(spark, sf), RETENTION_NOW, by=RUN_ID)
+
+
+@register("schema_report", f"""
+WITH n AS (SELECT DISTINCT CAST(o_orderkey % 4 AS VARCHAR) AS part FROM orders)
+SELECT part, 'extra_column' AS fault, 'note' AS field, 'string' AS found, NULL AS wanted FROM n WHERE part = '2'
+UNION ALL SELECT part, 'missing_column', 'raw_json', NULL, 'string' FROM n WHERE part = '1'
+UNION ALL SELECT part, 'other_type', 'archived', 'string', 'boolean' FROM n WHERE part = '3'""")
+def q_schema_report(spark, sf):
+    """V15 on stored files: a quarter of the deals each is written as the
+    contract says, without a column, with one more, and with another type."""
+    rows = deal_rows(spark, sf, "all")
+    path = f"{ensure_checkpoint_dir(spark)}/schema-report-{uuid.uuid4().hex}"
+    drifted = {0: rows, 1: rows.drop("raw_json"), 2: rows.withColumn("note", F.lit("x")), 3: rows.withColumn("archived", F.col("archived").cast("string"))}
+    for k, part in drifted.items():
+        part.where(F.col(KEY).cast("long") % 4 == k).write.parquet(f"{path}/{k}")
+    faults = file_schema_faults(spark, [f"{path}/{k}" for k in drifted], DEALS.schema)
+    return schema_report(faults.withColumn("part", F.regexp_extract("file", "/([^/]+)/[^/]+$", 1)), "part").drop("files")
+
+
 @register("current_counts", _with(*H3) + f"""
 SELECT 'deals' AS table_name, count(*) AS n FROM h3 WHERE {IS_CURRENT}
 UNION ALL SELECT 'companies', count(*) FROM customer""")

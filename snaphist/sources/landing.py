@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import jpath, parse_fields
+from ..operators.flatten import as_variant, from_id
 from ..session import ensure_checkpoint_dir
 
 DOC = "doc"
@@ -176,10 +177,11 @@ def scope_results_to_ids(results: DataFrame, ids: DataFrame, *, doc_col: str = D
                          id_col: str = "id") -> DataFrame:
     """Keep association batch results whose ``from.id`` was extracted in this
     run, before they are flattened: the semi join then moves one document per
-    result instead of one row per edge and type, and a sampled run parses only
-    its own results. (Catalyst does not push a semi join below a generator.)"""
-    frm = F.coalesce(jpath(jpath(F.col(doc_col), "$.from"), "$.id"), F.lit(""))
-    keyed = results.withColumn("__from_id", frm)
+    result instead of one row per edge and type, and a sampled run flattens
+    only its own results. (Catalyst does not push a semi join below a
+    generator.) Documents come out parsed to VARIANT, so this is their only
+    parse."""
+    keyed = as_variant(results, doc_col).withColumn("__from_id", from_id(F.col(doc_col)))
     return scope_to_ids(keyed, ids.select(F.col(id_col).alias("id")).distinct(),
                         edge_col="__from_id").drop("__from_id")
 

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from snaphist.contracts import crm_contracts
-from snaphist.operators import audits, reads
+from snaphist.operators import audits, gates, reads
 from snaphist.plans import carriers as CR
 from snaphist.plans.ingest import audit_run, ingest_run
 from snaphist.plans.pipeline import RunInputs, map_run
+from snaphist.sources.footers import schema_report
 from snaphist.sources.landing import chain_faults, envelope_results, page_faults
 from snaphist.sources.store import RunConflict, Store
 from snaphist.streaming.landing_stream import landed_inputs
+from test_plans import plan
 
 C = crm_contracts("source")
 EDGE = C["contact_company_associations"]
@@ -105,7 +107,7 @@ def test_stored_runs_publish_and_audit(spark, scratch):
     assert c3["deal_pipeline_stages"] == 3 * c1["deal_pipeline_stages"]
     # superseded open snapshots can be dropped without changing any read
     before = sorted(map(tuple, store.read("deals").collect()), key=repr)
-    assert len(store.drop_superseded("deals", keep=1)) == 2
+    assert len(store.vacuum("deals", keep=1)) == 2
     assert sorted(map(tuple, store.read("deals").collect()), key=repr) == before
 
 
@@ -143,20 +145,16 @@ def test_retry_after_failed_audit_equals_clean_store(spark, scratch, monkeypatch
     clean, store = new_store(spark, f"{scratch}/clean"), new_store(spark, f"{scratch}/retried")
     for s in (clean, store):
         ingest(s, "a", 1, [deal(1), deal(2), deal(3)], [{"id": 7}])
-    real = audits.check_append
-    monkeypatch.setattr(audits, "check_append", lambda *a, **k: (_ for _ in ()).throw(ValueError("audit")))
+    real = audits.check_written
+    monkeypatch.setattr(audits, "check_written", lambda rows, c, *a, **k: real(rows, c, *a, **k) if c.name == "deals" else (_ for _ in ()).throw(ValueError("audit")))
     with pytest.raises(ValueError, match="audit"):
         ingest(store, "b", 2, [deal(1, "5")], [{"id": 8}, {"id": 9}])
-    monkeypatch.setattr(audits, "check_append", real)
+    monkeypatch.setattr(audits, "check_written", real)
     assert content(store, "deals") == content(clean, "deals")
     for s in (clean, store):
         ingest(s, "b", 2, second)     # owners: no rows this time
     for t in ("deals", "owners"):
         assert content(store, t) == content(clean, t)
-    assert store.drop_orphans("deals") and not store.drop_orphans("deals")
-    assert len(store.drop_orphans("owners")) == 1
-    for t in ("deals", "owners"):
-        assert content(store, t) == content(clean, t)
 
 
 def test_a_run_id_is_ingested_once(spark, scratch):
@@ -172,7 +170,7 @@ def test_of_two_interleaved_runs_one_is_refused(spark, scratch, monkeypatch):
     store = new_store(spark, f"{scratch}/bronze")
     ingest(store, "a", 1, [deal(1)])
     other = Store(spark, store.root, C)
-    real = audits.check_scd2
+    real = audits.check_written
     calls = []
 
     def meanwhile(*a, **k):
@@ -181,7 +179,7 @@ def test_of_two_interleaved_runs_one_is_refused(spark, scratch, monkeypatch):
             ingest(other, "c", 2, [deal(1), deal(3)])
         return real(*a, **k)
 
-    monkeypatch.setattr(audits, "check_scd2", meanwhile)
+    monkeypatch.setattr(audits, "check_written", meanwhile)
     with pytest.raises(RunConflict):
         ingest(store, "b", 2, [deal(1), deal(2)])
     assert [r for r, _ in store.committed("deals")] == ["a", "c"]
@@ -273,6 +271,106 @@ def test_schema_is_checked_at_write(spark, scratch):
     rows = spark.createDataFrame([], C["owners"].schema).withColumn("archived", F.lit("no"))
     with pytest.raises(ValueError, match="store/schema.*owners.archived"):
         store.write_run("owners", rows, "x")
+    with pytest.raises(ValueError, match="store/run-id"):
+        store.write_run("owners", rows.withColumn("archived", F.lit(True)), "a/b")
+
+
+@pytest.mark.parametrize("change, fault", [
+    (lambda df: df.drop("raw_json"), "missing_column raw_json"),
+    (lambda df: df.withColumn("new", F.lit(1)), "extra_column new: int"),
+    (lambda df: df.withColumn("archived", F.lit("yes")), "other_type archived: string, contract boolean"),
+])
+def test_a_drifted_file_is_refused(spark, scratch, change, fault):
+    """Read with the contract's schema, a column that a file lacks would be
+    NULL: every current row would count as changed."""
+    store = new_store(spark, f"{scratch}/bronze")
+    ingest(store, "a", 1, [deal(1), deal(2)], [{"id": 7}])
+    part = store.part_path("deals", "a") + "/_is_current=true"
+    rows = spark.createDataFrame(spark.read.parquet(part).collect(), store.file_schema(C["deals"]))
+    change(rows.limit(1)).coalesce(1).write.mode("append").parquet(part)
+    fresh = Store(spark, store.root, C)
+    for read in (lambda: fresh.read("deals"), lambda: fresh.read_open("deals"), lambda: ingest(fresh, "b", 2, [deal(1)])):
+        with pytest.raises(ValueError, match="(?s)store/schema-drift.*" + fault):
+            read()
+    assert fresh.read("owners").count() == 1 and fresh.committed("deals") == [("a", 1)]
+    assert [(r.fault, r.files) for r in schema_report(fresh.schema_faults("deals", ["a"])).collect()] == [(fault.split()[0], 1)]
+
+
+def test_purge_rewrites_only_what_it_must(spark, scratch):
+    store = new_store(spark, f"{scratch}/bronze")
+    ingest(store, "a", 1, [deal(1), deal(2), deal(3)], [{"id": 7}])
+    ingest(store, "b", 2, [deal(1, "5"), deal(2)], [{"id": 7}, {"id": 8}])   # closes 1 and 3 of run a
+    ingest(store, "c", 3, [deal(1, "6"), deal(2)], [{"id": 9}])              # closes 1 of run b
+    ingest(store, "d", 4, [deal(1, "7"), deal(2, "9")], [{"id": 9}])         # closes 1 of run c and 2 of run a
+    before = content(store, "deals")
+    first = {r.part: (r.kept, r.dropped) for r in store.purge("deals", "2024-01-12 12:00:00", days=10).collect()}
+    assert first == {"b": (0, 2), "c": (0, 1), "d": (1, 1)}   # versions that runs a and b opened
+    cutoff = datetime(2024, 1, 2, 12)
+    kept = [r for r in before if r[C["deals"].columns.index("_is_current")] or r[C["deals"].columns.index("_ingested_at")] >= cutoff]
+    assert len(kept) < len(before) and content(store, "deals") == sorted(kept, key=repr)
+    assert [r.dropped for r in store.purge("deals", "2024-01-12 12:00:00", days=10).collect()] == [0]
+    report = {r.part: (r.kept, r.dropped) for r in store.purge("owners", "2024-01-12 12:00:00", days=10).collect()}
+    assert report == {"a": (0, 1), "b": (0, 2), "c": (1, 0), "d": (1, 0)}
+    assert sorted(r._ingestion_run_id for r in store.read("owners").collect()) == ["c", "d"]
+    counts = ingest(store, "e", 5, [deal(1, "7")], [{"id": 1}]).counts
+    assert counts["owners"] == 3 == store.read("owners").count()
+    store.rewrite_closed("deals")
+    assert [(r.kept, r.dropped) for r in store.purge("deals", "2024-02-12 12:00:00", days=10).collect()] == [(0, 2)]
+    assert store.read("deals").count() == 1
+
+
+def test_landed_json_is_parsed_by_the_staging_write_only(spark, scratch, monkeypatch):
+    """Gate, merge and write read the staging tables; the counts are observed."""
+    import contextlib
+    import io
+    store = new_store(spark, f"{scratch}/bronze")
+    edges = docs(spark, [{"from": {"id": 1}, "to": [{"toObjectId": 10}]}])
+    seen = {}
+
+    def watch(owner, name, rows_at):
+        real = getattr(owner, name)
+
+        def call(*a, **k):
+            text = io.StringIO()
+            with contextlib.redirect_stdout(text):
+                a[rows_at].explain()
+            seen.setdefault(name, []).append("json" in text.getvalue().replace("raw_json", "").replace("properties_json", "").replace("teams_json", "").replace("metadata_json", ""))
+            return real(*a, **k)
+        monkeypatch.setattr(owner, name, call)
+
+    watch(Store, "load_staging", 2)
+    watch(Store, "write_run", 2)
+    watch(gates, "duplicate_keys", 0)
+    inputs = RunInputs(entities={"deals": docs(spark, [deal(1), deal(2)])}, owners=docs(spark, [{"id": 7}]), associations={"deal_company_associations": edges})
+    result = ingest_run(store, inputs, run_id="a", ingested_at="2024-01-01 00:00:00", source_system="crm")
+    assert seen == {"load_staging": [True] * 3, "write_run": [False] * 3, "duplicate_keys": [False] * 3}
+    assert result.counts == {"deals": 2, "owners": 1, "deal_company_associations": 1} and result.changes["deals"] == (2, 2, 0)
+
+
+def test_point_and_as_of_reads_skip_files(spark, scratch):
+    store = new_store(spark, f"{scratch}/bronze")
+    for i, run in enumerate(("r1", "r2", "r3"), 1):
+        ingest_run(store, RunInputs(entities={"deals": CR.order_docs(spark, SF_SMALL, run)}), run_id=run, ingested_at=f"2024-01-0{i} 00:00:00", source_system="crm")
+    before = content(store, "deals")
+    assert store.rewrite_closed("deals", partitions=6) == "closed-3" and store.rewrite_closed("deals") is None
+    assert content(store, "deals") == before
+    closed = store.read("deals").where("NOT _is_current")
+    key = closed.agg(F.max("source_id")).first()[0]
+    one = closed.where(F.col("source_id") == key)
+    text = one._jdf.queryExecution().toString()
+    assert "EqualTo(source_id" in text
+    files = closed.withColumn("f", F.input_file_name()).groupBy("f").agg(F.min("source_id").alias("lo"), F.max("source_id").alias("hi")).collect()
+    assert len(files) == 6 and sum(r.lo <= key <= r.hi for r in files) == 1 and one.count() >= 1
+    path = next(r.f for r in files)
+    import pyarrow.parquet as pq
+    meta = pq.ParquetFile(path.removeprefix("file://")).metadata.row_group(0)
+    col = next(meta.column(i) for i in range(meta.num_columns) if meta.column(i).path_in_schema == "source_id")
+    assert col.statistics.has_min_max
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
+    text = plan(reads.as_of(store.read("deals"), "2024-01-02 12:00:00"))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "LessThanOrEqual(_valid_from" in text and "GreaterThan(_valid_to" in text
+    assert store.vacuum("deals", keep=1) and content(store, "deals") == before
 
 
 def test_edges_without_their_entity_are_none(spark, scratch):
@@ -307,7 +405,7 @@ def test_sampled_run_audit(spark, scratch):
     counts = audit_run(part, "s1", sample_limit=25)
     assert counts["deals"] == 25 and 0 < counts["owners"] <= 25
     with pytest.raises(ValueError, match="at least 1"):
-        store.drop_superseded("deals", keep=0)
+        store.vacuum("deals", keep=0)
 
 
 def test_ingest_scopes_associations_to_extracted_ids(spark, scratch):
