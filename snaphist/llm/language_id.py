@@ -8,7 +8,8 @@ costs two table reads a byte. A text is every one of its windows; its
 probabilities are their mean, weighted by the bytes they hold.
 
 Bounded parameters: training uses at most ``SAMPLE`` windows, dealt evenly to
-the languages and chosen by a hash of id and text; nothing else is sampled.
+the languages: of each language the texts with the smallest hashes of id and
+text, whatever its size, and at least one; nothing else is sampled.
 
 Defined results: NULL text or no letter gives ``und`` with score 0; so does
 everything if no labelled text was given; rows whose lang is NULL are never
@@ -19,9 +20,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from snaphist.llm.lineage import broadcast_if_small
+from snaphist.llm.sampling import near_bottom
 from snaphist.llm.tokens import LOWER_AZ, Texts
 
 WINDOW = 256
@@ -35,15 +38,19 @@ LETTER[65:91] = LETTER[97:123] = True
 
 
 def training_windows(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[bytes], list[str]]:
-    """At most ``sample`` windows of (text, lang) rows, evenly per language."""
+    """At most ``sample`` windows of (text, lang) rows, evenly per language (and
+    those of one text per language, if there are more languages than that)."""
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
                            F.xxhash64("doc_id", "text").alias("h")).where(F.col("lang").isNotNull() & (F.length("text") > 0))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
-    if not sizes:
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    found = sizes.agg(F.count("*").alias("k")).first()["k"]
+    if not found:
         return [], []
-    quota = max(1, sample // len(sizes) // PER_DOC)
-    share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, quota / n))]), F.col("lang")), F.lit(0.0))
-    chosen = rows.where(F.pmod(F.col("h"), F.lit(1 << 20)) < share * (1 << 20))
+    quota = max(1, sample // found // PER_DOC)
+    near = rows.join(broadcast_if_small(sizes), "lang").where(near_bottom(F.col("h"), quota, F.col("n")))
+    # rows that are equal in id and text count once; the smallest hashes of each language stay
+    one = near.groupBy("lang", "h").agg(F.max("text").alias("text"))
+    chosen = one.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= quota).drop("k")
 
     def cut(batches):
         for b in batches:
@@ -56,7 +63,7 @@ def training_windows(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[by
                     lang.append(la)
             yield pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), pa.array(lang, pa.string())], names=["text", "lang"])
 
-    got = sorted((bytes(r["text"]), r["lang"]) for r in chosen.mapInArrow(cut, "text binary, lang string").limit(2 * sample).collect())
+    got = sorted((bytes(r["text"]), r["lang"]) for r in chosen.mapInArrow(cut, "text binary, lang string").collect())
     return [x for x, _ in got], [la for _, la in got]
 
 

@@ -10,8 +10,8 @@ own index vectors, which is 1 for equal words and taken as 0 otherwise. A
 two-layer network in numpy turns pooled vectors into a probability, and one
 temperature, fitted on rows the network was not trained on, calibrates it.
 
-Bounded parameters: at most about ``SAMPLE`` labelled rows are learned from,
-chosen by a hash of the id. Everything else reads whole texts of all rows.
+Bounded parameters: the ``SAMPLE`` labelled ids with the smallest hashes are
+learned from. Everything else reads whole texts of all rows.
 
 Defined results: NULL and empty texts are scored as a text without trigrams;
 without both labels to learn from every score is the share of label 1 (1 if
@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snaphist.llm.sampling import near_bottom
 from snaphist.llm.tokens import Texts, words
 
 BUCKETS, DIM, HIDDEN = 2048, 64, 32
@@ -98,10 +99,10 @@ def learn_context(sample: DataFrame, parts: int = 8) -> np.ndarray:
     r = index_vectors()
 
     def partial(batches):
-        m = np.zeros((BUCKETS, BUCKETS), np.float32)
+        m = np.zeros((BUCKETS, BUCKETS))
         for b in batches:
             m += near_counts(Texts.of(b.column("text")))
-        yield pa.RecordBatch.from_arrays([pa.array([np.minimum(m, 1e6).astype(np.float64).__matmul__(r).astype(np.float64).tobytes()], pa.binary())], names=["m"])
+        yield pa.RecordBatch.from_arrays([pa.array([(m @ r.astype(np.float64)).tobytes()], pa.binary())], names=["m"])
 
     rows = sample.select("text").repartition(parts, F.xxhash64("text")).mapInArrow(partial, "m binary").collect()
     c = sum((np.frombuffer(x["m"], np.float64).reshape(BUCKETS, DIM) for x in rows), np.zeros((BUCKETS, DIM)))
@@ -110,13 +111,14 @@ def learn_context(sample: DataFrame, parts: int = 8) -> np.ndarray:
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """About ``size`` labelled rows (doc_id, text, y), chosen by a hash."""
+    """The rows (doc_id, text, y) of the ``size`` labelled ids with the smallest hashes."""
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")) \
         .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("y").alias("y"))
     n = lab.count()
-    lab = lab.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, size / max(n, 1))))
+    h = F.xxhash64("doc_id")
+    lab = lab.where(near_bottom(h, size, F.lit(max(n, 1)))).orderBy(h, "doc_id").limit(size)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.join(F.broadcast(lab), "doc_id")  # at most about ``size`` rows of two integers
+    return rows.join(F.broadcast(lab), "doc_id")  # at most ``size`` rows of two integers
 
 
 def vectors(docs: DataFrame, context: np.ndarray, *keep: str) -> DataFrame:

@@ -3,10 +3,13 @@
 Counts of a text (words, symbols, repeated lines, words in repeated 5-word
 windows) become four integer rates. Per language and source a quantile sketch
 of each rate is kept: a histogram over a fixed integer range, so sketches of
-any size merge exactly by adding counts, in any order, and reruns agree. The
-limits of a group are its quartiles widened by their distance; a group with
-few documents merges with the rest of its language, and that with all.
-The limits are then joined back and decide.
+any size merge exactly by adding counts, in any order, and reruns agree. Every
+document is in its group's sketch, also those that the base rule rejects. The
+limits of a group are its quartiles widened by their distance. They are drawn
+towards those of its language, and these towards those of all, as if ``PRIOR``
+documents of the wider group belonged to the narrower one: one rule for groups
+of every size, and limits that move little with each document. The limits are
+then joined back and decide.
 
 Scale: one pass makes the counts; a group's sketch has at most ``BINS`` rows
 per rate however many documents it has (map-side combined); the join's right
@@ -31,7 +34,7 @@ SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 WINDOW = 5
 BINS = 2001
-MIN_DOCS = 50  # a smaller group borrows the merged sketch of its language
+PRIOR = 50  # documents that a wider group counts for in a narrower one's quartiles
 #: rate -> (slack that is always allowed, whether low values are judged too)
 RATES = {"symbol_rate": (60, False), "repeat_rate": (200, False), "dup_line_rate": (60, False), "word_length": (20, True)}
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -132,13 +135,15 @@ def quartiles(sk: DataFrame, *group: str) -> DataFrame:
 
 
 def limits(sk: DataFrame) -> DataFrame:
-    """One row per (lang, source): low and high limit of each rate."""
+    """One row per (lang, source): low and high limit of each rate. Sums of
+    whole numbers only meet in one division each, so reruns agree."""
     same = lambda a, b, c: a[c].eqNullSafe(b[c])
     own = quartiles(sk, "lang", "source")
     lang = quartiles(merge(sk, "lang"), "lang").select(F.col("lang").alias("l_lang"), F.col("rate").alias("l_rate"), F.col("docs").alias("l_docs"), F.col("q1").alias("l_q1"), F.col("q3").alias("l_q3"))
     whole = quartiles(merge(sk)).select(F.col("rate").alias("a_rate"), F.col("q1").alias("a_q1"), F.col("q3").alias("a_q3"))
     j = own.join(lang, own.lang.eqNullSafe(F.col("l_lang")) & (own.rate == F.col("l_rate"))).join(whole, F.col("rate") == F.col("a_rate"))
-    pick = lambda q: F.when(F.col("docs") >= MIN_DOCS, F.col(q)).when(F.col("l_docs") >= MIN_DOCS, F.col(f"l_{q}")).otherwise(F.col(f"a_{q}"))
+    drawn = lambda n, q, wider: (F.col(n) * F.col(q) + PRIOR * wider) / (F.col(n) + PRIOR)
+    pick = lambda q: drawn("docs", q, drawn("l_docs", f"l_{q}", F.col(f"a_{q}")))
     j = j.select("lang", "source", "rate", pick("q1").alias("q1"), pick("q3").alias("q3"))
     wide = [F.max(F.when(F.col("rate") == r, F.col("q3") + 3 * (F.col("q3") - F.col("q1")) + s)).alias(f"{r}_high") for r, (s, _) in RATES.items()]
     wide += [F.max(F.when(F.col("rate") == r, F.col("q1") - 3 * (F.col("q3") - F.col("q1")) - s)).alias(f"{r}_low") for r, (s, two) in RATES.items() if two]
@@ -151,7 +156,7 @@ def judge(docs: DataFrame) -> DataFrame:
     rated = rates(text_counts(rows, "doc_id", "lang", "source"))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rated = rated.withColumn("base_failed", base)
-    lim = cut(limits(sketches(rated.where(~F.col("base_failed"))))).withColumnsRenamed({"lang": "m_lang", "source": "m_source"})
+    lim = cut(limits(sketches(rated))).withColumnsRenamed({"lang": "m_lang", "source": "m_source"})
     j = rated.join(lim, rated.lang.eqNullSafe(F.col("m_lang")) & rated.source.eqNullSafe(F.col("m_source")), "left")
     ok = ~F.col("base_failed")
     for r, (_, two) in RATES.items():

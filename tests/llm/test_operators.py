@@ -507,6 +507,56 @@ def test_quality_rules(spark):
     assert quality_rules.judge(table(spark, []).limit(0)).count() == 0
 
 
+def plain_kept(rows):
+    """(lang, source, five counts) -> kept, by the rule as the module states it."""
+    rate = {"symbol_rate": lambda c: min(2000, 1000 * c[2] // max(c[1], 1)), "repeat_rate": lambda c: min(2000, 1000 * c[4] // max(c[0], 1)),
+            "dup_line_rate": lambda c: min(2000, 1000 * c[3] // max(c[0], 1)), "word_length": lambda c: min(2000, 10 * c[1] // max(c[0], 1))}
+
+    def quartile(values, q):
+        v = sorted(values)
+        return next(x for k, x in enumerate(v, 1) if 4 * k >= q * len(v))
+
+    out = []
+    for la, so, c in rows:
+        ok = not (c[0] < 10 or 100 * c[4] > 20 * c[0])
+        for name, f in rate.items():
+            own = [f(x) for a, b, x in rows if (a, b) == (la, so)]
+            lang, whole = [f(x) for a, b, x in rows if a == la], [f(x) for *_, x in rows]
+            q1, q3 = ((len(own) * quartile(own, q) + 50 * ((len(lang) * quartile(lang, q) + 50 * quartile(whole, q)) / (len(lang) + 50))) / (len(own) + 50) for q in (1, 3))
+            slack, two = quality_rules.RATES[name]
+            ok = ok and f(c) <= q3 + 3 * (q3 - q1) + slack and (not two or f(c) >= q1 - 3 * (q3 - q1) - slack)
+        out.append(ok)
+    return out
+
+
+def odd_source(n, first=0, seed=3):
+    """Texts full of symbols: normal in a source of their own."""
+    rng = random.Random(seed)
+    return [(first + i, " ".join("ab$" * rng.randint(1, 2) for _ in range(rng.randint(12, 40))) + f" {i}", "en", "odd") for i in range(n)]
+
+
+@pytest.mark.parametrize("n_odd", [1, 40, 200])
+def test_kept_against_plain_limits(spark, n_odd):
+    rng = random.Random(n_odd)
+    word = lambda: "".join(rng.choice("aeiounrst") for _ in range(rng.randint(2, 9)))
+    rows = [(i, " ".join(word() + rng.choice(["", "", "", "#"]) for _ in range(rng.randint(5, 60))), rng.choice(["en", "de", None]), rng.choice(["a", "b", None])) for i in range(150)]
+    rows += odd_source(n_odd, 1000) + [(2000, "x$$$$$$ " * 3 + " ".join(word() for _ in range(20)), "en", "a"), (2001, None, "en", "a")]
+    got = {r.doc_id: r.kept for r in quality_rules.judge(table(spark, rows)).collect()}
+    assert got == dict(zip([r[0] for r in rows], plain_kept([(r[2], r[3], counts_brute(r[1])) for r in rows])))
+
+
+def test_limits_have_no_step(spark):
+    """With each further document of a source its limits move a little: there
+    is no size at which another rule takes over."""
+    plain = [(i, " ".join("word" for _ in range(9)) + f" {i} " + "other words here", "en", "a") for i in range(200)]
+    highs = []
+    for n in (10, 30, 49, 50, 51):
+        rated = quality_rules.rates(quality_rules.text_counts(table(spark, plain + odd_source(n, 1000)), "doc_id", "lang", "source"))
+        highs.append(quality_rules.limits(quality_rules.sketches(rated)).where("source = 'odd'").first().symbol_rate_high)
+    assert highs == sorted(highs) and highs[-1] > 2 * highs[0]
+    assert max(highs[3] - highs[2], highs[4] - highs[3]) < 10
+
+
 def test_sketches_merge(spark):
     rows = [(i, " ".join("x" * (i % 7 + 1) for _ in range(12)) + str(i), "en", "s") for i in range(100)]
     rated = quality_rules.rates(quality_rules.text_counts(table(spark, rows), "doc_id", "lang", "source"))
@@ -516,6 +566,16 @@ def test_sketches_merge(spark):
 
 
 # ------------------------------------------------------------------ 10
+def test_every_language_is_learned(spark):
+    """However many there are, and however unequal; copies count once, and the
+    sample depends on the rows alone."""
+    rows = [(i, f"text {i} of language {i % 1100}", f"l{i % 1100}") for i in range(1200)] + [(5000, "the same copy", "hot")] * 900 + [(6000 + i, f"hot text {i}", "hot") for i in range(500)]
+    df = table(spark, rows)
+    text, lang = language_id.training_windows(df)
+    assert set(lang) == {r[2] for r in rows} and lang.count("hot") == 2 and len(text) <= 1101 * 2
+    assert (text, lang) == language_id.training_windows(df.repartition(7))
+
+
 def test_language(spark):
     rng = random.Random(1)
     stems = {"en": ["the", "ing", "wh", "tion"], "de": ["sch", "ung", "ä", "keit"], "es": ["ción", "os", "ll", "ñ"]}
