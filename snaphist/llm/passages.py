@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from snaphist.llm.blocks import BLOCK_BYTES, block_count, by_bucket, runs, sorted_block, with_block
-from snaphist.llm.tokens import BYTE_CODE, Texts, fits, mix, planes, powers, prefix_hash, ROOT, ROOT_INV, sliding_min, span_hash, unplanes, words
+from snaphist.llm.tokens import BYTE_CODE, Texts, every_span, fits, mix, planes, powers, prefix_hash, ROOT, ROOT_INV, sliding_min, span_hash, unplanes, words
 
 HOT = 256  # different stretches of an anchor, beyond one per block, from which its windows go one by one
 U64 = np.uint64
@@ -83,11 +83,9 @@ def stretches(t: Texts, how: Tokens, table=None) -> Stretches:
         if hi - lo >= L:
             h = BYTE_CODE[t.buf[lo:hi]] if wh is None else wh[lo:hi]
             p, inv = _prefix(h)
-            i = np.arange(h.size - k + 1)
-            g = span_hash(p, inv, i, i + k)
-            m = sliding_min(g, L - k + 1)
+            m = sliding_min(every_span(p, inv, k), L - k + 1)
             ok = fits(first[at:to + 1] - lo, L)
-            doc = np.searchsorted(first[at:to + 1] - lo, ok, "right") - 1
+            doc = np.repeat(np.arange(to - at), np.diff(first[at:to + 1]))[ok]
             a = m[ok]
             new = np.ones(ok.size, bool)
             new[1:] = (a[1:] != a[:-1]) | (ok[1:] != ok[:-1] + 1) | (doc[1:] != doc[:-1])
@@ -113,8 +111,14 @@ def _prefix(h: np.ndarray):
 def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (a, b): positions of one of each, ascending by a, and the
     number of the pair of every row."""
-    order = np.lexsort((b, a))
-    sa, sb = a[order], b[order]
+    order = np.argsort(a)  # then by b where an ``a`` occurs again
+    sa = a[order]
+    same = np.append(False, sa[1:] == sa[:-1])
+    same[:-1] |= same[1:]
+    again = np.flatnonzero(same)
+    if again.size:
+        order[again] = order[again[np.lexsort((b[order[again]], sa[again]))]]
+    sb = b[order]
     new = np.append(True, (sa[1:] != sa[:-1]) | (sb[1:] != sb[:-1])) if a.size else np.empty(0, bool)
     number = np.empty(a.size, np.int64)
     number[order] = np.cumsum(new) - 1
@@ -318,9 +322,14 @@ def owners_of(key: np.ndarray, low: np.ndarray, windows: np.ndarray, content, ma
     def done():
         order = sorted(batch, key=lambda i: low[i])
         got = match([content(i) for i in order], low[order], windows[order])
-        for i, ids in zip(order, got):
-            b, _ = runs(ids)
-            out[i] = (np.diff(np.append(b, ids.size)), ids[b])
+        flat, size = np.concatenate(got), windows[order]
+        new = np.append(True, flat[1:] != flat[:-1])
+        new[np.cumsum(size) - size] = True  # a run ends with its stretch
+        b = np.flatnonzero(new)
+        length, ids = np.diff(np.append(b, flat.size)), flat[b]
+        upto = np.cumsum(np.bincount(np.repeat(np.arange(size.size), size)[b], minlength=size.size)).tolist()
+        for i, x, y in zip(order, [0, *upto], upto):
+            out[i] = (length[x:y], ids[x:y])
 
     for r in several:
         batch += range(starts[r], starts[r] + count[r])

@@ -66,7 +66,7 @@ def suffix_order(text: np.ndarray, base: int) -> np.ndarray:
     key = (pad[:n] * base + pad[1:n + 1]) * base + pad[2:n + 2]
     k = 3
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys have equal ranks, in whatever order
         sk = key[order]
         rank = np.empty(n, np.int64)
         up = np.cumsum(np.append(0, sk[1:] != sk[:-1]))[:n]

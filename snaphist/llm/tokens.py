@@ -63,6 +63,14 @@ def span_hash(p: np.ndarray, inv: np.ndarray, start: np.ndarray, end: np.ndarray
     return mix(((p[end] - p[start]) * inv[start]) ^ (end - start).astype(U64))
 
 
+def every_span(p: np.ndarray, inv: np.ndarray, k: int) -> np.ndarray:
+    """``span_hash`` of the k codes at each position."""
+    x = p[k:] - p[:-k]
+    x *= inv[:x.size]
+    x ^= U64(k)
+    return mix(x)
+
+
 @dataclass
 class Texts:
     buf: np.ndarray  # uint8
