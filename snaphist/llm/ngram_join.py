@@ -4,9 +4,10 @@ A text's set is its distinct word shingles (of ``SHINGLE`` words unless the
 caller says otherwise). Texts with equal sets form a
 class, and only classes are joined. Two sets with similarity t share, in any
 fixed order of shingles, one of the first n - ceil(t n) + 1 of each, so
-classes meet in the bucket of such a shingle (shingles that very many texts
-hold come last in the order, so they hardly ever bring texts together). Among
-the classes that share a shingle
+classes meet in the bucket of such a shingle. The order goes by the rarest word
+of a shingle, by a sketch of all words' counts: shingles of frequent words only,
+which texts share by chance, come last and hardly ever bring texts together.
+Among the classes that share a shingle
 
 1. each is compared with the smallest-sized ones around it (a star, so a group
    of near copies costs as many comparisons as it has members), and the links
@@ -41,36 +42,41 @@ from pyspark.sql import functions as F
 from snaphist.llm.blocks import block_count, by_bucket
 from snaphist.llm.components import components
 from snaphist.llm.lineage import broadcast_if_small, cut
-from snaphist.llm.tokens import Texts, grams, mix, planes, unplanes, words
+from snaphist.llm.tokens import Texts, grams, mix, planes, sliding_min, unplanes, words
 
 SHINGLE, PERCENT = 4, 85
 SKETCH_BITS = 18
-SIGNATURE = 2  # bits of a bitmap per shingle at least, rounded up to a power of two
+SIGNATURE = 4  # bits of a bitmap per shingle at least, rounded up to a power of two
 LEAF, FAN = 8, 8
 U64 = np.uint64
 PAIR = ["a", "a_n", "b", "b_n"]
 NO_ID = 2**63 - 1  # stands for NULL in the order of ids
 
 
-def shingle_sets(t: Texts, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(t: Texts, k: int = SHINGLE, rarity: np.ndarray | None = None):
     """(first position of each text and one more, distinct shingle hashes in
-    ascending order per text)."""
+    ascending order per text), and with ``rarity`` (of the words' slots) that
+    of each shingle: its rarest word's."""
     w = words(t)
     size = np.diff(w.first)
     doc = w.doc()
     g = grams(w.hash, k)
     at = np.flatnonzero(np.arange(g.size) + k <= w.first[1:][doc[:g.size]]) if g.size else np.empty(0, np.int64)
     d, h = doc[at], g[at]
+    of_word = None if rarity is None else rarity[(w.hash >> U64(64 - SKETCH_BITS)).astype(np.int64)]
+    least = None if rarity is None else (sliding_min(of_word, k)[at] if at.size else np.empty(0, np.uint8))
     for i in np.flatnonzero((size > 0) & (size < k)):  # the whole sequence
         a = np.full(1, size[i], U64)
         for x in w.hash[w.first[i]:w.first[i + 1]]:
             a = mix(a + x)
         d, h = np.append(d, i), np.append(h, a)
+        least = None if least is None else np.append(least, of_word[w.first[i]:w.first[i + 1]].min())
     order = np.lexsort((h, d))
     d, h = d[order], h[order]
     new = np.append(True, (d[1:] != d[:-1]) | (h[1:] != h[:-1])) if d.size else np.empty(0, bool)
     d, h = d[new], h[new]
-    return np.searchsorted(d, np.arange(len(t) + 1)), h
+    first = np.searchsorted(d, np.arange(len(t) + 1))
+    return (first, h) if least is None else (first, h, least[order][new])
 
 
 def set_keys(first: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -97,7 +103,7 @@ def _parts(batch, size: int = 1 << 20):
 
 def describe(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, th, n, key) of every document, and per task a row with the
-    task's sketch of how many documents have a shingle (n is -1)."""
+    task's sketch of how often words occur (n is -1)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
 
     def run(batches):
@@ -106,7 +112,7 @@ def describe(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for b in batches:
             for lo, hi, t in _parts(b):
                 first, h = shingle_sets(t, shingle)
-                count += np.bincount((h >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=count.size)
+                count += np.bincount((words(t).hash >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=count.size)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("th").slice(lo, hi - lo), pa.array(np.diff(first)),
                                                   pa.array(set_keys(first, h)), pa.nulls(hi - lo, pa.binary())], names=names)
         if count.any():
@@ -116,10 +122,10 @@ def describe(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, th long, n long, key long, sketch binary")
 
 
-def frequent_slots(described: DataFrame, slices: int = 4) -> np.ndarray:
-    """Slots of the sketch that hold far more than the mean, as packed bits:
-    shingles of about four documents in a thousand and more, whatever their
-    number. The driver reads ``slices`` sums of fixed size."""
+def word_rarity(described: DataFrame, slices: int = 4) -> np.ndarray:
+    """Logarithm of the count of each slot of the sketch, a byte each: small
+    for slots that hold rare words only. The driver reads ``slices`` sums of
+    fixed size."""
     def add(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for b in batches:
@@ -129,22 +135,18 @@ def frequent_slots(described: DataFrame, slices: int = 4) -> np.ndarray:
 
     rows = described.where("n = -1").select("sketch").repartition(slices).mapInArrow(add, "s binary").collect()
     total = sum((unplanes(r["s"], 1 << SKETCH_BITS, 5).astype(np.int64) for r in rows), np.zeros(1 << SKETCH_BITS, np.int64))
-    return np.packbits(total > 2 * total.mean() + 64)
+    return (4 * np.log2(total + 1.0)).astype(np.uint8)
 
 
-def _prefixes(frequent: np.ndarray, buckets: int, percent: int, shingle: int):
-    packed = frequent
-
+def _prefixes(rarity: np.ndarray, buckets: int, percent: int, shingle: int):
     def run(batches):
-        frequent = np.unpackbits(packed)
         tok, key, num = [], [], []
         for b in batches:
             for _, _, t in _parts(b):
-                first, h = shingle_sets(t, shingle)
+                first, h, rare = shingle_sets(t, shingle, rarity)
                 n = np.diff(first)
                 doc = np.repeat(np.arange(n.size), n)
-                rank = mix(h ^ U64(0x2545F4914F6CDD1D)) >> U64(1)
-                rank |= frequent[(h >> U64(64 - SKETCH_BITS)).astype(np.int64)].astype(U64) << U64(63)
+                rank = mix(h ^ U64(0x2545F4914F6CDD1D)) >> U64(8) | rare.astype(U64) << U64(56)
                 order = np.lexsort((rank, doc))
                 place = np.arange(h.size) - first[doc]
                 use = order[place < (n - needed(n, percent) + 1)[doc]]
@@ -374,7 +376,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, shingle: int = S
     smallest = F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("o"), "doc_id", "th")).alias("rep")
     classes = cut(rows.where("n > 0").groupBy("key", "n").agg(smallest))
     buckets = block_count(docs)
-    packed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_prefixes(frequent_slots(described), buckets, percent, shingle), "bucket int, n int, tok binary, key binary, num binary")
+    packed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_prefixes(word_rarity(described), buckets, percent, shingle), "bucket int, n int, tok binary, key binary, num binary")
     met = cut(packed.groupBy("bucket").applyInArrow(_meet(percent), "kind int, a long, a_n long, b long, b_n long").distinct())
     pairs, groups = met.where("kind = 0").drop("kind"), met.where("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("key"), F.col("b_n").alias("n"))
     bitmaps = fetch_sets(docs, classes, ends(pairs).unionByName(groups.select("key", "n")), "sig", shingle)

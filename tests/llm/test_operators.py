@@ -130,11 +130,11 @@ def near_corpus(seed):
     return rows
 
 
-def near_brute(rows):
+def near_brute(rows, k=4, percent=85):
     sets = {}
     for i, t in rows:
         w = brute.words("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
-        sets[i] = frozenset(tuple(w[j:j + 4]) for j in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
+        sets[i] = frozenset(tuple(w[j:j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
     parent = {i: i for i in sets}
 
     def find(x):
@@ -145,7 +145,7 @@ def near_brute(rows):
     ids = sorted(sets)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return sorted((i, len(s), find(i)) for i, s in sets.items())
@@ -158,6 +158,22 @@ def test_ngram_join(spark, seed):
     assert sorted(map(tuple, got.collect())) == near_brute(rows)
 
 
+@pytest.mark.parametrize("changes", [2, 12])
+def test_ngram_join_with_a_third_near_copies_of_one_text(spark, changes):
+    """Copies that link, and copies just too different to."""
+    rng = random.Random(changes)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(150):
+        w = list(base) if i % 3 == 0 else [f"x{rng.randint(0, 400)}" for _ in range(rng.randint(3, 90))]
+        for j in rng.sample(range(len(w)), min(changes, len(w))) if i % 3 == 0 else ():
+            w[j] = f"y{rng.randint(0, 10_000)}"
+        rows.append((i, " ".join(w)))
+    for k, percent in ((4, 85), (5, 80)):
+        got = ngram_join.near_duplicates(table(spark, rows), shingle=k, percent=percent).select("doc_id", "n_shingles", "component_id")
+        assert sorted(map(tuple, got.collect())) == near_brute(rows, k, percent)
+
+
 def test_ngram_join_of_repeats_null_ids_and_nothing(spark):
     t = " ".join(f"w{i}" for i in range(40))
     rows = [(7, t), (7, t), (3, t + " end"), (None, t), (None, "only here at all"), (8, None)]
@@ -189,7 +205,8 @@ def test_signature_tree_loses_no_pair():
                 assert (j, i) in got
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("one_task", [0, 100_000])
+def test_components_of_chains_and_stars(spark, one_task):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(100, 140)] + [(500, i) for i in range(200, 230)] + [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(30)]
     edges = [e for e in edges if e[0] != e[1]]
@@ -203,7 +220,7 @@ def test_components_of_chains_and_stars(spark):
     for a, b in edges:
         x, y = find(a), find(b)
         parent[max(x, y)] = min(x, y)
-    got = components(spark.createDataFrame(edges, "u long, v long"))
+    got = components(spark.createDataFrame(edges, "u long, v long"), one_task)
     assert {r.node: r.component for r in got.collect()} == {x: find(x) for x in parent}
 
 
