@@ -9,9 +9,9 @@ of a shingle, by a sketch of all words' counts: shingles of frequent words only,
 which texts share by chance, come last and hardly ever bring texts together.
 Among the classes that share a shingle
 
-1. each is compared with the smallest-sized ones around it (a star, so a group
-   of near copies costs as many comparisons as it has members), and the links
-   found make first components;
+1. each is compared with the smallest-sized ones around it, and with the one
+   that most tasks hold (stars, so a group of near copies costs few comparisons
+   a member), and the links found make first components;
 2. groups that still hold several components go through a signature tree:
    nodes hold OR-combined shingle bitmaps, size ranges and, if they have only
    one, their component. A dual traversal from (root, root) drops node pairs of
@@ -176,6 +176,7 @@ def _meet(percent: int):
         order = np.lexsort((k, num, tok))
         tok, k, num = tok[order], k[order], num[order]
         new = np.append(True, (tok[1:] != tok[:-1]) | (k[1:] != k[:-1]) | (num[1:] != num[:-1]))
+        seen_in = np.diff(np.append(np.flatnonzero(new), tok.size))  # tasks that sent the class: more for one of many copies
         tok, k, num = tok[new], k[new], num[new]
         # a group ends with its shingle, and where sizes are too far apart
         cut_here = np.append(True, (tok[1:] != tok[:-1]) | (100 * num[:-1] < percent * num[1:]))
@@ -192,6 +193,12 @@ def _meet(percent: int):
             seen.add(name)
             name = int(mix(np.array([np.bitwise_xor.reduce(mix(kk.view(U64))) + U64(c)], U64)).view(np.int64)[0]) | 1
             groups.append(np.stack([np.full(c, name), nn, kk, nn], 1))
+            m = int(seen_in[s:s + c].argmax())
+            if m and seen_in[s + m] > 1:  # near copies are nearest to the text that was copied most
+                lo, hi = np.searchsorted(nn, -(-percent * nn[m] // 100), "left"), np.searchsorted(nn, 100 * nn[m] // percent, "right")
+                low, high = np.arange(lo, m), np.arange(m + 1, hi)
+                pairs.append(np.stack([np.append(kk[low], np.full(high.size, kk[m])), np.append(nn[low], np.full(high.size, nn[m])),
+                                       np.append(np.full(low.size, kk[m]), kk[high]), np.append(np.full(low.size, nn[m]), nn[high])], 1))
             at = 0
             while at < c:
                 to = int(np.searchsorted(nn, 100 * nn[at] // percent, "right"))
