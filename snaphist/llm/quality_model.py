@@ -94,18 +94,25 @@ def pool(t: Texts, context: np.ndarray) -> np.ndarray:
     return np.concatenate([np.sqrt(histogram(t)) @ context, agreement(t)], axis=1)
 
 
-def learn_context(sample: DataFrame, parts: int = 8) -> np.ndarray:
-    """Context vectors from the sample's texts (a bounded number of rows)."""
-    r = index_vectors()
+def learn_context(sample: DataFrame, parts: int = 8, slices: int = 8) -> np.ndarray:
+    """Context vectors from the sample's texts (a bounded number of rows). The
+    parts' sums, whole numbers, are added slice by slice in tasks, so the
+    driver reads one matrix however many parts there are."""
+    r = index_vectors().astype(np.float64)
 
     def partial(batches):
         m = np.zeros((BUCKETS, BUCKETS))
         for b in batches:
             m += near_counts(Texts.of(b.column("text")))
-        yield pa.RecordBatch.from_arrays([pa.array([(m @ r.astype(np.float64)).tobytes()], pa.binary())], names=["m"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([x.tobytes() for x in np.array_split(m @ r, slices)], pa.binary())], names=["slice", "m"])
 
-    rows = sample.select("text").repartition(parts, F.xxhash64("text")).mapInArrow(partial, "m binary").collect()
-    c = sum((np.frombuffer(x["m"], np.float64).reshape(BUCKETS, DIM) for x in rows), np.zeros((BUCKETS, DIM)))
+    def add(key, table):
+        total = sum(np.frombuffer(x.as_py(), np.float64) for x in table["m"])
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "m": pa.array([total.tobytes()], pa.binary())})
+
+    dealt = sample.select("doc_id", "text").repartition(parts, F.xxhash64("doc_id")).select("text")  # equal texts apart
+    rows = dealt.mapInArrow(partial, "slice int, m binary").groupBy("slice").applyInArrow(add, "slice int, m binary").collect()
+    c = np.concatenate([np.frombuffer(x["m"], np.float64) for x in sorted(rows, key=lambda x: x["slice"])]).reshape(BUCKETS, DIM) if rows else np.zeros((BUCKETS, DIM))
     size = np.linalg.norm(c, axis=1, keepdims=True)
     return (np.where(size > 0, c / np.maximum(size, 1e-9), 0) + r / np.sqrt(DIM)).astype(np.float32)
 
