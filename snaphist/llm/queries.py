@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import class_model, decontaminate, html_extract, importance, language_id, lexical_search, mixing, ngram_join, quality_model, quality_rules, substring_dedup, suffix_dedup, warc
+from snaphist.llm import class_model, decontaminate, html_extract, importance, language_id, lexical_search, mixing, ngram_join, oracles, quality_model, quality_rules, substring_dedup, suffix_dedup, warc
 from snaphist.llm.ship import ship
 from snaphist.session import ensure_checkpoint_dir
 
@@ -90,4 +90,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard_join, op3_mix_sources, op4_class_model_scoring, op5_suffix_array_dedup, op6_benchmark_decontamination, op7_quality_classifier,
                             op8_html_extraction, op9_quality_rules, op10_language_id, op11_warc, op12_lexical_search, op13_importance_resampling)
 }
-SQL: dict[str, str] = {"op3_mix_sources": mixing.MIX_SQL, "op11_warc": warc.ARCHIVE_SQL, "op12_lexical_search": lexical_search.SEARCH_SQL}
+SQL: dict[str, str] = {"op1_substring_dedup": oracles.SUBSTRING_SQL, "op2_ngram_jaccard_join": oracles.JOIN_SQL, "op5_suffix_array_dedup": oracles.BYTES_SQL, "op9_quality_rules": oracles.RULES_SQL, "op3_mix_sources": mixing.MIX_SQL, "op11_warc": warc.ARCHIVE_SQL, "op12_lexical_search": lexical_search.SEARCH_SQL}
