@@ -396,6 +396,47 @@ def _next(row, i, x, b):
     return out
 
 
+def sellers(item, text):
+    """Fewest edits of the item against stretches that end at each position."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        row = _next(row, i, x, text)
+    return row
+
+
+def test_leaks_against_all_alignments(spark):
+    """Items of every length, few letters (many chance finds), any edits."""
+    rng = random.Random(17)
+    for letters in ("ab", "abc ", "abcdefghijkl"):
+        some = lambda n: "".join(rng.choice(letters) for _ in range(n))
+        items = [(i, some(n)) for i, n in enumerate([1, 2, 5, 7, 8, 12, 13, 14, 15, 22, 30, 60])]
+        docs = []
+        for d in range(40):
+            text = some(rng.randint(0, 50))
+            for _ in range(rng.randint(0, 2)):
+                leak = list(rng.choice(items)[1])
+                for _ in range(rng.randint(0, int(0.08 * len(leak)) + 1)):
+                    at = rng.randrange(len(leak) + 1)
+                    leak[at:at + 1] = rng.choice([[], [rng.choice(letters)], [rng.choice(letters)] * 2])
+                text += "".join(leak) + some(rng.randint(0, 8))
+            docs.append((d, text))
+        got = {}
+        for r in decontaminate.find_leaks(table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect():
+            got.setdefault((r.doc_id, r.item_id), []).append((r.edits, r.end, r.start))
+        for d, text in docs:
+            text = decontaminate.normal(text)
+            for i, item in items:
+                item = decontaminate.normal(item)
+                finds, ends = sorted(got.pop((d, i), [])), sellers(item, text)
+                if item and min(ends) <= int(0.08 * len(item)):
+                    assert finds[0][:2] == (min(ends), ends.index(min(ends)))
+                    assert all(brute_edits(item, text[a:b]) == n for n, b, a in finds)
+                    assert all(b <= a2 or b2 <= a for n, b, a in finds for n2, b2, a2 in finds if (b, a) != (b2, a2))
+                else:
+                    assert not finds
+        assert not got
+
+
 def test_shards_of_a_large_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SHARD_BYTES", 100)
     items = [(i, f"question number {i} asks for the capital of country {i}") for i in range(12)]
