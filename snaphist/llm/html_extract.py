@@ -1,15 +1,19 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one per block element; scripts, styles, menus,
-forms, notices, adverts, sidebars, page headers and footers and reader
-comments leave a stretch of empty lines as long as the sliding window, and so
-do the edges of a marked article (article, main). The text lengths of the
-lines, summed over that window, rise from zero at a surge point and fall back
-to zero at a dive point; the lines between two such points are one block of
-text. On every page the blocks whose sums reach ``SURGE`` characters (or the
-largest, if none does) are kept. A marked article is a weight: its characters
-count ``MARKED`` times, and what is left out inside it leaves a stretch one
-line short of the window, so that it doesn't cut the article in two.
+Markup is stripped into lines, one per block element. A line's length is the
+text it has outside of links; what is left out (scripts, styles, menus, forms,
+notices, adverts, sidebars, page headers and footers, reader comments) stays in
+the distribution as lines of length zero, as many as it had. The lengths,
+summed over a sliding window of lines, rise from zero at a surge point and fall
+back to zero at a dive point, so a menu ends a block of text whether or not
+anything names it, and a notice of a line or two doesn't. On every page the
+blocks whose sums reach ``SURGE`` characters (or the largest, if none does) are
+kept, from their first line of text to their last.
+
+A marked article (article, main) is a weight: its characters count ``MARKED``
+times, link or not; its edges end a block, and what is left out inside it is
+one line short of a window, so that it doesn't cut the article in two. Where
+all text of a page is in links, links count.
 
 A left-out p, li, dt, dd, tr, td or th without an end tag ends where HTML says:
 at the next sibling, or with an element around it.
@@ -17,8 +21,9 @@ at the next sibling, or with an element around it.
 Scale: one narrow pass over the pages, a batch at a time; no shuffle.
 
 Defined results: NULL or empty html, or a page without text, gives an empty
-text; a cut-off page keeps what it has; repeated rows are extracted alike; an
-empty table gives an empty result.
+text; a cut-off page keeps what it has; blocks with equal sums are kept or left
+out together; repeated rows are extracted alike; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ SURGE = 80  # characters within a window
 MARKED = 4  # weight of a character in a marked article
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)([^>]*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+HREF = re.compile(r"\bhref\s*=", re.I)
 RAW = {"script", "style", "textarea", "title", "xmp", "noframes"}
 DROP = {"nav", "footer", "aside", "form", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "button", "select", "dialog", "menu", "head", "audio", "video", "datalist"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
@@ -70,41 +76,63 @@ def _boilerplate(tag: str, attrs: str) -> bool:
     return False
 
 
-def lines(html: str) -> tuple[list[str], list[bool]]:
-    """Text of each line (empty where boilerplate was), and whether it lies
-    in a marked article."""
+def lines(html: str) -> tuple[list[str], list[int], list[bool]]:
+    """Text of each line (empty where boilerplate was), its characters outside
+    of links, and whether it lies in a marked article."""
     out: list[str] = []
+    free: list[int] = []
     marked: list[bool] = []
     piece: list[str] = []
+    plain: list[str] = []  # the piece without its links
+    links = 0
     inside = 0  # depth of article/main
     skip, depth = "", 0  # the boilerplate element being left out
     within: list[str] = []  # open elements inside it, if its end tag may be missing
     around: dict[str, int] = {}  # block elements open outside of it
     raw = ""  # an element whose content is not markup
 
+    def put(text, size):
+        out.append(text)
+        free.append(size)
+        marked.append(inside > 0)
+
+    def empty():
+        """Empty lines just before here; a window of them at most."""
+        have = 0
+        while have < min(WINDOW, len(out)) and not out[-1 - have]:
+            have += 1
+        return have
+
     def flush():
         if piece:
             text = " ".join(unescape("".join(piece)).split())
+            size = len("".join(unescape("".join(plain)).split())) if links or len(plain) < len(piece) else len(text)
             piece.clear()
+            plain.clear()
             if text:
-                out.append(text)
-                marked.append(inside > 0)
+                put(text, size)
 
-    def gap(size):
-        """At least so many empty lines from here on."""
+    def left_out():
+        """A line of what is left out."""
+        if piece:
+            some = not "".join(piece).isspace()
+            piece.clear()
+            if some and empty() < (WINDOW - 1 if inside else WINDOW):
+                put("", 0)
+
+    def edge():
         flush()
-        have = 0
-        while have < min(size, len(out)) and not out[-1 - have]:
-            have += 1
-        out.extend([""] * (size - have))
-        marked.extend([inside > 0] * (size - have))
+        for _ in range(WINDOW - empty()):
+            put("", 0)
 
     at = 0
     for m in TOKEN.finditer(html):
         if m.start() < at:
             continue
-        if not skip and m.start() > at:
+        if m.start() > at:
             piece.append(html[at:m.start()])
+            if not skip and not links:
+                plain.append(piece[-1])
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
@@ -115,6 +143,8 @@ def lines(html: str) -> tuple[list[str], list[bool]]:
             at = end.end() if end else len(html)
             continue
         alone = tag in VOID or attrs.rstrip().endswith("/")
+        if skip and (tag in BLOCK or tag == skip):
+            left_out()
         if skip in ENDS:
             starts, keep = ENDS[skip]
             if not closing:
@@ -138,22 +168,28 @@ def lines(html: str) -> tuple[list[str], list[bool]]:
                     skip = ""
             continue
         if not closing and not alone and (_boilerplate(tag, attrs) or tag == "header" and not inside):
-            gap(WINDOW - 1 if inside else WINDOW)
+            flush()
             skip, depth = tag, 1
+            links = 0
             within.clear()
             continue
         if tag in BLOCK:
             flush()
+            links = 0 if closing else links  # a link without an end
             if not alone:
                 around[tag] = max(0, around.get(tag, 0) + (-1 if closing else 1))
+        if tag == "a":
+            links = 0 if closing or alone or not HREF.search(attrs) else 1
         if tag in MAIN:
             before, inside = inside, max(0, inside + (-1 if closing else 1))
             if not (before and inside):  # the edge of an article
-                gap(WINDOW)
-    if not skip and at < len(html):
-        piece.append(html[at:])
-    flush()
-    return out, marked
+                edge()
+    if not skip:
+        if at < len(html):
+            piece.append(html[at:])
+            plain.extend([] if links else [piece[-1]])
+        flush()
+    return out, free, marked
 
 
 def text_blocks(length: list[int]) -> list[tuple[int, int]]:
@@ -176,14 +212,18 @@ def text_blocks(length: list[int]) -> list[tuple[int, int]]:
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    text, marked = lines(html)
-    length = [len(x) * (MARKED if m else 1) for x, m in zip(text, marked)]
+    text, free, marked = lines(html)
+    length = [len(x) * MARKED if m else n for x, n, m in zip(text, free, marked)]
     blocks = text_blocks(length)
+    if not blocks:  # nothing outside of links
+        length = [len(x) for x in text]
+        blocks = text_blocks(length)
     if not blocks:
         return ""
     peak = [max(sum(length[i:i + WINDOW]) for i in range(a, b)) for a, b in blocks]
     kept = [x for x, p in zip(blocks, peak) if p >= min(SURGE, max(peak))]
-    return "\n".join(x for a, b in kept for x in text[a:b] if x)
+    ends = [max(i for i in range(a, b) if length[i]) + 1 for a, b in kept]
+    return "\n".join(x for (a, _), b in zip(kept, ends) for x in text[a:b] if x)
 
 
 def extract(pages: DataFrame) -> DataFrame:

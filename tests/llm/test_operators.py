@@ -508,6 +508,42 @@ def test_html_main_text_outside_a_marked_article():
     assert html_extract.main_text(page) == "short body\nend"
 
 
+def menu(n, tag="div"):
+    return "".join(f"<{tag}><a href='/{i}'>Menu entry number {i}</a></{tag}>" for i in range(n))
+
+
+def test_html_menus_that_nothing_names():
+    """Text outside of links decides, not class names."""
+    article = [f"Sentence {i} of the story, with a few words more." for i in range(8)]
+    body = "".join(f"<p>{x}</p>" for x in article)
+    want = "\n".join(article)
+    for page in (f"<div>{menu(6)}</div><div>{body}</div><div>{menu(9)}</div>",
+                 f"<ul>{menu(2, 'li')}</ul>{body}<ul>{menu(1, 'li')}</ul>",  # shorter than a window
+                 f"{menu(12)}<h3>Menu</h3>{menu(12)}{body}<div><a href=x><div>More stories</div></a></div>",
+                 f"<table><tr><td><a href=1>One</a> | <a href=2>Two</a></td></tr></table>{body}".replace(" | ", " ")):
+        assert html_extract.main_text(page) == want, page
+    # links within the text stay, alone on a line or not
+    page = f"<div>{body}<p><a href=x>See the list of sources</a></p><p>And <a href=y>so</a> on.</p></div>"
+    assert html_extract.main_text(page) == want + "\nSee the list of sources\nAnd so on."
+    # an anchor is no link; a link without an end ends with its block
+    assert html_extract.main_text(f"<a name=top>{body}") == want
+    assert html_extract.main_text(f"{menu(5)}<p><a href=x>Start</p>{body}") == want
+    # a page of nothing but links
+    assert html_extract.main_text("<p><a href=x>only this</a></p>") == "only this"
+
+
+def test_html_left_out_lines_are_no_gap_of_their_own():
+    long = "Body text that goes on for a while. " * 5
+    for ad in ("<div class=ad>Buy this</div>", "<div class=ad><p>Buy</p><p>this</p></div>", "<script>x</script>", "<form></form>", "<div class=ad></div>" * 5):
+        got = html_extract.main_text(f"<p>Short intro.</p>{ad}<p>{long}</p>{ad}<p>End.</p>")
+        assert got == f"Short intro.\n{long.strip()}\nEnd.", ad
+    # a list of some lines is one
+    assert html_extract.main_text(f"<p>Skip this</p><nav><ul><li>One<li>Two<li>Three<li>Four</ul></nav><p>{long}</p>") == long.strip()
+    # not within an article
+    page = f"<article><p>Intro.</p><aside>{'<p>note</p>' * 9}</aside><p>{long}</p></article>"
+    assert html_extract.main_text(page) == f"Intro.\n{long.strip()}"
+
+
 def test_html_end_tags_that_are_left_out():
     body = "The text " * 12
     want = body.strip()
