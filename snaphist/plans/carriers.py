@@ -225,6 +225,15 @@ def lineitem_assoc_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).alias("doc"))
 
 
+def unique_assoc_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as association results that pass the uniqueness gate: one
+    edge, of a type of its own, per line."""
+    kind = F.struct(F.lit("LINE").alias("category"), F.col("l_linenumber").alias("typeId"), F.col("l_returnflag").alias("label"))
+    item = F.struct((F.col("l_partkey") + 1).alias("toObjectId"), F.array(kind).alias("associationTypes"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"), F.min("l_returnflag").alias("l_returnflag"))
+    return lines.select(F.to_json(F.struct(F.struct(F.col("l_orderkey").alias("id")).alias("from"), F.array(item).alias("to"))).alias("doc"))
+
+
 # ------------------------------------------------------------ events -> replay
 def event_day_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily full extracts of users: a user is in day d's extract when it had

@@ -29,8 +29,10 @@ from ..operators.scd2 import GENERAL, RUN_COLUMNS, SPLIT, UNION, change_summary,
 from ..session import ensure_checkpoint_dir
 from ..sources.footers import file_schema_faults, schema_report
 from ..sources.landing import chain_faults, envelope_results, page_faults, project_properties, sample_first, scope_results_to_ids
+from ..sources.store import Store
 from . import carriers as C
-from .pipeline import run_summary_frame
+from .ingest import RunResult, audit_run, ingest_run
+from .pipeline import RunInputs, run_summary_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -958,6 +960,146 @@ def q_run_summary(spark, sf):
     return run_summary_frame(spark, sf)
 
 
+# ============================================================ 11. audits of faulty tables
+def faulty_deal_history(spark, sf) -> DataFrame:
+    """Three runs, damaged by rule: blank run ids, raw texts and stamps, absent
+    sources, and keys that are open twice."""
+    h = deal_state(spark, sf)
+    priority, status = (F.get_json_object("properties_json", f"$.{x}") for x in ("priority", "status"))
+    twice = h.where(F.col(IS_CURRENT) & (priority == "3-MEDIUM") & (status == "P")).withColumn(RUN_ID, F.lit("again"))
+    return h.unionByName(twice).withColumns({
+        RUN_ID: F.when(priority == "1-URGENT", F.lit("  ")).otherwise(F.col(RUN_ID)),
+        SOURCE_SYSTEM: F.when(priority != "2-HIGH", F.col(SOURCE_SYSTEM)),
+        "raw_json": F.when(priority == "5-LOW", F.lit("")).otherwise(F.col("raw_json")),
+        INGESTED_AT: F.when((priority != "4-NOT SPECIFIED") | (status != "P"), F.col(INGESTED_AT))})
+
+
+FAULTY_DEALS = f"""
+p3 AS (
+  SELECT *, json_extract_string(properties_json, '$.priority') AS priority, json_extract_string(properties_json, '$.status') AS status FROM h3),
+f3 AS (
+  SELECT {KEY}, {VALID_FROM}, {IS_CURRENT},
+         CASE WHEN priority = '1-URGENT' THEN '  ' ELSE {RUN_ID} END AS {RUN_ID},
+         CASE WHEN priority <> '2-HIGH' THEN '{C.SOURCE}' END AS {SOURCE_SYSTEM},
+         CASE WHEN priority = '5-LOW' THEN '' ELSE properties_json END AS raw_json,
+         CASE WHEN priority <> '4-NOT SPECIFIED' OR status <> 'P' THEN {VALID_FROM} END AS {INGESTED_AT}
+  FROM (SELECT * FROM p3 UNION ALL SELECT * FROM p3 WHERE {IS_CURRENT} AND priority = '3-MEDIUM' AND status = 'P')
+  WHERE {IS_CURRENT})"""
+
+
+def faulty_owner_history(spark, sf) -> DataFrame:
+    """Three runs, damaged by rule: blank owner ids (so one key a run), absent
+    sources, empty raw texts, and rows that are there twice."""
+    h = owner_history(spark, sf)
+    h = h.unionByName(h.where((F.col(RUN_ID) == "r1") & (F.col("teams_json") == '[{"id":"n1"}]')))
+    none = F.col("user_id").isNull()
+    of = lambda run: none & (F.col(RUN_ID) == run)
+    return h.withColumns({
+        "owner_id": F.when(of("r3"), F.lit("  ")).otherwise(F.col("owner_id")),
+        SOURCE_SYSTEM: F.when(~of("r2"), F.col(SOURCE_SYSTEM)),
+        "raw_json": F.when(of("r1"), F.lit("")).otherwise(F.col("raw_json"))})
+
+
+FAULTY_OWNERS = f"""
+fo AS (
+  SELECT CASE WHEN user_id IS NULL AND {RUN_ID} = 'r3' THEN '  ' ELSE owner_id END AS owner_id, {INGESTED_AT}, {RUN_ID},
+         CASE WHEN user_id IS NOT NULL OR {RUN_ID} <> 'r2' THEN {SOURCE_SYSTEM} END AS {SOURCE_SYSTEM},
+         CASE WHEN user_id IS NULL AND {RUN_ID} = 'r1' THEN '' ELSE email END AS raw_json
+  FROM (SELECT * FROM own UNION ALL SELECT * FROM own WHERE {RUN_ID} = 'r1' AND teams_json = '[{{"id":"n1"}}]'))"""
+
+
+def _blanks_sql(columns) -> str:
+    return ", ".join(f"count(*) FILTER (WHERE {_blank_sql(c)}) AS {c}" for c in columns)
+
+
+@register("audit_scd2_faults", _with(*H3, FAULTY_DEALS) + f"""
+SELECT count(*) AS current_rows, (SELECT count(*) FROM (SELECT {KEY} FROM f3 GROUP BY {KEY} HAVING count(*) > 1)) AS bad_keys,
+       {_blanks_sql(SCD2_REQUIRED)} FROM f3""")
+def q_audit_scd2_faults(spark, sf):
+    """V13 where there is something to find."""
+    return audits.audit_report(faulty_deal_history(spark, sf), DEALS)
+
+
+@register("audit_append_faults", OWNERS_SQL + f""", {FAULTY_OWNERS.strip()}
+SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT owner_id, {RUN_ID} FROM fo)) AS distinct_keys,
+       {_blanks_sql(OWNER_REQUIRED)} FROM fo""")
+def q_audit_append_faults(spark, sf):
+    """V12 where there is something to find."""
+    return audits.audit_report(faulty_owner_history(spark, sf), OWNERS)
+
+
+def _dq_sql(name: str, table: str, required, keys: str) -> str:
+    bad = " + ".join(f"count(*) FILTER (WHERE {_blank_sql(c)})" for c in required)
+    cells = f"({len(required)} * count(*))"
+    return f"""
+SELECT '{name}' AS table_name, count(*) AS rows, round(100.0::DOUBLE * ({cells} - ({bad})) / {cells}, 4) AS completeness_pct,
+       round(100.0::DOUBLE * (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {table})) / count(*), 4) AS uniqueness_pct FROM {table}"""
+
+
+@register("dq_metrics_faults", _with(*H3, FAULTY_DEALS, OWNERS_SQL.strip()[5:], FAULTY_OWNERS)
+          + _dq_sql("deals", "f3", SCD2_REQUIRED, KEY) + " UNION ALL " + _dq_sql("owners", "fo", OWNER_REQUIRED, f"owner_id, {RUN_ID}"))
+def q_dq_metrics_faults(spark, sf):
+    """G8 under 100 %."""
+    return audits.dq_metrics(faulty_deal_history(spark, sf), DEALS).unionByName(audits.dq_metrics(faulty_owner_history(spark, sf), OWNERS))
+
+
+# ============================================================ 12. the stored run
+STORED = ("deals", "owners", "deal_pipeline_stages", "deal_company_associations")
+
+
+def stored_runs(spark, sf, *, sample_limit: int | None = None) -> tuple[Store, list[RunResult]]:
+    """Runs "r1" and "r2" staged, gated, merged, written, audited and committed
+    into a store of their own in the shared folder; the second one sampled if
+    there is a limit."""
+    store = Store(spark, f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}", {n: C.CONTRACTS[n] for n in STORED})
+    store.bootstrap()
+    done = []
+    for run, limit in (("r1", None), ("r2", sample_limit)):
+        inputs = RunInputs(entities={"deals": C.order_docs(spark, sf, run)}, owners=C.supplier_docs(spark, sf, run),
+                           pipelines=C.part_pipeline_docs(spark, sf), associations={"deal_company_associations": C.unique_assoc_docs(spark, sf)})
+        done.append(ingest_run(store, inputs, run_id=run, ingested_at=C.RUNS[run], source_system=C.SOURCE, sample_limit=limit))
+    return store, done
+
+
+def _lines_sql(where: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE CAST(l_orderkey AS VARCHAR) IN (SELECT {KEY} FROM {where})))"
+
+
+@register("stored_history", _with(*H2) + f"SELECT {SCD2_SEL} FROM h2")
+def q_stored_history(spark, sf):
+    """R1, K3, K4: the history of two stored runs, read back."""
+    return stored_runs(spark, sf)[0].read("deals").select(*SCD2_OUT)
+
+
+@register("stored_run_changes", _with(*H2, OWNERS_SQL.strip()[5:]) + f""", n AS (
+  SELECT 'deals' AS table_name, 'r1' AS run, (SELECT count(*) FROM r1) AS staged, (SELECT count(*) FROM r1) AS opened, 0 AS closed, (SELECT count(*) FROM r1) AS counted
+  UNION ALL SELECT 'deals', 'r2', (SELECT count(*) FROM r2), (SELECT count(*) FROM h2 WHERE {IS_CURRENT} AND {RUN_ID} = 'r2'),
+    (SELECT count(*) FROM h2 WHERE NOT {IS_CURRENT}), (SELECT count(*) FROM h2 WHERE {IS_CURRENT})
+  UNION ALL SELECT 'owners', {RUN_ID}, count(*), count(*), 0, (SELECT count(*) FROM own x WHERE x.{RUN_ID} <= own.{RUN_ID}) FROM own WHERE {RUN_ID} <> 'r3' GROUP BY {RUN_ID}
+  UNION ALL SELECT 'deal_pipeline_stages', run, count(*), count(*), 0, CASE run WHEN 'r1' THEN 1 ELSE 2 END * count(*) FROM part, (VALUES ('r1'), ('r2')) v(run) GROUP BY run
+  UNION ALL SELECT 'deal_company_associations', 'r1', {_lines_sql('r1')}, {_lines_sql('r1')}, 0, {_lines_sql('r1')}
+  UNION ALL SELECT 'deal_company_associations', 'r2', {_lines_sql('r2')}, {_lines_sql('r2')}, 0, {_lines_sql('r1')} + {_lines_sql('r2')})
+SELECT table_name, run AS run_id, staged::BIGINT AS staged, opened::BIGINT AS opened, closed::BIGINT AS closed, counted::BIGINT AS counted FROM n""")
+def q_stored_run_changes(spark, sf):
+    """R1, A6, D5: what the writes of two stored runs observed."""
+    rows = [(n, r.run_id, *r.changes[n], r.counts[n]) for r in stored_runs(spark, sf)[1] for n in r.changes]
+    return spark.createDataFrame(rows, "table_name string, run_id string, staged long, opened long, closed long, counted long")
+
+
+@register("sampled_run_audit", _with(
+    ORDERS_BASE, _order_run_sql("r1"), _order_run_sql("r2", name="r2all"), f"r2 AS (SELECT * FROM r2all ORDER BY {KEY} LIMIT 25)",
+    _seed_sql("h1", "r1"), _merge_sql("h2", "h1", "r2", close_missing=False), OWNERS_SQL.strip()[5:]) + f"""
+SELECT 'deals' AS table_name, count(*) AS counted FROM h2 WHERE {IS_CURRENT}
+UNION ALL SELECT 'owners', least(25, count(*)) FROM own WHERE {RUN_ID} = 'r2'
+UNION ALL SELECT 'deal_pipeline_stages', count(*) FROM part
+UNION ALL SELECT 'deal_company_associations', {_lines_sql('r2')}""")
+def q_sampled_run_audit(spark, sf):
+    """V14: a full run, a sampled run, and the audit of the latter."""
+    store, _ = stored_runs(spark, sf, sample_limit=25)
+    counts = audit_run(store, "r2", sample_limit=25)
+    return spark.createDataFrame(list(counts.items()), "table_name string, counted long")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
