@@ -32,11 +32,12 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaphist.llm.blocks import block_count, by_bucket, sorted_block, with_block
-from snaphist.llm.lineage import cut
+from snaphist.llm.lineage import cut, release
 from snaphist.llm.passages import squeeze, unsqueeze
 from snaphist.llm.tokens import Texts, Words, mix, planes, unplanes, words
 
@@ -219,8 +220,10 @@ def _start(counted: DataFrame, train_rows: DataFrame, docs_trained: int) -> dict
 
 
 CODED = "block int, n long, size long, h binary, cls binary, seq binary"
-CONTEXT = "kind int, block int, bucket int, n int, size int, h binary, cls binary, data binary"
-MOVED = "kind int, block int, bucket int, n int, moved long, cls binary"
+STATE = "block int, pairs binary, cls binary"
+CONTEXT = "block int, bucket int, n int, size int, h binary, cls binary, data binary"
+MOVED = "block int, bucket int, moved long, cls binary"
+LOW = U64((1 << 48) - 1)
 
 
 def _code(start: dict):
@@ -236,9 +239,8 @@ def _code(start: dict):
         seq, first = with_ends(w, lambda _: number, h.size)
         seq = seq[np.repeat(train, np.diff(first))]
         cls = start["cls"][unit_of(h, ending, start["frequent"])]
-        pack = lambda x, keep: squeeze(np.frombuffer(planes(x.astype(U64), keep), np.uint8))
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "n": [h.size], "size": [seq.size],
-                         **{c: pa.array([pack(x, keep)], pa.binary()) for c, x, keep in (("h", h, 8), ("cls", cls, 1), ("seq", seq, 4))}})
+                         **{c: pa.array([_pack(x, keep)], pa.binary()) for c, x, keep in (("h", h, 8), ("cls", cls, 1), ("seq", seq, 4))}})
     return run
 
 
@@ -246,50 +248,96 @@ def _read(raw, n: int, keep: int) -> np.ndarray:
     return unplanes(unsqueeze(raw, n * keep), n, keep)
 
 
-def _classes(answers: pa.Table, h: np.ndarray, n: int, cls: np.ndarray) -> np.ndarray:
-    """The words' classes after the answers (none: as they are)."""
-    got = dict(zip(answers["bucket"].to_pylist(), answers["cls"].to_pylist()))
-    if got:
-        cls = cls.copy()
-        for b, at in by_bucket(h, n):
-            cls[at] = unplanes(got[b], at.size, 1)
-    return cls
+def _pack(x: np.ndarray, keep: int) -> bytes:
+    return squeeze(np.frombuffer(planes(x.astype(U64), keep), np.uint8))
+
+
+def takes_turn(h: np.ndarray, turn: int, parts: int) -> np.ndarray:
+    """Which words (48-bit hashes) may move in this round."""
+    return mix(h) % U64(parts) == U64(turn % parts)
+
+
+def _classes(r: dict, state: pa.Table) -> np.ndarray:
+    """A block's classes: the state's, or the first ones."""
+    old = [x for x in state["state"].to_pylist() if x is not None] if state.num_rows else []
+    return _read(old[0] if old else r["cls"], r["n"], 1).astype(np.int64)
+
+
+def _settle(n: int, turn: int, parts: int):
+    """A block's classes after a round's answers, and its class pairs."""
+    def run(key, coded, news):
+        rows = []
+        for r in coded.to_pylist():
+            size = r["n"]
+            cls = _classes(r, news)
+            got = {b: x for b, x in zip(news["bucket"].to_pylist(), news["cls"].to_pylist()) if x is not None} if news.num_rows else {}
+            if got:
+                h = _read(r["h"], size, 8)
+                turns = np.flatnonzero(takes_turn(h & LOW, turn, parts))
+                for b, at in by_bucket(h[turns], n):
+                    cls[turns[at]] = unplanes(got[b], at.size, 1)
+            seq = np.append(cls, CLASSES)[_read(r["seq"], r["size"], 4).astype(np.int64)]
+            rows.append((key[0].as_py(), planes(np.bincount(np.append(CLASSES, seq[:-1]) * K + seq, minlength=K * K).astype(U64), 5) if seq.size else planes(np.zeros(K * K, U64), 5), _pack(cls, 1)))
+        return pa.table({"block": pa.array([r[0] for r in rows], pa.int32()), **{c: pa.array([r[i] for r in rows], pa.binary()) for i, c in enumerate(("pairs", "cls"), 1)}})
+    return run
 
 
-def _contexts(n: int):
-    """kind 0: a block's words for a bucket, with classes and, of each, what
-    occurs beside it: ``data`` is the number of entries of each word, their
+def _contexts(n: int, turn: int, parts: int):
+    """A block's words of this turn for a bucket, with classes and, of each,
+    what occurs beside it: ``data`` is the number of entries of each word, their
     codes (class after it, or ``K`` and the class before it) and counts, and
-    how often each word follows itself. kind 1: the block's class pairs."""
-    def run(key, coded, answers):
+    how often each word follows itself."""
+    def run(key, coded, state):
         rows = []
         block = key[0].as_py()
         for r in coded.to_pylist():
             size = r["n"]
-            h = _read(r["h"], size, 8)
-            cls = _classes(answers, h, n, _read(r["cls"], size, 1).astype(np.int64))
+            h, cls = _read(r["h"], size, 8), _classes(r, state)
+            turns = np.flatnonzero(takes_turn(h & LOW, turn, parts))
+            number = np.full(size + 1, -1)
+            number[turns] = np.arange(turns.size)
             seq = _read(r["seq"], r["size"], 4).astype(np.int64)
-            before = np.append(size, seq[:-1])
-            of = np.append(cls, CLASSES)
-            pairs = np.bincount(of[before] * K + of[seq], minlength=K * K)
-            rows.append((1, block, -1, 0, 0, None, None, planes(pairs.astype(U64), 5)))
-            own = np.bincount(seq[(seq == before) & (seq < size)], minlength=size)
-            code = np.concatenate([(before * (2 * K) + of[seq])[before < size], (seq * (2 * K) + K + of[before])[seq < size]])
+            before = np.append(size, seq[:-1]) if seq.size else seq
+            of, me, it = np.append(cls, CLASSES), number[seq], number[before]
+            after = it >= 0
+            own = np.bincount(me[(me >= 0) & (seq == before)], minlength=turns.size)
+            code = np.concatenate([it[after] * (2 * K) + of[seq[after]], (me * (2 * K) + K + of[before])[me >= 0]])
             code, many = np.unique(code, return_counts=True)
-            at_word = np.searchsorted(code, np.arange(size + 1) * (2 * K))
+            at_word = np.searchsorted(code, np.arange(turns.size + 1) * (2 * K))
             code %= 2 * K
-            for b, at in by_bucket(h, n):
-                number = at_word[at + 1] - at_word[at]
-                to = np.cumsum(number)
-                use = np.arange(int(to[-1])) + np.repeat(at_word[at] - to + number, number)
-                data = b"".join((planes(number.astype(U64), 4), planes(code[use].astype(U64), 1), planes(many[use].astype(U64), 4), planes(own[at].astype(U64), 4)))
-                rows.append((0, block, b, at.size, use.size, planes(h[at], 6), planes(cls[at].astype(U64), 1), squeeze(np.frombuffer(data, np.uint8))))
+            for b, at in by_bucket(h[turns], n):
+                entries = at_word[at + 1] - at_word[at]
+                to = np.cumsum(entries)
+                use = np.arange(int(to[-1])) + np.repeat(at_word[at] - to + entries, entries)
+                data = b"".join((planes(entries.astype(U64), 4), planes(code[use].astype(U64), 1), planes(many[use].astype(U64), 4), planes(own[at].astype(U64), 4)))
+                rows.append((block, b, at.size, use.size, planes(h[turns[at]], 6), planes(cls[turns[at]].astype(U64), 1), squeeze(np.frombuffer(data, np.uint8))))
         fields = [f.split() for f in CONTEXT.split(", ")]
         kinds = {"int": pa.int32(), "binary": pa.binary()}
         return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
     return run
 
 
+def _trained(n: int):
+    """A block's training words for a bucket, with their classes."""
+    def run(key, coded, state):
+        rows = []
+        for r in coded.to_pylist():
+            size = r["n"]
+            h, cls = _read(r["h"], size, 8), _classes(r, state)
+            seen = np.flatnonzero(np.bincount(_read(r["seq"], r["size"], 4).astype(np.int64), minlength=size + 1)[:size])
+            rows += [(b, at.size, planes(h[seen[at]], 6), planes(cls[seen[at]].astype(U64), 1)) for b, at in by_bucket(h[seen], n)]
+        return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "n": pa.array([r[1] for r in rows], pa.int32()), **{c: pa.array([r[i] for r in rows], pa.binary()) for i, c in enumerate(("h", "cls"), 2)}})
+    return run
+
+
+def _kinds(key, table):
+    """How many of a bucket's words each class has."""
+    size = table["n"].to_pylist()
+    h, cls = (np.concatenate([unplanes(x.as_py(), n, keep) for x, n in zip(table[c], size)]) for c, keep in (("h", 6), ("cls", 1)))
+    first = np.unique(h, return_index=True)[1]
+    return pa.table({"block": pa.array([-1], pa.int32()), "bucket": pa.array([key[0].as_py()], pa.int32()), "kinds": pa.array([planes(np.bincount(cls[first].astype(np.int64), minlength=K).astype(U64), 5)], pa.binary())})
+
+
 def _xlogx(x):
     return x * np.log(np.maximum(x, 1))
 
@@ -297,62 +345,53 @@ def _xlogx(x):
 def best_moves(c: np.ndarray, cls: np.ndarray, beside: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Best class of each word, all others staying. ``beside``: occurrences of
     the classes after (``K`` columns) and before each word; ``own``: how often
-    it follows itself."""
+    it follows itself. Works on the classes a word really stands beside, so a
+    word costs its different neighbouring classes, not all pairs of classes."""
     out = cls.copy()
-    right, left = beside[:, :K], beside[:, K:]
-    i = np.arange(cls.size)
-    plain = (own == 0) & (right[i, cls] == 0) & (left[i, cls] == 0) & (beside.max(1, initial=0) <= TABLED) & ~((right > 0) & (left > 0)).any(1)
-    rows, cols = c.sum(1), c.sum(0)
-    table = [np.stack([_xlogx(m.T + r) - _xlogx(m.T) for r in range(TABLED + 1)]) for m in (c, c.T)]
-    for size, pick, gains in ((4096, np.flatnonzero(plain), _plain_gains), (256, np.flatnonzero(~plain), _whole_gains)):
-        for lo in range(0, pick.size, size):
-            at = pick[lo:lo + size]
-            a, r, l, o = cls[at], right[at].astype(float), left[at].astype(float), own[at].astype(float)  # noqa: E741
-            gain, j = gains(c, a, r, l, o, table), np.arange(at.size)
-            for total, s in ((rows, r.sum(1)), (cols, l.sum(1))):  # what the word's class has without it
-                rest = np.repeat(total[None], at.size, 0)
-                rest[j, a] -= s
-                gain -= _xlogx(rest + s[:, None]) - _xlogx(rest)
-            gain[:, -1] = -np.inf
-            b = gain.argmax(1)
-            out[at] = np.where(gain[j, b] > gain[j, a] + 1e-9, b, a)
+    rows, cols, d = c.sum(1), c.sum(0), np.diag(c)
+    looked = [np.stack([_xlogx(m.T + r) - _xlogx(m.T) for r in range(TABLED + 1)]) for m in (c, c.T)]
+    for lo in range(0, cls.size, 4096):
+        a, o = cls[lo:lo + 4096], own[lo:lo + 4096].astype(float)
+        right, left = (beside[lo:lo + 4096, x].astype(float) for x in (slice(K), slice(K, 2 * K)))
+        i = np.arange(a.size)
+        right[i, a] -= o
+        left[i, a] -= o
+        rest = d[a] - right[i, a] - left[i, a] - o  # the pairs of the word's class with itself, without the word
+        gain = np.zeros((a.size, K))
+        for m, x, other, table in ((c, right, left, looked[0]), (c.T, left, right, looked[1])):
+            word, k = np.nonzero(x)
+            r, mine = x[word, k], k == a[word]
+            each = np.empty((word.size, K))
+            few = r <= TABLED
+            each[few] = table[r[few].astype(np.int64), k[few]]
+            many = np.flatnonzero(~few & ~mine)
+            now = m.T[k[many]]
+            each[many] = _xlogx(now + r[many, None]) - _xlogx(now)
+            now = m[a[word], k]
+            each[np.arange(word.size), a[word]] = _xlogx(now) - _xlogx(now - r)
+            mine = np.flatnonzero(mine)  # beside its own class, which has less without the word
+            at = word[mine]
+            now = m.T[a[at]] - other[at]
+            now[np.arange(at.size), a[at]] = rest[at]
+            each[mine] = _xlogx(now + r[mine, None]) - _xlogx(now)
+            if word.size:
+                first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                gain[word[first]] += np.add.reduceat(each, first, axis=0)
+        for at, k in (np.nonzero((right > 0) & (left > 0) & (o[:, None] == 0)), np.nonzero((o > 0)[:, None] & np.ones((1, K), bool))):  # on both sides of one class, or of itself
+            now, r, l, s = np.where(k == a[at], rest[at], d[k]), right[at, k], left[at, k], o[at]  # noqa: E741
+            gain[at, k] += _xlogx(now + r + l + s) - _xlogx(now + r) - _xlogx(now + l) + _xlogx(now)
+        for total, s in ((rows, right.sum(1) + o), (cols, left.sum(1) + o)):  # what the classes have in all
+            sizes, which = np.unique(s, return_inverse=True)
+            gain -= (_xlogx(total + sizes[:, None]) - _xlogx(total))[which]
+            gain[i, a] += _xlogx(total[a] + s) - 2 * _xlogx(total[a]) + _xlogx(total[a] - s)
+        gain[:, -1] = -np.inf
+        b = gain.argmax(1)
+        out[lo:lo + 4096] = np.where(gain[i, b] > gain[i, a] + 1e-9, b, a)
     return out
 
 
-def _plain_gains(c, a, right, left, own, table):
-    """For words with few occurrences beside each class, none beside their own
-    class, and no class on both sides: sums of looked-up differences."""
-    gain = np.zeros((a.size, K))
-    for m, x, looked in ((c, right, table[0]), (c.T, left, table[1])):
-        word, k = np.nonzero(x)
-        r = x[word, k]
-        each = looked[r.astype(np.int64), k]
-        now = m[a[word], k]
-        each[np.arange(word.size), a[word]] = _xlogx(now) - _xlogx(now - r)
-        if word.size:
-            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            gain[word[first]] += np.add.reduceat(each, first, axis=0)
-    return gain
-
-
-def _whole_gains(c, a, right, left, own, table):
-    j = np.arange(a.size)
-    right, left = right.copy(), left.copy()
-    right[j, a] -= own
-    left[j, a] -= own
-    m = np.repeat(c[None], a.size, 0)
-    m[j, a] -= right
-    m[j, :, a] -= left
-    m[j, a, a] -= own
-    f = _xlogx(m)
-    gain = (_xlogx(m + right[:, None, :]) - f).sum(2) + (_xlogx(m + left[:, :, None]) - f).sum(1)
-    d, o = np.diagonal(m, axis1=1, axis2=2), own[:, None]
-    return gain + _xlogx(d + right + left + o) - _xlogx(d + right) - _xlogx(d + left) + _xlogx(d)
-
-
-def _move(c: np.ndarray, turn: int, parts: int):
-    """kind 0: the words' classes for a block; 1 and 2: a class's words in this
-    bucket before and after the moves."""
+def _move(c: np.ndarray):
+    """The words' best classes, in the order of each block's question."""
     def run(key, table):
         table = table.combine_chunks().sort_by("block")
         size, entries = table["n"].to_numpy(), table["size"].to_numpy()
@@ -369,25 +408,21 @@ def _move(c: np.ndarray, turn: int, parts: int):
             at += n
             cell.append(np.repeat(mine, degree) * (2 * K) + code)
             many.append(times)
-            np.add.at(own, mine, self_)
+            own[mine] += self_
         cell, many = np.concatenate(cell), np.concatenate(many)
         order = np.argsort(cell, kind="stable")
         cell, many = cell[order], many[order]
-        new, moved = cls.copy(), 0
-        seen = np.zeros(word.size, bool)
-        seen[cell // (2 * K)] = True
-        can = np.flatnonzero(seen & (mix(word) % U64(parts) == U64(turn % parts)))
+        new = cls.copy()
+        can = np.flatnonzero(np.bincount(cell // (2 * K), minlength=word.size))
         for lo in range(0, can.size, 1 << 14):
             use = can[lo:lo + (1 << 14)]
             u, v = np.searchsorted(cell, (use[0] * 2 * K, (use[-1] + 1) * 2 * K))
             beside = np.bincount(cell[u:v] - use[0] * 2 * K, weights=many[u:v], minlength=(use[-1] - use[0] + 1) * 2 * K)
             new[use] = best_moves(c, cls[use], beside.reshape(-1, 2 * K)[use - use[0]], own[use])
-        moved = int((new != cls).sum())
         answers = [planes(new[number[y - n:y]].astype(U64), 1) for y, n in zip(np.cumsum(size), size)]
-        kinds = [planes(np.bincount(x[seen], minlength=K).astype(U64), 5) for x in (cls, new)]
-        m, bucket = len(answers), key[0].as_py()
-        return pa.table({"kind": pa.array([0] * m + [1, 2], pa.int32()), "block": pa.array([*table["block"].to_pylist(), -1, -1], pa.int32()), "bucket": pa.array([bucket] * (m + 2), pa.int32()),
-                         "n": pa.array([*size.tolist(), 0, 0], pa.int32()), "moved": [0] * m + [0, moved], "cls": pa.array(answers + kinds, pa.binary())})
+        moved = np.zeros(size.size, np.int64)
+        moved[0] = (new != cls).sum()
+        return pa.table({"block": table["block"], "bucket": table["bucket"], "moved": moved, "cls": pa.array(answers, pa.binary())})
     return run
 
 
@@ -410,35 +445,42 @@ def information(c: np.ndarray) -> float:
 
 
 def cluster(coded: DataFrame, n: int) -> tuple[DataFrame, np.ndarray, np.ndarray, list[float]]:
-    """Each block's classes (MOVED, kind 0; no rows: the first ones), the class
-    pairs, the words per class, and the mutual information of each round."""
-    classes = coded.sparkSession.createDataFrame([], MOVED)
-    kinds = best = None
-    course, parts, still, moved = [], PARTS, 0, 0
+    """Each block's classes (STATE), the class pairs, the words per class, and
+    the mutual information of each round.
+
+    Blocks keep their coded texts where they are; what a round sends is the
+    words of its turn with their neighbouring classes, and the answers."""
+    def at_blocks(f, other: DataFrame, schema: str) -> DataFrame:
+        return coded.groupBy("block").cogroup(other.groupBy("block")).applyInArrow(f, schema)
+
+    known = lambda state: state.select("block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("cls"), F.col("cls").alias("state"))
+    spark = coded.sparkSession
+    state = cut(at_blocks(_settle(n, 0, 1), spark.createDataFrame([], "block int, bucket int, cls binary, state binary"), STATE))
+    best, course, parts, still, moved = None, [], PARTS, 0, 0
     for turn in itertools.count():
         if not still:
-            met = cut(coded.groupBy("block").cogroup(classes.where("kind = 0").select("block", "bucket", "cls").groupBy("block")).applyInArrow(_contexts(n), CONTEXT))
-            c = _total(met.where("kind = 1"), "data", K * K).reshape(K, K)
+            c = _total(state.select("block", F.lit(0).alias("bucket"), "pairs"), "pairs", K * K).reshape(K, K)
             course.append(information(c))
             gain = course[-1] - best["value"] if best else np.inf
             if gain > 0:
-                best = {"value": course[-1], "met": met, "c": c, "classes": classes, "kinds": kinds}
+                best = {"value": course[-1], "c": c, "state": state}
                 if gain < LEAST * best["value"]:
                     break
             elif moved == 1:
                 break
             else:  # too many moves at once
                 parts *= 2
-        after = cut(best["met"].where("kind = 0").groupBy("bucket").applyInArrow(_move(best["c"], turn, parts), MOVED))
-        if best["kinds"] is None:
-            best["kinds"] = _total(after.where("kind = 1"), "cls", K)
+        after = cut(at_blocks(_contexts(n, turn, parts), known(best["state"]), CONTEXT).groupBy("bucket").applyInArrow(_move(best["c"]), MOVED))
         moved = after.agg(F.sum("moved")).first()[0] or 0
         still = 0 if moved else still + 1
         if still == parts:
             break
         if moved:
-            classes, kinds = after, _total(after.where("kind = 2"), "cls", K)
-    return best["classes"], best["c"], best["kinds"], course
+            news = known(best["state"]).unionByName(after.select("block", "bucket", "cls", F.lit(None).cast("binary").alias("state")))
+            state = cut(at_blocks(_settle(n, turn, parts), news, STATE))
+        release(spark)
+    kinds = _total(at_blocks(_trained(n), known(best["state"]), "bucket int, n int, h binary, cls binary").groupBy("bucket").applyInArrow(_kinds, "block int, bucket int, kinds binary"), "kinds", K)
+    return best["state"], best["c"], kinds, course
 
 
 def _model(start: dict, c: np.ndarray, kinds: np.ndarray) -> dict:
@@ -466,7 +508,7 @@ def _score(model: dict, n: int):
         for b, at in by_bucket(h, n):
             total[at] = unplanes(got[b], at.size, 5)
         count, first = with_ends(w, lambda _: total[number], model["ends"])
-        at = _classes(answers.filter(pa.array(kind == 1)), h, n, model["cls"][unit_of(h, ending, model["frequent"])])
+        at = _read(answers["cls"].to_pylist()[int(np.flatnonzero(kind == 1)[0])], h.size, 1).astype(np.int64)
         cls, _ = with_ends(w, lambda _: at[number], CLASSES)
         known = np.log10(count + 0.5)
         base = known - np.log10(model["n"] + 0.5 * (model["v"] + 1))
@@ -486,9 +528,13 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
     by_block = with_block(rows, n, ("train",)).groupBy("block")
     counted = cut(by_block.applyInArrow(_ask(n), "bucket int, block int, n int, h binary, c binary, e binary").groupBy("bucket").applyInArrow(_count, COUNTED))
     start = _start(counted, rows.where("train").select("text"), rows.where("train").count())
-    classes, c, kinds, _ = cluster(cut(by_block.applyInArrow(_code(start), CODED)), n)
+    release(docs.sparkSession)
+    coded = by_block.applyInArrow(_code(start), CODED).repartition(n, "block").persist(StorageLevel.DISK_ONLY)
+    state, c, kinds, _ = cluster(coded, n)
+    coded.unpersist()
+    release(docs.sparkSession)
     model = _model(start, c, kinds)
     answers = counted.where("kind = 0").select(F.lit(0).alias("kind"), "block", "bucket", "counts", F.lit(None).cast("binary").alias("cls")) \
-        .unionByName(classes.where("kind = 0").select(F.lit(1).alias("kind"), "block", "bucket", F.lit(None).cast("binary").alias("counts"), "cls"))
+        .unionByName(state.select(F.lit(1).alias("kind"), "block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("counts"), "cls"))
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _score(model, n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

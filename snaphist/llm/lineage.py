@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaphist.session import ensure_checkpoint_dir
@@ -20,3 +22,11 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     """``df`` (narrow rows, cheap to count), marked for broadcast if it is
     within ``BROADCAST_ROWS``; beyond that a join shuffles it."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def release(spark: SparkSession) -> None:
+    """Frees the shuffle files of rounds that no plan holds any more. Spark's
+    cleaner follows the garbage collection of the driver, which a driver with
+    little to do puts off while the executors' disks fill."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
