@@ -240,7 +240,8 @@ def _code(start: dict):
         seq = seq[np.repeat(train, np.diff(first))]
         cls = start["cls"][unit_of(h, ending, start["frequent"])]
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "n": [h.size], "size": [seq.size],
-                         **{c: pa.array([_pack(x, keep)], pa.binary()) for c, x, keep in (("h", h, 8), ("cls", cls, 1), ("seq", seq, 4))}})
+                         "h": pa.array([_pack(h, 8)], pa.binary()), "cls": pa.array([_pack(cls, 1)], pa.binary()),
+                         "seq": pa.array([squeeze(seq.astype(np.int32).view(np.uint8))], pa.binary())})
     return run
 
 
@@ -248,6 +249,10 @@ def _read(raw, n: int, keep: int) -> np.ndarray:
     return unplanes(unsqueeze(raw, n * keep), n, keep)
 
 
+def _sequence(r: dict) -> np.ndarray:
+    return np.frombuffer(unsqueeze(r["seq"], 4 * r["size"]), np.int32)
+
+
 def _pack(x: np.ndarray, keep: int) -> bytes:
     return squeeze(np.frombuffer(planes(x.astype(U64), keep), np.uint8))
 
@@ -276,8 +281,11 @@ def _settle(n: int, turn: int, parts: int):
                 turns = np.flatnonzero(takes_turn(h & LOW, turn, parts))
                 for b, at in by_bucket(h[turns], n):
                     cls[turns[at]] = unplanes(got[b], at.size, 1)
-            seq = np.append(cls, CLASSES)[_read(r["seq"], r["size"], 4).astype(np.int64)]
-            rows.append((key[0].as_py(), planes(np.bincount(np.append(CLASSES, seq[:-1]) * K + seq, minlength=K * K).astype(U64), 5) if seq.size else planes(np.zeros(K * K, U64), 5), _pack(cls, 1)))
+            after = np.append(cls, CLASSES).astype(np.int16)[_sequence(r)]
+            pairs = np.bincount(after[:-1] * np.int16(K) + after[1:], minlength=K * K)
+            if after.size:
+                pairs[CLASSES * K + after[0]] += 1
+            rows.append((key[0].as_py(), planes(pairs.astype(U64), 5), _pack(cls, 1)))
         return pa.table({"block": pa.array([r[0] for r in rows], pa.int32()), **{c: pa.array([r[i] for r in rows], pa.binary()) for i, c in enumerate(("pairs", "cls"), 1)}})
     return run
 
@@ -294,14 +302,17 @@ def _contexts(n: int, turn: int, parts: int):
             size = r["n"]
             h, cls = _read(r["h"], size, 8), _classes(r, state)
             turns = np.flatnonzero(takes_turn(h & LOW, turn, parts))
-            number = np.full(size + 1, -1)
+            number = np.full(size + 1, -1, np.int64)
             number[turns] = np.arange(turns.size)
-            seq = _read(r["seq"], r["size"], 4).astype(np.int64)
-            before = np.append(size, seq[:-1]) if seq.size else seq
-            of, me, it = np.append(cls, CLASSES), number[seq], number[before]
-            after = it >= 0
-            own = np.bincount(me[(me >= 0) & (seq == before)], minlength=turns.size)
-            code = np.concatenate([it[after] * (2 * K) + of[seq[after]], (me * (2 * K) + K + of[before])[me >= 0]])
+            seq = _sequence(r)
+            of, me = np.append(cls, CLASSES).astype(np.int16)[seq], number[seq]
+            mine = np.flatnonzero(me >= 0)  # an end follows every word, and another or an end is before it
+            me = me[mine]
+            first = mine[:1] == 0
+            own = np.bincount(me[(seq[mine] == seq[mine - 1]) & (mine > 0)], minlength=turns.size)
+            code = np.concatenate([me * (2 * K) + of[mine + 1], me * (2 * K) + K + of[mine - 1]])
+            if first.any():
+                code[me.size] = me[0] * (2 * K) + K + CLASSES
             code, many = np.unique(code, return_counts=True)
             at_word = np.searchsorted(code, np.arange(turns.size + 1) * (2 * K))
             code %= 2 * K
@@ -324,7 +335,7 @@ def _trained(n: int):
         for r in coded.to_pylist():
             size = r["n"]
             h, cls = _read(r["h"], size, 8), _classes(r, state)
-            seen = np.flatnonzero(np.bincount(_read(r["seq"], r["size"], 4).astype(np.int64), minlength=size + 1)[:size])
+            seen = np.flatnonzero(np.bincount(_sequence(r), minlength=size + 1)[:size])
             rows += [(b, at.size, planes(h[seen[at]], 6), planes(cls[seen[at]].astype(U64), 1)) for b, at in by_bucket(h[seen], n)]
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "n": pa.array([r[1] for r in rows], pa.int32()), **{c: pa.array([r[i] for r in rows], pa.binary()) for i, c in enumerate(("h", "cls"), 2)}})
     return run

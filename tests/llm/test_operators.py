@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -285,6 +286,8 @@ def test_class_model(spark):
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
     assert class_model.score_texts(table(spark, []).limit(0), train).count() == 0
+    none = class_model.score_texts(table(spark, [(1, "a b"), (2, None)]), F.lit(False)).collect()  # nothing to learn from
+    assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in none) == [(1, 3, 0, 0), (2, 1, 0, 0)]
 
 
 def test_class_model_probabilities_add_up():
@@ -300,6 +303,105 @@ def test_class_model_probabilities_add_up():
     assert np.allclose(((c + k * share) / (c.sum(1, keepdims=True) + k)).sum(1), 1)
 
 
+def plain_exchange(texts):
+    """Words' classes and counts by the rule of the operator, with the mutual
+    information of all texts computed anew for every move tried."""
+    m, k, end = class_model, class_model.K, class_model.CLASSES
+    seqs = [t.split(" ") for t in texts]
+    count = Counter(w for s in seqs for w in s)
+    names = sorted(count)
+    t = m.Texts.of(pa.chunked_array([names]), lower=True)
+    h = m.words(t).hash & m.LOW
+    frequent = np.array(sorted(x for _, x in sorted((-count[w], int(x)) for w, x in zip(names, h))[:m.FREQUENT]), np.uint64)
+    unit = dict(zip(names, m.unit_of(h, m.endings(t, m.words(t)), frequent)))
+    pairs = np.zeros((m.UNITS, m.UNITS))
+    steps = [(a, b) for s in seqs for a, b in zip([None, *s], [*s, None])]
+    for a, b in steps:
+        pairs[unit.get(a, m.END), unit.get(b, m.END)] += 1
+    units = m.exchange(pairs)
+
+    def table_of(cls):
+        c = np.zeros((k, k))
+        for a, b in steps:
+            c[cls.get(a, end), cls.get(b, end)] += 1
+        return c
+
+    def moved(cls, word, to):
+        """Class pairs with one more word moved."""
+        c, other = table.copy(), {**cls, word: to}
+        for a, b in near[word]:
+            c[cls.get(a, end), cls.get(b, end)] -= 1
+            c[other.get(a, end), other.get(b, end)] += 1
+        return c
+
+    near = {w: [(a, b) for a, b in steps if w in (a, b)] for w in names}
+    now, best, parts, turn = {w: int(units[unit[w]]) for w in names}, None, m.PARTS, 0
+    while True:
+        value = m.information(table_of(now))
+        if best is None or value > best[0]:
+            done = best is not None and value - best[0] < m.LEAST * value
+            best = (value, now)
+            if done:
+                break
+        elif len([w for w in now if now[w] != best[1][w]]) == 1:
+            break
+        else:
+            parts *= 2
+        for _ in range(parts):  # until a turn in which a word moves
+            table, now = table_of(best[1]), dict(best[1])
+            for w, x in zip(names, h):
+                if m.takes_turn(np.array([x]), turn, parts)[0]:
+                    gain = [m.information(moved(best[1], w, to)) for to in range(end)]
+                    if max(gain) > gain[best[1][w]] + 1e-7:
+                        now[w] = int(np.argmax(gain))
+            turn += 1
+            if now != best[1]:
+                break
+        else:
+            break
+    assert any(best[1][w] != units[unit[w]] for w in names)
+    return best[1], units, count, table_of(best[1])
+
+
+def test_class_model_against_plain_exchange(spark):
+    """The scores of all texts, with every move tried by hand."""
+    rng = random.Random(11)
+    words = [f"{a}{i}" for a in "abcd" for i in range(210)]  # some more than the units of the first step
+    near = {w: rng.sample(words, 4) for w in words}
+
+    def line(n):
+        out = [rng.choice(words)]
+        while len(out) < n:
+            out.append(rng.choice(near[out[-1]]) if rng.random() < 0.8 else rng.choice(words))
+        return " ".join(out)
+
+    rows = [(i, line(rng.randint(5, 120))) for i in range(60)]
+    got = {r.doc_id: r.score for r in class_model.score_texts(table(spark, [*rows, (100, line(40)), (101, "new a1 words a2")]), F.col("doc_id") < 100).collect()}
+    texts = dict(rows)
+    cls, units, count, c = plain_exchange(list(texts.values()))
+    k, end = class_model.K, class_model.CLASSES
+    share = [(c[:, j].sum() + 1) / (c.sum() + k) for j in range(k)]
+    kinds = Counter(cls.values())
+
+    def score(text):
+        total, before = 0.0, end
+        for w in [*text.split(" "), None]:
+            if w in cls or w is None:
+                to = cls.get(w, end)
+            else:
+                t = class_model.Texts.of(pa.chunked_array([[w]]), lower=True)
+                to = int(units[class_model.FREQUENT + class_model.endings(t, class_model.words(t))[0]])
+            total += math.log10((c[before, to] + k * share[to]) / (c[before].sum() + k))
+            if w is not None:
+                total += math.log10((count[w] + 0.5) / (c[:, to].sum() + 0.5 * (kinds[to] + 1)))
+            before = to
+        return total
+
+    for i, t in texts.items():
+        assert math.isclose(got[i], score(t), rel_tol=1e-9), i
+    assert math.isclose(got[101], score("new a1 words a2"), rel_tol=1e-9)
+
+
 def test_best_moves_of_words():
     """Against the mutual information after each possible move."""
     rng = np.random.default_rng(7)
