@@ -102,13 +102,14 @@ def ingest_run(store: Store, inputs: RunInputs, *, run_id: str, ingested_at: dat
 def _staged(store: Store, name: str, rows: DataFrame, run_id: str, source_system: str) -> tuple[DataFrame, int]:
     """(staged rows, their number) of a batch that passed the gate. The row
     rules are counted while it is written; only its keys are read once more
-    for duplicates, and breaches once more to show some."""
+    for duplicates (as hashes: the rules tell equal hashes from equal keys),
+    and breaches once more to show some."""
     c = store.contracts[name]
     scd2 = c.pattern == SCD2
     seen = Observation(f"staged {name}")
     breaches = gates.row_breaches(rows, c, source_system=source_system, scd2=scd2).alias("breaches")
     staged = store.load_staging(name, rows.observe(seen, breaches, F.count(F.lit(1)).alias("rows")), run_id)
-    if seen.get["breaches"] or gates.duplicate_keys(staged, c.business_keys).first()["duplicates"]:
+    if seen.get["breaches"] or gates.duplicate_keys(gates.hashed_keys(staged, c.business_keys), ["key"]).first()["duplicates"]:
         gates.validate(staged, c, label=name, source_system=source_system, scd2=scd2)
     return staged, seen.get["rows"]
 

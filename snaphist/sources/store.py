@@ -221,8 +221,8 @@ class Store:
     def _of(self, name: str, run_ids: list[str], condition=None) -> DataFrame:
         """Rows of the named partitions; their files' schemas are checked first."""
         c = self.contracts[name]
-        if not run_ids:
-            return self.spark.createDataFrame([], c.schema)
+        if not run_ids:  # known to be empty: a merge into nothing then needs no join
+            return self.spark.createDataFrame([], c.schema).where(F.lit(False))
         self._verify(name, run_ids)
         raw = self.spark.table(self.table_name(name)) if self._bucketed(name) else self.spark.read.schema(self.stored_schema(c)).parquet(self.path(name))
         rows = raw.where(F.col(PUBLISHED_RUN).isin(run_ids))

@@ -36,6 +36,18 @@ def test_unique_keys_treat_nulls_as_equal(spark):
         audits.assert_unique(df, (), label="edges")
 
 
+def test_keys_of_equal_hash_are_told_apart(spark):
+    # NULLs are skipped by the hash: these two keys share one
+    rows = map_run(RunInputs(owners=spark.createDataFrame([('{"id":"1"}',), ('{"id":"2"}',)], "doc string")), C, run_id="a", ingested_at="2024-01-01 00:00:00", source_system="crm")["owners"]
+    two = rows.select(*[F.when(F.col("owner_id") == "1", F.lit("x")).alias("owner_id") if c == "owner_id" else F.when(F.col("owner_id") == "2", F.lit("x")).alias(c) if c == "_ingestion_run_id" else c for c in rows.columns])
+    contract = C["owners"]
+    assert gates.hashed_keys(two, contract.history_keys()).distinct().count() == 1
+    counted = {"rows": 2, **{f"blank_{c}": 0 for c in contract.stored_required()}}
+    assert audits.check_written(two, contract, counted) == 2
+    with pytest.raises(ValueError, match="2 rows but 1 keys"):
+        audits.check_written(rows.where("owner_id = '1'").unionByName(rows.where("owner_id = '1'")), contract, counted)
+
+
 def test_one_current_and_required(spark):
     df = spark.createDataFrame([("1", True, "x"), ("1", True, "y"), ("2", True, " "), ("3", False, None)],
                                "source_id string, _is_current boolean, raw_json string")
