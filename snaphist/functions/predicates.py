@@ -52,26 +52,17 @@ def truthy_flag(text: Column) -> Column:
     return F.coalesce(text.cast("boolean"), F.lit(False))
 
 
-def variant_truthy(v: Column) -> Column:
-    """Truthiness of a JSON value held as VARIANT: absent, null, false, zero,
-    "", [] and {} are falsy (the string "0" is truthy)."""
-    t = F.to_json(v)
-    falsy = (t.isNull() | t.isin("null", "false", '""', "[]", "{}")
-             | F.coalesce(t.try_cast("double") == F.lit(0.0), F.lit(False)))
-    return ~falsy
-
-
 def json_truthy(text: Column, raw: Column) -> Column:
     """Truthiness of a JSON value from its STRING-parsed ``text`` (strings
     unquoted, other tokens as source text; NULL when absent or null).
 
     The text alone decides unless it reads as a numeric zero or ``false``:
     then the token type matters (number 0 is falsy, string "0" is not), and
-    ``raw`` -- the same value as VARIANT -- is looked at, for those rows
-    only."""
+    the type of ``raw`` -- the same value as VARIANT -- is looked at, for those
+    rows only: of such texts only strings are truthy."""
     ambiguous = (text == F.lit("false")) | F.coalesce(text.try_cast("double") == F.lit(0.0), F.lit(False))
     plain = text.isNotNull() & ~text.isin("", "[]", "{}")
-    return F.when(ambiguous, variant_truthy(raw)).otherwise(plain)
+    return F.when(ambiguous, F.schema_of_variant(raw) == F.lit("STRING")).otherwise(plain)
 
 
 def first_truthy(*pairs: tuple[Column, Column]) -> Column:

@@ -111,7 +111,7 @@ def carrier_inputs(spark: SparkSession, sf_dir: str, run: str) -> RunInputs:
         entities={"deals": C.order_docs(spark, sf_dir, run)},
         owners=C.supplier_docs(spark, sf_dir, run),
         pipelines=C.part_pipeline_docs(spark, sf_dir),
-        associations={"deal_company_associations": C.lineitem_assoc_docs(spark, sf_dir)},
+        associations={"deal_company_associations": C.lineitem_assoc_docs(spark, sf_dir, dealt=True)},
     )
 
 

@@ -102,8 +102,8 @@ def owner_history(spark: SparkSession, sf: str) -> DataFrame:
     return h
 
 
-def edge_rows(spark: SparkSession, sf: str, run: str = "r1") -> DataFrame:
-    return associations_to_rows(C.lineitem_assoc_docs(spark, sf), EDGES, run_id=run,
+def edge_rows(spark: SparkSession, sf: str, run: str = "r1", *, dealt: bool = False) -> DataFrame:
+    return associations_to_rows(C.lineitem_assoc_docs(spark, sf, dealt=dealt), EDGES, run_id=run,
                                 ingested_at=C.RUNS[run], source_system=C.SOURCE)
 
 
@@ -613,7 +613,7 @@ EDGE_SEL = ", ".join(EDGE_OUT)
 
 @register("flatten_associations", EDGES_SQL + f"SELECT {EDGE_SEL}, deal_id AS raw_from FROM edges")
 def q_flatten_associations(spark, sf):
-    return edge_rows(spark, sf).select(*EDGE_OUT, _raw("$.from.id", "raw_from"))
+    return edge_rows(spark, sf, dealt=True).select(*EDGE_OUT, _raw("$.from.id", "raw_from"))
 
 
 @register("page_envelope", _with(ORDERS_BASE, _order_run_sql("r1", where="TRUE")) + f"""
@@ -719,7 +719,7 @@ SELECT 'deal_company_associations' AS label, 'duplicate_key' AS rule,
 FROM (SELECT count(*) AS n FROM edges GROUP BY {', '.join(EDGES.business_keys)} HAVING count(*) > 1)
 HAVING sum(n - 1) > 0""")
 def q_gate_required_subset(spark, sf):
-    v = gates.violations(edge_rows(spark, sf), EDGES, source_system=C.SOURCE,
+    v = gates.violations(edge_rows(spark, sf, dealt=True), EDGES, source_system=C.SOURCE,
                          required_keys=(EDGES.from_id, EDGES.to_id))
     return gates.violation_summary(v)
 
@@ -783,7 +783,7 @@ def q_audit_required_current(spark, sf):
 SELECT (SELECT count(*) FROM edges) AS total,
        (SELECT count(*) FROM (SELECT DISTINCT {', '.join(EDGES.business_keys)} FROM edges)) AS distinct_keys""")
 def q_audit_unique_keys_nulls(spark, sf):
-    return audits.key_uniqueness(edge_rows(spark, sf), list(EDGES.business_keys))
+    return audits.key_uniqueness(edge_rows(spark, sf, dealt=True), list(EDGES.business_keys))
 
 
 @register("audit_run_scoped", OWNERS_SQL + f"""
@@ -826,7 +826,7 @@ SELECT {EDGE_SEL} FROM edges
 WHERE deal_id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM o WHERE NOT deleted)""")
 def q_assoc_scope_semi(spark, sf):
     ids = deal_rows(spark, sf, "r2").select(F.col(KEY).alias("id"))
-    results = scope_results_to_ids(C.lineitem_assoc_docs(spark, sf), ids)
+    results = scope_results_to_ids(C.lineitem_assoc_docs(spark, sf, dealt=True), ids)
     return associations_to_rows(results, EDGES, run_id="r1", ingested_at=C.RUNS["r1"],
                                 source_system=C.SOURCE).select(*EDGE_OUT)
 

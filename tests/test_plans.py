@@ -9,11 +9,14 @@ import pytest
 from conftest import SF_SMALL
 from snaphist.contracts import crm_contracts
 from snaphist.operators import audits, gates
-from snaphist.operators.scd2 import SPLIT, scd2_merge
+from snaphist.operators.scd2 import SPLIT, scd2_merge, scd2_merge_open
+from snaphist.plans.carriers import lineitem_assoc_docs, table
 from snaphist.plans.queries import QUERIES, deal_rows, edge_rows
+from snaphist.sources.store import Store
 
 C = crm_contracts("source")
 DEALS = C["deals"]
+KEYS = list(C["deal_company_associations"].business_keys)
 
 
 def plan(df) -> str:
@@ -126,3 +129,23 @@ def test_late_run_leaves_untouched_versions_in_place(spark, scratch):
     branches = re.split(r"\n:- |\n\+- ", top[top.index("Union"):].replace("   ", ""))
     far = [b for b in branches if "Scan parquet" in b and "Exchange" not in b]
     assert far and len(re.findall("Scan parquet", top)) == 4
+
+
+def test_association_documents_are_built_in_several_tasks_per_core(spark):
+    docs = lineitem_assoc_docs(spark, SF_SMALL, dealt=True)
+    assert docs.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert docs.exceptAll(lineitem_assoc_docs(spark, SF_SMALL)).isEmpty() and docs.count() == table(spark, SF_SMALL, "lineitem").count()
+    for name in ("flatten_associations", "audit_unique_keys_nulls", "run_summary"):
+        first, built = (plan(QUERIES[name](spark, SF_SMALL)).find(x) for x in ("REPARTITION_BY_NUM", "parse_json"))
+        assert 0 < first < built, name
+
+
+def test_uniqueness_checks_shuffle_hashes_and_a_first_merge_nothing(spark, scratch):
+    edges = stored(spark, scratch, edge_rows(spark, SF_SMALL), "edges")
+    hashed = plan(gates.duplicate_keys(gates.hashed_keys(edges, KEYS), ["key"]))
+    moved = re.findall(r"Arguments: hashpartitioning\(([^,]*), ", hashed)
+    assert len(moved) == 1 and moved[0].startswith("key#"), moved
+    store = Store(spark, f"{scratch}/bronze", {"deals": DEALS})
+    first = scd2_merge_open(store.read_open("deals"), stored(spark, scratch, deal_rows(spark, SF_SMALL, "r1"), "r1"), DEALS)
+    assert "Join" not in plan(first) and hash_exchanges(plan(first)) == 0
+    assert first.count() == deal_rows(spark, SF_SMALL, "r1").count()
