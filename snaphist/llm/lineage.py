@@ -18,6 +18,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_as_dealt(df: DataFrame) -> DataFrame:
+    """``cut`` of a repartitioned ``df`` that still knows how its rows are dealt,
+    which Spark forgets under adaptive execution; grouping it by the same
+    columns doesn't shuffle it again."""
+    conf = df.sparkSession.conf
+    was = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(df)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", was)
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """``df`` (narrow rows, cheap to count), marked for broadcast if it is
     within ``BROADCAST_ROWS``; beyond that a join shuffles it."""

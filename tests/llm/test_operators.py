@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import brute
 from conftest import SF_SMALL
 from snaphist.llm import (
-    class_model, decontaminate, html_extract, language_id, mixing, ngram_join, passages, quality_model, quality_rules,
+    class_model, decontaminate, html_extract, language_id, lineage, mixing, ngram_join, passages, quality_model, quality_rules,
     substring_dedup, suffix_dedup,
 )
 from snaphist.llm.components import components
@@ -437,6 +437,20 @@ def test_rare_words_are_clustered_by_their_neighbours(spark):
     assert sum(got[1000 + 2 * i] > got[1001 + 2 * i] for i in range(10)) >= 9
 
 
+def test_class_model_shuffles_its_texts_once(spark, tmp_path):
+    """Scores come from the blocks' coded texts, which stay as they are dealt."""
+    table(spark, [(i, f"a{i % 7} b{i % 5} c") for i in range(60)]).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    plan = class_model.score_texts(docs, F.col("doc_id") < 40)._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" not in plan.lower() and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_cut_keeps_how_rows_are_dealt(spark):
+    rows = lineage.cut_as_dealt(spark.range(100).repartition(7, "id"))
+    assert "Exchange" not in rows.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
 def test_exchange_raises_mutual_information():
     rng = np.random.default_rng(6)
     u = class_model.UNITS
