@@ -38,8 +38,8 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Frees the shuffle files of rounds that no plan holds any more. Spark's
-    cleaner follows the garbage collection of the driver, which a driver with
+    """Frees the shuffle files and broadcasts of rounds that no plan holds any
+    more, and their plans in the driver's heap. Spark's cleaner follows the garbage collection of the driver, which a driver with
     little to do puts off while the executors' disks fill."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()

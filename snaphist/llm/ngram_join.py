@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from snaphist.llm.blocks import block_count, by_bucket
 from snaphist.llm.components import components
-from snaphist.llm.lineage import broadcast_if_small, cut
+from snaphist.llm.lineage import broadcast_if_small, cut, release
 from snaphist.llm.tokens import Texts, grams, mix, planes, sliding_min, unplanes, words
 
 SHINGLE, PERCENT = 4, 85
@@ -385,10 +385,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, shingle: int = S
     buckets = block_count(docs)
     packed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_prefixes(word_rarity(described), buckets, percent, shingle), "bucket int, n int, tok binary, key binary, num binary")
     met = cut(packed.groupBy("bucket").applyInArrow(_meet(percent), "kind int, a long, a_n long, b long, b_n long").distinct())
+    release(docs.sparkSession)  # here and below: what finished steps left in the driver
     pairs, groups = met.where("kind = 0").drop("kind"), met.where("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("key"), F.col("b_n").alias("n"))
     bitmaps = fetch_sets(docs, classes, ends(pairs).unionByName(groups.select("key", "n")), "sig", shingle)
     links = verify(pairs, bitmaps, docs, classes, percent, shingle)
     first = label(links, classes)
+    release(docs.sparkSession)
     # groups whose classes aren't all in one component yet
     open_groups = groups.join(first.select("key", "n", "mark"), ["key", "n"], "left") \
         .join(bitmaps, ["key", "n"]).withColumn("comp", F.coalesce("mark", F.xxhash64("key", "n")))
@@ -396,11 +398,13 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, shingle: int = S
     more = open_groups.join(several, "grp", "left_semi").select("grp", "key", "n", "comp", "sig") \
         .groupBy("grp").applyInArrow(_tree_pairs(percent), TREE_PAIR).join(pairs, PAIR, "left_anti")
     more = cut(more.groupBy(*PAIR).agg(F.max(F.struct("margin", "a_comp", "b_comp")).alias("m")).select(*PAIR, "m.*"))
+    release(docs.sparkSession)
     # the likeliest pair of any two components first; those it joins need no other
     likely = more.groupBy(F.least("a_comp", "b_comp").alias("x"), F.greatest("a_comp", "b_comp").alias("y")) \
         .agg(F.max(F.struct("margin", *PAIR)).alias("m")).select(*[F.col(f"m.{c}").alias(c) for c in PAIR])
     links = cut(links.unionByName(verify(likely, bitmaps, docs, classes, percent, shingle)))
     second = label(links, classes).select("key", "n", "mark")
+    release(docs.sparkSession)
     mark = lambda c: second.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col("mark").alias(f"{c}_mark"))
     rest = more.join(likely, PAIR, "left_anti").join(mark("a"), ["a", "a_n"], "left").join(mark("b"), ["b", "b_n"], "left") \
         .where("a_mark IS NULL OR b_mark IS NULL OR a_mark <> b_mark").select(*PAIR)

@@ -451,6 +451,15 @@ def test_cut_keeps_how_rows_are_dealt(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
+def test_near_duplicates_free_finished_steps(spark, monkeypatch):
+    """The driver holds no finished step's plans while later ones run."""
+    calls = []
+    monkeypatch.setattr(ngram_join, "release", calls.append)
+    rows = [(i, " ".join(f"w{j}" for j in range(40)) + f" x{i}") for i in range(6)]
+    got = ngram_join.near_duplicates(table(spark, rows)).collect()
+    assert {r.component_id for r in got} == {0} and len(calls) == 4
+
+
 def test_exchange_raises_mutual_information():
     rng = np.random.default_rng(6)
     u = class_model.UNITS
