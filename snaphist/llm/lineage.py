@@ -43,3 +43,11 @@ def release(spark: SparkSession) -> None:
     little to do puts off while the executors' disks fill."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def cut_step(df: DataFrame) -> DataFrame:
+    """``cut``, then ``release``: for a job of many steps with many tasks each,
+    whose plans and task reports would add up in the driver's heap."""
+    out = cut(df)
+    release(df.sparkSession)
+    return out

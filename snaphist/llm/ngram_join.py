@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from snaphist.llm.blocks import block_count, by_bucket
 from snaphist.llm.components import components
-from snaphist.llm.lineage import broadcast_if_small, cut, release
+from snaphist.llm.lineage import broadcast_if_small, cut, cut_step, release
 from snaphist.llm.tokens import Texts, grams, mix, planes, sliding_min, unplanes, words
 
 SHINGLE, PERCENT = 4, 85
@@ -250,7 +250,7 @@ def fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, what: str
     ids = broadcast_if_small(ids)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(ids, (F.xxhash64("text") == F.col("w_th")) & F.col("doc_id").eqNullSafe(F.col("w_id"))).select("text", "w_key", "w_n")
-    return cut(rows.mapInArrow(_sets(what, shingle), f"key long, n long, {what} binary"))
+    return cut_step(rows.mapInArrow(_sets(what, shingle), f"key long, n long, {what} binary"))
 
 
 def ends(pairs: DataFrame) -> DataFrame:
@@ -295,9 +295,9 @@ def verify(pairs: DataFrame, bitmaps: DataFrame, docs: DataFrame, classes: DataF
         return out
 
     schema = "a long, a_n long, b long, b_n long"
-    left = cut(pairs.join(side(bitmaps, "a", "sig"), ["a", "a_n"]).join(side(bitmaps, "b", "sig"), ["b", "b_n"]).mapInArrow(keep(by_bitmap), schema))
+    left = cut_step(pairs.join(side(bitmaps, "a", "sig"), ["a", "a_n"]).join(side(bitmaps, "b", "sig"), ["b", "b_n"]).mapInArrow(keep(by_bitmap), schema))
     sets = fetch_sets(docs, classes, ends(left), "tokens", shingle)
-    return cut(left.join(side(sets, "a", "tokens"), ["a", "a_n"]).join(side(sets, "b", "tokens"), ["b", "b_n"]).mapInArrow(keep(by_set), schema))
+    return cut_step(left.join(side(sets, "a", "tokens"), ["a", "a_n"]).join(side(sets, "b", "tokens"), ["b", "b_n"]).mapInArrow(keep(by_set), schema))
 
 
 class SignatureTree:
@@ -378,7 +378,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, shingle: int = S
     """doc_id, n_shingles, component_id, th (hash of the text) and stays (this
     is its component's first document) of every document. Rows that are equal
     in id and text are one document."""
-    described = cut(describe(docs, shingle))
+    described = cut_step(describe(docs, shingle))
     rows = described.where("n >= 0").select("doc_id", "th", "n", "key")
     smallest = F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("o"), "doc_id", "th")).alias("rep")
     classes = cut(rows.where("n > 0").groupBy("key", "n").agg(smallest))
@@ -391,23 +391,23 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, shingle: int = S
     links = verify(pairs, bitmaps, docs, classes, percent, shingle)
     first = label(links, classes)
     release(docs.sparkSession)
-    # groups whose classes aren't all in one component yet
-    open_groups = groups.join(first.select("key", "n", "mark"), ["key", "n"], "left") \
-        .join(bitmaps, ["key", "n"]).withColumn("comp", F.coalesce("mark", F.xxhash64("key", "n")))
-    several = open_groups.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("grp")
-    more = open_groups.join(several, "grp", "left_semi").select("grp", "key", "n", "comp", "sig") \
-        .groupBy("grp").applyInArrow(_tree_pairs(percent), TREE_PAIR).join(pairs, PAIR, "left_anti")
-    more = cut(more.groupBy(*PAIR).agg(F.max(F.struct("margin", "a_comp", "b_comp")).alias("m")).select(*PAIR, "m.*"))
+    # groups whose classes aren't all in one component yet, found without their bitmaps
+    marked = cut_step(groups.join(first.select("key", "n", "mark"), ["key", "n"], "left").select("grp", "key", "n", F.coalesce("mark", F.xxhash64("key", "n")).alias("comp")))
+    several = marked.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("grp")
+    open_groups = cut_step(marked.join(several, "grp", "left_semi"))
+    tree = open_groups.join(bitmaps, ["key", "n"]).select("grp", "key", "n", "comp", "sig").groupBy("grp").applyInArrow(_tree_pairs(percent), TREE_PAIR)
+    tree = cut_step(tree.groupBy(*PAIR).agg(F.max(F.struct("margin", "a_comp", "b_comp")).alias("m")).select(*PAIR, "m.*"))
+    more = cut(tree.join(pairs, PAIR, "left_anti"))
     release(docs.sparkSession)
     # the likeliest pair of any two components first; those it joins need no other
-    likely = more.groupBy(F.least("a_comp", "b_comp").alias("x"), F.greatest("a_comp", "b_comp").alias("y")) \
-        .agg(F.max(F.struct("margin", *PAIR)).alias("m")).select(*[F.col(f"m.{c}").alias(c) for c in PAIR])
+    likely = cut(more.groupBy(F.least("a_comp", "b_comp").alias("x"), F.greatest("a_comp", "b_comp").alias("y"))
+                 .agg(F.max(F.struct("margin", *PAIR)).alias("m")).select(*[F.col(f"m.{c}").alias(c) for c in PAIR]))
     links = cut(links.unionByName(verify(likely, bitmaps, docs, classes, percent, shingle)))
     second = label(links, classes).select("key", "n", "mark")
     release(docs.sparkSession)
     mark = lambda c: second.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col("mark").alias(f"{c}_mark"))
-    rest = more.join(likely, PAIR, "left_anti").join(mark("a"), ["a", "a_n"], "left").join(mark("b"), ["b", "b_n"], "left") \
-        .where("a_mark IS NULL OR b_mark IS NULL OR a_mark <> b_mark").select(*PAIR)
+    rest = cut_step(more.join(likely, PAIR, "left_anti").join(mark("a"), ["a", "a_n"], "left").join(mark("b"), ["b", "b_n"], "left")
+                    .where("a_mark IS NULL OR b_mark IS NULL OR a_mark <> b_mark").select(*PAIR))
     final = label(links.unionByName(verify(rest, bitmaps, docs, classes, percent, shingle)), classes)
     best = final.select("key", "n", F.struct("o", "th").alias("best"))
     named = classes.join(best, ["key", "n"], "left").select("key", "n", F.coalesce("best", F.struct("rep.o", "rep.th")).alias("best"))

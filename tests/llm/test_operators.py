@@ -460,6 +460,21 @@ def test_near_duplicates_free_finished_steps(spark, monkeypatch):
     assert {r.component_id for r in got} == {0} and len(calls) == 4
 
 
+def test_near_duplicates_plan_few_shuffles_a_step(spark, monkeypatch):
+    """The driver holds the plans and task reports of a few shuffles at once."""
+    sizes, kind = [], type(spark.range(0))
+    checkpoint = kind.checkpoint
+
+    def counted(df, *args):
+        sizes.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return checkpoint(df, *args)
+
+    monkeypatch.setattr(kind, "checkpoint", counted)
+    rows = [(i, " ".join(f"w{j}" for j in range(40)) + f" x{i}") for i in range(6)]
+    assert ngram_join.near_duplicates(table(spark, rows)).count() == 6
+    assert len(sizes) > 10 and max(sizes) <= 8, sizes
+
+
 def test_exchange_raises_mutual_information():
     rng = np.random.default_rng(6)
     u = class_model.UNITS
